@@ -1,8 +1,10 @@
 """Registered queries of this subpackage, by number of the operator, and their SQL."""
 
 from tidemark.llm.ngram_join import op3_ngram_jaccard_join
+from tidemark.llm.substring_dedup import op2_substring_dedup
 
 QUERIES = {
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
 }
 ORACLES: dict = {}
