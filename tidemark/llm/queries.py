@@ -1,10 +1,27 @@
-"""Registered queries of this subpackage, by number of the operator, and their SQL."""
+"""Registered queries of this subpackage, by number of the operator, and their SQL.
 
+The language of none of these results is SQL: each is tested against a brute-force twin, a round trip or held-out accuracy
+in tests/llm."""
+
+from tidemark.llm.decontamination import op5_benchmark_decontamination
+from tidemark.llm.fingerprints import op7_fingerprints
+from tidemark.llm.language_id import op6_language_id
 from tidemark.llm.ngram_join import op3_ngram_jaccard_join
+from tidemark.llm.packing import op10_packing
+from tidemark.llm.quality import op8_quality
 from tidemark.llm.substring_dedup import op2_substring_dedup
+from tidemark.llm.token_files import op4_token_files
+from tidemark.llm.toxicity import op1_toxicity
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
+    "op4_token_files": op4_token_files,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_language_id": op6_language_id,
+    "op7_fingerprints": op7_fingerprints,
+    "op8_quality": op8_quality,
+    "op10_packing": op10_packing,
 }
 ORACLES: dict = {}
