@@ -5,6 +5,7 @@ in tests/llm."""
 
 from tidemark.llm.decontamination import op5_benchmark_decontamination
 from tidemark.llm.fingerprints import op7_fingerprints
+from tidemark.llm.html_text import op9_html_text
 from tidemark.llm.language_id import op6_language_id
 from tidemark.llm.ngram_join import op3_ngram_jaccard_join
 from tidemark.llm.packing import op10_packing
@@ -22,6 +23,7 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_fingerprints": op7_fingerprints,
     "op8_quality": op8_quality,
+    "op9_html_text": op9_html_text,
     "op10_packing": op10_packing,
 }
 ORACLES: dict = {}

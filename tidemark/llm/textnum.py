@@ -44,31 +44,37 @@ def _up_to(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def _piece(a: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    ink = ~_SPACE[a]
+def _piece(a: np.ndarray, space: np.ndarray = _SPACE, heads: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    ink = ~space[a]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], ink, [False])).astype(np.int8)))
     start, end = edge[::2], edge[1::2]
     if not len(start):
-        return start, end, np.zeros(0, np.uint64)
+        return start, end, np.zeros(0, np.uint64), *(np.zeros(0, np.uint64) for _ in heads)
     up, down = _up_to(len(a) + 1)
     total = np.empty(len(a) + 1, np.uint64)
     total[0] = 0
     np.cumsum(_BYTE[a] * up[: len(a)], out=total[1:])
-    return start, end, mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
+    out = [mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))]
+    for n in heads:
+        long = start[end - start > n]
+        out.append(mix((total[long + n] - total[long]) * down[long] + np.uint64(n + 1_000_000)))
+    return start, end, *out
 
 
-def words(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts, byte ends and hashes of the words; worked off in pieces of about 1 MB, however long the text is."""
+def words(raw: bytes, space: np.ndarray = _SPACE, heads: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
+    """Byte starts, byte ends and hashes of the words; worked off in pieces of about 1 MB, however long the text is.
+
+    space: which bytes part words. heads: for each n of these follow the hashes of the first n bytes of the longer words."""
     a = np.frombuffer(raw, np.uint8)
     if len(a) <= CHUNK:
-        return _piece(a)
+        return _piece(a, space, heads)
     found, at = [], 0
     while at < len(a):
         to = min(at + CHUNK, len(a))
-        while to < len(a) and not _SPACE[a[to]]:
+        while to < len(a) and not space[a[to]]:
             to += 1
-        s, e, h = _piece(a[at:to])
-        found.append((s + at, e + at, h))
+        s, e, *h = _piece(a[at:to], space, heads)
+        found.append((s + at, e + at, *h))
         at = to
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 

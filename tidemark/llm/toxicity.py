@@ -1,7 +1,7 @@
 """Toxicity by a counterfactually regularised classifier.
 
-Features: which of a few hundred words a text holds. The words are chosen by how their frequency differs between the classes;
-identity terms are always among them. Each sentence of a labelled document that mentions an identity term is repeated with
+Features: which of a few hundred words and word beginnings (4 to 8 bytes, for inflected forms) a text holds, chosen by how their
+document frequency differs between the classes; identity terms are always among them. Each sentence of a labelled document that mentions an identity term is repeated with
 every other term of the same group and with a neutral word in its place; the model pays for the squared change of the
 logit, so a mention alone can't move a score, whatever the labels of the sample suggest.
 
@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontamination import _PARTED, _STOP
 from tidemark.llm.logistic import fit, sigmoid
-from tidemark.llm.shared import crc_mod, table
+from tidemark.llm.shared import crc_mod, cut, table
 from tidemark.llm.textnum import batches, encode, runs, words
 
-SAMPLE, FEATURES, LEAST_DOCS, RIDGE, COUNTERFACTUAL = 12_000, 400, 4, 0.3, 20.0
+SAMPLE, FEATURES, LEAST_DOCS, LEAST_G, RIDGE, COUNTERFACTUAL, POSITIVE = 8_000, 400, 4, 15.0, 0.03, 20.0, 2.0
+HEADS = (4, 5, 6, 7, 8)
 #: Fixed lists: terms of one line may stand for each other; the neutral words stand for any.
 IDENTITY = [
     "christian muslim jewish hindu buddhist sikh atheist catholic protestant",
@@ -50,8 +51,12 @@ _TERMS = np.unique(np.concatenate(_GROUPS))
 _NEUTRAL = hashes(NEUTRAL)
 
 
+def features(raw: bytes) -> np.ndarray:
+    return np.unique(np.concatenate(words(raw, _PARTED, HEADS)[2:]))
+
+
 def _study(frames):
-    """Of each document the label, a key of near copies, its word hashes, and its sentences with identity terms."""
+    """Of each document the label, a key of near copies, its features, and its sentences with identity terms."""
     for f in frames:
         rows = []
         for label, text in zip(f.label, f.text, strict=True):
@@ -65,28 +70,19 @@ def _study(frames):
                 stops = np.concatenate(([0], np.cumsum(_STOP[np.frombuffer(raw, np.uint8)])))[start]
                 for s in np.unique(stops[found]).tolist():
                     sentences.append(np.unique(h[np.searchsorted(stops, s) : np.searchsorted(stops, s, "right")]).tobytes())
-            rows.append((int(label), key, np.unique(h).tobytes(), sentences))
-        yield pd.DataFrame(rows, columns=["label", "key", "words", "sentences"])
-
-
-def informative(sets: list[np.ndarray], y: np.ndarray, most: int = FEATURES, least: int = LEAST_DOCS) -> np.ndarray:
-    """The words whose document frequencies differ most between the classes (G-test), as sorted hashes."""
-    if not sets:
-        return np.zeros(0, np.uint64)
-    flat = np.concatenate(sets)
-    keys, at = np.unique(flat, return_inverse=True)
-    label = np.repeat(y, [len(s) for s in sets])
-    n = np.bincount(at, minlength=len(keys)).astype(float)
-    k = np.bincount(at, weights=label, minlength=len(keys))
-    total, positive = float(len(y)), float(y.sum())
-    g = np.zeros(len(keys))
-    for seen, ran in ((k, n * positive / total), (n - k, n * (total - positive) / total), (positive - k, (total - n) * positive / total), (total - positive - n + k, (total - n) * (total - positive) / total)):
-        with np.errstate(divide="ignore", invalid="ignore"):
-            g += np.where(seen > 0, 2 * seen * np.log(seen / ran), 0)
-    g[n < least] = 0
-    g[g < 10.8] = 0
-    pick = np.argsort(-g, kind="stable")[:most]
-    return np.sort(keys[pick[g[pick] > 0]])
+            rows.append((int(label), key, features(raw).view(np.int64), sentences))
+        yield pd.DataFrame(rows, columns=["label", "key", "found", "sentences"])
+
+
+def informative(studied: DataFrame, most: int, least: int, least_g: float) -> np.ndarray:
+    """The features whose document frequencies differ most between the classes (G-test), as sorted hashes."""
+    total, positive = studied.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    each = studied.select("label", F.explode("found").alias("h")).groupBy("h").agg(F.count("*").alias("n"), F.sum("label").alias("k")).where(F.col("n") >= least)
+    n, k, t, p = F.col("n"), F.col("k"), F.lit(float(total)), F.lit(float(positive))
+    cells = [(k, n * p), (n - k, n * (t - p)), (p - k, (t - n) * p), (t - p - n + k, (t - n) * (t - p))]
+    g = sum(F.when((seen > 0) & (ran > 0), 2 * seen * F.log(seen * t / ran)).otherwise(0.0) for seen, ran in cells)
+    chosen = each.withColumn("g", g).where(F.col("g") >= least_g).orderBy(F.desc("g"), "h").limit(most).select("h").toPandas()
+    return np.sort(chosen.h.to_numpy(np.int64).view(np.uint64))
 
 
 def indicators(sets: list[np.ndarray], keys: np.ndarray) -> np.ndarray:
@@ -117,36 +113,40 @@ def counterfactual_penalty(sentences: list[np.ndarray], keys: np.ndarray, streng
 
 
 def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, strength: float = COUNTERFACTUAL) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted word hashes and their weights, the intercept last. docs: doc_id, text. labels: doc_id, label (0 or 1)."""
+    """Sorted feature hashes and their weights, the intercept last. docs: doc_id, text. labels: doc_id, label (0 or 1)."""
     chosen = labels.where("label is not null and doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInPandas(_study, "label int, key long, words binary, sentences array<binary>").toPandas()
-    rows = rows.sort_values(["key", "label", "words"]).drop_duplicates("key")
-    sets = [np.frombuffer(w, np.uint64) for w in rows.words]
-    y = rows.label.to_numpy(float)
-    keys = np.unique(np.concatenate([informative(sets, y), _TERMS, _NEUTRAL]))
+    studied = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInPandas(_study, "label int, key long, found array<long>, sentences array<binary>")
+    studied = cut(studied, "studied")
+    studied = studied.groupBy("key").agg(F.min_by(F.struct("label", "found", "sentences"), F.struct("label", "found")).alias("x")).select("key", "x.*")
+    studied = cut(studied, "single")
+    keys = np.unique(np.concatenate([informative(studied, FEATURES, LEAST_DOCS, LEAST_G), _TERMS, _NEUTRAL]))
+    kept = F.array_intersect("found", F.array(*(F.lit(int(k)) for k in keys.view(np.int64)))).alias("found")
+    rows = studied.select("key", "label", kept, "sentences").toPandas().sort_values("key")
+    sets = [np.array(x, np.int64).view(np.uint64) for x in rows.found]
     sentences = [np.frombuffer(s, np.uint64) for got in rows.sentences for s in got]
-    return keys, fit(indicators(sets, keys), y, ridge=RIDGE, penalty=counterfactual_penalty(sentences, keys, strength))
+    label = rows.label.to_numpy(float)
+    return keys, fit(indicators(sets, keys), label, np.where(label > 0, POSITIVE, 1.0), ridge=RIDGE, penalty=counterfactual_penalty(sentences, keys, strength))
 
 
 def score_texts(texts, keys: np.ndarray, w: np.ndarray) -> np.ndarray:
     out = np.zeros(len(texts))
     for held in batches(texts):
         for i, raw in held:
-            h = words(raw, _PARTED)[2]
+            h = np.concatenate(words(raw, _PARTED, HEADS)[2:])
             at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
             out[i] = w[np.unique(at[keys[at] == h])].sum() + w[-1]
     return sigmoid(out)
 
 
-def toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """docs with score (0 to 1) and predicted (1 from 0.5 on) added; columns of these names are replaced."""
+def toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], score: str = "score", predicted: str = "predicted") -> DataFrame:
+    """docs with a score (0 to 1) and a prediction (1 from 0.5 on) added; columns of these names are replaced."""
     keys, w = model
 
     @F.pandas_udf("double")
-    def score(text: pd.Series) -> pd.Series:
+    def scored(text: pd.Series) -> pd.Series:
         return pd.Series(score_texts(text.tolist(), keys, w))
 
-    return docs.withColumn("score", score("text")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    return docs.withColumn(score, scored("text")).withColumn(predicted, (F.col(score) >= 0.5).cast("int"))
 
 
 def labels_of(spark: SparkSession, sf_dir: str, name: str, held_out: int = 5) -> DataFrame:
