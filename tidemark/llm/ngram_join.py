@@ -8,10 +8,12 @@ Two texts link when 100 * |A & B| >= 75 * |A | B| for their sets of 5-word shing
 2. A second pass sorts each set rare first (never reported, then by count; ties by hash) and keeps the prefix, size -
    ceil(0.75 * size) + 1 shingles: linked sets share one of them. Rare ones go to hash buckets, packed; there all pairs that
    pass the length and positional filters become candidates, each once a bucket. Groups are small there by construction.
-3. A frequent shingle's members each meet the least of them (a star), the candidates are verified once per pair on the
-   whole texts, with the suffix filter first, and components are built from the links.
-4. Members of one frequent shingle that lie in different components meet each other now: no pair that could join two
-   components is left out, and pairs inside one are not needed. Rows are dealt in blocks of bounded size.
+   A suffix filter on a few hundred bits of each set then bounds the Hamming distance of a pair, before texts move.
+3. A frequent shingle's members each meet the least of them (a star). Each text is first verified with the candidate it met
+   most often, on whole texts with the suffix filter first, and components are built from these links.
+4. Members of one frequent shingle that lie in different components meet, in blocks of bounded size: first each with the
+   likeliest of the others, then, with new components, all that still lie apart, as do the other candidates. Each pair is
+   verified once at most; none that could join two components is left out, and pairs inside one can't change them.
 
 Rows per document: a text without words has no shingles and is linked with nothing; so is a null text. Repeated rows and
 repeated ids are kept; a null doc_id keeps its row, with a null component. Other columns of the input are ignored."""
@@ -32,8 +34,10 @@ from tidemark.llm.textnum import jaccard_reaches, mix, shingle_list, shingle_set
 SCOPE = 2_000_000
 #: A shingle counts as frequent from this count on; the most frequent FREQUENT of them are sent to all tasks (about 1.5 MB).
 LEAST_COUNT, FREQUENT = 12, 65_536
+#: Members up to which a rare shingle's pairs are all made in its bucket; larger groups go the way of frequent shingles.
+SMALL = 12
 #: Prefix entries that a bucket holds on average, about 6 MB, and members of a frequent shingle in a block.
-BUCKET, BLOCK = 250_000, 20_000
+BUCKET, BLOCK = 250_000, 8_000
 ENTRY = np.dtype([("t", "<u4"), ("u", "<u2"), ("s", "<i8"), ("n", "<u4"), ("p", "<u4")])
 
 
@@ -46,12 +50,28 @@ def signature(s: np.ndarray) -> int:
     return int(mix(mix(s) * np.uint64(3) + np.uint64(1)).sum() + np.uint64(len(s) * 0x9E3779B9)) - (1 << 63)
 
 
+def parity(s: np.ndarray) -> bytes:
+    """One bit for each hash value range: whether the set has an odd number there. About two bits an element."""
+    m = min(max(256, 1 << (2 * len(s) - 1).bit_length()), 1 << 16)
+    return np.packbits(np.bincount((s >> np.uint64(20)).astype(np.int64) & (m - 1), minlength=m) & 1, bitorder="little").tobytes()
+
+
+def near_enough(x: bytes, nx: int, y: bytes, ny: int, percent: int) -> bool:
+    """The suffix filter over the whole order: where the parities differ lies an element of only one set, so their
+    number bounds the Hamming distance from below; linked sets differ in (100 - percent) / (100 + percent) of both sizes at most."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) != len(b):
+        a, b = (v.reshape(-1, min(len(a), len(b))) for v in (a, b))
+        a, b = (np.bitwise_xor.reduce(v, axis=0) for v in (a, b))
+    return (100 + percent) * int(np.bitwise_count(a ^ b).sum()) <= (100 - percent) * (nx + ny)
+
+
 def _counts(ids, sets) -> pd.DataFrame:
     """Of the shingles of two or more different sets."""
     h, c = np.unique(np.concatenate(list(sets.values())), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, int))
     h, c = h[c > 1], c[c > 1]
-    rows = pd.DataFrame(ids, columns=["doc_id", "n", "sig"]).astype({"doc_id": "Int64", "n": "int64", "sig": "Int64"})
-    return pd.concat([rows.assign(h=pd.array([None] * len(rows), "Int64"), c=0), pd.DataFrame({"doc_id": pd.array([None] * len(h), "Int64"), "n": -1, "sig": pd.array([None] * len(h), "Int64"), "h": pd.array(h.view(np.int64), "Int64"), "c": c})])
+    rows = pd.DataFrame(ids, columns=["doc_id", "n", "sig", "bits"]).astype({"doc_id": "Int64", "n": "int64", "sig": "Int64"})
+    return pd.concat([rows.assign(h=pd.array([None] * len(rows), "Int64"), c=0), pd.DataFrame({"doc_id": pd.array([None] * len(h), "Int64"), "n": -1, "sig": pd.array([None] * len(h), "Int64"), "bits": None, "h": pd.array(h.view(np.int64), "Int64"), "c": c})])
 
 
 def _survey(frames):
@@ -61,7 +81,7 @@ def _survey(frames):
         for i, _, _, h in words_of(f.text):
             s = shingle_set(h)
             sig = signature(s) if len(s) else None
-            ids.append((None if pd.isna(keys[i]) else int(keys[i]), len(s), sig))
+            ids.append((None if pd.isna(keys[i]) else int(keys[i]), len(s), sig, parity(s) if len(s) else None))
             if len(s) and sig not in sets:
                 sets[sig] = s
                 held += len(s)
@@ -153,6 +173,10 @@ def _bucket_pairs(percent):
             fresh = np.ones(len(e), bool)
             fresh[1:] = (key[1:] != key[:-1]) | (e["s"][1:] != e["s"][:-1])
             e, key = e[fresh], key[fresh]
+            _, at, size = np.unique(key, return_inverse=True, return_counts=True)
+            big = size[at] > SMALL
+            out.append(pd.DataFrame({"a": e["s"][big], "b": e["s"][big], "k": pd.array(key[big].astype(np.int64), "Int64"), "n": e["n"][big].astype(np.int64), "p": e["p"][big].astype(np.int64)}))
+            e, key = e[~big], key[~big]
             got = []
             step = 1
             while step < len(e) and (near := np.flatnonzero(key[step:] == key[:-step])).size:
@@ -183,31 +207,61 @@ def _linked(percent):
     return judge
 
 
-def _across(percent):
-    """Pairs of different components among the members of a frequent shingle, block against block; rows come sorted."""
+def parity_slack(bits, i, j, sizes, percent: int) -> np.ndarray:
+    """For the pairs (i[k], j[k]) of rows a number that is below 0 where near_enough is false, and larger for likelier links."""
+    length = np.array([len(b) for b in bits])
+    low = np.minimum(length[i], length[j])
+    slack = np.zeros(len(i), np.int64)
+    for m in np.unique(low).tolist():
+        used = np.flatnonzero(length >= m)
+        place = np.zeros(len(bits), np.int64)
+        place[used] = np.arange(len(used))
+        folded = np.stack([np.bitwise_xor.reduce(np.frombuffer(bits[r], np.uint64).reshape(-1, m // 8), axis=0) for r in used])
+        for at in np.array_split(np.flatnonzero(low == m), 1 + (low == m).sum() * m // (1 << 24)):
+            apart = np.bitwise_count(folded[place[i[at]]] ^ folded[place[j[at]]]).sum(1, dtype=np.int64)
+            slack[at] = (100 - percent) * (sizes[i[at]] + sizes[j[at]]) - (100 + percent) * apart
+    return slack
+
 
-    def pairs(x, y, same):
+def _across(percent, best):
+    """Pairs of different components among the members of a frequent shingle, block against block; rows come sorted.
+
+    best: only the likeliest pair of each row, one with the largest component if there is any."""
+
+    def pairs(f, x, y, same):
+        s, c, n, p = (f[v].to_numpy(np.int64) for v in ("s", "c", "n", "p"))
         out = []
-        for at in range(0, len(x), 512):
-            q = x[at : at + 512]
-            far = q["c"][:, None] != y["c"][None]
+        for at in range(0, len(x), 256):
+            q = x[at : at + 256]
+            far = c[q][:, None] != c[y][None]
             if same:
-                far &= q["s"][:, None] < y["s"][None]
+                far &= s[q][:, None] < s[y][None]
             i, j = np.nonzero(far)
-            ok = passing(q["n"][i], q["p"][i], y["n"][j], y["p"][j], percent)
-            out.append(np.stack([q["s"][i[ok]], y["s"][j[ok]]], 1))
+            i, j = q[i], y[j]
+            ok = passing(n[i], p[i], n[j], p[j], percent)
+            i, j = i[ok], j[ok]
+            if len(i):
+                slack = parity_slack(f.bits.to_numpy(), i, j, n, percent)
+                ok = slack >= 0
+                if best and ok.any():
+                    order = np.lexsort((j, -slack, i))
+                    order = order[ok[order]]
+                    ok = order[np.unique(i[order], return_index=True)[1]]
+                out.append(np.stack([s[i[ok]], s[j[ok]]], 1))
         return np.unique(np.concatenate(out), axis=0) if out else np.zeros((0, 2), np.int64)
 
     def close(held):
-        f = pd.concat(held)
-        e = np.rec.fromarrays([f[c].to_numpy(np.int64) for c in ("s", "c", "n", "p")], names="s,c,n,p")
-        own, other = e[f.side.to_numpy() == 0], e[f.side.to_numpy() == 1]
+        f = pd.concat(held, ignore_index=True)
+        own, other = np.flatnonzero(f.side == 0), np.flatnonzero(f.side == 1)
         if len(other):
-            return pairs(own, other, False)
-        common = np.unique(own["c"], return_counts=True)
-        most = own["c"] == common[0][common[1].argmax()]  # members of the largest component needn't meet each other
-        rest = own[~most]
-        return np.concatenate([pairs(rest, own[most], False), pairs(rest, rest, True)])
+            return pairs(f, own, other, False)
+        names, times = np.unique(f.c, return_counts=True)
+        most = (f.c == names[times.argmax()]).to_numpy()  # members of the largest component needn't meet each other
+        rest = np.flatnonzero(~most)
+        got = pairs(f, rest, np.flatnonzero(most), False)
+        if best:
+            rest = rest[~np.isin(f.s.to_numpy()[rest], got)]
+        return np.concatenate([got, pairs(f, rest, rest, True)])
 
     def run(frames):
         at, held = None, []
@@ -225,43 +279,76 @@ def _across(percent):
     return run
 
 
+def filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, w) whose sizes and parities allow a link."""
+
+    def run(frames):
+        for f in frames:
+            rows = zip(f.x, f.nx, f.y, f.ny, strict=True)
+            yield f.loc[[100 * min(nx, ny) >= percent * max(nx, ny) and near_enough(x, nx, y, ny, percent) for x, nx, y, ny in rows], ["a", "b", "w"]]
+
+    ends = pairs.join(classes.select(F.col("sig").alias("a"), F.col("n").alias("nx"), F.col("bits").alias("x")), "a").join(
+        classes.select(F.col("sig").alias("b"), F.col("n").alias("ny"), F.col("bits").alias("y")), "b")
+    return ends.select("a", "b", "w", "nx", "x", "ny", "y").mapInPandas(run, "a long, b long, w long")
+
+
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of class signatures whose texts link."""
     ends = pairs.join(classes.select(F.col("sig").alias("a"), F.col("rep").alias("hub")), "a").join(classes.select(F.col("sig").alias("b"), F.col("rep").alias("member")), "b")
-    return with_texts(ends.select("hub", "member", F.lit(None).cast("binary").alias("note")), docs, _linked(percent), "a long, b long")
+    return with_texts(ends.select("hub", "member", F.lit(None).cast("binary").alias("note")), docs, _linked(percent), "a long, b long", noted=False)
+
+
+def named_by(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """sig and component (smallest doc_id) of each class."""
+    label = components(links)
+    return cut(classes.join(label, classes.rep == label.node, "left").select("sig", F.coalesce("component", "rep").alias("component")), "named")
+
+
+def across(hot: DataFrame, named: DataFrame, classes: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Pairs (a, b) of different components that share a frequent shingle and pass all filters. hot: k, s, n, p."""
+    members = hot.distinct().join(named.select(F.col("sig").alias("s"), F.col("component").alias("c")), "s")
+    apart = members.groupBy("k").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("m")).where("x <> y").select("k", F.ceil(F.col("m") / BLOCK).alias("blocks"))
+    members = members.join(apart, "k").join(classes.select(F.col("sig").alias("s"), "bits"), "s").withColumn("i", F.pmod(F.xxhash64("s"), F.col("blocks")))
+    members = cut(members, "members")
+    kept = ["s", "c", "n", "p", "bits"]
+    within = members.select("k", "i", F.col("i").alias("j"), *kept, F.lit(0).alias("side"))
+    between = members.select("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o"), "i", *kept).where("o <> i").select(
+        "k", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"), *kept, F.when(F.col("o") > F.col("i"), 0).otherwise(1).alias("side"))
+    rows = within.union(between).repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
+    return rows.mapInPandas(_across(percent, best), "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) for each row of docs (doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    survey = cut(docs.mapInPandas(_survey, "doc_id long, n long, sig long, h long, c long"), "survey")
+    survey = cut(docs.mapInPandas(_survey, "doc_id long, n long, sig long, bits binary, h long, c long"), "survey")
     rows = survey.where("n >= 0")
     frequent = survey.where("n < 0").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= LEAST_COUNT).orderBy(F.desc("c"), "h").limit(FREQUENT).toPandas()
     known = frequent.h.to_numpy(np.int64).view(np.uint64)
     order = np.argsort(known)
     known, count = known[order], frequent.c.to_numpy(np.int64)[order]
-    classes = cut(rows.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep")), "classes")
+    classes = cut(rows.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
     total = rows.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // (4 * BUCKET)))
     shared = docs.where("doc_id is not null").mapInPandas(_prefixes(known, count, buckets, percent), "bucket long, hot int, blob binary")
     found = cut(shared.groupBy("bucket").applyInPandas(_bucket_pairs(percent), "a long, b long, k long, n long, p long"), "found")
     hot = found.where("k is not null").select("k", F.col("a").alias("s"), "n", "p")
     stars = hot.join(hot.groupBy("k").agg(F.min("s").alias("m")), "k").where("s <> m").select(F.col("m").alias("a"), F.col("s").alias("b"))
-    checked = cut(found.where("k is null").select("a", "b").union(stars).distinct(), "checked")
-    links = cut(verified(checked, classes, docs, percent), "links")
-    label = cut(components(links), "label")
-    named = classes.join(label, classes.rep == label.node, "left").select("sig", F.coalesce("component", "rep").alias("component"))
-    members = hot.join(named.select(F.col("sig").alias("s"), F.col("component").alias("c")), "s")
-    apart = members.groupBy("k").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("m")).where("x <> y").select("k", F.ceil(F.col("m") / BLOCK).alias("blocks"))
-    members = cut(members.distinct().join(apart, "k").withColumn("i", F.pmod(F.xxhash64("s"), F.col("blocks"))), "members")
-    within = members.select("k", "i", F.col("i").alias("j"), "s", "c", "n", "p", F.lit(0).alias("side"))
-    between = members.select("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o"), "i", "s", "c", "n", "p").where("o <> i").select("k", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"), "s", "c", "n", "p", F.when(F.col("o") > F.col("i"), 0).otherwise(1).alias("side"))
-    late = within.union(between).repartition("k", "i", "j").sortWithinPartitions("k", "i", "j").mapInPandas(_across(percent), "a long, b long").distinct()
-    late = cut(late.join(checked, ["a", "b"], "left_anti"), "late")
+    pairs = found.where("k is null").select("a", "b").union(stars).groupBy("a", "b").agg(F.count("*").alias("w"))
+    pairs = cut(filtered(pairs, classes, percent), "pairs")
+    first = cut(pairs.groupBy("b").agg(F.max_by("a", F.struct("w", "a")).alias("a")).select("a", "b"), "first")
+    links = cut(verified(first, classes, docs, percent), "links")
+    named = named_by(classes, links)
+    fresh = cut(across(hot, named, classes, percent, True).join(first, ["a", "b"], "left_anti"), "fresh")
+    if not fresh.isEmpty():
+        links = cut(links.union(verified(fresh, classes, docs, percent)), "links")
+        named = named_by(classes, links)
+    done = first.union(fresh)
+    ends = (named.select(F.col("sig").alias(x), F.col("component").alias("c" + x)) for x in "ab")
+    apart = pairs.select("a", "b").join(next(ends), "a").join(next(ends), "b").where("ca <> cb").select("a", "b")
+    late = cut(across(hot, named, classes, percent, False).union(apart).distinct().join(done, ["a", "b"], "left_anti"), "late")
     if not late.isEmpty():
-        links = cut(links.union(verified(late, classes, docs, percent)), "links")
-        label = cut(components(links), "label")
-        named = classes.join(label, classes.rep == label.node, "left").select("sig", F.coalesce("component", "rep").alias("component"))
+        named = named_by(classes, cut(links.union(verified(late, classes, docs, percent)), "links"))
     return rows.select("doc_id", F.col("n").alias("n_shingles"), "sig").join(named, "sig", "left").select(
         "doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
 

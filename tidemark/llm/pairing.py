@@ -8,10 +8,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import cut
+
 BLOCK = 64
+#: Up to so many needs without notes (about 40 bytes each) are sent to all tasks; more are joined by shuffle.
+SENT = 1_000_000
 
 
-def with_texts(pairs: DataFrame, docs: DataFrame, judge, schema: str) -> DataFrame:
+def with_texts(pairs: DataFrame, docs: DataFrame, judge, schema: str, noted: bool = True) -> DataFrame:
     """pairs: hub, member (long) and note (binary or null), one row per pair. docs: doc_id, text.
 
     judge(hub_text) returns a function (hub, member, member_text, note) -> iterable of rows of `schema`. A pair of which
@@ -21,7 +25,10 @@ def with_texts(pairs: DataFrame, docs: DataFrame, judge, schema: str) -> DataFra
     needs = pairs.select(F.col("member").alias("id"), "hub", "block", F.lit(1).alias("role"), "note").unionByName(
         pairs.select(F.col("hub").alias("id"), "hub", "block", F.lit(0).alias("role"), F.lit(None).cast("binary").alias("note")).distinct()
     )
-    rows = needs.join(docs.select(F.col("doc_id").alias("id"), "text"), "id")
+    if not noted:
+        needs = cut(needs, "needs")
+        needs = F.broadcast(needs) if needs.count() <= SENT else needs
+    rows = docs.select(F.col("doc_id").alias("id"), "text").join(needs, "id")
     rows = rows.repartition("hub", "block").sortWithinPartitions("hub", "block", "role", "id")
 
     def run(frames):
