@@ -33,3 +33,8 @@ def ship(spark: SparkSession) -> SparkSession:
         spark.sparkContext.addPyFile(path)
         _shipped.add(app)
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """`spark.checkpoint.dir`; only where it is unset, a temporary folder of this machine."""
+    return (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")).rstrip("/")
