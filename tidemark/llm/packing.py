@@ -18,7 +18,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import cut, table
-from tidemark.llm.tokens import Encoder
+from tidemark.llm.tokens import encoder
 
 LENGTH, END = 2048, 1
 #: Partition totals up to this many rows (16 bytes each) are sent to all tasks; more are joined by shuffle.
@@ -35,10 +35,10 @@ def _first(path: str | None, end: int):
     def run(frames):
         from pyspark import TaskContext
 
-        part, at, encoder = TaskContext.get().partitionId(), 0, Encoder(path)
+        part, at, coder = TaskContext.get().partitionId(), 0, encoder(path)
         for f in frames:
             rows = []
-            for doc, ids in zip(f.doc_id.tolist(), encoder.encode(f.text), strict=True):
+            for doc, ids in zip(f.doc_id.tolist(), coder.encode(f.text), strict=True):
                 ids = np.append(np.frombuffer(ids, "<u4"), np.uint32(end))
                 rows.append((part, None if pd.isna(doc) else int(doc), at, len(ids), (ids.astype("<u2") if narrow(ids) else ids).tobytes()))
                 at += len(ids)

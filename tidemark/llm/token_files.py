@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.packing import narrow, wide, with_bases
 from tidemark.llm.shared import cut, new_path, table
-from tidemark.llm.tokens import Encoder
+from tidemark.llm.tokens import encoder
 
 MAGIC, END, BLOCK = b"TMPLANE1", 2, 65_536
 FOOTER = struct.Struct("<qqqqqqqq8s")
@@ -130,10 +130,10 @@ class PlaneReader:
 
 def _encode(path, end, splits):
     def run(frames):
-        encoder = Encoder(path)
+        coder = encoder(path)
         for f in frames:
             rows = []
-            for doc, raw in zip(f.doc_id.tolist(), encoder.encode(f.text), strict=True):
+            for doc, raw in zip(f.doc_id.tolist(), coder.encode(f.text), strict=True):
                 ids = np.append(np.frombuffer(raw, "<u4"), np.uint32(end))
                 doc = None if pd.isna(doc) else int(doc)
                 part = 0 if doc is None else int(np.searchsorted(splits, doc, "right"))
