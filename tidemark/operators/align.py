@@ -49,7 +49,8 @@ def align(reference: str, query: str) -> np.ndarray:
     # best score of a row ending at each query place: in a match, in a gap of the query (reference residue skipped), in an insert
     best = np.zeros(m + 1, np.int32)
     skip = np.full(m + 1, low, np.int32)
-    came = np.zeros((n + 1, m + 1), np.uint8)  # 0: match, 1: reference skipped, 2: insert
+    skipped = np.zeros((n + 1, m + 1), bool)  # without an insert, the reference residue was skipped
+    origin = np.full((n + 1, m + 1), -1, np.int32)  # where the insert that ends here began, if there is one
     stay = np.zeros((n + 1, m + 1), bool)  # the skip went on from a skip
     steps = EXTEND * np.arange(m + 1, dtype=np.int32)
     for i in range(1, n + 1):
@@ -59,26 +60,25 @@ def align(reference: str, query: str) -> np.ndarray:
         match = np.full(m + 1, low, np.int32)
         match[1:] = best[:-1] + s[i - 1]
         both = np.maximum(match, skip)
-        way = np.where(match >= skip, 0, 1).astype(np.uint8)
+        skipped[i] = skip > match
         insert = np.full(m + 1, low, np.int32)
-        insert[1:] = np.maximum.accumulate(both + steps)[:-1] - OPEN + EXTEND - steps[1:]
-        came[i] = np.where(insert > both, 2, way)
+        reached = np.maximum.accumulate(both + steps)
+        began = np.maximum.accumulate(np.where(both + steps == reached, np.arange(m + 1), 0))
+        insert[1:] = reached[:-1] - OPEN + EXTEND - steps[1:]
+        origin[i, 1:] = np.where(insert[1:] > both[1:], began[:-1], -1)
         best = np.maximum(both, insert)
     out, i, j = np.full(n, -1), n, int(best.argmax())
     while i > 0:
-        if came[i, j] == 0:
+        if origin[i, j] >= 0:
+            j = int(origin[i, j])
+        if not skipped[i, j]:
             out[i - 1] = j - 1
             i, j = i - 1, j - 1
-        elif came[i, j] == 2:
-            j -= 1
-            while came[i, j] == 2:
-                j -= 1
-        else:
-            while True:
-                going = stay[i, j]
-                i -= 1
-                if not going or i == 0:
-                    break
+            continue
+        going = True
+        while going and i > 0:
+            going = stay[i, j]
+            i -= 1
     return out
 
 
