@@ -2,19 +2,56 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.functions import sequences
-from tidemark.functions.sequences import AMINO_ACIDS, BASES, KMER
+from tidemark.functions.sequences import AMINO_ACIDS, BASES, FRAME_TEST, KMER
 
 LEAST_SCORE = 0.3
-_CODE = {a + b + c: AMINO_ACIDS[16 * i + 4 * j + k] for i, a in enumerate(BASES) for j, b in enumerate(BASES) for k, c in enumerate(BASES)}
+_BASE = np.full(256, 4, np.uint8)
+for _k, _b in enumerate(BASES):
+    _BASE[[ord(_b), ord(_b.lower())]] = _k
+_CODON = np.full(125, ord("X"), np.uint8)
+for _k, _aa in enumerate(AMINO_ACIDS):
+    _CODON[25 * (_k // 16) + 5 * (_k // 4 % 4) + _k % 4] = ord(_aa)
 
 
 def translate_text(nt: str) -> str:
-    return "".join([_CODE.get(nt[i : i + 3], "X") for i in range(0, len(nt) - len(nt) % 3, 3)])
+    """As `sequences.translate`, for texts that are in Python anyway."""
+    base = _BASE[np.frombuffer(nt.encode("latin-1", "replace"), np.uint8)]
+    base = base[: len(base) - len(base) % 3].reshape(-1, 3)
+    return _CODON[25 * base[:, 0] + 5 * base[:, 1] + base[:, 2]].tobytes().decode()
+
+
+def frame_of(nt: str, test: int = FRAME_TEST) -> int | None:
+    """As `sequences.best_frame`."""
+    best = None
+    for frame in range(3):
+        if len(nt[frame:test]) >= 3:
+            aa = translate_text(nt[frame:test])
+            found = aa.count("*"), -max(map(len, aa.split("*"))), frame
+            best = found if best is None else min(best, found)
+    return best[2] if best else None
+
+
+@F.pandas_udf(T.IntegerType())
+def best_frame(nt: pd.Series) -> pd.Series:
+    return pd.Series([None if s is None else frame_of(s) for s in nt], dtype="Int32")
+
+
+@F.pandas_udf(T.StringType())
+def translated(nt: pd.Series) -> pd.Series:
+    return nt.map(translate_text, na_action="ignore")
+
+
+@F.pandas_udf(T.StructType([T.StructField("frame", T.IntegerType()), T.StructField("aa", T.StringType())]))
+def _cds(nt: pd.Series) -> pd.DataFrame:
+    frame = [None if s is None else frame_of(s) for s in nt]
+    aa = [None if f is None else translate_text(s[f:]).partition("*")[0] for f, s in zip(frame, nt, strict=True)]
+    return pd.DataFrame({"frame": pd.array(frame, "Int32"), "aa": aa})
 
 
 def kmer_set(s: str, k: int = KMER) -> set[str]:
@@ -59,10 +96,9 @@ def extract_orfs(records: DataFrame, reference: str, least: int, seq: str = "seq
 
 def translate_cds(records: DataFrame, least: int, seq: str = "seq") -> DataFrame:
     """records with frame, nt and aa: the best frame, up to its first stop; peptides shorter than `least` are left out."""
-    s = F.upper(F.col(seq))
-    rows = records.withColumn("frame", sequences.best_frame(s)).where("frame is not null")
-    rows = rows.withColumn("aa", F.substring_index(sequences.translate(F.substring(s, F.col("frame") + 1, F.length(s))), "*", 1))
-    return rows.where(F.length("aa") >= least).withColumn("nt", F.substring(s, F.col("frame") + 1, 3 * F.length("aa")))
+    rows = records.withColumn("_cds", _cds(F.col(seq))).where(F.length("_cds.aa") >= least)
+    rows = rows.withColumns({"frame": F.col("_cds.frame"), "aa": F.col("_cds.aa")}).drop("_cds")
+    return rows.withColumn("nt", F.substring(F.upper(F.col(seq)), F.col("frame") + 1, 3 * F.length("aa")))
 
 
 def least_length(reference_aa: int, share: float = 0.5, given: int | None = None) -> int:

@@ -141,7 +141,7 @@ def kmer_coverage(spark, sf_dir):
 
 @query(f"SELECT doc_id, CAST(length(aa) AS INT) AS aa_len, md5(aa) AS aa_md5 FROM (SELECT doc_id, {translate_sql('nt')} AS aa FROM (SELECT doc_id, {NT_SQL} AS nt FROM documents))")
 def translate_text(spark, sf_dir):
-    aa = coding_documents(spark, sf_dir).select("doc_id", sequences.translate("nt").alias("aa"))
+    aa = coding_documents(spark, sf_dir).select("doc_id", coding.translated("nt").alias("aa"))
     return aa.select("doc_id", F.length("aa").alias("aa_len"), F.md5(F.col("aa").cast("binary")).alias("aa_md5"))
 
 
@@ -152,7 +152,7 @@ SELECT doc_id, nt, f, {translate_sql('substr(substr(nt, 1, 1200), CAST(f AS INT)
 
 @query(f"SELECT doc_id, frame FROM ({FRAME_SQL})")
 def best_frame(spark, sf_dir):
-    return coding_documents(spark, sf_dir).select("doc_id", sequences.best_frame("nt").alias("frame")).where("frame is not null")
+    return coding_documents(spark, sf_dir).select("doc_id", coding.best_frame("nt").alias("frame")).where("frame is not null")
 
 
 @query(f"SELECT doc_id, frame, aa, md5(substr(nt, frame + 1, 3 * length(aa))) AS nt_md5 FROM (SELECT doc_id, frame, nt, string_split(aa, '*')[1] AS aa FROM ({FRAME_SQL})) WHERE length(aa) >= 20")
@@ -294,9 +294,9 @@ def melt_relabel(spark, sf_dir):
     return counts.merge_bins(counts.from_wide(wide, counts.KEYS), counts.KEYS, False, 1999, 2000)
 
 
-@query("SELECT doc_id FROM (SELECT doc_id, upper(replace(text, ' ', '-')) AS s FROM documents) WHERE CASE WHEN length(s) = 0 THEN 1.0 ELSE CAST(length(regexp_replace(s, '[^-X]', '', 'g')) AS DOUBLE) / length(s) END <= 0.1")
+@query("SELECT doc_id FROM (SELECT doc_id, upper(replace(replace(text, 'ß', 'ss'), ' ', '-')) AS s FROM documents) WHERE CASE WHEN length(s) = 0 THEN 1.0 ELSE CAST(length(regexp_replace(s, '[^-X]', '', 'g')) AS DOUBLE) / length(s) END <= 0.1")
 def gap_filter(spark, sf_dir):
-    d = t(spark, sf_dir, "documents").select("doc_id", F.upper(F.replace("text", F.lit(" "), F.lit("-"))).alias("aa"))
+    d = plain(spark, sf_dir, "documents").select("doc_id", F.upper(F.replace("text", F.lit(" "), F.lit("-"))).alias("aa"))
     return counts.called(d).select("doc_id")
 
 
@@ -332,7 +332,7 @@ def segment_hints(spark, sf_dir):
     return p.select("p_partkey", texts.segment_of_protein("protein").alias("by_protein"), texts.segment_of_file("path").alias("by_file"))
 
 
-AUDIT_BINS = f"SELECT source, nt, aa, bin, count(*) AS n FROM (SELECT source, substr(sha1(coalesce(text, '')), 1, 2) AS nt, upper(replace(coalesce(text, ''), ' ', '-')) AS aa, CASE WHEN n_chars % 4 = 0 THEN 'unknown' ELSE CAST(2000 + n_chars % 4 AS VARCHAR) END AS bin FROM documents) WHERE aa <> '' GROUP BY ALL"
+AUDIT_BINS = f"SELECT source, nt, aa, bin, count(*) AS n FROM (SELECT source, substr(sha1(coalesce(text, '')), 1, 2) AS nt, upper(replace(replace(coalesce(text, ''), 'ß', 'ss'), ' ', '-')) AS aa, CASE WHEN n_chars % 4 = 0 THEN 'unknown' ELSE CAST(2000 + n_chars % 4 AS VARCHAR) END AS bin FROM documents) WHERE aa <> '' GROUP BY ALL"
 
 
 @query(f"""SELECT source, count(DISTINCT (nt, aa)) FILTER (WHERE ok) AS variants_kept, count(DISTINCT (nt, aa)) FILTER (WHERE NOT ok) AS variants_dropped, CAST(coalesce(sum(n) FILTER (WHERE ok), 0) AS BIGINT) AS counts_kept, CAST(coalesce(sum(n) FILTER (WHERE NOT ok), 0) AS BIGINT) AS counts_dropped,
@@ -341,7 +341,7 @@ FROM (SELECT *, CAST(length(regexp_replace(aa, '[^-X]', '', 'g')) AS DOUBLE) / l
 def aggregation_audit(spark, sf_dir):
     d = t(spark, sf_dir, "documents").select("source", F.coalesce("text", F.lit("")).alias("text"), "n_chars")
     bin_ = F.when(F.col("n_chars") % 4 == 0, "unknown").otherwise((2000 + F.col("n_chars") % 4).cast("string"))
-    rows = d.select("source", F.substring(F.sha1(F.col("text").cast("binary")), 1, 2).alias("nt"), F.upper(F.replace("text", F.lit(" "), F.lit("-"))).alias("aa"), bin_.alias("bin"), F.lit(1).alias("n"))
+    rows = d.select("source", F.substring(F.sha1(F.col("text").cast("binary")), 1, 2).alias("nt"), F.upper(F.replace(F.replace("text", F.lit("ß"), F.lit("ss")), F.lit(" "), F.lit("-"))).alias("aa"), bin_.alias("bin"), F.lit(1).alias("n"))
     return counts.audit(counts.merge_bins(rows, ["source", "nt", "aa"], False, 1950, 2100), ["source"])
 
 
