@@ -12,23 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, ngram_join, packing, substring_dedup, toxicity
-from tidemark.llm.shared import cut, table
+from tidemark.llm.shared import cut, free_name, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.trained(docs.select("doc_id", "text"), toxicity.labels_of(spark, sf_dir, "toxic"))
-    return toxicity.toxicity(docs, model, "_toxic_score", "_toxic").where("_toxic = 0").select(*docs.columns)
+    score, toxic = free_name(docs, "_toxic_score"), free_name(docs, "_toxic")
+    return toxicity.toxicity(docs, model, score, toxic).where(F.col(toxic) == 0).select(*docs.columns)
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = cut(ngram_join.jaccard_components(docs).where("doc_id is not null").select(F.col("doc_id").alias("_doc"), "component_id"), "groups")
-    dropped = found.where("_doc <> component_id").select("_doc").distinct()
-    kept = docs.join(dropped, docs.doc_id == F.col("_doc"), "left_anti")
-    repeated = cut(found.where("_doc = component_id").groupBy("_doc").count().where("count > 1").select("_doc"), "repeated")
+    doc = free_name(docs, "_doc")
+    found = cut(ngram_join.jaccard_components(docs).where("doc_id is not null").select(F.col("doc_id").alias(doc), (F.col("doc_id") == F.col("component_id")).alias("stays")), "groups")
+    dropped = found.where("not stays").select(doc).distinct()
+    kept = docs.join(dropped, docs.doc_id == dropped[doc], "left_anti")
+    repeated = cut(found.where("stays").groupBy(doc).count().where("count > 1").select(doc), "repeated")
     if repeated.isEmpty():
         return kept
-    once = kept.join(repeated, kept.doc_id == F.col("_doc"), "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, kept.doc_id == F.col("_doc"), "left_anti").unionByName(once)
+    once = kept.join(repeated, kept.doc_id == repeated[doc], "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, kept.doc_id == repeated[doc], "left_anti").unionByName(once)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +38,9 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontamination.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_doc")).distinct()
-    return docs.join(cut(found, "leaking"), docs.doc_id == F.col("_doc"), "left_anti")
+    doc = free_name(docs, "_doc")
+    found = cut(decontamination.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(doc)).distinct(), "leaking")
+    return docs.join(found, docs.doc_id == found[doc], "left_anti")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

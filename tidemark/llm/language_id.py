@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import crc_mod, table
+from tidemark.llm.shared import crc_mod, free_name, table
 
 DOCS, SNIPPET, PIECE, BATCH = 160, 300, 512, 4_000_000
 BLANK, OTHER, PAD, FIRST = 0, 1, 2, 3
@@ -165,7 +165,8 @@ def languages(docs: DataFrame, model: Model) -> DataFrame:
     def predict(text: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(sent.value.predict(text.tolist()), columns=["lang_pred", "score"])
 
-    return docs.withColumn("_p", predict("text")).withColumns({"lang_pred": F.col("_p.lang_pred"), "score": F.col("_p.score")}).drop("_p")
+    both = free_name(docs, "_p")
+    return docs.withColumn(both, predict("text")).withColumns({c: F.col(both)[c] for c in ("lang_pred", "score")}).drop(both)
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

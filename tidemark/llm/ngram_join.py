@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.pairing import with_texts
-from tidemark.llm.shared import cut, table
+from tidemark.llm.shared import as_text, cut, longs, table
 from tidemark.llm.textnum import jaccard_reaches, mix, shingle_list, shingle_set, words, words_of
 
-#: Shingles that a scope holds before it reports, about 32 MB.
-SCOPE = 2_000_000
+#: Shingles that a scope holds before it reports, about 16 MB.
+SCOPE = 1_000_000
 #: A shingle counts as frequent from this count on; the most frequent FREQUENT of them are sent to all tasks (about 1.5 MB).
 LEAST_COUNT, FREQUENT = 12, 65_536
 #: Members up to which a rare shingle's pairs are all made in its bucket; larger groups go the way of frequent shingles.
@@ -70,8 +70,10 @@ def _counts(ids, sets) -> pd.DataFrame:
     """Of the shingles of two or more different sets."""
     h, c = np.unique(np.concatenate(list(sets.values())), return_counts=True) if sets else (np.zeros(0, np.uint64), np.zeros(0, int))
     h, c = h[c > 1], c[c > 1]
-    rows = pd.DataFrame(ids, columns=["doc_id", "n", "sig", "bits"]).astype({"doc_id": "Int64", "n": "int64", "sig": "Int64"})
-    return pd.concat([rows.assign(h=pd.array([None] * len(rows), "Int64"), c=0), pd.DataFrame({"doc_id": pd.array([None] * len(h), "Int64"), "n": -1, "sig": pd.array([None] * len(h), "Int64"), "bits": None, "h": pd.array(h.view(np.int64), "Int64"), "c": c})])
+    doc, n, sig, bits = zip(*ids, strict=True)
+    none = longs([None] * len(h))
+    rows = pd.DataFrame({"doc_id": longs(doc), "n": n, "sig": longs(sig), "bits": bits, "h": longs([None] * len(n)), "c": 0})
+    return pd.concat([rows, pd.DataFrame({"doc_id": none, "n": -1, "sig": none, "bits": None, "h": pd.array(h.view(np.int64), "Int64"), "c": c})])
 
 
 def _survey(frames):
@@ -81,7 +83,7 @@ def _survey(frames):
         for i, _, _, h in words_of(f.text):
             s = shingle_set(h)
             sig = signature(s) if len(s) else None
-            ids.append((None if pd.isna(keys[i]) else int(keys[i]), len(s), sig, parity(s) if len(s) else None))
+            ids.append((keys[i], len(s), sig, parity(s) if len(s) else None))
             if len(s) and sig not in sets:
                 sets[sig] = s
                 held += len(s)
@@ -132,7 +134,7 @@ def _prefixes(known, count, buckets, percent):
                 m = len(tok)
                 held.append((tok, np.full(m, sig), np.full(m, len(s)), np.arange(m), hot))
                 total += m
-                if total >= SCOPE // 2:
+                if total >= SCOPE // 3:
                     yield emit(held)
                     held, seen, total = [], set(), 0
         if held:
@@ -320,8 +322,8 @@ def across(hot: DataFrame, named: DataFrame, classes: DataFrame, percent: int, b
 
 def jaccard_components(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) for each row of docs (doc_id, text)."""
+    survey = cut(docs.select(as_text("doc_id"), "text").mapInPandas(_survey, "doc_id long, n long, sig long, bits binary, h long, c long"), "survey")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    survey = cut(docs.mapInPandas(_survey, "doc_id long, n long, sig long, bits binary, h long, c long"), "survey")
     rows = survey.where("n >= 0")
     frequent = survey.where("n < 0").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= LEAST_COUNT).orderBy(F.desc("c"), "h").limit(FREQUENT).toPandas()
     known = frequent.h.to_numpy(np.int64).view(np.uint64)

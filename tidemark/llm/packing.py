@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import cut, table
+from tidemark.llm.shared import as_text, cut, longs, table
 from tidemark.llm.tokens import encoder
 
 LENGTH, END = 2048, 1
@@ -40,17 +40,23 @@ def _first(path: str | None, end: int):
             rows = []
             for doc, ids in zip(f.doc_id.tolist(), coder.encode(f.text), strict=True):
                 ids = np.append(np.frombuffer(ids, "<u4"), np.uint32(end))
-                rows.append((part, None if pd.isna(doc) else int(doc), at, len(ids), (ids.astype("<u2") if narrow(ids) else ids).tobytes()))
+                rows.append((part, doc, at, len(ids), (ids.astype("<u2") if narrow(ids) else ids).tobytes()))
                 at += len(ids)
                 if len(rows) >= 1000:
-                    yield pd.DataFrame(rows, columns=COLUMNS).astype({"doc_id": "Int64"})
+                    yield framed(rows, COLUMNS)
                     rows = []
             if rows:
-                yield pd.DataFrame(rows, columns=COLUMNS).astype({"doc_id": "Int64"})
+                yield framed(rows, COLUMNS)
 
     return run
 
 
+def framed(rows, columns) -> pd.DataFrame:
+    """A frame with a column doc_id of numbers, their text or None."""
+    f = pd.DataFrame(rows, columns=columns, dtype=object)
+    return f.assign(doc_id=longs(f.doc_id))
+
+
 COLUMNS = ["part", "doc_id", "at", "n", "ids"]
 
 
@@ -81,17 +87,17 @@ def _second(length: int):
                 for doc, place, total, raw in zip(f.doc_id.tolist(), f.place.tolist(), f.n.tolist(), f.ids, strict=True)
                 for start, n, crc, sequence, offset in pieces(wide(raw, total), place, length)
             ]
-            yield pd.DataFrame(out, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]).astype({"doc_id": "Int64"})
+            yield framed(out, ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     return run
 
 
 def packed(docs: DataFrame, length: int = LENGTH, end: int = END, path: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select(as_text("doc_id"), "text")
     ids = cut(docs.mapInPandas(_first(path, end), "part long, doc_id long, at long, n long, ids binary"), "ids", "zstd")
     placed = with_bases(ids, ids.groupBy("part").agg(F.sum("n").alias("n")))
-    return placed.select("doc_id", (F.col("base") + F.col("at")).alias("place"), "n", "ids").mapInPandas(
+    return placed.select(as_text("doc_id"), (F.col("base") + F.col("at")).alias("place"), "n", "ids").mapInPandas(
         _second(length), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import cut
 
 BLOCK = 64
-#: Up to so many needs without notes (about 40 bytes each) are sent to all tasks; more are joined by shuffle.
+#: Up to so many needs without notes, or ids of needed documents, (40 bytes each at most) are sent to all tasks; more are joined by shuffle.
 SENT = 1_000_000
 
 
@@ -28,7 +28,11 @@ def with_texts(pairs: DataFrame, docs: DataFrame, judge, schema: str, noted: boo
     if not noted:
         needs = cut(needs, "needs")
         needs = F.broadcast(needs) if needs.count() <= SENT else needs
-    rows = docs.select(F.col("doc_id").alias("id"), "text").join(needs, "id")
+    docs = docs.select(F.col("doc_id").alias("id"), "text")
+    if noted:
+        ids = cut(needs.select("id").distinct(), "ids")
+        docs = docs.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= SENT else docs
+    rows = docs.join(needs, "id")
     rows = rows.repartition("hub", "block").sortWithinPartitions("hub", "block", "role", "id")
 
     def run(frames):

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.logistic import calibrated, fit
-from tidemark.llm.shared import crc_mod, table
+from tidemark.llm.shared import as_text, crc_mod, longs, table
 from tidemark.llm.textnum import batches, words
 from tidemark.llm.toxicity import labels_of
 
@@ -144,9 +144,9 @@ def quality(docs: DataFrame, model) -> DataFrame:
             x = [text_features(f.text.tolist()), meta_features(f.source.tolist(), f.lang.tolist(), f.n_chars.tolist())]
             z = [v.logit(o) * s[0] + s[1] for v, o, s in zip(views, x, scale, strict=True)]
             p = [1 / (1 + np.exp(-np.clip(v, -30, 30))) for v in (*z, z[0] * w[0] + z[1] * w[1] + w[2])]
-            yield pd.DataFrame({"doc_id": f.doc_id.astype("Int64"), "text_score": p[0], "meta_score": p[1], "score": p[2], "predicted": (p[2] >= 0.5).astype(int)})
+            yield pd.DataFrame({"doc_id": longs(f.doc_id), "text_score": p[0], "meta_score": p[1], "score": p[2], "predicted": (p[2] >= 0.5).astype(int)})
 
-    return docs.select(*COLUMNS).mapInPandas(run, "doc_id long, text_score double, meta_score double, score double, predicted int")
+    return docs.select(as_text("doc_id"), *COLUMNS[1:]).mapInPandas(run, "doc_id long, text_score double, meta_score double, score double, predicted int")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

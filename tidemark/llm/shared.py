@@ -7,10 +7,12 @@ import shutil
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -33,12 +35,37 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 def cut(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Writes df as a table in the shared folder and reads it again: lineage ends there, and a lost executor costs no recomputation."""
+    small_batches(df.sparkSession)
     path = new_path(df.sparkSession, name)
     df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def as_text(column: str):
+    """An id on its way to Python: a column of longs with nulls would arrive there as floats, which can't hold all of them."""
+    return F.col(column).cast("long").cast("string").alias(column)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one made from it, that is no column of df."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
+def longs(values) -> pd.api.extensions.ExtensionArray:
+    """Whole numbers, or their text, or None, exactly."""
+    return pd.array([None if v is None else int(v) for v in values], dtype="Int64")
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of 1,000 rows where the session has Spark's 10,000, which of long texts would take much memory in each worker."""
+    if spark.conf.get(BATCH, "10000") == "10000":
+        spark.conf.set(BATCH, "1000")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

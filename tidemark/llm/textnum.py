@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 WIDTH = 5
 
 

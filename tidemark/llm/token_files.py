@@ -23,8 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.packing import narrow, wide, with_bases
-from tidemark.llm.shared import cut, new_path, table
+from tidemark.llm.packing import framed, narrow, wide, with_bases
+from tidemark.llm.shared import as_text, cut, new_path, table
 from tidemark.llm.tokens import encoder
 
 MAGIC, END, BLOCK = b"TMPLANE1", 2, 65_536
@@ -135,10 +135,9 @@ def _encode(path, end, splits):
             rows = []
             for doc, raw in zip(f.doc_id.tolist(), coder.encode(f.text), strict=True):
                 ids = np.append(np.frombuffer(raw, "<u4"), np.uint32(end))
-                doc = None if pd.isna(doc) else int(doc)
-                part = 0 if doc is None else int(np.searchsorted(splits, doc, "right"))
+                part = 0 if doc is None else int(np.searchsorted(splits, int(doc), "right"))
                 rows.append((part, doc, zlib.crc32(ids.tobytes()), len(ids), (ids.astype("<u2") if narrow(ids) else ids).tobytes()))
-            yield pd.DataFrame(rows, columns=["part", "doc_id", "tie", "n", "ids"]).astype({"doc_id": "Int64"})
+            yield framed(rows, ["part", "doc_id", "tie", "n", "ids"])
 
     return run
 
@@ -166,7 +165,7 @@ def _write(folder):
                     part, name = p, f"{top}/_open-{uuid.uuid4().hex}"
                     sink = fs.open_output_stream(name)
                     writer = PlaneWriter(sink)
-                writer.add(None if pd.isna(doc) else int(doc), wide(raw, n))
+                writer.add(None if doc is None else int(doc), wide(raw, n))
             if done:
                 yield pd.DataFrame(done, columns=["part", "docs", "n"])
         if writer:
@@ -180,16 +179,18 @@ def _read(frames):
         for path, raw in zip(f.path, f.content, strict=True):
             part = int(path.rsplit("part-", 1)[1].removesuffix(SUFFIX))
             rows = [(part, doc, at, len(ids), zlib.crc32(ids.tobytes())) for doc, at, ids in PlaneReader(raw).documents()]
-            yield pd.DataFrame(rows, columns=["part", "doc_id", "at", "n_tokens", "ids_crc32"]).astype({"doc_id": "Int64"})
+            yield framed(rows, ["part", "doc_id", "at", "n_tokens", "ids_crc32"])
 
 
 def write_files(docs: DataFrame, folder: str, end: int = END, path: str | None = None, file_chars: int = FILE_CHARS) -> DataFrame:
     """Writes docs (doc_id, text) to files in folder; returns their list: part, docs, n (ids)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    docs = docs.select(as_text("doc_id"), "text")
     files = max(1, (docs.agg(F.sum(F.length("text"))).first()[0] or 0) // file_chars)
-    splits = sorted(set(docs.where("doc_id is not null").approxQuantile("doc_id", [k / files for k in range(1, files)], 0.2 / files))) if files > 1 else []
+    splits = sorted(set(whole.where("doc_id is not null").approxQuantile("doc_id", [k / files for k in range(1, files)], 0.2 / files))) if files > 1 else []
     ids = docs.mapInPandas(_encode(path, end, np.array(splits, np.int64)), "part long, doc_id long, tie long, n long, ids binary")
     ids = ids.repartition(files, "part").sortWithinPartitions("part", "doc_id", "tie")
+    ids = ids.withColumn("doc_id", F.col("doc_id").cast("string"))
     return cut(ids.mapInPandas(_write(folder), "part long, docs long, n long"), "files")
 
 
