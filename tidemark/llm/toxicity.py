@@ -2,8 +2,9 @@
 
 Features: which of a few hundred words and word beginnings (4 to 8 bytes, for inflected forms) a text holds, chosen by how their
 document frequency differs between the classes; identity terms are always among them. Each sentence of a labelled document that mentions an identity term is repeated with
-every other term of the same group and with a neutral word in its place; the model pays for the squared change of the
-logit, so a mention alone can't move a score, whatever the labels of the sample suggest.
+every other term of the same group, with a neutral word, and with an unknown word in its place (so that the terms can't all
+drift together); the model pays for the squared change of the logit, so a mention alone can't move a score, whatever the
+labels of the sample suggest.
 
 The fit uses a bounded sample: the SAMPLE labelled documents (outside the held-out rows) with the least hash of doc_id, one for each
 near copy (equal least shingle). All else, scoring above all, reads every row and whole texts. Null and empty texts get the
@@ -24,7 +25,7 @@ from tidemark.llm.logistic import fit, sigmoid
 from tidemark.llm.shared import crc_mod, cut, table
 from tidemark.llm.textnum import batches, encode, runs, words
 
-SAMPLE, FEATURES, LEAST_DOCS, LEAST_G, RIDGE, COUNTERFACTUAL, POSITIVE = 8_000, 400, 4, 15.0, 0.03, 20.0, 2.0
+SAMPLE, FEATURES, LEAST_DOCS, LEAST_G, RIDGE, COUNTERFACTUAL, POSITIVE = 8_000, 400, 4, 15.0, 0.03, 60.0, 2.0
 HEADS = (4, 5, 6, 7, 8)
 #: Fixed lists: terms of one line may stand for each other; the neutral words stand for any.
 IDENTITY = [
@@ -55,6 +56,10 @@ def features(raw: bytes) -> np.ndarray:
     return np.unique(np.concatenate(words(raw, _PARTED, HEADS)[2:]))
 
 
+#: The features of each term: itself and its beginnings, all of which a swap exchanges.
+_FEATURES = {int(hashes(t)[0]): set(features(t.encode()).tolist()) for t in " ".join([*IDENTITY, NEUTRAL]).split()}
+
+
 def _study(frames):
     """Of each document the label, a key of near copies, its features, and its sentences with identity terms."""
     for f in frames:
@@ -100,15 +105,13 @@ def counterfactual_penalty(sentences: list[np.ndarray], keys: np.ndarray, streng
     for s in sentences:
         for group in _GROUPS:
             for term in np.intersect1d(s, group).tolist():
-                others = [*group.tolist(), *_NEUTRAL.tolist()]
+                others = [*group.tolist(), *_NEUTRAL.tolist(), None]
                 for other in others:
                     if other != term:
-                        d = {place.get(int(term)): 1.0}
-                        d[place.get(int(other))] = d.get(place.get(int(other)), 0) - (0.0 if other in s else 1.0)
-                        d.pop(None, None)
-                        for i, a in d.items():
-                            for j, b in d.items():
-                                p[i, j] += strength * a * b / len(others)
+                        gone, come = _FEATURES[term], set() if other is None or other in s else _FEATURES[other]
+                        d = {place[f]: 1.0 for f in gone - come if f in place} | {place[f]: -1.0 for f in come - gone if f in place}
+                        at, by = np.array(list(d), int), np.array(list(d.values()))
+                        p[np.ix_(at, at)] += strength / len(others) * np.outer(by, by)
     return p
 
 
