@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import cut, table
+from tidemark.llm.shared import cut, table, trimmed
 from tidemark.llm.textnum import encode, runs, series, words
 
 WINDOW, LITERAL, RUN, BITS = 8, 4, 13, 1 << 22
@@ -155,7 +155,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bit = items.select(F.col("k").bitwiseAND(BITS - 1).cast("int").alias("bit")).distinct().toPandas().bit.to_numpy(np.int64)
     bitmap = np.packbits(np.bincount(bit, minlength=BITS).astype(bool), bitorder="little")
     docs = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    hits = docs.mapInPandas(_hits(bitmap), "doc_id long, doc_at int, k long, doc_slots binary")
+    hits = docs.mapInPandas(trimmed(_hits(bitmap)), "doc_id long, doc_at int, k long, doc_slots binary")
     both = hits.join(items, "k").groupBy("doc_id", "item_id").agg(
         F.first("item_tokens").alias("item_tokens"), F.collect_set(F.struct("doc_at", "item_at", "doc_slots", "item_slots")).alias("matches"))
     return both.mapInPandas(_judge, "doc_id long, item_id long, item_tokens int, windows int, longest_run int, verbatim boolean")

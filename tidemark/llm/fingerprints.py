@@ -23,7 +23,7 @@ from tidemark.llm.shared import cut, table
 from tidemark.llm.textnum import mix, series
 
 K, S, BINS, DIGITS = 20, 6, 128, 6
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 #: Characters of text in a range of documents, about, and the most ranges.
 RANGE_CHARS, RANGES = 4_000_000, 400_000
 _COEF = series(K, 131) | np.uint64(1)

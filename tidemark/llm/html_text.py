@@ -2,7 +2,7 @@
 
 Each page is parsed once into block elements and text blocks; boilerplate (menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles, comments of readers; by element name, class, id and role) is left out. The page's best container is
-found by descending from the root as long as one child container keeps most of the text that isn't links. Its path, tags with
+found by descending from the root as long as one child element keeps most of the text that isn't links. Its path, tags with
 classes and numbers made general, is the page's vote; votes are counted per host in Spark. A second pass extracts every page
 again from the host's winning path, or, on a page that has nothing there, from the next path, and last from its own best container.
 
@@ -173,7 +173,8 @@ class Page:
         flush()
 
     def best(self) -> int:
-        """The container found by descending while one child container keeps 60 % of the text outside of links."""
+        """The container found by descending while one child keeps most of the text outside of links: half for an article or main
+        element, else 80 %. An article is never left for a part of it."""
         n = len(self.tag)
         size = [0] * n
         for element, block, links in self.blocks:
@@ -181,11 +182,12 @@ class Page:
         for k in range(n - 1, 0, -1):
             size[self.parent[k]] += size[k]
         at = 0
-        while True:
-            down = [k for k in range(at + 1, n) if size[k] >= 0.6 * size[at] > 0 and self.parent[k] == at]
-            if not down or self.tag[at] in ("article", "main") and self.tag[down[0]] not in CONTAINERS | {"article", "main"}:
+        while self.tag[at] != "article" and size[at]:
+            share = {k: size[k] / size[at] for k in range(at + 1, n) if self.parent[k] == at}
+            down = [k for k, x in share.items() if x >= (0.5 if self.tag[k] in ("article", "main") else 0.8)]
+            if not down or self.tag[at] == "main" and self.tag[down[0]] not in CONTAINERS:
                 break
-            at = max(down, key=lambda k: (size[k], -k))
+            at = max(down, key=lambda k: (self.tag[k] in ("article", "main"), size[k], -k))
         while at and self.tag[at] not in CONTAINERS:
             at = self.parent[at]
         return at

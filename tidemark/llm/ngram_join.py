@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.pairing import with_texts
-from tidemark.llm.shared import as_text, cut, longs, table
+from tidemark.llm.shared import as_text, cut, let_go, longs, table, trimmed
 from tidemark.llm.textnum import jaccard_reaches, mix, shingle_list, shingle_set, words, words_of
 
 #: Shingles that a scope holds before it reports, about 16 MB.
@@ -77,6 +77,7 @@ def _counts(ids, sets) -> pd.DataFrame:
 
 
 def _survey(frames):
+    let_go()
     ids, sets, held = [], {}, 0
     for f in frames:
         keys = f.doc_id.tolist()
@@ -123,6 +124,7 @@ def _prefixes(known, count, buckets, percent):
         return pd.DataFrame(rows, columns=["bucket", "hot", "blob"])
 
     def run(frames):
+        let_go()
         held, seen, total = [], set(), 0
         for f in frames:
             for _, _, _, h in words_of(f.text):
@@ -155,6 +157,7 @@ def passing(nx, px, ny, py, percent: int):
 
 def _bucket_pairs(percent):
     def run(f):
+        let_go()
         hot = [np.frombuffer(b, HOT) for b in f.blob[f.hot == 1]]
         out = []
         for h in hot:
@@ -266,6 +269,7 @@ def _across(percent, best):
         return np.concatenate([got, pairs(f, rest, rest, True)])
 
     def run(frames):
+        let_go()
         at, held = None, []
         for f in frames:
             for key, g in f.groupby(["k", "i", "j"], sort=False):
@@ -291,7 +295,7 @@ def filtered(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     ends = pairs.join(classes.select(F.col("sig").alias("a"), F.col("n").alias("nx"), F.col("bits").alias("x")), "a").join(
         classes.select(F.col("sig").alias("b"), F.col("n").alias("ny"), F.col("bits").alias("y")), "b")
-    return ends.select("a", "b", "w", "nx", "x", "ny", "y").mapInPandas(run, "a long, b long, w long")
+    return ends.select("a", "b", "w", "nx", "x", "ny", "y").mapInPandas(trimmed(run), "a long, b long, w long")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
@@ -317,12 +321,12 @@ def across(hot: DataFrame, named: DataFrame, classes: DataFrame, percent: int, b
     between = members.select("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o"), "i", *kept).where("o <> i").select(
         "k", F.least("i", "o").alias("i"), F.greatest("i", "o").alias("j"), *kept, F.when(F.col("o") > F.col("i"), 0).otherwise(1).alias("side"))
     rows = within.union(between).repartition("k", "i", "j").sortWithinPartitions("k", "i", "j")
-    return rows.mapInPandas(_across(percent, best), "a long, b long").distinct()
+    return rows.mapInPandas(trimmed(_across(percent, best)), "a long, b long").distinct()
 
 
 def jaccard_components(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) for each row of docs (doc_id, text)."""
-    survey = cut(docs.select(as_text("doc_id"), "text").mapInPandas(_survey, "doc_id long, n long, sig long, bits binary, h long, c long"), "survey")
+    survey = cut(docs.select(as_text("doc_id"), "text").mapInPandas(trimmed(_survey), "doc_id long, n long, sig long, bits binary, h long, c long"), "survey")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = survey.where("n >= 0")
     frequent = survey.where("n < 0").groupBy("h").agg(F.sum("c").alias("c")).where(F.col("c") >= LEAST_COUNT).orderBy(F.desc("c"), "h").limit(FREQUENT).toPandas()
@@ -332,7 +336,7 @@ def jaccard_components(docs: DataFrame, percent: int = 75) -> DataFrame:
     classes = cut(rows.where("sig is not null and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
     total = rows.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // (4 * BUCKET)))
-    shared = docs.where("doc_id is not null").mapInPandas(_prefixes(known, count, buckets, percent), "bucket long, hot int, blob binary")
+    shared = docs.where("doc_id is not null").mapInPandas(trimmed(_prefixes(known, count, buckets, percent)), "bucket long, hot int, blob binary")
     found = cut(shared.groupBy("bucket").applyInPandas(_bucket_pairs(percent), "a long, b long, k long, n long, p long"), "found")
     hot = found.where("k is not null").select("k", F.col("a").alias("s"), "n", "p")
     stars = hot.join(hot.groupBy("k").agg(F.min("s").alias("m")), "k").where("s <> m").select(F.col("m").alias("a"), F.col("s").alias("b"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import as_text, cut, longs, table
+from tidemark.llm.shared import as_text, cut, longs, table, trimmed
 from tidemark.llm.tokens import encoder
 
 LENGTH, END = 2048, 1
@@ -95,10 +95,10 @@ def _second(length: int):
 def packed(docs: DataFrame, length: int = LENGTH, end: int = END, path: str | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     docs = docs.select(as_text("doc_id"), "text")
-    ids = cut(docs.mapInPandas(_first(path, end), "part long, doc_id long, at long, n long, ids binary"), "ids", "zstd")
+    ids = cut(docs.mapInPandas(trimmed(_first(path, end)), "part long, doc_id long, at long, n long, ids binary"), "ids", "zstd")
     placed = with_bases(ids, ids.groupBy("part").agg(F.sum("n").alias("n")))
     return placed.select(as_text("doc_id"), (F.col("base") + F.col("at")).alias("place"), "n", "ids").mapInPandas(
-        _second(length), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+        trimmed(_second(length)), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import cut
+from tidemark.llm.shared import cut, let_go, trimmed
 
 BLOCK = 64
 #: Up to so many needs without notes, or ids of needed documents, (40 bytes each at most) are sent to all tasks; more are joined by shuffle.
@@ -36,6 +36,7 @@ def with_texts(pairs: DataFrame, docs: DataFrame, judge, schema: str, noted: boo
     rows = rows.repartition("hub", "block").sortWithinPartitions("hub", "block", "role", "id")
 
     def run(frames):
+        let_go()
         at = look = None
         for f in frames:
             out = []
@@ -48,4 +49,4 @@ def with_texts(pairs: DataFrame, docs: DataFrame, judge, schema: str, noted: boo
                 yield pd.DataFrame(out, columns=names)
 
     names = [x.split()[0] for x in schema.split(",")]
-    return rows.select("hub", "block", "role", "id", "note", "text").mapInPandas(run, schema)
+    return rows.select("hub", "block", "role", "id", "note", "text").mapInPandas(trimmed(run), schema)

@@ -1,7 +1,7 @@
 """Registered queries of this subpackage, by number of the operator, and their SQL.
 
-The language of none of these results is SQL: each is tested against a brute-force twin, a round trip or held-out accuracy
-in tests/llm."""
+Only the n-gram join can be stated in SQL; the others are tested against a brute-force twin, a round trip or held-out
+accuracy in tests/llm."""
 
 from tidemark.llm.decontamination import op5_benchmark_decontamination
 from tidemark.llm.fingerprints import op7_fingerprints
@@ -26,4 +26,13 @@ QUERIES = {
     "op9_html_text": op9_html_text,
     "op10_packing": op10_packing,
 }
-ORACLES: dict = {}
+ORACLES = {"op3_ngram_jaccard_join": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS g FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (SELECT a AS doc, a AS seen FROM ways UNION SELECT r.doc, ways.b FROM r JOIN ways ON ways.a = r.seen)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(c.m, d.doc_id) AS component_id FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN (SELECT doc, min(seen) AS m FROM r GROUP BY doc) c ON c.doc = d.doc_id
+"""}

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.packing import framed, narrow, wide, with_bases
-from tidemark.llm.shared import as_text, cut, new_path, table
+from tidemark.llm.shared import as_text, cut, new_path, table, trimmed
 from tidemark.llm.tokens import encoder
 
 MAGIC, END, BLOCK = b"TMPLANE1", 2, 65_536
@@ -188,10 +188,10 @@ def write_files(docs: DataFrame, folder: str, end: int = END, path: str | None =
     docs = docs.select(as_text("doc_id"), "text")
     files = max(1, (docs.agg(F.sum(F.length("text"))).first()[0] or 0) // file_chars)
     splits = sorted(set(whole.where("doc_id is not null").approxQuantile("doc_id", [k / files for k in range(1, files)], 0.2 / files))) if files > 1 else []
-    ids = docs.mapInPandas(_encode(path, end, np.array(splits, np.int64)), "part long, doc_id long, tie long, n long, ids binary")
+    ids = docs.mapInPandas(trimmed(_encode(path, end, np.array(splits, np.int64))), "part long, doc_id long, tie long, n long, ids binary")
     ids = ids.repartition(files, "part").sortWithinPartitions("part", "doc_id", "tie")
     ids = ids.withColumn("doc_id", F.col("doc_id").cast("string"))
-    return cut(ids.mapInPandas(_write(folder), "part long, docs long, n long"), "files")
+    return cut(ids.mapInPandas(trimmed(_write(folder)), "part long, docs long, n long"), "files")
 
 
 def read_files(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
@@ -199,7 +199,7 @@ def read_files(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
     if files.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     raw = spark.read.format("binaryFile").option("pathGlobFilter", f"*{SUFFIX}").load(folder).select("path", "content")
-    rows = raw.mapInPandas(_read, "part long, doc_id long, at long, n_tokens long, ids_crc32 long")
+    rows = raw.mapInPandas(trimmed(_read), "part long, doc_id long, at long, n_tokens long, ids_crc32 long")
     return with_bases(rows, files.select("part", "n")).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 

@@ -21,7 +21,7 @@ VOCABULARY = "word_bpe_49k.json"
 #: Groups that a worker remembers (about 50 bytes each); a full table starts anew.
 REMEMBERED = 1 << 20
 #: Code points per pass.
-PASS = 1 << 20
+PASS = 1 << 18
 TOP = 0x2100
 SPACE, LETTER, DIGIT, MARK, OTHER = range(5)
 _encoders: dict = {}

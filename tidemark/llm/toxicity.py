@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontamination import _PARTED, _STOP
 from tidemark.llm.logistic import fit, sigmoid
-from tidemark.llm.shared import crc_mod, cut, table
+from tidemark.llm.shared import crc_mod, cut, let_go, table
 from tidemark.llm.textnum import batches, encode, runs, words
 
 SAMPLE, FEATURES, LEAST_DOCS, LEAST_G, RIDGE, COUNTERFACTUAL, POSITIVE = 8_000, 400, 4, 15.0, 0.03, 60.0, 2.0
@@ -62,6 +62,7 @@ _FEATURES = {int(hashes(t)[0]): set(features(t.encode()).tolist()) for t in " ".
 
 def _study(frames):
     """Of each document the label, a key of near copies, its features, and its sentences with identity terms."""
+    let_go()
     for f in frames:
         rows = []
         for label, text in zip(f.label, f.text, strict=True):
@@ -147,6 +148,7 @@ def toxicity(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], score: str =
 
     @F.pandas_udf("double")
     def scored(text: pd.Series) -> pd.Series:
+        let_go()
         return pd.Series(score_texts(text.tolist(), keys, w))
 
     return docs.withColumn(score, scored("text")).withColumn(predicted, (F.col(score) >= 0.5).cast("int"))
