@@ -98,3 +98,23 @@ def test_recall_of_bands():
         total += 1
         met += bool((keys[0] == keys[1]).any())
     assert met / total > 0.97
+
+
+def test_every_place_in_a_later_document_goes(spark):
+    rng = random.Random(21)
+    passage, line = invented(rng, 60), invented(rng, 60)
+    near = " ".join([*line.split()[:30], "changed", *line.split()[31:]])
+    own = [invented(rng, 30) for _ in range(9)]
+    texts = {
+        1: f"{own[0]} {passage} {own[1]}\n{line}\n{own[2]}",
+        2: f"{own[3]} {passage} {own[4]} {passage} {own[5]} {passage}",
+        3: f"{own[6]}\n{near}\n{own[7]}\n{near}\n{own[8]}",
+        4: "de " * 400,
+        5: "de " * 900,
+    }
+    for parts in (1, 3):  # documents of one scope, and of several
+        docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], SCHEMA).repartition(parts)
+        out = {r.doc_id: r.text for r in sd.without_repeats(docs).collect()}
+        assert out[1] == texts[1] and out[4] == texts[4] and 5 not in out
+        assert out[2].split() == " ".join(own[3:6]).split()
+        assert out[3].split() == " ".join(own[6:9]).split()

@@ -14,7 +14,8 @@ by word in both directions and count from 50 words on; paragraphs need an exact
 Removal. A verified span is removed from the document with the larger doc_id, so the first occurrence stays. Overlapping spans
 of a document form one node; verified pairs link nodes; the classes are the components.
 
-Null and empty texts have no units. Repeats inside one document are left alone. Rows with a null doc_id, and rows whose
+Null and empty texts have no units. Repeats inside one document are left alone as long as no earlier document has the
+passage; else every place of it is removed. Rows with a null doc_id, and rows whose
 doc_id occurs before with the same text, take part in nothing. Other columns of the input are ignored by the search."""
 
 from __future__ import annotations
@@ -81,11 +82,16 @@ def entries(doc: int, raw: bytes, start: np.ndarray, h: np.ndarray) -> np.ndarra
     if len(first):
         e["k"][len(a) :] = line_keys(h, first, after).ravel()
         e["p"][len(a) :], e["l"][len(a) :] = np.repeat(first, BANDS), np.repeat(after - first, BANDS)
-    return e[np.unique(e["k"], return_index=True)[1]]
+    e = e[np.lexsort((e["l"], e["p"], e["k"]))]
+    new = np.ones(len(e), bool)
+    new[1:] = (e["k"][1:] != e["k"][:-1]) | (e["p"][1:] != e["p"][:-1])
+    return e[new]
 
 
 def elect(e: np.ndarray) -> tuple[np.ndarray, pd.DataFrame]:
-    """The first entry of each key, and who meets it; paragraphs, which needn't be like the first, also meet the one before them."""
+    """The entries of each key's first document, and who meets the first of them; paragraphs, which needn't be like the first, also meet the one before them.
+
+    A document has a key as often as it has the unit: every place of it meets the first document."""
     e = e[np.lexsort((e["p"], e["d"], e["k"]))]
     new = np.ones(len(e), bool)
     new[1:] = e["k"][1:] != e["k"][:-1]
@@ -95,7 +101,7 @@ def elect(e: np.ndarray) -> tuple[np.ndarray, pd.DataFrame]:
     near = far & (e["l"] > 0) & (last["d"] != head["d"]) & (last["d"] != e["d"])
     a, b = np.concatenate((head[far], last[near])), np.concatenate((e[far], e[near]))
     meet = np.stack([a["p"], a["l"], b["p"], b["l"]], 1).astype(MEET)
-    return e[new], pd.DataFrame({"hub": a["d"], "member": b["d"], "meet": [m.tobytes().hex() for m in meet]})
+    return e[~far], pd.DataFrame({"hub": a["d"], "member": b["d"], "meet": [m.tobytes().hex() for m in meet]})
 
 
 def _scan(buckets: int):
@@ -107,7 +113,7 @@ def _scan(buckets: int):
         at = np.append(np.flatnonzero(np.diff(b, prepend=-1)), len(b))
         rows = pd.DataFrame({"bucket": b[at[:-1]], "blob": [first[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)]})
         met["bucket"] = met.member % buckets
-        return pd.concat([rows, met])[["bucket", "blob", "hub", "member", "meet"]].astype({"hub": "Int64", "member": "Int64"})
+        return pd.concat([rows, met])[["bucket", "blob", "hub", "member", "meet"]].astype({"hub": "Int64", "member": "Int64", "blob": object, "meet": object})
 
     def run(frames):
         let_go()
@@ -132,7 +138,7 @@ def _scan(buckets: int):
 def _bucket(f: pd.DataFrame) -> pd.DataFrame:
     met = f.loc[f.hub.notna(), ["hub", "member", "meet"]]
     blobs = [np.frombuffer(b, ENTRY) for b in f.blob if b is not None]
-    return pd.concat([met, elect(np.concatenate(blobs))[1]]) if blobs else met
+    return (pd.concat([met, elect(np.concatenate(blobs))[1]]) if blobs else met).astype({"meet": object})  # an empty column of floats is no text
 
 
 def _same(a: np.ndarray, b: np.ndarray) -> int:
@@ -150,15 +156,19 @@ def common_spans(x: np.ndarray, y: np.ndarray, meets: np.ndarray) -> list[tuple[
     """Verified (start, end, start, end) in words of two documents that met at these places."""
     out: list[tuple[int, int, int, int]] = []
     seen: dict[int, int] = {}
+    used, to = set(), 0
     exact = meets[meets[:, 1] == 0]
     for p, _, q, _ in exact[np.argsort(exact[:, 2], kind="stable")].tolist():
-        if seen.get(q - p, -1) >= q + RUN:
+        # of a unit's further places in y those inside a found span, as in periodic text, bring nothing that would stay
+        if seen.get(q - p, -1) >= q + RUN or (p in used and q + RUN <= to):
             continue
+        used.add(p)
         left, right = _same(x[:p][::-1], y[:q][::-1]), _same(x[p:], y[q:])
         if right >= RUN:
             seen[q - p] = q + right
             if left + right >= LEAST:
                 out.append((p - left, p + right, q - left, q + right))
+                to = max(to, q + right)
     for p, m, q, n in np.unique(meets[(meets[:, 1] > 0) & (meets[:, 3] > 0)], axis=0).tolist():
         if any(s <= q and q + n <= e for _, _, s, e in out):
             continue
