@@ -110,6 +110,19 @@ def test_fingerprints(corpus, range_chars):
     assert fingerprints.likeness(a[None], b[None])[0] > 0.8 and fingerprints.likeness(a[None], c[None])[0] < 0.1
 
 
+def test_every_text_has_an_anchor():
+    rng = random.Random(17)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in range(1, 40) for _ in range(8)]
+    points = [fingerprints.code_points(t) for t in texts]
+    assert any(len(p) >= fingerprints.K and not len(fingerprints._kmers(p)[0]) for p in points)
+    together = fingerprints.sketches([fingerprints.code_points(""), *points])
+    assert (together[0] < 0).all() and (together[1:] >= 0).any(1).all()
+    for t, p, sketch in zip(texts, points, together[1:], strict=True):
+        assert len(fingerprints.anchors(p)[0]) and (fingerprints.sketches([p])[0] == sketch).all(), t
+    alike = fingerprints.likeness(together[1:-1], together[2:])
+    assert all(x < 1 for x, a, b in zip(alike, texts[:-1], texts[1:], strict=True) if a != b)
+
+
 def test_fingerprints_of_nothing(empty):
     assert fingerprints.fingerprints(empty).collect() == []
 

@@ -6,7 +6,8 @@ each the least value is kept: 128 times 6 hex digits, `------` for an empty bin.
 those filled in either, an estimate of the Jaccard similarity of the anchor sets; two empty fingerprints are alike (1).
 `anchors` gives places and hashes of a text's anchors, `matches` the places where two texts agree.
 
-Texts of fewer than 20 code points have one anchor, their whole; a null or empty text has none. Documents follow each other by
+Texts without such a k-mer (all of fewer than 20 code points, some of up to 32) have one anchor, their whole; only a null or
+empty text has none. Documents follow each other by
 doc_id; null ids come first, equal ids by hash of text. Other columns are ignored."""
 
 from __future__ import annotations
@@ -53,11 +54,16 @@ def _kmers(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at, mix(h + s[at + K - S] * _COEF[15])
 
 
+def _whole(cp: np.ndarray) -> np.ndarray:
+    """The hash of a whole text, as its one anchor."""
+    return mix(((cp.astype(np.uint64) + np.uint64(1)) * (series(len(cp), 131) | np.uint64(1))).sum(keepdims=True) + np.uint64(len(cp)))
+
+
 def anchors(cp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The same for a text of any length, worked off in pieces; a short text is one anchor."""
-    if 0 < len(cp) < K:
-        return np.zeros(1, np.int64), mix(((cp.astype(np.uint64) + np.uint64(1)) * _COEF[: len(cp)]).sum(keepdims=True) + np.uint64(len(cp)))
+    """The same for a text of any length, worked off in pieces; a text without any is one anchor."""
     found = [(at, *_kmers(cp[at : at + CHUNK + K - 1])) for at in range(0, max(1, len(cp)), CHUNK)]
+    if len(cp) and not any(len(x) for _, x, _ in found):
+        return np.zeros(1, np.int64), _whole(cp)
     return np.concatenate([a + x for a, x, _ in found]), np.concatenate([h for _, _, h in found])
 
 
@@ -79,7 +85,10 @@ def sketches(texts: list[np.ndarray]) -> np.ndarray:
         at, h = _kmers(big)
         own = np.searchsorted(end, at, "right")
         inside = at + K <= end[own]
-        fill(np.array([i for i, _ in held])[own[inside]], h[inside])
+        ids = np.array([i for i, _ in held])
+        fill(ids[own[inside]], h[inside])
+        for j in np.flatnonzero(np.bincount(own[inside], minlength=len(held)) == 0).tolist():
+            fill(ids[j : j + 1], _whole(held[j][1]))
 
     def fill(doc, h):
         key = (doc.astype(np.int64) * BINS + (h & np.uint64(BINS - 1)).astype(np.int64)) << 24 | (h >> np.uint64(40)).astype(np.int64)
