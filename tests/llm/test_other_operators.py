@@ -53,6 +53,23 @@ def test_slots_must_agree():
     assert decontamination.longest_run([(0, 0), (50, 8)]) == decontamination.WINDOW
 
 
+def test_copies_are_judged_alone(spark):
+    rng = random.Random(31)
+    before, between, after = (invented(rng, 7) for _ in range(3))
+    say = lambda number, name: f"{before} {number} {between} with {name} {after}"
+    table = spark.createDataFrame([(1, say(41, "Anna"))], "item_id long, text string")
+    copies = [say(n, who) for n, who in ((52, "Boris"), (63, "Clara"), (74, "Dorothea"), (85, "Emil"))]
+    texts = {1: " . ".join(copies), 2: f"{copies[0]} . {say(41, 'Anna')}", 3: copies[1], 4: invented(rng, 60)}
+    got = {r.doc_id: r for r in decontamination.leaks(spark.createDataFrame([(i, t, None, None, None) for i, t in texts.items()], SCHEMA), table).collect()}
+    assert set(got) == {1, 2, 3} and [got[i].verbatim for i in (1, 2, 3)] == [False, True, False]
+    v = lambda j, x: bytes([j]) + x.to_bytes(8, "little")
+    # two copies, of which the votes over both would take the number of one and the name of the other
+    one = [(p, p, v(6 - p, 5) + v(7 - p, 2), v(6 - p, 1) + v(7 - p, 9)) for p in range(6)]
+    two = [(100 + p, p, v(6 - p, 4) + v(7 - p, 3), v(6 - p, 1) + v(7 - p, 9)) for p in range(6)]
+    assert decontamination.longest_run(decontamination.consistent([*one, *two])[0]) == 0
+    assert decontamination.held([*one, *two], decontamination.RUN) == (set(range(6)), 13, False)
+
+
 def test_leaks_odd_rows(corpus, empty, bench, spark):
     _, table = bench
     assert decontamination.leaks(corpus, table).collect() == [] and decontamination.leaks(empty, table).collect() == []

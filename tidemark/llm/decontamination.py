@@ -2,10 +2,10 @@
 
 A token is a run of letters and digits. Tokens with a digit become a number slot, a unit behind a number becomes a unit slot,
 a capitalised word inside a sentence becomes a name slot; neighbouring numbers or names are one slot. Windows of 8 such tokens,
-at least 4 of them literal words, are hashed and joined with the benchmark's windows. For a document and an item, the slot values
-of the matching windows must be consistent: each value of the item stands for one value of the document throughout (the
-same one in verbatim copies, another in re-parameterised ones); windows against the majority don't count. A document holds
-an item if a run of 13 tokens of it (of the whole item, if it is shorter) is covered on one diagonal.
+at least 4 of them literal words, are hashed and joined with the benchmark's windows. In each place where a document follows an
+item (the windows of one diagonal) the slot values must be consistent: each value of the item stands for one value of the
+document throughout (the same one in verbatim copies, another in re-parameterised ones); windows against the majority of
+their place don't count, other copies in the document have no say. A document holds an item if a run of 13 tokens of it (of the whole item, if it is shorter) is covered on one diagonal.
 
 A bitmap of fixed size (4,194,304 bits) of the benchmark's window hashes goes to all tasks, so only windows that may match
 leave a document. Null and empty texts match nothing, items of fewer than 8 tokens are too short to be told and match
@@ -137,14 +137,27 @@ def longest_run(kept) -> int:
     return best
 
 
+def held(matches, least: int) -> tuple[set[int], int, bool] | None:
+    """Item places of the windows and longest run of the places that hold the item, and whether one is verbatim; each place is judged alone."""
+    places = defaultdict(list)
+    for m in matches:
+        places[m[0] - m[1]].append(m)
+    at, best, verbatim = set(), 0, False
+    for own in places.values():
+        kept, same = consistent(own)
+        if (run := longest_run(kept)) >= least:
+            at |= {q for _, q in kept}
+            best, verbatim = max(best, run), verbatim or same
+    return (at, best, verbatim) if at else None
+
+
 def _judge(frames):
     for f in frames:
         rows = []
         for doc, item, n, matches in zip(f.doc_id, f.item_id, f.item_tokens, f.matches, strict=True):
-            kept, same = consistent([(m["doc_at"], m["item_at"], bytes(m["doc_slots"]), bytes(m["item_slots"])) for m in matches])
-            run = longest_run(kept)
-            if run >= min(RUN, n):
-                rows.append((doc, item, n, len({q for _, q in kept}), run, same))
+            found = held([(m["doc_at"], m["item_at"], bytes(m["doc_slots"]), bytes(m["item_slots"])) for m in matches], min(RUN, n))
+            if found:
+                rows.append((doc, item, n, len(found[0]), *found[1:]))
         yield pd.DataFrame(rows, columns=["doc_id", "item_id", "item_tokens", "windows", "longest_run", "verbatim"])
 
 
