@@ -70,6 +70,22 @@ def test_copies_are_judged_alone(spark):
     assert decontamination.held([*one, *two], decontamination.RUN) == (set(range(6)), 13, False)
 
 
+def test_short_items_and_items_of_few_literals(spark):
+    rng = random.Random(37)
+    nine = f"Which {invented(rng, 8)}"
+    slots = " plus ".join(str(7 * k) for k in range(1, 20))
+    items = {1: "What is 17 + 25?", 2: "Why do birds sing?", 3: nine, 4: slots, 5: "How many apples does the baker sell to Anna"}
+    table = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    fill = lambda: invented(rng, 15)
+    texts = {i: f"{fill()} {t} {fill()}" for i, t in items.items()}
+    texts |= {11: f"{fill()} what is 17 + 26? {fill()}", 12: f"{fill()} birds do sing {fill()}", 13: f"{fill()} {nine} {fill()}".upper(),
+              14: f"{fill()} {slots[:30]} {fill()}", 15: f"{fill()} how many apples does the baker sell to Boris {fill()}", 16: fill()}
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in texts.items()], SCHEMA)
+    got = {(r.doc_id, r.item_id): r for r in decontamination.leaks(docs, table).collect()}
+    assert set(got) == {(i, i) for i in items} | {(13, 3), (15, 5)}
+    assert all(r.verbatim == (r.doc_id != 15) for r in got.values())
+
+
 def test_leaks_odd_rows(corpus, empty, bench, spark):
     _, table = bench
     assert decontamination.leaks(corpus, table).collect() == [] and decontamination.leaks(empty, table).collect() == []

@@ -5,11 +5,16 @@ a capitalised word inside a sentence becomes a name slot; neighbouring numbers o
 at least 4 of them literal words, are hashed and joined with the benchmark's windows. In each place where a document follows an
 item (the windows of one diagonal) the slot values must be consistent: each value of the item stands for one value of the
 document throughout (the same one in verbatim copies, another in re-parameterised ones); windows against the majority of
-their place don't count, other copies in the document have no say. A document holds an item if a run of 13 tokens of it (of the whole item, if it is shorter) is covered on one diagonal.
+their place don't count, other copies in the document have no say. A document holds an
+item if a run of 13 tokens of it is covered on one diagonal; of an item of up to 13 tokens all but two, 8 at least.
+
+Items that the windows can't tell (up to 13 tokens, or too few literal words for a run of 13) are also looked for as they are: all
+their words, case aside, or any 13 of them in a row. Items of up to 13 tokens are also looked for without their first token,
+whose kind depends on what stands before it, if 4 literal words are left.
 
 A bitmap of fixed size (4,194,304 bits) of the benchmark's window hashes goes to all tasks, so only windows that may match
-leave a document. Null and empty texts match nothing, items of fewer than 8 tokens are too short to be told and match
-nothing; null ids match nothing. Repeated rows count once. Other columns are ignored."""
+leave a document. Null and empty texts match nothing, and so do null ids; an item of one word matches all documents
+that have the word. Repeated rows count once. Other columns are ignored."""
 
 from __future__ import annotations
 
@@ -21,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import cut, table, trimmed
-from tidemark.llm.textnum import encode, runs, series, words
+from tidemark.llm.textnum import encode, mix, runs, series, words
 
 WINDOW, LITERAL, RUN, BITS = 8, 4, 13, 1 << 22
 #: Fixed list of unit words, lower case.
@@ -42,18 +47,19 @@ _STOP[[ord(c) for c in ".!?:;|\n"]] = True
 _UNIT = np.sort(words(" ".join(UNITS).encode(), _PARTED)[2])
 NUMBER, UNIT, NAME = 1, 2, 3
 _SLOT = series(4, 55)
+_WIDTH = series(2 * RUN + 1, 66)
 
 
 def _before(mask: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(mask, dtype=np.int64)))
 
 
-def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Canonical token hashes, kinds (0: literal) and value hashes."""
+def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Canonical token hashes, kinds (0: literal) and value hashes; hashes of the words as they are, case aside."""
     raw = encode(text)
     start, end, h = words(raw, _PARTED)
     if not len(h):
-        return h, np.zeros(0, np.int8), h
+        return h, np.zeros(0, np.int8), h, h
     a = np.frombuffer(raw, np.uint8)
     digits, stops = _before(_DIGIT[a]), _before(_STOP[a])
     kind = np.where(digits[end] > digits[start], NUMBER, 0).astype(np.int8)
@@ -67,41 +73,72 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     at = np.flatnonzero(fresh)
     value = np.add.reduceat(h, at)
     kind = kind[at]
-    return np.where(kind > 0, _SLOT[kind], value), kind, value
+    return np.where(kind > 0, _SLOT[kind], value), kind, value, h
 
 
 def windows(text: str | None):
-    """Places and hashes of the windows, and a function that packs the slots of a window: place in it and value."""
-    c, kind, value = template(text)
+    """Places and hashes of the windows, canonical tokens, a function that packs the slots of a window (place in it and value), and the words."""
+    c, kind, value, raw = template(text)
     h = runs(c, WINDOW)
     literal = _before(kind == 0)
     at = np.flatnonzero(literal[WINDOW:] - literal[: len(literal) - WINDOW] >= LITERAL) if len(h) else np.zeros(0, np.int64)
 
-    def slots(p: int) -> bytes:
-        k = np.flatnonzero(kind[p : p + WINDOW])
+    def slots(p: int, width: int = WINDOW) -> bytes:
+        k = np.flatnonzero(kind[p : p + width])
         return b"".join(bytes([j]) + value[p + j].tobytes() for j in k.tolist()) if len(k) else b""
 
-    return at, h[at], len(c), slots
+    return at, h[at], c, slots, raw
+
+
+def least(n: int) -> int:
+    """Tokens in a row by which the windows tell an item of n tokens."""
+    return RUN if n > RUN else min(n, max(WINDOW, n - 2))
+
+
+def strips(c: np.ndarray, raw: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of so many canonical tokens, or (below 0) of so many words as they are."""
+    return mix(runs(c if width > 0 else raw, abs(width)) + _WIDTH[width + RUN])
+
+
+def item_strips(at: np.ndarray, c: np.ndarray, raw: np.ndarray, slots) -> list[tuple[int, int]]:
+    """Place and width of the strips by which an item is looked for besides its windows."""
+    n, out = len(c), []
+    if len(raw) and (n <= RUN or longest_run([(p, p) for p in at.tolist()]) < RUN):
+        width = min(RUN, len(raw))
+        out += [(p, -width) for p in range(len(raw) - width + 1)]
+    if 1 < n <= RUN and n - 1 - len(slots(1, n - 1)) // 9 >= LITERAL:
+        out.append((1, n - 1))
+    return out
 
 
 def _items(frames):
     for f in frames:
         rows = []
         for item, text in zip(f.item_id.tolist(), f.text, strict=True):
-            at, h, n, slots = windows(text)
-            rows += [(int(item), int(p), int(k), n, slots(p)) for p, k in zip(at.tolist(), h.view(np.int64).tolist(), strict=True)]
-        yield pd.DataFrame(rows, columns=["item_id", "item_at", "k", "item_tokens", "item_slots"])
+            at, h, c, slots, raw = windows(text)
+            rows += [(int(item), int(p), int(k), len(c), slots(p), 0) for p, k in zip(at.tolist(), h.view(np.int64).tolist(), strict=True)]
+            for p, width in item_strips(at, c, raw, slots):
+                rows.append((int(item), p, int(strips(c, raw, width)[p].view(np.int64)), len(c), slots(p, width) if width > 0 else b"", width))
+        yield pd.DataFrame(rows, columns=["item_id", "item_at", "k", "item_tokens", "item_slots", "width"])
 
 
-def _hits(bitmap: np.ndarray):
+def _hits(bitmap: np.ndarray, widths: list[int]):
+    def known(h):
+        bit = (h & np.uint64(BITS - 1)).astype(np.int64)
+        return np.flatnonzero(bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).tolist()
+
     def run(frames):
         for f in frames:
             rows = []
             for doc, text in zip(f.doc_id.tolist(), f.text, strict=True):
-                at, h, _, slots = windows(text)
-                bit = (h & np.uint64(BITS - 1)).astype(np.int64)
-                for x in np.flatnonzero(bitmap[bit >> 3] >> (bit & 7).astype(np.uint8) & 1).tolist():
-                    rows.append((int(doc), int(at[x]), int(h[x].view(np.int64)), slots(at[x])))
+                at, h, c, slots, raw = windows(text)
+                rows += [(int(doc), int(at[x]), int(h[x].view(np.int64)), slots(at[x])) for x in known(h)]
+                for width in widths:
+                    h = strips(c, raw, width)
+                    found = known(h)
+                    if width < 0:  # words as they are have no slots: one place says all
+                        found = [found[x] for x in np.unique(h[found], return_index=True)[1].tolist()] if found else []
+                    rows += [(int(doc), x, int(h[x].view(np.int64)), slots(x, width) if width > 0 else b"") for x in found]
             yield pd.DataFrame(rows, columns=["doc_id", "doc_at", "k", "doc_slots"])
 
     return run
@@ -138,11 +175,16 @@ def longest_run(kept) -> int:
 
 
 def held(matches, least: int) -> tuple[set[int], int, bool] | None:
-    """Item places of the windows and longest run of the places that hold the item, and whether one is verbatim; each place is judged alone."""
+    """Item places of the windows and longest run of the places that hold the item, and whether one is verbatim; each place is judged alone.
+
+    A match is place, item place, slots, item slots and, for a strip, its width."""
     places = defaultdict(list)
-    for m in matches:
-        places[m[0] - m[1]].append(m)
     at, best, verbatim = set(), 0, False
+    for *m, width in (m if len(m) == 5 else (*m, 0) for m in matches):
+        if not width:
+            places[m[0] - m[1]].append(m)
+        elif width < 0 or consistent([m])[0]:
+            at, best, verbatim = at | {m[1]}, max(best, abs(width)), verbatim or m[2] == m[3]
     for own in places.values():
         kept, same = consistent(own)
         if (run := longest_run(kept)) >= least:
@@ -155,7 +197,7 @@ def _judge(frames):
     for f in frames:
         rows = []
         for doc, item, n, matches in zip(f.doc_id, f.item_id, f.item_tokens, f.matches, strict=True):
-            found = held([(m["doc_at"], m["item_at"], bytes(m["doc_slots"]), bytes(m["item_slots"])) for m in matches], min(RUN, n))
+            found = held([(m["doc_at"], m["item_at"], bytes(m["doc_slots"]), bytes(m["item_slots"]), m["width"]) for m in matches], least(n))
             if found:
                 rows.append((doc, item, n, len(found[0]), *found[1:]))
         yield pd.DataFrame(rows, columns=["doc_id", "item_id", "item_tokens", "windows", "longest_run", "verbatim"])
@@ -164,13 +206,14 @@ def _judge(frames):
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item that it holds: doc_id, item_id, item_tokens, windows, longest_run, verbatim."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    items = cut(items.mapInPandas(_items, "item_id long, item_at int, k long, item_tokens int, item_slots binary"), "items")
+    items = cut(items.mapInPandas(_items, "item_id long, item_at int, k long, item_tokens int, item_slots binary, width int"), "items")
+    widths = sorted(items.where("width <> 0").select("width").distinct().toPandas().width.tolist())
     bit = items.select(F.col("k").bitwiseAND(BITS - 1).cast("int").alias("bit")).distinct().toPandas().bit.to_numpy(np.int64)
     bitmap = np.packbits(np.bincount(bit, minlength=BITS).astype(bool), bitorder="little")
     docs = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    hits = docs.mapInPandas(trimmed(_hits(bitmap)), "doc_id long, doc_at int, k long, doc_slots binary")
+    hits = docs.mapInPandas(trimmed(_hits(bitmap, widths)), "doc_id long, doc_at int, k long, doc_slots binary")
     both = hits.join(items, "k").groupBy("doc_id", "item_id").agg(
-        F.first("item_tokens").alias("item_tokens"), F.collect_set(F.struct("doc_at", "item_at", "doc_slots", "item_slots")).alias("matches"))
+        F.first("item_tokens").alias("item_tokens"), F.collect_set(F.struct("doc_at", "item_at", "doc_slots", "item_slots", "width")).alias("matches"))
     return both.mapInPandas(_judge, "doc_id long, item_id long, item_tokens int, windows int, longest_run int, verbatim boolean")
 
 
