@@ -5,7 +5,7 @@ import pytest
 
 from tests.llm.conftest import SCHEMA, invented
 from tidemark.llm import substring_dedup as sd
-from tidemark.llm.textnum import encode, words
+from tidemark.llm.textnum import encode, jaccard_reaches, shingle_set, words
 
 
 def repeats(texts, width):
@@ -118,3 +118,35 @@ def test_every_place_in_a_later_document_goes(spark):
         assert out[1] == texts[1] and out[4] == texts[4] and 5 not in out
         assert out[2].split() == " ".join(own[3:6]).split()
         assert out[3].split() == " ".join(own[6:9]).split()
+
+
+def test_crowded_bands_lose_nothing(spark):
+    rng = random.Random(5)
+    template = invented(rng, 200).split()
+    first, second = [], []
+    for _ in range(60):
+        at = rng.randrange(184)
+        line = [*template[:at], *invented(rng, 16).split(), *template[at + 16 :]]
+        near = list(line)
+        near[rng.randrange(200)] = "changed"
+        first.append(line)
+        second.append(near)
+    rng.shuffle(second)
+    lines = [words(encode(" ".join(w)))[2] for w in first + second]
+    keys = [set(sd.line_keys(h, np.array([0]), np.array([200]))[0].tolist()) for h in lines]
+    sets = [shingle_set(h) for h in lines]
+    want = {j for j in range(120) if any(keys[i] & keys[j] and jaccard_reaches(sets[i], sets[j], 75) for i in range(j))}
+    assert len(want) >= 55
+    docs = spark.createDataFrame([(i, " ".join(w), "en", "s", 1) for i, w in enumerate(first + second)], SCHEMA).repartition(3)
+    assert want <= {r.doc_id for r in sd.repeated_passages(docs).collect() if r.removed and r.n_words == 200}
+
+
+def test_runs_whose_first_is_another(spark):
+    rng = random.Random(9)
+    p = invented(rng, 51).split()
+    own = [invented(rng, 40) for _ in range(8)]
+    texts = [f"{own[2 * i]} {' '.join(w)} {own[2 * i + 1]}" for i, w in enumerate((p[:45], p[6:], p, p))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)
+    for parts in (1, 4):
+        got = sd.repeated_passages(docs.repartition(parts)).collect()
+        assert [(r.doc_id, r.n_words) for r in got if r.removed] == [(3, 51)]

@@ -11,6 +11,11 @@ to the unit's bucket, where the first of all meets the rest: a passage in a thir
 a scope. The pairs of documents, with the places where they met, are then verified on whole texts: runs are extended word
 by word in both directions and count from 50 words on; paragraphs need an exact Jaccard similarity of 0.75.
 
+Crowds. Those that met the first of a key only may be alike where the first is not. A run whose surroundings differ from the
+first's is met again by the hashes of the 50-word windows around it: who shares one is alike, so there the first stands for
+all. Paragraphs that differ from one they met are classes by their sets; classes of one band that are not linked yet, or have
+no earlier like, meet in blocks of bounded size (as in the n-gram join): first each with its likeliest, then all that still lie apart.
+
 Removal. A verified span is removed from the document with the larger doc_id, so the first occurrence stays. Overlapping spans
 of a document form one node; verified pairs link nodes; the classes are the components.
 
@@ -28,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.components import components
+from tidemark.llm.ngram_join import across, parity, signature
 from tidemark.llm.pairing import with_texts
 from tidemark.llm.shared import cut, free_name, let_go, table, trimmed
 from tidemark.llm.textnum import encode, jaccard_reaches, mix, runs, series, shingle_set, words, words_of
@@ -35,7 +41,8 @@ from tidemark.llm.textnum import encode, jaccard_reaches, mix, runs, series, shi
 LEAST, RUN, REACH, GRAM, PERCENT = 50, 40, 10, 3, 75
 BANDS, ROWS = 6, 2
 _PERM = series(BANDS * ROWS, 77) | np.uint64(1)
-_SALT = series(BANDS + 1, 91)
+_SALT = series(BANDS + 2, 91)
+_AROUND = series(LEAST, 93) | np.uint64(1)
 ENTRY = np.dtype([("k", "<u8"), ("d", "<i8"), ("p", "<u4"), ("l", "<u4")])
 #: Entries that a scope holds, about 24 MB, and that a bucket holds on average.
 SCOPE, BUCKET = 1_000_000, 250_000
@@ -78,7 +85,7 @@ def entries(doc: int, raw: bytes, start: np.ndarray, h: np.ndarray) -> np.ndarra
     first, after = line_bounds(raw, start)
     e = np.empty(len(a) + BANDS * len(first), ENTRY)
     e["d"] = doc
-    e["k"][: len(a)], e["p"][: len(a)], e["l"][: len(a)] = mix(runs(h, RUN)[a] + _SALT[-1]), a, 0
+    e["k"][: len(a)], e["p"][: len(a)], e["l"][: len(a)] = mix(runs(h, RUN)[a] + _SALT[BANDS]), a, 0
     if len(first):
         e["k"][len(a) :] = line_keys(h, first, after).ravel()
         e["p"][len(a) :], e["l"][len(a) :] = np.repeat(first, BANDS), np.repeat(after - first, BANDS)
@@ -132,7 +139,19 @@ def _scan(buckets: int):
         if held:
             yield emit(held)
 
-    return run
+    def again(frames):
+        held, total = [], 0
+        for f in frames:
+            for blob in f.more:
+                held.append(np.frombuffer(blob, ENTRY))
+                total += len(held[-1])
+                if total >= SCOPE:
+                    yield emit(held)
+                    held, total = [], 0
+        if held:
+            yield emit(held)
+
+    return run, again
 
 
 def _bucket(f: pd.DataFrame) -> pd.DataFrame:
@@ -182,36 +201,162 @@ def _chars(raw: bytes) -> np.ndarray:
     return np.concatenate(([0], np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)))
 
 
+def apart(x: np.ndarray, y: np.ndarray, exact: np.ndarray, found) -> np.ndarray:
+    """The exact meets (place in x, in y) of which not all 50-word windows around are verified to be equal."""
+    p, q = exact[:, 0], exact[:, 2]
+    ok, side = np.zeros(len(p), bool), LEAST - RUN
+    for a, b, f, g in found:
+        if b - a == g - f:
+            ok |= (p - q == a - f) & ((p - side >= a) | ((a == 0) & (f == 0) & (p >= 0))) & ((p + LEAST <= b) | ((b == len(x)) & (g == len(y)) & (p + RUN <= b)))
+    return np.stack([p[~ok], q[~ok]], 1)
+
+
+def around(doc: int, h: np.ndarray, at: np.ndarray, known=()) -> np.ndarray:
+    """Entries of the windows of LEAST words that hold the runs at these places, but for those inside known spans."""
+    w = np.unique(at[:, None] - np.arange(LEAST - RUN + 1)[None])
+    w = w[(w >= 0) & (w + LEAST <= len(h))]
+    for f, g in known:
+        w = w[(w < f) | (w + LEAST > g)]
+    out = np.zeros(len(w), ENTRY)
+    if len(w):
+        out["k"] = mix(mix((h[w[:, None] + np.arange(LEAST)[None]] * _AROUND).sum(1, dtype=np.uint64)) + _SALT[BANDS + 1])
+        out["d"], out["p"] = doc, w
+    return out
+
+
+def line_id(doc: int, p: int) -> int:
+    return int(mix(mix(np.array([doc], np.int64).view(np.uint64)) + np.uint64(p)).view(np.int64)[0])
+
+
+def line_row(doc: int, h: np.ndarray, p: int, n: int, up: int) -> tuple:
+    """Of a paragraph: document, place, words, shingles, signature, the like it has before it (or itself), id, band keys and parities of its set."""
+    s = shingle_set(h[p : p + n])
+    keys = line_keys(h, np.array([p]), np.array([p + n]))
+    return doc, p, n, len(s), signature(s), up, line_id(doc, p), 0, 2, keys.tobytes() + parity(s)
+
+
 def _judge(hub_text):
     raw = encode(hub_text)
     s, e, x = words(raw)
     at: list = []
+    told: set = set()
+
+    def crowds(hub, member, y, meets, found):
+        out = []
+        left = apart(x, y, meets[meets[:, 1] == 0], found)
+        if len(left):
+            blobs = [around(member, y, np.unique(left[:, 1]), [(f, g) for a, b, f, g in found if b - a == g - f])]
+            if fresh := set(left[:, 0].tolist()) - told:
+                told.update(fresh)
+                r = runs(x, RUN)
+                blobs.append(around(hub, x, np.flatnonzero(np.isin(r, r[sorted(fresh)]))))
+            if blob := b"".join(b.tobytes() for b in blobs):
+                out.append((0, 0, 0, 0, 0, 0, 0, 0, 1, blob))
+        alike = set(found)
+        for p, m, q, n in np.unique(meets[(meets[:, 1] > 0) & (meets[:, 3] > 0)], axis=0).tolist():
+            if m == n and (x[p : p + m] == y[q : q + n]).all():
+                continue
+            if (p, m) not in told:
+                told.add((p, m))
+                out.append(line_row(hub, x, p, m, line_id(hub, p)))
+            out.append(line_row(member, y, q, n, line_id(hub, p) if (p, p + m, q, q + n) in alike else line_id(member, q)))
+        return out
 
     def look(hub, member, text, note):
         own = encode(text)
         ms, me, y = words(own)
-        found = common_spans(x, y, np.frombuffer(bytes.fromhex(bytes(note).decode()), MEET).reshape(-1, 4).astype(np.int64))
+        meets = np.frombuffer(bytes.fromhex(bytes(note).decode()), MEET).reshape(-1, 4).astype(np.int64)
+        found = common_spans(x, y, meets)
+        more = crowds(hub, member, y, meets, found)
         if not found:
-            return []
+            return more
         if not at:
             at.append(_chars(raw))
         c, d = at[0], _chars(own)
-        return [(hub, int(c[s[a]]), int(c[e[b - 1]]), b - a, member, int(d[ms[f]]), int(d[me[g - 1]]), g - f) for a, b, f, g in found]
+        return [(hub, int(c[s[a]]), int(c[e[b - 1]]), b - a, member, int(d[ms[f]]), int(d[me[g - 1]]), g - f, 0, None) for a, b, f, g in found] + more
 
     return look
 
 
+JUDGED = "a long, a_start long, a_end long, a_words long, b long, b_start long, b_end long, b_words long, kind int, more binary"
+
+
+def _met(frames):
+    for f in frames:
+        meet = f[["p", "l", "q", "n"]].to_numpy().astype(MEET)
+        yield pd.DataFrame({"hub": f.hub, "member": f.member, "meet": pd.Series([m.tobytes().hex() for m in meet], dtype=object)})
+
+
+def _line_keys_of(frames):
+    for f in frames:
+        yield pd.DataFrame({"s": np.repeat(f.s.to_numpy(), BANDS), "k": np.concatenate([np.frombuffer(m[: 8 * BANDS], np.int64) for m in f.more] or [np.zeros(0, np.int64)])})
+
+
+def _verified(meets: DataFrame, docs: DataFrame, name: str) -> DataFrame:
+    """What _judge says of the pairs of documents with these meets."""
+    pairs = meets.where("hub < member").groupBy("hub", "member").agg(F.concat_ws("", F.collect_list("meet")).cast("binary").alias("note"))
+    return cut(with_texts(cut(pairs, f"{name}_pairs", "zstd"), docs, _judge, JUDGED), name)
+
+
+def _lines(judged: DataFrame):
+    """The paragraphs that differ from one they met (one row per place and like before it), and of each set the first paragraph: doc, p, l, s, n, id, more."""
+    rows = judged.where("kind = 2").select(F.col("a").alias("doc"), F.col("a_start").alias("p"), F.col("a_end").alias("l"), F.col("a_words").alias("n"), F.col("b").alias("s"), F.col("b_start").alias("up"), F.col("b_end").alias("id"), "more")
+    first = rows.groupBy("s").agg(F.min(F.struct("doc", "p", "l", "id", "n", "more")).alias("x")).select("s", "x.*")
+    return rows.select("doc", "p", "l", "s", "up", "id").distinct(), cut(first, "first_lines")
+
+
+def _named(rows: DataFrame, first: DataFrame) -> DataFrame:
+    """sig and component of each set of shingles; sets that have no like before them are their own, but for the first of a component."""
+    links = cut(rows.where("up <> id").select("up", F.col("s").alias("b"), "id"), "up")
+    ids = rows.select(F.col("id").alias("up"), F.col("s").alias("a")).distinct()
+    label = components(links.join(ids, "up").select("a", "b"))
+    gone = links.select("id", F.lit(True).alias("gone")).distinct()
+    all_ = first.select("s", "doc", "id").join(gone, "id", "left").join(label.withColumnRenamed("node", "s"), "s", "left")
+    all_ = cut(all_.select("s", "doc", F.coalesce("gone", F.lit(False)).alias("gone"), F.coalesce("component", "s").alias("c")), "sets")
+    base = all_.groupBy("c").agg(F.min_by("s", F.struct("gone", "doc", "s")).alias("base"))
+    return cut(all_.join(base, "c").select(F.col("s").alias("sig"), F.when(F.col("gone"), F.col("base")).otherwise(F.col("s")).alias("component")), "named")
+
+
+def _crowds(judged: DataFrame, docs: DataFrame, again, buckets: int) -> DataFrame:
+    """What is found of those that met the first of a key only: see Crowds above."""
+    scan = judged.where("kind = 1").select("more").mapInPandas(trimmed(again), "bucket long, blob binary, hub long, member long, meet string")
+    meets = scan.groupBy("bucket").applyInPandas(_bucket, "hub long, member long, meet string")
+    rows, first = _lines(judged)
+    first_of = first.select("s", F.col("doc").alias("hub"), F.col("p").alias("fp"), F.col("l").alias("fl"))
+    same = rows.select("doc", "p", "l", "s").distinct().join(first_of, "s").where("hub < doc").select("hub", F.col("fp").alias("p"), F.col("fl").alias("l"), F.col("doc").alias("member"), F.col("p").alias("q"), F.col("l").alias("n"))
+    same = same.mapInPandas(_met, "hub long, member long, meet string")
+    keys = first.select("s", "more").mapInPandas(_line_keys_of, "s long, k long").distinct()
+    keys = keys.join(keys.groupBy("k").count().where("count > 2").select("k"), "k")
+    hot = cut(keys.join(first.select("s", "n"), "s").select("k", "s", "n", F.lit(0).cast("long").alias("p")), "hot")
+    sets = cut(first.select(F.col("s").alias("sig"), F.expr(f"substring(more, {8 * BANDS + 1})").alias("bits")), "bits")
+    x = first.select(F.col("s").alias("a"), F.col("doc").alias("da"), F.col("p").alias("pa"), F.col("l").alias("la"))
+    y = first.select(F.col("s").alias("b"), F.col("doc").alias("db"), F.col("p").alias("pb"), F.col("l").alias("lb"))
+
+    def meets_of(pairs):
+        u, v = F.struct(F.col("da").alias("d"), F.col("pa").alias("p"), F.col("la").alias("l")), F.struct(F.col("db").alias("d"), F.col("pb").alias("p"), F.col("lb").alias("l"))
+        both = pairs.join(x, "a").join(y, "b").where("da <> db").select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v"))
+        return both.select(F.col("u.d").alias("hub"), F.col("u.p").alias("p"), F.col("u.l").alias("l"), F.col("v.d").alias("member"), F.col("v.p").alias("q"), F.col("v.l").alias("n")).mapInPandas(_met, "hub long, member long, meet string")
+
+    likely = cut(across(hot, _named(rows, first), sets, PERCENT, True), "likely")
+    second = _verified(meets.union(same).union(meets_of(likely)), docs, "second")
+    rows = rows.union(_lines(second)[0])
+    late = cut(across(hot, _named(rows, first), sets, PERCENT, False).join(likely, ["a", "b"], "left_anti"), "late")
+    return second if late.isEmpty() else second.union(_verified(meets_of(late), docs, "third"))
+
+
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row per repeated passage of a document: doc_id, start, n_chars (code points), n_words (about, where spans overlap), class_id,
     first_doc (smallest doc_id of the class) and removed (false for the first occurrence, which stays)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
     size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
     buckets = max(4, size // (40 * BUCKET))
-    scan = docs.mapInPandas(trimmed(_scan(buckets)), "bucket long, blob binary, hub long, member long, meet string")
+    scanned, again = _scan(buckets)
+    scan = docs.mapInPandas(trimmed(scanned), "bucket long, blob binary, hub long, member long, meet string")
     meets = scan.groupBy("bucket").applyInPandas(_bucket, "hub long, member long, meet string")
-    pairs = meets.where("hub < member").groupBy("hub", "member").agg(F.concat_ws("", F.collect_list("meet")).cast("binary").alias("note"))
-    pairs = cut(pairs, "pairs", "zstd")
-    spans = cut(with_texts(pairs, docs, _judge, "a long, a_start long, a_end long, a_words long, b long, b_start long, b_end long, b_words long"), "spans").distinct()
+    judged = _verified(meets, docs, "judged")
+    if not judged.where("kind > 0").isEmpty():
+        judged = judged.union(_crowds(judged, docs, again, buckets))
+    spans = cut(judged.where("kind = 0").drop("kind", "more").distinct(), "spans")
     sides = spans.select(F.col("a").alias("doc_id"), F.col("a_start").alias("s"), F.col("a_end").alias("e"), F.col("a_words").alias("n"), F.lit(False).alias("removed")).union(
         spans.select("b", "b_start", "b_end", "b_words", F.lit(True))).distinct()
 
