@@ -125,3 +125,26 @@ def test_components(spark, one_task):
     rows = got.collect()
     assert {r.node: r.component for r in rows} == {x: find(x) for x in linked} and len(rows) == len(linked)
     assert components.components(spark.createDataFrame([], "a long, b long"), one_task).count() == 0
+
+
+def thue_morse(k, a="a", b="b"):
+    for _ in range(k):
+        a, b = a + b, b + a
+    return a, b
+
+
+def test_long_words_that_power_sums_confuse(spark):
+    for k in (5, 6, 10, 11, 12):
+        x, y = thue_morse(k)
+        assert textnum.words(x.encode())[2] != textnum.words(y.encode())[2]
+        assert textnum.words(x.upper().encode())[2] == textnum.words(x.encode())[2]
+    x, y = thue_morse(11)
+    check(spark.createDataFrame([(1, x), (2, y), (3, x.upper())], "doc_id long, text string"))
+
+
+def test_rows_of_one_id_with_different_texts(spark):
+    rng = random.Random(3)
+    a, b = invented(rng, 40), invented(rng, 40)
+    df = spark.createDataFrame([(5, a), (5, b), (5, a), (2, b), (9, a), (None, a), (7, None), (7, "")], "doc_id long, text string")
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(df.repartition(4)).collect()), key=str)
+    assert got == sorted([(5, 36, 5), (5, 36, 2), (5, 36, 5), (2, 36, 2), (9, 36, 5), (None, 36, None), (7, 0, 7), (7, 0, 7)], key=str)

@@ -150,3 +150,25 @@ def test_runs_whose_first_is_another(spark):
     for parts in (1, 4):
         got = sd.repeated_passages(docs.repartition(parts)).collect()
         assert [(r.doc_id, r.n_words) for r in got if r.removed] == [(3, 51)]
+
+
+def test_rows_of_one_id_are_judged_each_by_its_text(spark):
+    rng = random.Random(31)
+    passage, unique = invented(rng, 60), invented(rng, 90)
+    rows = [(5, unique), (5, passage + " " + invented(rng, 20)), (3, passage), (9, passage), (None, passage), (7, None), (7, unique), (7, unique)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], SCHEMA).repartition(3)
+    out = sorted(((r.doc_id, r.text) for r in sd.without_repeats(docs).collect()), key=str)
+    left = [t for i, t in out if i == 5]
+    assert unique in left and len(left) == 2 and all(passage not in t for t in left) or left == [unique, rows[1][1]]
+    assert (3, passage) in out and (None, passage) in out and (7, None) in out
+    assert sum(passage in (t or "") for i, t in out if i is not None) == 1 and sum(unique in (t or "") for i, t in out) == 1
+
+
+def test_hot_class(spark, monkeypatch):
+    from tidemark.llm import shared
+
+    df = spark.createDataFrame([(k % 3 if k % 2 else 0, k) for k in range(200)], "c long, v long")
+    facts = spark.createDataFrame([(0, "a"), (1, "b")], "c long, f string")
+    want = sorted(df.join(facts, "c").collect())
+    for hot in (1, 30, 1000):
+        assert sorted(shared.with_each(df, facts, "c", hot).select("c", "v", "f").collect()) == want

@@ -99,3 +99,18 @@ def test_large_ids_stay_exact(spark):
     big = (1 << 62) + 1
     docs = spark.createDataFrame([(big, "a b", None, None, None), (None, "c", None, None, None), (big + 1, "", None, None, None)], SCHEMA).coalesce(1)
     assert {r.doc_id for r in packing.packed(docs).collect()} == {big, big + 1, None}
+
+
+def test_long_groups_and_growing_table():
+    x, y = "a", "b"
+    for _ in range(11):
+        x, y = x + y, y + x
+    rng = random.Random(4)
+    texts = [x, y, f"{x} {y}", y.upper(), *(invented(rng, 3000) for _ in range(6))]
+    assert tokens.encoder().encode(texts) == plain(texts)
+    first = tokens.Encoder(remembered=1 << 14)
+    first.at_first = 64
+    first._forget()
+    for t in texts:
+        assert first.encode([t]) == plain([t])
+    assert first.room >= first.n

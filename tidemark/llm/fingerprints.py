@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.language_id import code_points
-from tidemark.llm.shared import cut, table
+from tidemark.llm.shared import about_chars, cut, table
 from tidemark.llm.textnum import mix, series
 
 K, S, BINS, DIGITS = 20, 6, 128, 6
@@ -165,7 +165,7 @@ def fingerprints(docs: DataFrame, range_chars: int = RANGE_CHARS) -> DataFrame:
     Texts are shuffled once, to ranges of doc_id; the first document of each range also goes to the range before (that of the
     first range to the last), so that every document meets the next one."""
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias("key"), "text")
-    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    size = about_chars(docs)
     ranges = int(min(RANGES, max(1, size // range_chars)))
     splits = np.array(sorted(set(docs.approxQuantile("key", [k / ranges for k in range(1, ranges)], 0.2 / ranges))) if ranges > 1 else [], np.int64)
 

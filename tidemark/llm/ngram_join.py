@@ -15,8 +15,9 @@ Two texts link when 100 * |A & B| >= 75 * |A | B| for their sets of 5-word shing
    likeliest of the others, then, with new components, all that still lie apart, as do the other candidates. Each pair is
    verified once at most; none that could join two components is left out, and pairs inside one can't change them.
 
-Rows per document: a text without words has no shingles and is linked with nothing; so is a null text. Repeated rows and
-repeated ids are kept; a null doc_id keeps its row, with a null component. Other columns of the input are ignored."""
+Rows per document: a text without words has no shingles and is linked with nothing; so is a null text. Repeated rows are
+kept; rows of one doc_id with different texts are documents of their own. A null doc_id keeps its row, with a null component.
+Very long texts are worked off in pieces. Other columns of the input are ignored; an empty table gives an empty one."""
 
 from __future__ import annotations
 
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
 from tidemark.llm.pairing import with_texts
-from tidemark.llm.shared import as_text, cut, let_go, longs, table, trimmed
+from tidemark.llm.shared import as_text, cut, doc_of, keyed, let_go, longs, small, table, trimmed, with_each
 from tidemark.llm.textnum import jaccard_reaches, mix, shingle_list, shingle_set, words, words_of
 
 #: Shingles that a scope holds before it reports, about 16 MB.
@@ -326,6 +327,17 @@ def across(hot: DataFrame, named: DataFrame, classes: DataFrame, percent: int, b
 
 def jaccard_components(docs: DataFrame, percent: int = 75) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links) for each row of docs (doc_id, text)."""
+    rows, extra = keyed(docs.select("doc_id", "text"), "key")
+    found = components_by_key(rows.select(F.col("key").alias("doc_id"), "text"), percent)
+    if extra is None:
+        return found
+    found = doc_of(cut(found, "by_key"), "doc_id", extra).withColumnRenamed("component_id", "c")
+    low = found.groupBy("c").agg(F.min("doc_id").alias("component_id"))
+    return with_each(found.where("c is not null"), low, "c").drop("c").unionByName(found.where("c is null").withColumnRenamed("c", "component_id"))
+
+
+def components_by_key(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """The same for rows of which those with one doc_id have one text."""
     survey = cut(docs.select(as_text("doc_id"), "text").mapInPandas(trimmed(_survey), "doc_id long, n long, sig long, bits binary, h long, c long"), "survey")
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = survey.where("n >= 0")

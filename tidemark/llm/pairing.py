@@ -8,11 +8,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import cut, let_go, trimmed
+from tidemark.llm import shared
+from tidemark.llm.shared import cut, let_go, small, trimmed
 
 BLOCK = 64
-#: Up to so many needs without notes, or ids of needed documents, (40 bytes each at most) are sent to all tasks; more are joined by shuffle.
-SENT = 1_000_000
 
 
 def with_texts(pairs: DataFrame, docs: DataFrame, judge, schema: str, noted: bool = True) -> DataFrame:
@@ -26,12 +25,11 @@ def with_texts(pairs: DataFrame, docs: DataFrame, judge, schema: str, noted: boo
         pairs.select(F.col("hub").alias("id"), "hub", "block", F.lit(0).alias("role"), F.lit(None).cast("binary").alias("note")).distinct()
     )
     if not noted:
-        needs = cut(needs, "needs")
-        needs = F.broadcast(needs) if needs.count() <= SENT else needs
+        needs = small(cut(needs, "needs"))
     docs = docs.select(F.col("doc_id").alias("id"), "text")
     if noted:
         ids = cut(needs.select("id").distinct(), "ids")
-        docs = docs.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= SENT else docs
+        docs = docs.join(F.broadcast(ids), "id", "left_semi") if ids.count() <= shared.SENT else docs
     rows = docs.join(needs, "id")
     rows = rows.repartition("hub", "block").sortWithinPartitions("hub", "block", "role", "id")
 

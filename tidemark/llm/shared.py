@@ -49,6 +49,15 @@ def as_text(column: str):
     return F.col(column).cast("long").cast("string").alias(column)
 
 
+def about_chars(docs: DataFrame) -> int:
+    """Roughly how many characters the texts have, for numbers of buckets and ranges: twice the size of the files read, or else their sum."""
+    leaves = docs._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    if sizes and sum(sizes) < 1 << 60:
+        return 2 * sum(sizes)
+    return docs.agg(F.sum(F.length("text"))).first()[0] or 0
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """The name, or one made from it, that is no column of df."""
     while name.lower() in {c.lower() for c in df.columns}:
@@ -56,6 +65,56 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+#: Tables up to so many rows of a few numbers (some 40 MB at most) are sent to all tasks; larger ones are joined by shuffle.
+SENT = 1_000_000
+
+
+def small(df: DataFrame, most: int = SENT) -> DataFrame:
+    """A written table, marked to be sent to all tasks if it is short enough."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
+def keyed(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """docs with a number that tells rows of different texts apart, and a table (key, doc_id) of the keys that are no doc_id (or None).
+
+    The key is doc_id. Of a doc_id that has several texts the one with the least hash keeps it; the others get numbers beyond all ids.
+    A null doc_id has no key. Rows of one doc_id and one text share theirs."""
+    own, text = F.col("doc_id").cast("long"), F.xxhash64("text")
+    often = cut(docs.where("doc_id is not null").groupBy(own.alias("id")).count().where("count > 1").select("id"), "often")
+    if often.isEmpty():
+        return docs.withColumn(key, own), None
+    ids = docs.select(own.alias("id"), text.alias("h")).join(small(often), "id", "left_semi").groupBy("id").agg(F.min("h").alias("low"), F.max("h").alias("high"))
+    again = cut(ids.where("low <> high").select("id", "low"), "again")
+    if again.isEmpty():
+        return docs.withColumn(key, own), None
+    texts = docs.select(own.alias("id"), text.alias("h")).join(small(again), "id").where("h <> low").select("id", "h").distinct()
+    low, high = docs.agg(F.min(own), F.max(own)).first()
+    number = F.monotonically_increasing_id()
+    beyond = F.lit(high) + 1 + number if high < 1 << 62 else F.lit(low) - 1 - number if low > -(1 << 62) else F.xxhash64("id", "h", F.lit(key))
+    extra = cut(texts.withColumn("s", beyond), "extra")
+    names = {c: free_name(docs, f"_{c}") for c in ("id", "h", "s")}
+    rows = docs.join(small(extra.withColumnsRenamed(names)), (own == F.col(names["id"])) & (text == F.col(names["h"])), "left")
+    return rows.withColumn(key, F.coalesce(names["s"], own)).drop(*names.values()), extra.select(F.col("s").alias("key"), F.col("id").alias("doc_id"))
+
+
+def doc_of(df: DataFrame, column: str, extra: DataFrame | None) -> DataFrame:
+    """df with the doc_id of each key in place of the key."""
+    if extra is None:
+        return df
+    at = small(extra.select(F.col("key").alias("_key"), F.col("doc_id").alias("_doc_of")))
+    return df.join(at, F.col(column) == F.col("_key"), "left").withColumn(column, F.coalesce("_doc_of", column)).drop("_key", "_doc_of")
+
+
+def with_each(df: DataFrame, facts: DataFrame, key: str, hot: int = 2_000) -> DataFrame:
+    """df joined with one row of facts per key. Keys with more than `hot` rows don't meet in one task: their facts are sent to all."""
+    often = cut(df.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > hot).select(key), "hot")
+    if often.isEmpty():
+        return df.join(facts, key)
+    sent = small(often)
+    some = cut(facts.join(sent, key, "left_semi"), "hot_facts")
+    return df.join(sent, key, "left_anti").join(facts, key).unionByName(df.join(small(some), key))
+
+
 def longs(values) -> pd.api.extensions.ExtensionArray:
     """Whole numbers, or their text, or None, exactly."""
     return pd.array([None if v is None else int(v) for v in values], dtype="Int64")

@@ -20,22 +20,22 @@ Removal. A verified span is removed from the document with the larger doc_id, so
 of a document form one node; verified pairs link nodes; the classes are the components.
 
 Null and empty texts have no units. Repeats inside one document are left alone as long as no earlier document has the
-passage; else every place of it is removed. Rows with a null doc_id, and rows whose
-doc_id occurs before with the same text, take part in nothing. Other columns of the input are ignored by the search."""
+passage; else every place of it is removed. Rows with a null doc_id take part in nothing. Rows of one doc_id and one text count
+as one document; of one doc_id with different texts each is a document of its own, the one with the least hash of its text standing at the place of its
+doc_id in the order and the others behind all. Other columns of the input are ignored by the search; an empty table gives an empty one."""
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.llm.components import components
 from tidemark.llm.ngram_join import across, parity, signature
 from tidemark.llm.pairing import with_texts
-from tidemark.llm.shared import cut, free_name, let_go, table, trimmed
+from tidemark.llm.shared import about_chars, cut, doc_of, free_name, keyed, let_go, table, trimmed, with_each
 from tidemark.llm.textnum import encode, jaccard_reaches, mix, runs, series, shingle_set, words, words_of
 
 LEAST, RUN, REACH, GRAM, PERCENT = 50, 40, 10, 3, 75
@@ -346,9 +346,15 @@ def _crowds(judged: DataFrame, docs: DataFrame, again, buckets: int) -> DataFram
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row per repeated passage of a document: doc_id, start, n_chars (code points), n_words (about, where spans overlap), class_id,
-    first_doc (smallest doc_id of the class) and removed (false for the first occurrence, which stays)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where("doc_id is not null and text is not null")
-    size = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    first_doc (first document of the class) and removed (false for the first occurrence, which stays)."""
+    rows, extra = keyed(docs.select("doc_id", "text"), "key")
+    return doc_of(doc_of(passages_by_key(rows.select(F.col("key").alias("doc_id"), "text")), "doc_id", extra), "first_doc", extra)
+
+
+def passages_by_key(docs: DataFrame) -> DataFrame:
+    """The same for rows of which those with one doc_id have one text."""
+    docs = docs.where("doc_id is not null and text is not null")
+    size = about_chars(docs)
     buckets = max(4, size // (40 * BUCKET))
     scanned, again = _scan(buckets)
     scan = docs.mapInPandas(trimmed(scanned), "bucket long, blob binary, hub long, member long, meet string")
@@ -377,36 +383,32 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     rows = rows.join(label, rows.whole == label.node).select("doc_id", F.col("s").alias("start"), (F.col("e") - F.col("s")).alias("n_chars"), F.col("n").alias("n_words"), F.col("component").alias("class_id"), "removed")
     rows = cut(rows, "passages")
     first = rows.groupBy("class_id").agg(F.min("doc_id").alias("first_doc"))
-    return rows.join(first, "class_id").select("doc_id", "start", "n_chars", "n_words", "class_id", "first_doc", "removed")
-
+    return with_each(rows, first, "class_id").select("doc_id", "start", "n_chars", "n_words", "class_id", "first_doc", "removed")
 
-@F.pandas_udf(T.StringType())
-def _without(text: pd.Series, spans: pd.Series) -> pd.Series:
-    def one(t, found):
-        if t is None or found is None or not len(found):
-            return t
-        out, at = [], 0
-        for start, n in sorted((int(x["start"]), int(x["n_chars"])) for x in found):
-            out.append(t[at:start])
-            at = start + n
-        return "".join([*out, t[at:]])
 
-    return pd.Series([one(t, f) for t, f in zip(text, spans, strict=True)])
+def without(text: str, spans: str) -> Column:
+    """The text without these spans (start, n_chars), which don't overlap and come in order."""
+    ends = F.transform(spans, lambda x: (x.start + x.n_chars).cast("int"))
+    starts = F.transform(spans, lambda x: x.start.cast("int"))
+    pieces = F.zip_with(F.concat(F.array(F.lit(0)), ends), F.concat(starts, F.array(F.length(text))), lambda a, b: F.substring(F.col(text), a + 1, b - a))
+    return F.array_join(pieces, "")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """docs with the removed passages cut out of text and n_chars counted anew; a document of which only white space is left goes.
 
     All other columns and rows stay as they are, null texts and ids too."""
-    doc, spans = free_name(docs, "_doc"), free_name(docs, "_spans")
-    gone = repeated_passages(docs).where("removed").groupBy(F.col("doc_id").alias(doc)).agg(F.collect_list(F.struct("start", "n_chars")).alias(spans))
-    gone = cut(gone, "gone")
-    out = docs.join(gone, docs.doc_id == gone[doc], "left")
-    whole = F.col(spans).isNull()
-    out = out.withColumn("text", F.when(whole, F.col("text")).otherwise(_without("text", spans)))
-    out = out.where(whole | F.col("text").rlike(r"\S"))
+    key, doc, spans = (free_name(docs, n) for n in ("_key", "_doc", "_spans"))
+    rows, _ = keyed(docs, key)
+    found = passages_by_key(rows.select(F.col(key).alias("doc_id"), "text")).where("removed")
+    gone = cut(found.groupBy(F.col("doc_id").alias(doc)).agg(F.array_sort(F.collect_list(F.struct("start", "n_chars"))).alias(spans)), "gone")
+    out = rows.join(gone, rows[key] == gone[doc], "left")
+    # a generator, so that the text is made once: a filter behind a plain column would make it again
+    left = F.when(F.col(spans).isNull(), F.array(F.struct(F.col("text").alias("t"), F.lit(False).alias("c")))).otherwise(F.array(F.struct(without("text", spans).alias("t"), F.lit(True).alias("c"))))
+    made = free_name(docs, "_made")
+    out = out.withColumn(made, F.explode(left)).where(~F.col(made).c | F.col(made).t.rlike(r"\S")).withColumn("text", F.col(made).t)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+        out = out.withColumn("n_chars", F.when(F.col(made).c, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 

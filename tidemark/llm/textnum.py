@@ -1,15 +1,19 @@
 """Words and shingles of many texts at once as numpy arrays of 64-bit hashes.
 
-A word is `[^\\x20\\x09-\\x0D]+` after A-Z are lower-cased. Hashes are of 64 bits:
-among n different shingles two share one with a probability below n*n / 2**65.
+A word is `[^\\x20\\x09-\\x0D]+` after A-Z are lower-cased. Hashes are of 64 bits: among n different words or shingles two
+share one with a probability of about n*n / 2**65, 3e-8 for a million, 3 % for a thousand million. A word of up to LONG bytes is hashed as a sum of powers; in longer
+ones such sums collide by construction (words of a thousand letters that swap two letters in the order of Thue and Morse do), so these are hashed by BLAKE2.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 CHUNK = 1 << 19
 WIDTH = 5
+LONG = 32
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -44,6 +48,14 @@ def _up_to(n: int) -> list[np.ndarray]:
     return _powers
 
 
+def digest(raw: bytes) -> int:
+    """64 bits of a real hash, for what is too long for a sum of powers."""
+    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little")
+
+
+_LOW = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
+
+
 def _piece(a: np.ndarray, space: np.ndarray = _SPACE, heads: tuple[int, ...] = ()) -> tuple[np.ndarray, ...]:
     ink = ~space[a]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], ink, [False])).astype(np.int8)))
@@ -55,6 +67,8 @@ def _piece(a: np.ndarray, space: np.ndarray = _SPACE, heads: tuple[int, ...] = (
     total[0] = 0
     np.cumsum(_BYTE[a] * up[: len(a)], out=total[1:])
     out = [mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))]
+    for k in np.flatnonzero(end - start > LONG).tolist():
+        out[0][k] = digest(a[start[k] : end[k]].tobytes().translate(_LOW))
     for n in heads:
         long = start[end - start > n]
         out.append(mix((total[long + n] - total[long]) * down[long] + np.uint64(n + 1_000_000)))

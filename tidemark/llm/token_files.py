@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.packing import framed, narrow, wide, with_bases
-from tidemark.llm.shared import as_text, cut, new_path, table, trimmed
+from tidemark.llm.shared import about_chars, as_text, cut, new_path, table, trimmed
 from tidemark.llm.tokens import encoder
 
 MAGIC, END, BLOCK = b"TMPLANE1", 2, 65_536
@@ -186,7 +186,7 @@ def write_files(docs: DataFrame, folder: str, end: int = END, path: str | None =
     """Writes docs (doc_id, text) to files in folder; returns their list: part, docs, n (ids)."""
     whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
     docs = docs.select(as_text("doc_id"), "text")
-    files = max(1, (docs.agg(F.sum(F.length("text"))).first()[0] or 0) // file_chars)
+    files = max(1, about_chars(docs) // file_chars)
     splits = sorted(set(whole.where("doc_id is not null").approxQuantile("doc_id", [k / files for k in range(1, files)], 0.2 / files))) if files > 1 else []
     ids = docs.mapInPandas(trimmed(_encode(path, end, np.array(splits, np.int64))), "part long, doc_id long, tie long, n long, ids binary")
     ids = ids.repartition(files, "part").sortWithinPartitions("part", "doc_id", "tie")

@@ -4,7 +4,8 @@ The vocabulary's rules cut a text into groups that are encoded each for itself:
 of other marks; white space parts them and is dropped. A text of common letters and marks (Latin, Greek, Cyrillic, general
 punctuation; composed, lower case letter by letter) is cut and hashed as numpy arrays, and a group's ids are looked up by its 64-bit
 hash; the library encodes each group the first time. Any other text, and one that might hold a special token, goes through the
-library whole. Two groups share a hash with a probability below 1e-12 in a table of a million.
+library whole. Groups of up to LONG letters are hashed as sums of powers, longer ones by BLAKE2 (see textnum); in a full table of a
+million groups two share a hash with a probability of about 3e-8.
 
 `split` must be left off for vocabularies with other rules; then the library encodes every text whole."""
 
@@ -15,11 +16,11 @@ import unicodedata
 
 import numpy as np
 
-from tidemark.llm.textnum import _up_to, mix, series
+from tidemark.llm.textnum import LONG, _up_to, digest, mix, series
 
 VOCABULARY = "word_bpe_49k.json"
-#: Groups that a worker remembers (about 50 bytes each); a full table starts anew.
-REMEMBERED = 1 << 20
+#: Groups that a worker remembers at most (about 50 bytes each), and at first; a full table starts anew.
+REMEMBERED, AT_FIRST = 1 << 20, 1 << 15
 #: Code points per pass.
 PASS = 1 << 18
 TOP = 0x2100
@@ -61,7 +62,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.inner = Tokenizer.from_file(path or vocabulary_path())
-        self.split, self.remembered = split, remembered
+        self.split, self.most, self.at_first = split, remembered, min(AT_FIRST, remembered)
         if split:
             self.ends = np.zeros(self.inner.get_vocab_size(), bool)
             self.ends[[i for t, i in self.inner.get_vocab().items() if t.endswith("</w>")]] = True
@@ -70,10 +71,16 @@ class Encoder:
             self._forget()
 
     def _forget(self) -> None:
-        self.size = 1 << (2 * self.remembered - 1).bit_length()
+        self.room = self.n = self.used = 0
+        self.hash, self.at, self.length, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+        self._widen(self.at_first)
+
+    def _widen(self, room: int) -> None:
+        """Makes room for so many groups."""
+        self.room, self.size = room, 1 << (2 * room - 1).bit_length()
         self.keys, self.place = np.zeros(self.size, np.uint64), np.zeros(self.size, np.int32)
-        self.at, self.length, self.flat = np.zeros(self.remembered, np.int32), np.zeros(self.remembered, np.int32), np.zeros(4 * self.remembered, np.uint32)
-        self.n = self.used = 0
+        self.hash, self.at, self.length = (np.concatenate([x, np.zeros(room - len(x), x.dtype)]) for x in (self.hash, self.at, self.length))
+        self._enter(self.hash[: self.n], np.arange(self.n, dtype=np.int32))
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.inner.encode_batch_fast(texts, add_special_tokens=False)]
@@ -107,8 +114,13 @@ class Encoder:
         if end > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros(max(end - len(self.flat), len(self.flat)), np.uint32)])
         self.flat[self.used : end] = ids
-        self.at[self.n : self.n + n], self.length[self.n : self.n + n] = self.used + np.cumsum(length) - length, length
-        index = np.arange(self.n, self.n + n, dtype=np.int32)
+        own = slice(self.n, self.n + n)
+        self.hash[own], self.at[own], self.length[own] = h, self.used + np.cumsum(length) - length, length
+        self._enter(h, np.arange(self.n, self.n + n, dtype=np.int32))
+        self.n, self.used = self.n + n, end
+
+    def _enter(self, h: np.ndarray, index: np.ndarray) -> None:
+        n = len(h)
         slot = (h & np.uint64(self.size - 1)).astype(np.int64)
         todo = np.arange(n)
         while len(todo):
@@ -117,7 +129,6 @@ class Encoder:
             self.keys[slot[first]], self.place[slot[first]] = h[first], index[first]
             todo = todo[self.keys[slot[todo]] != h[todo]]
             slot[todo] = (slot[todo] + 1) & (self.size - 1)
-        self.n, self.used = self.n + n, end
 
     def _arrays(self, cp: np.ndarray, ends: np.ndarray) -> list[bytes]:
         """Ids of texts laid end to end, each closed by a line feed. cp: lower-case code points; ends: places of these line feeds."""
@@ -147,17 +158,18 @@ class Encoder:
         total[0] = 0
         np.cumsum(self.code[cp] * up[: len(cp)], out=total[1:])
         h = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64)) | np.uint64(1)
+        for k in np.flatnonzero(end - start > LONG).tolist():
+            h[k] = digest(cp[start[k] : end[k]].tobytes()) | 1
         found = self._find(h)
         lost = np.flatnonzero(found < 0)
         if len(lost):
             new, first, back = np.unique(h[lost], return_index=True, return_inverse=True)
-            if self.n + len(new) > self.remembered:
+            if self.n + len(new) > max(self.room, self.most):
                 self._forget()
                 lost = np.arange(len(h))
                 new, first, back = np.unique(h, return_index=True, return_inverse=True)
-                if len(new) > self.remembered:
-                    self.remembered = 2 * len(new)
-                    self._forget()
+            if self.n + len(new) > self.room:
+                self._widen(max(2 * self.room, 2 * (self.n + len(new))))
             at = lost[first]
             groups = [cp[s:e].tobytes().decode("utf-32-le") for s, e in zip(start[at].tolist(), end[at].tolist(), strict=True)]
             base = self.n
