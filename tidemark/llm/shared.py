@@ -74,26 +74,26 @@ def small(df: DataFrame, most: int = SENT) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
-def keyed(docs: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+def keyed(docs: DataFrame, key: str, nulls: bool = False) -> tuple[DataFrame, DataFrame | None]:
     """docs with a number that tells rows of different texts apart, and a table (key, doc_id) of the keys that are no doc_id (or None).
 
     The key is doc_id. Of a doc_id that has several texts the one with the least hash keeps it; the others get numbers beyond all ids.
-    A null doc_id has no key. Rows of one doc_id and one text share theirs."""
+    A null doc_id has no key, or with `nulls` a number beyond all ids for each text. Rows of one doc_id and one text share theirs."""
     own, text = F.col("doc_id").cast("long"), F.xxhash64("text")
-    often = cut(docs.where("doc_id is not null").groupBy(own.alias("id")).count().where("count > 1").select("id"), "often")
+    often = cut(docs.groupBy(own.alias("id")).count().where(F.when(F.col("id").isNull(), F.lit(nulls)).otherwise(F.col("count") > 1)).select("id"), "often")
     if often.isEmpty():
         return docs.withColumn(key, own), None
-    ids = docs.select(own.alias("id"), text.alias("h")).join(small(often), "id", "left_semi").groupBy("id").agg(F.min("h").alias("low"), F.max("h").alias("high"))
-    again = cut(ids.where("low <> high").select("id", "low"), "again")
-    if again.isEmpty():
-        return docs.withColumn(key, own), None
-    texts = docs.select(own.alias("id"), text.alias("h")).join(small(again), "id").where("h <> low").select("id", "h").distinct()
+    texts = docs.select(own.alias("id"), text.alias("h")).join(small(often.withColumnRenamed("id", "_i")), F.col("id").eqNullSafe(F.col("_i")), "left_semi").distinct()
+    low_of = texts.where("id is not null").groupBy(F.col("id").alias("_i")).agg(F.min("h").alias("low"))
+    further = texts.join(low_of, F.col("id") == F.col("_i"), "left").where("low is null or h <> low").select("id", "h")
     low, high = docs.agg(F.min(own), F.max(own)).first()
     number = F.monotonically_increasing_id()
-    beyond = F.lit(high) + 1 + number if high < 1 << 62 else F.lit(low) - 1 - number if low > -(1 << 62) else F.xxhash64("id", "h", F.lit(key))
-    extra = cut(texts.withColumn("s", beyond), "extra")
+    beyond = number if high is None else F.lit(high) + 1 + number if high < 1 << 62 else F.lit(low) - 1 - number if low > -(1 << 62) else F.xxhash64("id", "h", F.lit(key))
+    extra = cut(further.withColumn("s", beyond), "extra")
+    if extra.isEmpty():
+        return docs.withColumn(key, own), None
     names = {c: free_name(docs, f"_{c}") for c in ("id", "h", "s")}
-    rows = docs.join(small(extra.withColumnsRenamed(names)), (own == F.col(names["id"])) & (text == F.col(names["h"])), "left")
+    rows = docs.join(small(extra.withColumnsRenamed(names)), own.eqNullSafe(F.col(names["id"])) & (text == F.col(names["h"])), "left")
     return rows.withColumn(key, F.coalesce(names["s"], own)).drop(*names.values()), extra.select(F.col("s").alias("key"), F.col("id").alias("doc_id"))
 
 
