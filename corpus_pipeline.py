@@ -3,8 +3,10 @@
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; all but the last return the columns of
 documents. `run` writes each stage's rows as Parquet to the shared folder and rereads them for the next.
 
-A null or empty text is never toxic, near or leaking: such rows pass, and are packed as an end id. Rows of one doc_id count as one
-document in the second stage. Rows with a null doc_id pass all stages (the toxicity of their text is judged)."""
+A null or empty text is never toxic, near or leaking: such rows pass, and are packed as an end id. Rows of one doc_id and one text
+count as one document in the second stage; rows of one doc_id with different texts are judged each by its text. Rows with a null doc_id pass
+the second and third stage; the toxicity and the leaks of their text are judged. Very long texts are judged whole, extra columns are kept,
+empty tables stay empty. Of a group the row with the smallest doc_id stays."""
 
 from __future__ import annotations
 
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontamination, ngram_join, packing, substring_dedup, toxicity
-from tidemark.llm.shared import cut, free_name, table
+from tidemark.llm.shared import cut, free_name, keyed, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,15 +24,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    doc = free_name(docs, "_doc")
-    found = cut(ngram_join.jaccard_components(docs).where("doc_id is not null").select(F.col("doc_id").alias(doc), (F.col("doc_id") == F.col("component_id")).alias("stays")), "groups")
+    key, doc = free_name(docs, "_key"), free_name(docs, "_doc")
+    rows, _ = keyed(docs, key)
+    found = ngram_join.components_by_key(rows.select(F.col(key).alias("doc_id"), "text")).where("doc_id is not null")
+    found = cut(found.select(F.col("doc_id").alias(doc), (F.col("doc_id") == F.col("component_id")).alias("stays")), "groups")
     dropped = found.where("not stays").select(doc).distinct()
-    kept = docs.join(dropped, docs.doc_id == dropped[doc], "left_anti")
+    kept = rows.join(dropped, rows[key] == dropped[doc], "left_anti")
     repeated = cut(found.where("stays").groupBy(doc).count().where("count > 1").select(doc), "repeated")
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, kept.doc_id == repeated[doc], "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(repeated, kept.doc_id == repeated[doc], "left_anti").unionByName(once)
+    if not repeated.isEmpty():
+        once = kept.join(repeated, kept[key] == repeated[doc], "left_semi").dropDuplicates([key])
+        kept = kept.join(repeated, kept[key] == repeated[doc], "left_anti").unionByName(once)
+    return kept.select(*docs.columns)
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,9 +42,11 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    doc = free_name(docs, "_doc")
-    found = cut(decontamination.leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(doc)).distinct(), "leaking")
-    return docs.join(found, docs.doc_id == found[doc], "left_anti")
+    key, doc = free_name(docs, "_key"), free_name(docs, "_doc")
+    rows, _ = keyed(docs, key, nulls=True)
+    found = decontamination.leaks(rows.select(F.col(key).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    found = cut(found.select(F.col("doc_id").alias(doc)).distinct(), "leaking")
+    return rows.join(found, rows[key] == found[doc], "left_anti").select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
