@@ -7,6 +7,12 @@ from tidemark.functions import sequences
 from tidemark.operators import align, coding, counts, motif, profile
 
 
+def peptide(nt):
+    """By the table of the standard code, codon by codon."""
+    code = dict(zip((a + b + c for a in "TCAG" for b in "TCAG" for c in "TCAG"), "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG", strict=True))
+    return "".join(code.get(nt[k : k + 3], "X") for k in range(0, len(nt) - 2, 3))
+
+
 def rows(df, *columns):
     return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
 
@@ -18,7 +24,7 @@ def test_upper_median_and_profiles(spark):
     scan = {r.f: (r.molecule, r.state) for r in profile.scanner_profile(df, ["f"]).collect()}
     assert scan == {"a": ("nucleotide", "aligned"), "b": ("protein", "raw"), "c": ("protein", "raw")}
     four = spark.createDataFrame([(1,), (2,), (3,), (4,)], "n int")
-    assert four.agg(profile.upper_median(F.col("n")).alias("m")).first().m == 3
+    assert four.agg(profile.upper_median("n").alias("m")).first().m == 3
     assert profile.is_genome(30000, 300) and not profile.is_genome(900, 300)
 
 
@@ -27,21 +33,50 @@ def test_cds(spark):
     seqs = ["AT", "", "ATGTAA", *("".join(rng.choice("ACGT") for _ in range(rng.randint(3, 60))) for _ in range(80))]
     got = {r.id: (r.frame, r.aa, r.nt) for r in coding.translate_cds(spark.createDataFrame(list(enumerate(seqs)), "id int, seq string"), 2).collect()}
     for i, s in enumerate(seqs):
-        frames = [(aa.count("*"), -max(map(len, aa.split("*"))), f, aa.split("*")[0]) for f in range(3) if len(s) >= f + 3 for aa in [coding.translate_text(s[f:])]]
+        frames = [(aa.count("*"), -max(map(len, aa.split("*"))), f, aa.split("*")[0]) for f in range(3) if len(s) >= f + 3 for aa in [peptide(s[f:])]]
         best = min(frames, default=None)
         assert got.get(i, (None,))[:2] == ((best[2], best[3]) if best and len(best[3]) >= 2 else (None,)), s
-        assert i not in got or coding.translate_text(got[i][2]) == got[i][1]
+        assert i not in got or peptide(got[i][2]) == got[i][1]
     assert coding.least_length(11) == 5 and coding.least_length(1) == 1 and coding.least_length(9, given=3) == 3
 
 
+def brute_orf(seq, reference, least):
+    """(frame, aa, nt, score) by all segments of all frames."""
+    def kmers(p):
+        return {p[i : i + 10] for i in range(len(p) - 9) if "X" not in p[i : i + 10]}
+
+    known, best, seq = kmers(reference), None, (seq or "").upper()
+    for frame in range(3):
+        at = frame
+        for p in peptide(seq[frame:]).split("*"):
+            if known and len(p) >= least:
+                score = len(kmers(p) & known) / len(known)
+                if score >= 0.3 and (best is None or score > best[3]):
+                    best = frame, p, seq[at : at + 3 * len(p)], score
+            at += 3 * len(p) + 3
+    return best
+
+
 def test_orfs_match_brute_force(spark):
     rng = random.Random(5)
-    gene = "".join(rng.choice("ACGT") for _ in range(240)).replace("TAA", "TCA").replace("TAG", "TCG").replace("TGA", "TCA")
-    reference = max(coding.translate_text(gene).split("*"), key=len)
-    seqs = ["C" * k + gene + "TAA" + "".join(rng.choice("ACGT") for _ in range(60)) for k in range(4)] + ["ACGT" * 20, "", None]
+
+    def bases(n):
+        return "".join(rng.choice("ACGT") for _ in range(n))
+
+    gene = bases(240).replace("TAA", "TCA").replace("TAG", "TCG").replace("TGA", "TCA")
+    reference = max(peptide(gene).split("*"), key=len)
+    seqs = ["C" * k + gene + "TAA" + bases(60) for k in range(4)] + ["ACGT" * 20, "", None, "AC"]
+    for _ in range(60):  # parts of the gene, in any frame, with changed bases and stops before and behind
+        a, b = sorted(rng.sample(range(len(gene)), 2))
+        part = list(gene[a:b])
+        for _ in range(rng.randint(0, 3)):
+            if part:
+                part[rng.randrange(len(part))] = rng.choice("ACGTN")
+        seqs.append(bases(rng.randint(0, 40)) + "".join(part) + bases(rng.randint(0, 40)) + (gene.lower() if rng.random() < 0.3 else ""))
     df = spark.createDataFrame(list(enumerate(seqs)), "id int, seq string")
-    got = {r.id: (r.frame, r.aa, r.nt) for r in coding.extract_orfs(df, reference, 20).collect()}
-    assert set(got) == {0, 1, 2, 3} and all(reference in aa and coding.translate_text(nt) == aa for _, aa, nt in got.values())
+    got = {r.id: (r.frame, r.aa, r.nt, r.score) for r in coding.extract_orfs(df, reference, 12).collect()}
+    want = {i: x for i, s in enumerate(seqs) if (x := brute_orf(s, reference, 12))}
+    assert got == want and {0, 1, 2, 3} <= set(got) and 4 not in got
     assert coding.extract_orfs(df, "SHORTREF", 20).count() == 0  # no 10-mers: nothing is kept
 
 

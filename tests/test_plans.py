@@ -45,6 +45,26 @@ def test_fasta_first_record_and_round_trip(spark, tmp_path):
     assert rows(again, "rec_id", "seq") == rows(got, "rec_id", "seq")
 
 
+def test_many_files_in_few_partitions(spark, tmp_path):
+    """Each file's first header loses its mark, text before it is no record, and headers that begin with > keep theirs."""
+    want = []
+    for k in range(20):
+        body = f">f{k}|a\nAC\nGT\n>>odd{k}\nA\n>f{k}|b\n\n"
+        (tmp_path / f"x {k}+1.{['fa', 'Fa', 'fasta', 'FAS'][k % 4]}").write_bytes((["", "junk\n", "\n", ">"][k % 4] + body).encode() + "é".encode("latin-1") * 0)
+        want += [(f"x {k}+1", d, s) for d, s in ((f"f{k}|a" if k % 4 < 3 else f">f{k}|a", "ACGT"), (f">odd{k}", "A"), (f"f{k}|b", ""))]
+    (tmp_path / "x 0+1.fa").write_bytes(b">f0|a\nAC\nGT\n>>odd0\nA\n>f0|b\n\n>caf\xe9 2020\nA\n")
+    for size in ("134217728", "40"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        got = fasta.read_fasta(spark, str(tmp_path), recursive=True)
+        seen = rows(got, "dataset", "description", "seq")
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert seen == sorted([*want, ("x 0+1", "café 2020", "A")], key=repr)
+    assert [r.n_records for r in fasta.count_records(got).collect()].count(3) == 19
+    assert rows(fasta.datasets(spark, str(tmp_path), "x 3+1.FAS"), "dataset") == rows(fasta.datasets(spark, str(tmp_path), "x 3+1"), "dataset") == [("x 3+1",)]
+    assert fasta.datasets(spark, str(tmp_path), "no").count() == 0 and fasta.datasets(spark, str(tmp_path)).count() == 20
+    assert len(rows(fasta.first_records(got, 2), "description")) == 40
+
+
 def test_config():
     c = config.parse(">protein_reference\nMK TA\n>motif_reference\nMK+TA\n>motif_reference_of protein\nTA\n".replace("of protein", "of_protein"))
     assert c.protein == "MKTA" and [(m.tag, m.parts, m.seq) for m in c.motifs] == [("motif1", ["MK", "TA"], "MKTA"), ("of_protein", ["TA"], "TA")]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,12 +15,23 @@ def _col(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+#: Residue by a codon's three digits read as a number: 0 to 3 for the bases in their order, 4 for any other letter.
+_RESIDUES = ["X"] * 445
+for _k, _aa in enumerate(AMINO_ACIDS):
+    _RESIDUES[100 * (_k // 16) + 10 * (_k // 4 % 4) + _k % 4] = _aa
+
+
+def _digits(nt: Column) -> Column:
+    return F.translate(F.regexp_replace(nt, f"(?s)[^{BASES}]", "4"), BASES, "0123")
+
+
+def _residue(digits: Column) -> Column:
+    return F.get(F.lit(_RESIDUES), digits.cast("int"))
+
+
 def residue(codon: Column) -> Column:
-    """The amino acid of an upper-case codon; X if a base isn't A, C, G or T."""
-    place = [F.instr(F.lit(BASES), F.substring(codon, k, 1)) for k in (1, 2, 3)]
-    index = (place[0] - 1) * 16 + (place[1] - 1) * 4 + place[2]
-    known = reduce(lambda a, b: a & b, ((p > 0) for p in place)) & (F.length(codon) == 3)
-    return F.when(known, F.substring(F.lit(AMINO_ACIDS), index, F.lit(1))).otherwise("X")
+    """The amino acid of an upper-case codon of three letters; X if a base isn't A, C, G or T."""
+    return _residue(_digits(codon))
 
 
 def codons(nt) -> Column:
@@ -32,7 +41,7 @@ def codons(nt) -> Column:
 
 def translate(nt) -> Column:
     """Peptide of the first frame: an unfinished codon is left out, stops are *, any codon with another base (U too) is X."""
-    return F.array_join(F.transform(codons(nt), residue), "")
+    return F.array_join(F.transform(F.regexp_extract_all(_digits(F.upper(_col(nt))), F.lit("(?s).{3}"), 0), _residue), "")
 
 
 def stops(aa: Column) -> Column:
@@ -47,11 +56,10 @@ def longest_segment(aa: Column) -> Column:
 def best_frame(nt, test: int = FRAME_TEST) -> Column:
     """Frame 0, 1 or 2 with the fewest stops in the first `test` bases; ties: longest piece, then lowest frame. Null below 3 bases."""
     head = F.substring(_col(nt), 1, test)
-    tried = []
-    for frame in range(3):
-        aa = translate(F.substring(head, frame + 1, test))
-        tried.append(F.when(F.length(head) >= frame + 3, F.struct(stops(aa).alias("stops"), (-longest_segment(aa)).alias("longest"), F.lit(frame).alias("frame"))))
-    return F.array_min(F.array_compact(F.array(*tried))).frame
+    peptides = F.array(*(translate(F.substring(head, frame + 1, test)) for frame in range(3)))
+    rated = F.transform(peptides, lambda aa, frame: F.struct(stops(aa).alias("stops"), (-longest_segment(aa)).alias("longest"), frame.alias("frame")))
+    whole = F.greatest(F.lit(0), F.least(F.lit(3), F.length(head) - 2))  # frames with a whole codon
+    return F.array_min(F.slice(rated, F.lit(1), whole)).frame
 
 
 def longest_orf(aa) -> Column:

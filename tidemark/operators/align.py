@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MATCH, SIMILAR, OTHER, OPEN, EXTEND = 5, 1, -3, 11, 1
+LOW = -(1 << 28)
 #: Groups of similar residues.
 GROUPS = ["ILVM", "FWY", "KRH", "DE", "NQ", "ST", "AG", "C", "P"]
 
@@ -24,6 +25,7 @@ def longest_query(reference: int) -> int:
 
 
 def _scores(reference: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Scores of these residues of the reference against all of the query."""
     group = np.arange(256) + 1000
     for k, g in enumerate(GROUPS):
         group[[ord(c) for c in g]] = k
@@ -34,8 +36,40 @@ def _scores(reference: np.ndarray, query: np.ndarray) -> np.ndarray:
     return s
 
 
+class _Table:
+    """The table of alignments of a reference and a query, row by row: the best score that ends at each place of the query, and the best
+    whose last step skips a residue of the reference."""
+
+    def __init__(self, reference: np.ndarray, query: np.ndarray):
+        self.a, letters = reference, np.unique(reference)
+        self.score = dict(zip(letters.tolist(), _scores(letters, query), strict=True))
+        self.m = len(query)
+        self.steps = EXTEND * np.arange(self.m + 1, dtype=np.int32)
+
+    def first(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.zeros(self.m + 1, np.int32), np.full(self.m + 1, LOW, np.int32)
+
+    def row(self, i: int, best: np.ndarray, skip: np.ndarray):
+        """The next row, from residue i on, and how it came about: skipped (no insert, a skip), stay (a skip goes on), origin (where an insert began, or -1)."""
+        opened, longer = best - OPEN, skip - EXTEND
+        stay, skip = longer > opened, np.maximum(opened, longer)
+        match = np.full(self.m + 1, LOW, np.int32)
+        match[1:] = best[:-1] + self.score[int(self.a[i])]
+        both, skipped = np.maximum(match, skip), skip > match
+        reached = np.maximum.accumulate(both + self.steps)
+        began = np.maximum.accumulate(np.where(both + self.steps == reached, np.arange(self.m + 1), 0))
+        insert = np.full(self.m + 1, LOW, np.int32)
+        insert[1:] = reached[:-1] - OPEN + EXTEND - self.steps[1:]
+        origin = np.full(self.m + 1, -1, np.int32)
+        origin[1:] = np.where(insert[1:] > both[1:], began[:-1], -1)
+        return np.maximum(both, insert), skip, (skipped, stay, origin)
+
+
 def align(reference: str, query: str) -> np.ndarray:
-    """For each residue of the reference the place of the query's residue, or -1."""
+    """For each residue of the reference the place of the query's residue, or -1.
+
+    Every sqrt(n)-th row of the table is kept, and the rows between are made again on the way back: memory grows with the query's length times
+    the square root of the reference's."""
     n, m = len(reference), len(query)
     if not m or not n:
         return np.full(n, -1)
@@ -44,41 +78,29 @@ def align(reference: str, query: str) -> np.ndarray:
         return np.arange(n)
     if (at := query.find(reference)) >= 0:
         return np.arange(at, at + n)
-    s = _scores(a, b)
-    low = -(1 << 28)
-    # best score of a row ending at each query place: in a match, in a gap of the query (reference residue skipped), in an insert
-    best = np.zeros(m + 1, np.int32)
-    skip = np.full(m + 1, low, np.int32)
-    skipped = np.zeros((n + 1, m + 1), bool)  # without an insert, the reference residue was skipped
-    origin = np.full((n + 1, m + 1), -1, np.int32)  # where the insert that ends here began, if there is one
-    stay = np.zeros((n + 1, m + 1), bool)  # the skip went on from a skip
-    steps = EXTEND * np.arange(m + 1, dtype=np.int32)
-    for i in range(1, n + 1):
-        opened, longer = best - OPEN, skip - EXTEND
-        stay[i] = longer > opened
-        skip = np.maximum(opened, longer)
-        match = np.full(m + 1, low, np.int32)
-        match[1:] = best[:-1] + s[i - 1]
-        both = np.maximum(match, skip)
-        skipped[i] = skip > match
-        insert = np.full(m + 1, low, np.int32)
-        reached = np.maximum.accumulate(both + steps)
-        began = np.maximum.accumulate(np.where(both + steps == reached, np.arange(m + 1), 0))
-        insert[1:] = reached[:-1] - OPEN + EXTEND - steps[1:]
-        origin[i, 1:] = np.where(insert[1:] > both[1:], began[:-1], -1)
-        best = np.maximum(both, insert)
-    out, i, j = np.full(n, -1), n, int(best.argmax())
-    while i > 0:
-        if origin[i, j] >= 0:
-            j = int(origin[i, j])
-        if not skipped[i, j]:
-            out[i - 1] = j - 1
-            i, j = i - 1, j - 1
-            continue
-        going = True
-        while going and i > 0:
-            going = stay[i, j]
-            i -= 1
+    table, width = _Table(a, b), max(1, int(n**0.5))
+    rows = table.first()
+    kept = {}
+    for i in range(n):
+        if i % width == 0:
+            kept[i] = rows
+        rows = table.row(i, *rows)[:2]
+    out, j, skipping = np.full(n, -1), int(rows[0].argmax()), False
+    for begin in sorted(kept, reverse=True):
+        rows, ways = kept.pop(begin), []
+        for i in range(begin, min(begin + width, n)):
+            *rows, way = table.row(i, *rows)
+            ways.append(way)
+        for i in range(begin + len(ways) - 1, begin - 1, -1):
+            skipped, stay, origin = ways[i - begin]
+            if not skipping:
+                if origin[j] >= 0:
+                    j = int(origin[j])
+                if not skipped[j]:
+                    j -= 1
+                    out[i] = j
+                    continue
+            skipping = bool(stay[j])
     return out
 
 
@@ -102,9 +124,11 @@ def align_to_reference(records: DataFrame, reference: str, aa: str = "aa", nt: s
     def run(frames):
         for f in frames:
             got = [aligned_texts(reference, a, None if nt is None else n or "") for a, n in zip(f[aa], f[keys[-1]], strict=True)]
-            yield pd.DataFrame({"_k0": f[aa], **({"_k1": f[nt]} if nt else {}), "aln_aa": [x for x, _ in got], **({"aln_nt": [y for _, y in got]} if nt else {})})
+            yield pd.DataFrame({"_h": f._h, "_k0": f[aa], **({"_k1": f[nt]} if nt else {}), "aln_aa": [x for x, _ in got], **({"aln_nt": [y for _, y in got]} if nt else {})})
 
-    schema = "_k0 string, " + ("_k1 string, " if nt else "") + "aln_aa string" + (", aln_nt string" if nt else "")
-    done = rows.select(*keys).distinct().mapInPandas(run, schema)
+    rows = rows.withColumn("_h", F.xxhash64(*keys))
+    schema = "_h long, _k0 string, " + ("_k1 string, " if nt else "") + "aln_aa string" + (", aln_nt string" if nt else "")
+    done = rows.select("_h", *keys).distinct().mapInPandas(run, schema)
     on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    return rows.join(done, on).drop("_k0", "_k1")
+    done = done.withColumnRenamed("_h", "_g")
+    return rows.join(done, [F.col("_h") == F.col("_g"), *on]).drop("_h", "_g", "_k0", "_k1")

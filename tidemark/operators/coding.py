@@ -1,104 +1,60 @@
-"""Coding regions: best-frame translation of genes, and the reading frame segment of a genome that matches a reference."""
+"""Coding regions: best-frame translation of genes, and the reading frame segment of a genome that matches a reference.
+
+All is done by column expressions. What a later step uses more than once is made by a generator, which Catalyst neither merges
+nor evaluates again. A null sequence has no coding region."""
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.functions.sequences import AMINO_ACIDS, BASES, FRAME_TEST, KMER
+from tidemark.functions import sequences
 
 LEAST_SCORE = 0.3
-_BASE = np.full(256, 4, np.uint8)
-for _k, _b in enumerate(BASES):
-    _BASE[[ord(_b), ord(_b.lower())]] = _k
-_CODON = np.full(125, ord("X"), np.uint8)
-for _k, _aa in enumerate(AMINO_ACIDS):
-    _CODON[25 * (_k // 16) + 5 * (_k // 4 % 4) + _k % 4] = ord(_aa)
-
-
-def translate_text(nt: str) -> str:
-    """As `sequences.translate`, for texts that are in Python anyway."""
-    base = _BASE[np.frombuffer(nt.encode("latin-1", "replace"), np.uint8)]
-    base = base[: len(base) - len(base) % 3].reshape(-1, 3)
-    return _CODON[25 * base[:, 0] + 5 * base[:, 1] + base[:, 2]].tobytes().decode()
-
-
-def frame_of(nt: str, test: int = FRAME_TEST) -> int | None:
-    """As `sequences.best_frame`."""
-    best = None
-    for frame in range(3):
-        if len(nt[frame:test]) >= 3:
-            aa = translate_text(nt[frame:test])
-            found = aa.count("*"), -max(map(len, aa.split("*"))), frame
-            best = found if best is None else min(best, found)
-    return best[2] if best else None
-
+#: Longer than any sequence.
+_REST = 2147483647
 
-@F.pandas_udf(T.IntegerType())
-def best_frame(nt: pd.Series) -> pd.Series:
-    return pd.Series([None if s is None else frame_of(s) for s in nt], dtype="Int32")
 
+def stop_free(nt: Column, frame: int) -> Column:
+    """The pieces between the stops of a frame, in order."""
+    return F.split(sequences.translate(F.substring(nt, frame + 1, _REST)), r"\*", -1)
 
-@F.pandas_udf(T.StringType())
-def translated(nt: pd.Series) -> pd.Series:
-    return nt.map(translate_text, na_action="ignore")
 
+def matching(pieces: Column, reference: str, least: int) -> Column:
+    """Of an array of three frames' pieces the candidates: score (share of the reference's k-mers), frame, place among its frame's pieces, aa."""
+    known = sequences.kmers(F.lit(reference))
 
-@F.pandas_udf(T.StructType([T.StructField("frame", T.IntegerType()), T.StructField("aa", T.StringType())]))
-def _cds(nt: pd.Series) -> pd.DataFrame:
-    frame = [None if s is None else frame_of(s) for s in nt]
-    aa = [None if f is None else translate_text(s[f:]).partition("*")[0] for f, s in zip(frame, nt, strict=True)]
-    return pd.DataFrame({"frame": pd.array(frame, "Int32"), "aa": aa})
+    def rated(frame: int) -> Column:
+        each = F.transform(F.get(pieces, F.lit(frame)), lambda aa, k: F.struct(aa.alias("aa"), k.alias("place")))
+        long = F.filter(each, lambda p: F.length(p.aa) >= least)
+        return F.transform(long, lambda p: F.struct((F.size(F.array_intersect(sequences.kmers(p.aa), known)) / F.size(known)).alias("score"), F.lit(-frame).alias("frame"), (-p.place).alias("place"), p.aa.alias("aa")))
 
-
-def kmer_set(s: str, k: int = KMER) -> set[str]:
-    return {w for w in (s[i : i + k] for i in range(len(s) - k + 1)) if "X" not in w}
-
-
-def best_segment(nt: str, reference: set[str], least: int) -> tuple[float, int, int, str] | None:
-    """(score, frame, start in nt, peptide) of the stop-free segment of the three forward frames that covers most of the
-    reference's k-mers; ties go to the first frame, then the first place. Null below a score of 0.3."""
-    best = None
-    for frame in range(3):
-        at = 0
-        for segment in translate_text(nt[frame:]).split("*"):
-            if len(segment) >= least and reference:
-                score = len(kmer_set(segment) & reference) / len(reference)
-                if score >= LEAST_SCORE and (best is None or score > best[0]):
-                    best = score, frame, frame + 3 * at, segment
-            at += len(segment) + 1
-    return best
+    found = F.filter(F.concat(*(rated(f) for f in range(3))), lambda p: p.score >= LEAST_SCORE)
+    return F.when(F.size(known) > 0, found)
 
 
 def extract_orfs(records: DataFrame, reference: str, least: int, seq: str = "seq") -> DataFrame:
-    """records with nt, aa, frame and score of the matching segment; records without one are left out.
-
-    Works inside Arrow batches, so a genome's k-mers never become rows."""
-    known = kmer_set(reference.upper())
-    fields = [f for f in records.schema.fields]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in fields), "nt string", "aa string", "frame int", "score double"])
-
-    def run(frames):
-        for f in frames:
-            found = [best_segment((s or "").upper(), known, least) for s in f[seq]]
-            keep = [x is not None for x in found]
-            out = f[keep].copy()
-            got = [x for x in found if x]
-            out["nt"] = [s.upper()[x[2] : x[2] + 3 * len(x[3])] for s, x in zip(out[seq], got, strict=True)]
-            out["aa"], out["frame"], out["score"] = [x[3] for x in got], [x[1] for x in got], [x[0] for x in got]
-            yield out if got else pd.DataFrame(columns=list(out.columns))
+    """records with nt, aa, frame and score of the stop-free segment of the three forward frames, `least` residues or longer, that covers
+    most of the reference's k-mers; ties go to the first frame, then the first place.
 
-    return records.mapInPandas(run, schema)
+    Records whose best segment scores below 0.3 are left out; so are all if the reference is shorter than a k-mer."""
+    rows = records.withColumn("_u", F.upper(F.col(seq)))
+    rows = rows.withColumn("_f", F.explode(F.array(F.array(*(stop_free(F.col("_u"), f) for f in range(3))))))
+    best = F.array_max(matching(F.col("_f"), reference.upper(), least))
+    rows = rows.withColumn("_b", F.explode(F.array_compact(F.array(best))))
+    before = F.array_join(F.slice(F.get(F.col("_f"), -F.col("_b.frame")), F.lit(1), -F.col("_b.place")), "*")
+    at = -F.col("_b.frame") + 3 * (F.length(before) + F.when(F.col("_b.place") < 0, 1).otherwise(0))
+    out = rows.withColumns({"nt": F.substring(F.col("_u"), at + 1, 3 * F.length("_b.aa")), "aa": F.col("_b.aa"), "frame": -F.col("_b.frame"), "score": F.col("_b.score")})
+    return out.drop("_u", "_f", "_b")
 
 
 def translate_cds(records: DataFrame, least: int, seq: str = "seq") -> DataFrame:
     """records with frame, nt and aa: the best frame, up to its first stop; peptides shorter than `least` are left out."""
-    rows = records.withColumn("_cds", _cds(F.col(seq))).where(F.length("_cds.aa") >= least)
-    rows = rows.withColumns({"frame": F.col("_cds.frame"), "aa": F.col("_cds.aa")}).drop("_cds")
-    return rows.withColumn("nt", F.substring(F.upper(F.col(seq)), F.col("frame") + 1, 3 * F.length("aa")))
+    rows = records.withColumn("_u", F.upper(F.col(seq)))
+    rows = rows.withColumn("frame", F.explode(F.array_compact(F.array(sequences.best_frame("_u")))))
+    rows = rows.withColumn("aa", F.explode(F.array(F.substring_index(sequences.translate(F.substring(F.col("_u"), F.col("frame") + 1, F.lit(_REST))), "*", 1))))
+    rows = rows.where(F.length("aa") >= least)
+    return rows.withColumn("nt", F.substring(F.col("_u"), F.col("frame") + 1, 3 * F.length("aa"))).drop("_u")
 
 
 def least_length(reference_aa: int, share: float = 0.5, given: int | None = None) -> int:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, sequences, texts
-from tidemark.operators import align, coding, counts, motif, profile
+from tidemark.operators import align, coding, counts, coverage, motif, profile
 from tidemark.plans import registry, routing, schedule
 from tidemark.streaming import incremental
 
@@ -130,18 +130,13 @@ SELECT doc_id, item_id, count(*) AS shared, any_value(kmers) AS kmers FROM d JOI
 
 @query(KMER_SQL)
 def kmer_coverage(spark, sf_dir):
-    def each(name, key):
-        return plain(spark, sf_dir, name).select(key, F.explode(sequences.kmers(F.upper("text"))).alias("k"))
-
-    b, d = each("benchmark", "item_id"), each("documents", "doc_id")
-    n = b.groupBy("item_id").agg(F.count("*").alias("kmers"))
-    shared = d.join(b, "k").groupBy("doc_id", "item_id").agg(F.count("*").alias("shared"))
-    return shared.join(n, "item_id").where(F.col("shared") * 10 >= 3 * F.col("kmers")).select("doc_id", "item_id", "shared", "kmers")
+    d, b = (plain(spark, sf_dir, name).withColumn("seq", F.upper("text")) for name in ("documents", "benchmark"))
+    return coverage.shared_kmers(d, b, "doc_id", "item_id")
 
 
 @query(f"SELECT doc_id, CAST(length(aa) AS INT) AS aa_len, md5(aa) AS aa_md5 FROM (SELECT doc_id, {translate_sql('nt')} AS aa FROM (SELECT doc_id, {NT_SQL} AS nt FROM documents))")
 def translate_text(spark, sf_dir):
-    aa = coding_documents(spark, sf_dir).select("doc_id", coding.translated("nt").alias("aa"))
+    aa = coding_documents(spark, sf_dir).select("doc_id", sequences.translate("nt").alias("aa"))
     return aa.select("doc_id", F.length("aa").alias("aa_len"), F.md5(F.col("aa").cast("binary")).alias("aa_md5"))
 
 
@@ -152,7 +147,7 @@ SELECT doc_id, nt, f, {translate_sql('substr(substr(nt, 1, 1200), CAST(f AS INT)
 
 @query(f"SELECT doc_id, frame FROM ({FRAME_SQL})")
 def best_frame(spark, sf_dir):
-    return coding_documents(spark, sf_dir).select("doc_id", coding.best_frame("nt").alias("frame")).where("frame is not null")
+    return coding_documents(spark, sf_dir).select("doc_id", F.explode(F.array_compact(F.array(sequences.best_frame("nt")))).alias("frame"))
 
 
 @query(f"SELECT doc_id, frame, aa, md5(substr(nt, frame + 1, 3 * length(aa))) AS nt_md5 FROM (SELECT doc_id, frame, nt, string_split(aa, '*')[1] AS aa FROM ({FRAME_SQL})) WHERE length(aa) >= 20")
@@ -374,19 +369,3 @@ def incremental_counts(spark, sf_dir):
 
     incremental.count_stream(stream, to_fragments, f"{top}/counts", f"{top}/state").awaitTermination()
     return incremental.read_stream_counts(spark, f"{top}/counts")
-
-
-@query()
-def orf_extract(spark, sf_dir):
-    """Stop-free segments of documents (as nucleotides) that match the first document's longest one; twin: brute force in tests."""
-    d = coding_documents(spark, sf_dir)
-    first = d.agg(F.min_by("nt", "doc_id").alias("nt")).first().nt or ""
-    reference = max((s for f in range(3) for s in coding.translate_text(first[f:]).split("*")), key=len)
-    return coding.extract_orfs(d.withColumnRenamed("nt", "seq"), reference, 10).select("doc_id", "frame", "aa", "nt", "score")
-
-
-@query()
-def anchored_alignment(spark, sf_dir):
-    """Part names as peptides, aligned to one of them; twin: brute force in tests."""
-    p = t(spark, sf_dir, "part").select("p_partkey", F.regexp_replace(F.upper("p_name"), "[^A-Z]", "").alias("aa"))
-    return align.align_to_reference(p, "REDWIDGET", nt=None).select("p_partkey", "aa", "aln_aa")

@@ -1,49 +1,82 @@
 """FASTA as a distributed source, and its writer.
 
 Files are split at record starts by Spark's text reader (record separator: line feed and >), so one file is read by many tasks. A
-record's place is its file and the byte block it was read from, which keeps file order without a global sort."""
+record's place is its file, the byte block it was read from and its number there, which keeps file order without a global sort."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidemark.functions import texts
 
 EXTENSIONS = ("fasta", "fa", "fna", "faa", "fas")
+_REST = 2147483647
 
 
 def name_filter() -> str:
-    return "*.{" + ",".join(x for e in EXTENSIONS for x in (e, e.upper())) + "}"
-
-
-def read_fasta(spark: SparkSession, path: str | list[str], recursive: bool = False, encoding: str = "utf-8") -> DataFrame:
-    """file_path, ordinal, rec_id, description, seq (upper case, without white space) of each record.
-
-    ordinal orders the records of a file; it is not dense. Text before the first header is no record. A header without a
-    name has an empty rec_id. Empty files give no rows."""
-    reader = spark.read.option("lineSep", "\n>").option("encoding", encoding)
+    """A file pattern of the extensions in any case."""
+    return "*.{" + ",".join("".join(f"[{c}{c.upper()}]" for c in e) for e in EXTENSIONS) + "}"
+
+
+@F.pandas_udf(T.LongType())
+def _number(split: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """The number of each row among those of its split, which a task reads one after the other. Only hashes of splits come here."""
+    last, n = None, 0
+    for s in split:
+        v = s.to_numpy(np.int64)
+        new = np.ones(len(v), bool)
+        new[1:] = v[1:] != v[:-1]
+        new[:1] = last is None or v[:1] != last
+        at = np.arange(len(v))
+        begin = np.maximum.accumulate(np.where(new, at, -1))
+        out = np.where(begin >= 0, at - begin, at + n)
+        if len(v):
+            last, n = v[-1], int(out[-1]) + 1
+        yield pd.Series(out)
+
+
+def file_name(path: str = "file_path") -> Column:
+    """The file's path as it is, without URL escapes."""
+    return F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
+
+
+def read_fasta(spark: SparkSession, path: str | list[str], recursive: bool = False, encoding: str = "ISO-8859-1") -> DataFrame:
+    """file_path, dataset (the file's name without extension), block, number, ordinal, rec_id, description, seq (upper case, without white space) of each record.
+
+    ordinal orders the records of a file; it is not dense; number counts from 0 in each block. Text before a file's first header is
+    no record. A header without a name has an empty rec_id. Empty files give no rows. Bytes are read as ISO-8859-1 unless told otherwise."""
+    reader = spark.read.option("lineSep", "\n>")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", name_filter())
     raw = reader.text(path).select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"))
-    raw = raw.withColumn("row", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))
-    first = (F.col("block") == 0) & (F.col("row") == 0)
-    body = F.when(F.startswith("value", F.lit(">")) & first, F.substring("value", 2, 2147483647)).when(~first, F.col("value"))
+    raw = raw.withColumn("number", _number.asNondeterministic()(F.xxhash64("file_path", "block")))
+    text = F.col("value") if encoding.upper().replace("-", "") == "UTF8" else F.decode(F.col("value").cast("binary"), encoding)
+    first = (F.col("block") == 0) & (F.col("number") == 0)
+    body = F.when(~first, text).when(F.startswith("value", F.lit(">")), F.substring(text, 2, _REST))
     head = F.regexp_replace(F.substring_index("body", "\n", 1), r"\r$", "")
     tail = F.when(F.contains("body", F.lit("\n")), F.substring(F.col("body"), F.instr("body", F.lit("\n")) + 1, F.length("body"))).otherwise("")
-    rows = raw.withColumn("body", body).where("body is not null").withColumn("description", F.trim(head))
+    rows = raw.withColumn("body", F.explode(F.array_compact(F.array(body)))).withColumn("description", F.trim(head))
+    path_ = file_name()
     return rows.select(
-        "file_path",
-        (F.col("block") * F.lit(4096) + F.col("row")).alias("ordinal"),
-        F.regexp_extract("description", r"^(\S*)", 1).alias("rec_id"),
-        "description",
-        F.upper(F.regexp_replace(tail, r"\s", "")).alias("seq"),
-    )
+        path_.alias("file_path"), texts.file_stem(path_).alias("dataset"), "block", "number",
+        (F.col("block") * F.lit(4096) + F.col("number")).alias("ordinal"),
+        F.regexp_extract("description", r"^(\S*)", 1).alias("rec_id"), "description",
+        F.upper(F.regexp_replace(tail, r"\s", "")).alias("seq"))
 
 
 def first_records(records: DataFrame, n: int, by: str = "file_path", order: str = "ordinal") -> DataFrame:
-    """The first n records of each file; n = 0: all."""
+    """The first n records of each file; n = 0: all. Of each block only the first n go further, where records know their number."""
     if not n:
         return records
+    if "number" in records.columns:
+        records = records.where(F.col("number") <= n)  # number 0 may be text before the first header
     return records.withColumn("_n", F.row_number().over(W.partitionBy(by).orderBy(order))).where(F.col("_n") <= n).drop("_n")
 
 
@@ -51,16 +84,25 @@ def count_records(records: DataFrame) -> DataFrame:
     return records.groupBy("file_path").agg(F.count("*").alias("n_records"))
 
 
-def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """path and size_bytes of all FASTA files under root."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", name_filter()).load(root)
-    return files.select("path", F.col("length").alias("size_bytes"))
+def list_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
+    """path and size_bytes of the FASTA files of a folder, or of all under it."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", name_filter()).load(root)
+    return files.select(file_name("path").alias("path"), F.col("length").alias("size_bytes"))
+
+
+def datasets(spark: SparkSession, folder: str, dataset: str | None = None) -> DataFrame:
+    """path, size_bytes and dataset of the FASTA files of a folder, in order of path; dataset: only the file of this name, or of its name without extension."""
+    files = list_files(spark, folder, False).withColumn("dataset", texts.file_stem("path"))
+    if dataset is not None:
+        stem = dataset.rsplit(".", 1)[0] if "." in dataset[1:] else dataset
+        files = files.where((F.substring_index("path", "/", -1) == dataset) | (F.col("dataset") == stem))
+    return files.orderBy("path")
 
 
 def single_sequence(spark: SparkSession, path: str) -> str | None:
     """The first record's sequence; null if there is none."""
-    row = read_fasta(spark, path).orderBy("ordinal").select("seq").first()
-    return row.seq if row and row.seq else None
+    row = read_fasta(spark, path).agg(F.min_by("seq", "ordinal").alias("seq")).first()
+    return row.seq or None
 
 
 def write_fasta(records: DataFrame, path: str, seq: str = "seq") -> None:
