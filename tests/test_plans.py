@@ -198,3 +198,72 @@ def test_catalogue(spark):
     c = spark.createDataFrame([("g", "x", True, True, {"m": "p"}), ("g", "y", True, False, {})], "group_id string, chunk string, msa_complete boolean, aligned_proteins boolean, counts_by_motif map<string,string>")
     chunks = schedule.catalogue(a, c).first().chunks
     assert chunks["x"].reusable and not chunks["y"].reusable and sequences.KMER == 10
+
+
+CDS = "ATGAAAACAGCATATATTGCAAAACAACGT"
+
+
+def test_command_line_from_registry_to_training_tables(spark, tmp_path, monkeypatch, capsys):
+    """check, scan, aligned, plan, tasks and aggregate in a folder; a second run has nothing to do."""
+    from tidemark import cli
+
+    monkeypatch.chdir(tmp_path)
+    top = str(tmp_path)
+    at = lambda *names: [f"{top}/{n}" for n in names]
+    (tmp_path / "bench").mkdir()
+    header = "benchmark_file,dms_id,virus_code,host,target_seq,target_type,recommended_reference,seq_len,protein,uniprot_full_len,full_protein_seq\n"
+    good = header + "a.csv,a,HIV,human,MKTAYIAKQR,x,target_as_reference,10,,,\nb.csv,b,HIV,human,TAYI,x,full_protein_plus_motif,4,,,MKTAYIAKQR\nc.csv,c,SCV2,human,MKTA,x,target_as_reference,4,,,\n"
+    (tmp_path / "bench/r.csv").write_text(good)
+    for n in "abc":
+        (tmp_path / f"bench/{n}.csv").write_text("x\n")
+    (tmp_path / "raw/HIV").mkdir(parents=True)
+    (tmp_path / "raw/HIV/one.fasta").write_text("".join(f">s{i}|{2000 + i % 3}-01\n{CDS}\n" for i in range(9)))
+    (tmp_path / "raw/HIV/two.fa").write_text("".join(f">s{i}\n{CDS[:12]}TGG{CDS[15:]}\n" for i in range(4)))
+    bench = ["--benchmark-dir", f"{top}/bench", "--registry", f"{top}/bench/r.csv"]
+    raw, inv, plan, aligned, train = at("raw", "inv.json", "plan.json", "aligned", "train")
+    assert cli.main(["check", *bench], spark) == 0
+    assert cli.main(["scan", "--fasta-root", raw, "--out", inv], spark) == 0
+    assert cli.main(["scan", "--fasta-root", f"{top}/bench", "--out", inv], spark) == 1
+    assert cli.main(["plan", "--inventory", inv, "--out", plan, "--config-dir", f"{top}/configs", *bench], spark) == 0
+    doc = json.loads((tmp_path / "plan.json").read_text())
+    (group,) = doc["groups"]
+    assert [s["benchmark_file"] for s in doc["skipped"]] == ["c.csv"] and {m["tag"] for m in group["motifs"]} == {"whole", "b"} and len(group["fasta_files"]) == 2
+    tasks = ["tasks", "--plan", plan, "--aligned-root", aligned]
+    assert cli.main([*tasks, "--dry-run"], spark) == 0 and not (tmp_path / "aligned").exists()
+    assert cli.main(tasks, spark) == 0
+    assert cli.main(["aligned", "--aligned-root", aligned, "--out", f"{top}/cat.json"], spark) == 0
+    (found,) = json.loads((tmp_path / "cat.json").read_text())["groups"].values()
+    assert found["chunks"]["one"]["reusable"] and set(found["chunks"]["two"]["counts_by_motif"]) == {"whole", "b"}
+    assert cli.todo(spark, cli.parser().parse_args(tasks))[1].count() == 0
+    assert cli.main(["aggregate", "--plan", plan, "--aligned-root", aligned, "--out-dir", train], spark) == 0
+    assert (tmp_path / "train/b_training_counts.csv").read_text().splitlines() == ["Motif Nucleotide,Motif Peptide,2000,2001,2002,unknown", "ACAGCATATATT,TAYI,3,3,3,0", "ACAGCATGGATT,TAWI,0,0,0,4"]
+    summary = (tmp_path / "train/_aggregation_summary.csv").read_text()
+    assert summary.count(",OK") == 2 and ",2,2,0,13,0,4,2000..2002," in summary
+    assert cli.main(["aligned", "--register", f"{aligned}/{group['group_id']}", "--config", f"{top}/configs/{group['group_id']}.txt", *bench], spark) == 0
+    assert f"{group['group_id']} is" in capsys.readouterr().out.replace(f"{aligned}/", "")
+    (tmp_path / "bench/r.csv").write_text(good.replace("MKTA,x", "MK1A,x"))
+    assert cli.main(["check", *bench], spark) == 1
+
+
+def test_run_of_a_folder(spark, tmp_path):
+    """Every dataset by its own configuration; a failing one doesn't stop the others; single datasets add to the integrated table."""
+    from tidemark import cli
+    from tidemark.plans import runs
+
+    top, out = str(tmp_path / "in"), str(tmp_path / "out")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/x.fasta").write_text(">a|2020-01-02\nATGAAAACAGCA\n>b|2020-02\nATGAAAACAGCA\n>c\nTA\n")
+    (tmp_path / "in/y.fa").write_text(">a|2021\nATGAAAACAGCA\n")
+    (tmp_path / "in/z.fa").write_text("")
+    (tmp_path / "in/reference.txt").write_text(">protein_reference\nMKTA\n>motif_reference_k\nKT\n>motif_reference_t\nTA\n")
+    got = {r.dataset: r for r in runs.run(spark, top, out).collect()}
+    assert [got[d].status for d in "xyz"] == ["OK", "OK", "FAILED"] and got["z"].error == "no sequences"
+    assert (got["x"].input_sequences, got["x"].cds_kept, got["x"].cds_dropped_short, got["x"].counted_records, got["TOTAL"].cds_in) == (3, 2, 1, 4, 4)
+    assert got["x"].motif_detail == "k: kept 2; k: 1 variants; t: kept 2; t: 1 variants"
+    assert (tmp_path / "out/x/x_k_counts_by_year_wide.csv").is_file() and (tmp_path / "out/run_summary.csv").read_text().startswith(",".join(runs.SUMMARY))
+    table = (tmp_path / "out/integrated_k_counts_by_year_wide.csv").read_text().splitlines()
+    assert table == ["Motif Nucleotide,Motif Peptide,before 2020,2020,2021,unknown,Count", "AAAACA,KT,0,2,1,0,3"]
+    assert cli.main(["run", "--input-dir", top, "--output-dir", out, "--dataset", "y", "--monthly"], spark) == 0 and (tmp_path / "out/y/.msa_complete").is_file()
+    assert "2020-01" in (tmp_path / "out/integrated_k_counts_by_month_wide.csv").read_text()
+    assert cli.main(["run", "--input-dir", top, "--output-dir", out, "--dataset", "nope"], spark) == 1
+    assert runs.names("d", ["motif"], True) == [("motif", "", "d_motif", "d_counts_by_month_wide.csv")] and runs.names("d", [], False)[0][3] == "d_counts_by_year_wide.csv"

@@ -68,7 +68,7 @@ def calendar(start: int, end: int, monthly: bool) -> list[str]:
     return [label for y in range(start, end + 1) for label in (*(f"{y}-{m:02d}" for m in range(1, 13)), f"{y}-unknown")] + ["unknown"]
 
 
-def label_valid(label, monthly: bool, min_year: int, max_year: int | None = None) -> Column:
+def label_valid(label, monthly: bool, min_year: int | Column, max_year: int | None = None) -> Column:
     """Whether a column label is a plausible date bin; max_year: next year if not given."""
     label = _col(label)
     shape = r"^(19|20)\d{2}-(0[1-9]|1[0-2])$" if monthly else r"^(19|20)\d{2}$"

@@ -4,6 +4,7 @@ Columns are found on the driver from one row or one consensus string; fragments
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,15 +77,24 @@ def consensus(rows: DataFrame, width: int, aln: str, order: Column, coding: bool
     return "".join(letters.get(k, "X" if coding else "-") for k in range(width))
 
 
+def best_place(text: Column, part: str, start: int = 0) -> Column:
+    """struct(mismatches, place) where the part fits best at or behind start (ties: the first place); null if the text is too short."""
+    last = F.length(text) - len(part)
+    tried = F.transform(F.sequence(F.lit(start), last), lambda k: F.struct(sequences.hamming(F.substring(text, k + 1, F.lit(len(part))), F.lit(part)).alias("mismatches"), k.alias("place")))
+    return F.when(last >= start, F.array_min(tried))
+
+
 def place_part(text: str, part: str, start: int) -> int:
-    """The first place at or behind start with the fewest differences; an error beyond a quarter of the part."""
-    tried = [(sum(a != b for a, b in zip(text[k : k + len(part)], part, strict=True)), k) for k in range(start, len(text) - len(part) + 1)]
-    if not tried:
+    """The same for a consensus on the driver; an error beyond a quarter of the part."""
+    places = range(start, len(text) - len(part) + 1)
+    if not places:
         raise ValueError("the alignment is shorter than the motif part")
-    off, at = min(tried)
-    if off > int(MOST_MISMATCH * len(part)):
-        raise ValueError(f"the motif part fits nowhere ({off} of {len(part)} differ)")
-    return at
+    letters = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    own = np.frombuffer(part.encode("utf-32-le"), "<u4")
+    off = (np.lib.stride_tricks.sliding_window_view(letters, len(part))[start:] != own).sum(1)
+    if off.min() > int(MOST_MISMATCH * len(part)):
+        raise ValueError(f"the motif part fits nowhere ({off.min()} of {len(part)} differ)")
+    return start + int(off.argmin())
 
 
 def columns_in_consensus(text: str, parts: list[str]) -> list[int]:
@@ -107,28 +117,40 @@ def pick(s: Column, columns: list[int], width: int = 1) -> Column:
     return F.concat(*(F.substring(s, r[0] * width + 1, len(r) * width) for r in runs))
 
 
-def extract(rows: DataFrame, columns: list[int], aln_aa: str = "aln_aa", aln_nt: str | None = None, least: float = LEAST_CALLED) -> DataFrame:
-    """rows with aa and nt of the motif, if enough residues are called (neither - nor X; stops count as called).
-
-    With nucleotides, the row must reach over the last column and give a codon for each called residue; nt loses its gaps."""
+def judged(rows: DataFrame, columns: list[int], aln_aa: str = "aln_aa", aln_nt: str | None = None, least: float = LEAST_CALLED) -> DataFrame:
+    """rows with aa and nt of the motif, and dropped: `ambiguous` if too few residues are called (neither - nor X; stops count as called), `nt`
+    if the nucleotides don't reach over the last column or don't give a codon for each called residue, else null. nt loses its gaps."""
     n = len(columns)
-    aa = pick(F.upper(F.col(aln_aa)), columns)
+    out = rows.withColumn("aa", pick(F.upper(F.col(aln_aa)), columns))
     bad = n - F.length(F.regexp_replace("aa", "[-X]", ""))
-    out = rows.withColumn("aa", aa).where((F.lit(n) - bad).cast("double") >= F.lit(least) * F.lit(n))
+    low = (F.lit(n) - bad).cast("double") < F.lit(least) * F.lit(n)
     if aln_nt is None:
-        return out.withColumn("nt", F.lit(""))
-    out = out.where(F.length(aln_nt) >= 3 * columns[-1] + 3)
+        return out.withColumns({"nt": F.lit(""), "dropped": F.when(low, "ambiguous")})
+    short = (F.coalesce(F.length(aln_nt), F.lit(0)) < 3 * columns[-1] + 3) | (F.length("nt") < 3 * (F.lit(n) - bad))
     out = out.withColumn("nt", F.replace(pick(F.upper(F.col(aln_nt)), columns, 3), F.lit("-"), F.lit("")))
-    return out.where(F.length("nt") >= 3 * (F.lit(n) - bad))
+    return out.withColumn("dropped", F.when(low, "ambiguous").when(short, "nt"))
 
 
-def extract_codons(rows: DataFrame, columns: list[int], aln_nt: str = "aln_nt", least: float = LEAST_CALLED) -> DataFrame:
+def judged_codons(rows: DataFrame, columns: list[int], aln_nt: str = "aln_nt", least: float = LEAST_CALLED) -> DataFrame:
     """The same from aligned nucleotides alone: a codon with a gap is -, and stops count as not called."""
     n = len(columns)
     picked = pick(F.upper(F.col(aln_nt)), columns, 3)
     aa = F.array_join(F.transform(sequences.codons(picked), lambda c: F.when(F.contains(c, F.lit("-")), "-").otherwise(sequences.residue(c))), "")
     out = rows.withColumn("aa", aa).withColumn("nt", F.replace(picked, F.lit("-"), F.lit("")))
-    return out.where(F.length(F.regexp_replace("aa", r"[-X*]", "")).cast("double") >= F.lit(least) * F.lit(n))
+    return out.withColumn("dropped", F.when(F.length(F.regexp_replace("aa", r"[-X*]", "")).cast("double") < F.lit(least) * F.lit(n), "ambiguous"))
+
+
+def kept(rows: DataFrame) -> DataFrame:
+    return rows.where("dropped is null").drop("dropped")
+
+
+def extract(rows: DataFrame, columns: list[int], aln_aa: str = "aln_aa", aln_nt: str | None = None, least: float = LEAST_CALLED) -> DataFrame:
+    """The rows that `judged` keeps."""
+    return kept(judged(rows, columns, aln_aa, aln_nt, least))
+
+
+def extract_codons(rows: DataFrame, columns: list[int], aln_nt: str = "aln_nt", least: float = LEAST_CALLED) -> DataFrame:
+    return kept(judged_codons(rows, columns, aln_nt, least))
 
 
 def codon_width(width: int) -> int:

@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 from tidemark.functions import sequences, texts
 
 
-def usable(registry: DataFrame) -> DataFrame:
-    """One row per benchmark (the first) with target, mode and reference; `blocked` tells why a row can't be planned."""
+def usable(registry: DataFrame, full: DataFrame | None = None) -> DataFrame:
+    """One row per benchmark (the first) with target, mode and reference; `blocked` tells why a row can't be planned.
+
+    full: benchmark_file and full_protein, for rows whose full protein isn't in the registry."""
+    if full is not None:
+        registry = registry.join(full, "benchmark_file", "left").withColumn("full_protein_seq", F.coalesce(F.nullif(F.trim("full_protein_seq"), F.lit("")), "full_protein")).drop("full_protein")
+    registry = registry.where(F.trim(F.coalesce("benchmark_file", F.lit(""))) != "")
     first = registry.groupBy("benchmark_file").agg(F.min_by(F.struct(*[c for c in registry.columns if c != "benchmark_file"]), "ordinal").alias("r")).select("benchmark_file", "r.*")
     target, full = sequences.degap(F.coalesce("target_seq", F.lit(""))), sequences.degap(F.coalesce("full_protein_seq", F.lit("")))
     mode = F.coalesce(F.nullif(F.trim("recommended_reference"), F.lit("")), F.lit("target_as_reference"))

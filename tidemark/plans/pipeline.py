@@ -24,8 +24,9 @@ class Facts:
 
 
 def detect(records: DataFrame, sample: int = profile.SAMPLE) -> Facts:
-    """By the first records in file order; one row comes to the driver."""
-    head = records.orderBy(*ORDER).limit(sample).withColumn("_one", F.lit(1))
+    """By the first records in file order, of which only lengths and letter counts are sorted; one row comes to the driver."""
+    few = records.where(F.col("number") <= sample) if "number" in records.columns else records
+    head = profile.facts(few.select(*ORDER, "seq")).orderBy(*ORDER).limit(sample).withColumn("_one", F.lit(1))
     row = profile.engine_profile(head, ["_one"]).first()
     if row is None:
         raise ValueError("no sequences")
@@ -36,16 +37,20 @@ def dated(records: DataFrame) -> DataFrame:
     return records.withColumn("_d", dates.parse_date("description")).withColumns({"year": F.col("_d.year"), "month": F.col("_d.month")}).drop("_d")
 
 
+def place(m, reference: str, rows: DataFrame, width: int, aln: str = "aln_aa") -> list[int]:
+    """Columns of a motif: by the reference, else the first row with all parts, else the consensus."""
+    found = motif.columns_of_row(reference, m.parts) if reference else None
+    if found is None:
+        try:
+            found = motif.columns_in_data(rows, m.parts, aln, ORDER)
+        except ValueError:
+            found = motif.columns_in_consensus(motif.consensus(rows, width, aln, F.struct(*ORDER)), m.parts)
+    return found
+
+
 def _placed_by_reference(reference: str, config: Config, rows: DataFrame, width: int, aln: str):
-    """Columns of each motif: by the reference, else the first row with all parts, else the consensus."""
     for m in config.motifs:
-        found = motif.columns_of_row(reference, m.parts) if reference else None
-        if found is None:
-            try:
-                found = motif.columns_in_data(rows, m.parts, aln, ORDER)
-            except ValueError:
-                found = motif.columns_in_consensus(motif.consensus(rows, width, aln, F.struct(*ORDER)), m.parts)
-        yield m, found
+        yield m, place(m, reference, rows, width, aln)
 
 
 def _by_motif(rows: DataFrame, placed, aln_nt: str | None, least: float) -> DataFrame:
@@ -97,6 +102,6 @@ def fragments(records: DataFrame, config: Config, facts: Facts, least_called: fl
 
 
 def run(spark: SparkSession, path: str, config: Config, **options) -> DataFrame:
-    """Long counts of a FASTA file or folder: motif_tag, nt, aa, year, month, n."""
+    """Long counts of one FASTA file: motif_tag, nt, aa, year, month, n. Folders of files, with their tables and summaries, are `runs.run`'s."""
     records = fasta.read_fasta(spark, path)
     return counts.count_variants(fragments(records, config, detect(records), **options), ["motif_tag", "nt", "aa"])

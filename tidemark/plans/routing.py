@@ -73,7 +73,7 @@ def route(groups: DataFrame, inventory: DataFrame) -> DataFrame:
     mode = suitability(F.col("molecule"), F.col("state"), F.col("median_length"), F.col("ref_len"), F.col("parent_len"))
     ok = segment_allows(F.col("path"), F.col("folder"), F.col("segment"))
     reason = F.when(~ok, "other segment").when(mode.isNull(), F.format_string("%s median %d for a reference of %d", "molecule", "median_length", "ref_len"))
-    return pairs.select("group_id", "path", F.col("prefix").alias("tier"), F.when(ok, mode).alias("mode"), reason.alias("reason"), "n_records")
+    return pairs.select("group_id", "path", F.col("prefix").alias("tier"), F.when(ok, mode).alias("mode"), reason.alias("reason"), "n_records", "rel_path", "state")
 
 
 def plan_status(groups: DataFrame, routed: DataFrame) -> DataFrame:

@@ -201,11 +201,8 @@ PART = "thatonthe"
 @query(f"""SELECT item_id, CAST(pos AS INT) AS place, CAST(off AS INT) AS mismatches FROM (SELECT item_id, pos, off, row_number() OVER (PARTITION BY item_id ORDER BY off, pos) AS r FROM (
 SELECT item_id, pos, len(list_filter(range(1, {len(PART) + 1}), lambda k: substr(text, pos + k, 1) <> substr('{PART}', k, 1))) AS off FROM (SELECT item_id, text, unnest(range(length(text) - {len(PART) - 1})) AS pos FROM benchmark))) WHERE r = 1""")
 def hamming_place(spark, sf_dir):
-    b = t(spark, sf_dir, "benchmark").where(F.length("text") >= len(PART))
-    at = b.select("item_id", "text", F.explode(F.sequence(F.lit(0), F.length("text") - len(PART))).alias("pos"))
-    off = sequences.hamming(F.substring(F.col("text"), F.col("pos") + 1, F.lit(len(PART))), F.lit(PART))
-    best = at.groupBy("item_id").agg(F.min(F.struct(off.alias("off"), "pos")).alias("b"))
-    return best.select("item_id", F.col("b.pos").alias("place"), F.col("b.off").alias("mismatches"))
+    best = t(spark, sf_dir, "benchmark").select("item_id", F.explode(F.array_compact(F.array(motif.best_place(F.col("text"), PART)))).alias("b"))
+    return best.select("item_id", "b.place", "b.mismatches")
 
 
 @query("SELECT doc_id, substr(sha1(s), 1, 8) AS ref_hash, CAST(length(s) AS INT) AS len FROM (SELECT doc_id, upper(trim(translate(replace(text, 'ß', 'ss'), '-. ', ''))) AS s FROM documents)")
@@ -369,3 +366,6 @@ def incremental_counts(spark, sf_dir):
 
     incremental.count_stream(stream, to_fragments, f"{top}/counts", f"{top}/state").awaitTermination()
     return incremental.read_stream_counts(spark, f"{top}/counts")
+
+
+from tidemark import queries_files  # noqa: E402, F401 - registers more queries

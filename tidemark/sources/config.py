@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import re
 from dataclasses import dataclass, field
 from pathlib import Path
 
-#: Letters of reference and motif sequences.
+#: Letters of reference and motif sequences, and the pattern of a motif's header.
 RESIDUES = frozenset("ACDEFGHIKLMNPQRSTVWYX*")
 _MOTIF = re.compile(r"motif_reference[\s_\-:.]*(\S*)", re.I)
 
@@ -86,10 +87,10 @@ def parse_loosely(text: str) -> tuple[str, dict[str, str]]:
     return protein, motifs
 
 
-def find(folder: str | Path, dataset: str) -> Path:
+def find(folder: str | Path, dataset: str, exists=os.path.isfile) -> str:
     """The dataset's own file, else reference.txt, else config.txt."""
     for name in (f"{dataset}.txt", "reference.txt", "config.txt"):
-        if (path := Path(folder) / name).is_file():
+        if exists(path := f"{str(folder).rstrip('/')}/{name}"):
             return path
     raise FileNotFoundError(f"no configuration for {dataset} in {folder}")
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import texts
+from tidemark.sources import files
 
 EXTENSIONS = ("fasta", "fa", "fna", "faa", "fas")
 _REST = 2147483647
@@ -43,8 +44,8 @@ def _number(split: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def file_name(path: str = "file_path") -> Column:
-    """The file's path as it is, without URL escapes."""
-    return F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B")))
+    """The file's path without URL escapes, and without the scheme of the local file system."""
+    return F.regexp_replace(F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
 
 
 def read_fasta(spark: SparkSession, path: str | list[str], recursive: bool = False, encoding: str = "ISO-8859-1") -> DataFrame:
@@ -85,18 +86,19 @@ def count_records(records: DataFrame) -> DataFrame:
 
 
 def list_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
-    """path and size_bytes of the FASTA files of a folder, or of all under it."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower()).option("pathGlobFilter", name_filter()).load(root)
-    return files.select(file_name("path").alias("path"), F.col("length").alias("size_bytes"))
+    """path and size_bytes of the FASTA files of a folder, or of all under it; empty files too."""
+    top = files.qualified(spark, root).rstrip("/")
+    names = [(f"{top}/{p}", n) for p, n in files.walk(spark, root) if p.lower().endswith(tuple(f".{e}" for e in EXTENSIONS)) and (recursive or "/" not in p)]
+    return spark.createDataFrame(names, "path string, size_bytes long")
 
 
 def datasets(spark: SparkSession, folder: str, dataset: str | None = None) -> DataFrame:
     """path, size_bytes and dataset of the FASTA files of a folder, in order of path; dataset: only the file of this name, or of its name without extension."""
-    files = list_files(spark, folder, False).withColumn("dataset", texts.file_stem("path"))
+    found = list_files(spark, folder, False).withColumn("dataset", texts.file_stem("path"))
     if dataset is not None:
         stem = dataset.rsplit(".", 1)[0] if "." in dataset[1:] else dataset
-        files = files.where((F.substring_index("path", "/", -1) == dataset) | (F.col("dataset") == stem))
-    return files.orderBy("path")
+        found = found.where((F.substring_index("path", "/", -1) == dataset) | (F.col("dataset") == stem))
+    return found.orderBy("path")
 
 
 def single_sequence(spark: SparkSession, path: str) -> str | None:

@@ -10,8 +10,16 @@ REQUIRED = ["benchmark_file", "dms_id", "virus_code", "host", "target_seq", "tar
 OPTIONAL = ["seq_len", "uniprot_full_len", "full_protein_seq", "protein"]
 NT, AA, TOTAL = "Motif Nucleotide", "Motif Peptide", "Count"
 
+#: Fixed schemas of the documents.
 INVENTORY = "fasta_root string, scanned_at string, sample_size int, files array<struct<path:string,rel_path:string,folder:string,molecule:string,state:string,median_length:long,n_records:long,size_bytes:long>>"
 
+PLAN = (
+    "created_at string, registry string, inventory string, groups array<struct<group_id:string,virus_code:string,host:string,binning:string,reference_mode:string,ref_len:int,config:string,"
+    "motifs:array<struct<tag:string,len:int,benchmarks:array<string>>>,benchmarks:array<string>,fasta_tier:string,fasta_files:array<struct<path:string,rel_path:string,mode:string,state:string,n_records:long>>,"
+    "rejected_files:array<struct<file:string,reason:string>>>>, skipped array<struct<benchmark_file:string,reason:string>>, blocked array<struct<benchmark_file:string,reason:string>>, dms_missing_on_disk array<string>"
+)
+MANIFEST = "group_id string, ref_hash string, ref_len int, config string, motif_tags array<string>, registered_at string, source_folder_name string"
+
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, empty fields as '', missing optional columns as null; `ordinal` keeps the rows' order. A byte order mark is dropped."""
@@ -37,6 +45,11 @@ def read_inventory(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INVENTORY).json(path, multiLine=True).select(F.explode("files").alias("f")).select("f.*")
 
 
+def read_plan(spark: SparkSession, path: str) -> DataFrame:
+    """One row per group of a task plan."""
+    return spark.read.schema(PLAN).json(path, multiLine=True).select(F.explode("groups").alias("g")).select("g.*")
+
+
 def read_document(spark: SparkSession, path: str) -> DataFrame:
     """A JSON document; unreadable ones give a row of nulls."""
     return spark.read.json(path, multiLine=True, mode="PERMISSIVE")
@@ -71,6 +84,7 @@ def read_counts(spark: SparkSession, path: str, group_id: str | None = None, mot
     return df
 
 
-def write_training(rows: DataFrame, path: str) -> None:
-    """Training tables, one folder per benchmark."""
-    rows.write.mode("overwrite").partitionBy("benchmark").option("header", "true").csv(path)
+def write_training(rows: DataFrame, path: str, total: str = "total", keys: tuple[str, ...] = ("nt", "aa")) -> None:
+    """Training tables, one folder per benchmark, the most counted variants first: files in order, and rows in order in each. A large benchmark is written by many tasks."""
+    order = [F.col("benchmark"), *([F.col(total).desc()] if total in rows.columns else []), *(F.col(k) for k in keys if k in rows.columns)]
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("benchmark").option("header", "true").csv(path)
