@@ -188,3 +188,31 @@ def test_consensus_helps_odd_pages(spark):
         want = "Short." if r.page_id == 9 else "" if r.page_id in (11, 12) else TEXT
         assert (r.text, r.n_chars) == (want, len(want)), r
     assert html_text.main_texts(pages.limit(0)).collect() == []
+
+
+def test_names_that_only_hold_a_marking_word():
+    article = "<p>" + "word " * 200 + "</p>"
+    want = ("word " * 200).strip()
+    for name in ("long-form", "related-work", "social-history", "notice-of-motion", "search-engine-article", "comment-piece", "form-body", "search-results"):
+        for kind in ("class", "id"):
+            page = f'<html><body><nav>menu</nav><div {kind}="{name}">{article}</div><div class="sidebar">side text</div><div id="comments">{article * 3}</div></body></html>'
+            assert html_text.extract(page) == want
+    for name in ("ad", "sidebar", "site-footer", "related-posts", "cookie-notice", "social-share", "newsletter-signup", "user-comments", "comment-list"):
+        page = f'<html><body><div class="{name}">{"other " * 300}</div><div class="story">{article}</div></body></html>'
+        assert html_text.extract(page) == want, name
+    assert html_text.extract(f'<body><div class="search"><h1>Title</h1>{article}</div></body>') == "Title\n\n" + want
+    assert html_text.extract('<body><div class="ad">Only this.</div></body>') == "Only this."
+
+
+def test_broken_and_deep_pages_take_linear_time():
+    import time
+
+    pages = ["<div>" * 24_000 + "x", '<div class="a b">' * 24_000 + "x", '<a x="' * 8_000, '<a x="' * 8_000 + ">x", "<" * 100_000, "<!--" * 20_000, "</x>" * 50_000, "<ul><li>" * 10_000 + "<li>" * 10_000, "<script>" * 20_000, "<td>" * 30_000, "<span hidden>" * 20_000 + "<p>" * 5_000, "&" * 100_000]
+    began = time.time()
+    for p in pages:
+        html_text.extract(p)
+        html_text.vote(p)
+    assert time.time() - began < 20
+    assert html_text.extract('<p>a < b and c</p><p>d <a href="x>y">e</a></p>') == "a < b and c\n\nd e"
+    assert html_text.extract("<p>one<p>two <b title='it'>three</b>") == "one\n\ntwo three"
+    assert html_text.extract('<p>start</p><a title="never closed><p>rest</p>') == "start\n\nrest"

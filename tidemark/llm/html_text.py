@@ -1,18 +1,24 @@
 """HTML extraction by consensus host paths.
 
-Each page is parsed once into block elements and text blocks; boilerplate (menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles, comments of readers; by element name, class, id and role) is left out. The page's best container is
-found by descending from the root as long as one child element keeps most of the text that isn't links. Its path, tags with
+Each page is read once, in time that grows with its length, into block elements and text blocks. Boilerplate is left out: elements that hold nothing else (menus, headers, footers,
+asides, forms, scripts, styles), hidden ones, and containers whose class, id or role says so. A name that consists of such words only (`sidebar`,
+`site-footer`, `related-posts`) is taken at its word, unless three quarters of the page's text outside of links and an article, a main element or a first heading would go with it, or
+all text; a name that merely holds such a word (`long-form`,
+`related-work`) counts only where the container has less than half of that text. Comments of readers go however long they are.
+
+The page's best container is found by descending from the root as long as one child element keeps most of the text that isn't links. Its path, tags with
 classes and numbers made general, is the page's vote; votes are counted per host in Spark. A second pass extracts every page
 again from the host's winning path, or, on a page that has nothing there, from the next path, and last from its own best container.
 
 The result is the whole text of the blocks in page order, white space inside a block made one blank, two line feeds between
-blocks. Null and empty pages give an empty text; a null url has the host ''. Repeated rows and ids are kept; other columns are ignored."""
+blocks. Null and empty pages give an empty text; a null url has the host ''. Behind a quote that is never closed tags end at the first >.
+Equal votes go to the path that comes first in the alphabet. Repeated rows and ids are kept; other columns are ignored; an empty table gives an empty one."""
 
 from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -21,9 +27,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.shared import cut, table
 
-_TOKEN = re.compile(
-    r"<!--(?:.*?-->|.*)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/][^>]*>", re.S
-)
+_TAG = re.compile(r"[a-zA-Z][^\s/>]*")
+_EDGE = re.compile(r"[>\"']")
 _ATTRIBUTE = re.compile(r"([^\s=\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 _SPACE = re.compile(r"\s+")
 #: Fixed lists of element names.
@@ -37,12 +42,18 @@ BLOCKS = frozenset(
 )
 CONTAINERS = frozenset("article body center div html main section td blockquote".split())
 CLOSES_P = BLOCKS - frozenset(["html", "body"])
-#: Fixed list of words that mark boilerplate in class, id or role.
+#: Fixed lists: words that mark boilerplate in class, id or role; words that go with them in names of nothing else; names of readers' comments.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored promo promotion promotions outbrain taboola nav navbar navigation menu menus breadcrumb breadcrumbs "
     "sidebar sidebars aside widget widgets footer foot masthead toolbar topbar cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login register "
     "comment comments commentlist disqus respond replies share sharing social related recommended recommendations recirculation search searchform pagination pager form forms complementary contentinfo".split()
 )
+AFFIXES = frozenset(
+    "site page main global top bottom left right primary secondary box bar block area list section wrap wrapper container inner outer link links item items button buttons icon icons slot unit bottom "
+    "user reader readers post posts article articles story stories news header head policy privacy email mobile desktop sticky floating fixed".split()
+)
+COMMENTS = frozenset("comments commentlist disqus respond replies".split())
+SURE, LIKELY, READERS = 1, 2, 3
 _PAGE_HEAD = frozenset(["header", "head", "banner"])
 _CLOSERS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _LIMITS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",)}
@@ -54,16 +65,27 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in _ATTRIBUTE.finditer(raw)} if raw.strip(" /") else {}
 
 
-def _marked(tag: str, a: dict[str, str]) -> bool:
+def _hidden(a: dict[str, str]) -> bool:
+    return bool(a) and ("hidden" in a or a.get("aria-hidden", "").lower() == "true" or bool(_HIDDEN.search(a.get("style", ""))))
+
+
+def _mark(tag: str, a: dict[str, str]) -> int:
+    """Whether an element's names say boilerplate: not (0), surely, likely, or readers' comments."""
+    found = 0
     if not a or tag in ("html", "body", "article", "main"):
-        return False
-    if "hidden" in a or a.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(a.get("style", "")):
-        return True
+        return found
     for name in f"{a.get('class', '')} {a.get('id', '')} {a.get('role', '')}".lower().split():
-        parts = re.split(r"[^a-z]+", name)
-        if not MARKS.isdisjoint(parts) or (name in _PAGE_HEAD or parts[-1] == "header" and len(parts) > 1 and parts[0] in ("site", "page", "global", "main", "top")):
-            return True
-    return False
+        parts = [p for p in re.split(r"[^a-z]+", name) if p]
+        known = [p for p in parts if p in MARKS]
+        if known and all(p in MARKS or p in AFFIXES for p in parts):
+            if parts[-1] in COMMENTS or parts[0] in COMMENTS or parts[0] == "comment" and len(parts) > 1:
+                return READERS
+            found = SURE
+        elif name in _PAGE_HEAD or parts and parts[-1] == "header" and len(parts) > 1 and parts[0] in ("site", "page", "global", "main", "top"):
+            found = SURE
+        elif known and not found:
+            found = LIKELY
+    return found
 
 
 def _label(tag: str, a: dict[str, str]) -> str:
@@ -71,14 +93,45 @@ def _label(tag: str, a: dict[str, str]) -> str:
 
 
 class Page:
-    """The block elements of a page (parent, tag, path) and its text blocks (element, text, characters in links)."""
+    """The block elements of a page (parent, tag, number of the path) and its text blocks (element, text, characters outside of links)."""
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.path = [-1], ["#"], [""]
+        self.parent, self.tag, self.path, self.mark = [-1], ["#"], [0], [0]
+        self.paths: dict[tuple[int, str], int] = {}
+        self.steps: list[tuple[int, str]] = [(0, "")]
         self.blocks: list[tuple[int, str, int]] = []
+        self._read(source)
+        self._leave_out()
+
+    def _step(self, path: int, label: str) -> int:
+        """The number of a path and one step more."""
+        at = self.paths.get((path, label))
+        if at is None:
+            at = self.paths[path, label] = len(self.steps)
+            self.steps.append((path, label))
+        return at
+
+    def path_of(self, element: int) -> str:
+        out, at = [], self.path[element]
+        while at:
+            at, label = self.steps[at]
+            out.append(label)
+        return "".join(f">{label}" for label in reversed(out))
+
+    def number_of(self, path: str) -> int | None:
+        """The number of a path of this page, or None."""
+        at: int | None = 0
+        for label in path.split(">")[1:]:
+            at = self.paths.get((at, label)) if at is not None else None
+        return at
+
+    def _read(self, source: str) -> None:
         stack: list[tuple[str, int, bool]] = [("#", 0, False)]
+        opened: dict[str, int] = defaultdict(int)
         text: list[str] = []
         links = link = at = 0
+        quotes, end = True, len(source)
+        last = source.rfind(">")
 
         def flush():
             nonlocal links
@@ -86,16 +139,24 @@ class Page:
                 block = _SPACE.sub(" ", html.unescape("".join(text))).strip()
                 text.clear()
                 if block:
-                    self.blocks.append((stack[-1][1], block, links))
+                    self.blocks.append((stack[-1][1], block, max(1, len(block) - links)))
             links = 0
 
+        def push(tag: str, element: int, dropped: bool):
+            opened[tag] += 1
+            stack.append((tag, element, dropped))
+
         def pop(n: int):
             while len(stack) > n:
-                if stack[-1][0] in BLOCKS:
+                tag = stack[-1][0]
+                if tag in BLOCKS:
                     flush()
+                opened[tag] -= 1
                 stack.pop()
 
         def close(names, limits):
+            if not any(opened[n] for n in names):
+                return
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] in names:
                     pop(k)
@@ -110,24 +171,50 @@ class Page:
                 if link:
                     links += len(piece)
 
-        end = len(source)
+        def tag_end(k: int) -> int:
+            """Behind the > that ends the tag, quoted ones aside."""
+            nonlocal quotes
+            first = source.find(">", k)
+            while quotes:
+                m = _EDGE.search(source, k)
+                if m is None:
+                    quotes = False
+                elif m[0] == ">":
+                    return m.end()
+                else:
+                    k = source.find(m[0], m.end()) + 1
+                    quotes = k > 0
+            return first + 1
+
         while at < end:
-            m = _TOKEN.search(source, at)
-            if m is None:
+            begin = source.find("<", at)
+            if begin < 0 or begin > last:
                 add(source[at:])
                 break
-            if m.start() > at:
-                add(source[at : m.start()])
-            at = m.end()
-            name = m[2] or m[5]
-            if not name:
+            add(source[at:begin])
+            ahead = source[begin + 1 : begin + 2]
+            if ahead == "!" or ahead == "?":
+                stop = source.find("-->", begin + 4) if source.startswith("<!--", begin) else source.find(">", begin)
+                at = end if stop < 0 else stop + (3 if source.startswith("<!--", begin) else 1)
                 continue
-            tag, raw = name.lower(), m[3] if m[2] else m[6]
-            if m[1] or m[4]:
+            closing = ahead == "/"
+            name = _TAG.match(source, begin + 1 + closing)
+            if name is None:
+                if closing:
+                    at = source.find(">", begin) + 1
+                else:
+                    add("<")
+                    at = begin + 1
+                continue
+            at = tag_end(name.end())
+            tag, raw = name[0].lower(), source[name.end() : at - 1]
+            if closing:
                 if tag == "a":
                     link = max(0, link - 1)
-                elif any(s[0] == tag for s in stack):
-                    k = max(i for i, s in enumerate(stack) if s[0] == tag)
+                elif opened[tag]:
+                    k = len(stack) - 1
+                    while stack[k][0] != tag:
+                        k -= 1
                     pop(k)
                 elif tag in BLOCKS and not stack[-1][2]:
                     flush()
@@ -143,13 +230,12 @@ class Page:
                 close(("p",), ("table", "td", "th", "button", "article", "section", "div", "blockquote", "li"))
             if tag in _CLOSERS:
                 close(_CLOSERS[tag], _LIMITS[tag])
-            if tag == "body" and any(s[0] == "head" for s in stack):
+            if tag == "body" and opened["head"]:
                 pop(next(i for i, s in enumerate(stack) if s[0] == "head"))
             if tag in RAW:
                 found = _RAW_END[tag].search(source, at)
-                stop = found.start() if found else end
-                closing = source.find(">", stop)
-                at = end if found is None or closing < 0 else closing + 1
+                stop = source.find(">", found.start()) if found else -1
+                at = end if stop < 0 else stop + 1
                 continue
             if tag == "a":
                 link += 1
@@ -157,34 +243,62 @@ class Page:
             if raw.endswith("/") and tag not in BLOCKS:
                 continue
             a = _attributes(raw)
-            dropped = stack[-1][2] or tag in DROPPED or _marked(tag, a)
+            dropped = stack[-1][2] or tag in DROPPED or _hidden(a)
+            mark = 0 if dropped else _mark(tag, a)
             if tag in BLOCKS:
                 if not stack[-1][2]:
                     flush()
-                self.parent.append(stack[-1][1])
+                up = stack[-1][1]
+                self.parent.append(up)
                 self.tag.append(tag)
-                self.path.append(f"{self.path[stack[-1][1]]}>{_label(tag, a)}")
-                stack.append((tag, len(self.tag) - 1, dropped))
+                self.path.append(self._step(self.path[up], _label(tag, a)))
+                self.mark.append(mark)
+                push(tag, len(self.tag) - 1, dropped)
             elif tag in ("td", "th"):
                 add(" ")
-                stack.append((tag, stack[-1][1], dropped))
-            elif dropped:
-                stack.append((tag, stack[-1][1], True))
+                push(tag, stack[-1][1], dropped)
+            elif dropped or mark in (SURE, READERS):
+                push(tag, stack[-1][1], True)
         flush()
 
+    def _sizes(self) -> list[int]:
+        size = [0] * len(self.tag)
+        for element, _, n in self.blocks:
+            size[element] += n
+        for k in range(len(size) - 1, 0, -1):
+            size[self.parent[k]] += size[k]
+        return size
+
+    def _leave_out(self) -> None:
+        """Drops the blocks of marked containers, by the share of the page's text that they hold."""
+        if not any(self.mark):
+            return
+        readers = self._within(lambda k: self.mark[k] == READERS)
+        rest = [b for b in self.blocks if not readers[b[0]]]
+        whole, self.blocks = self.blocks, rest or self.blocks
+        size = self._sizes()
+        story = [t in ("article", "main", "h1") for t in self.tag]
+        for k in range(len(story) - 1, 0, -1):
+            story[self.parent[k]] |= story[k]
+        gone = self._within(lambda k: self.mark[k] == SURE and not (story[k] and size[k] >= 0.75 * size[0]) or self.mark[k] == LIKELY and size[k] < 0.5 * size[0])
+        self.blocks = [b for b in self.blocks if not gone[b[0]]] or self.blocks or whole
+
+    def _within(self, chosen) -> list[bool]:
+        """Which elements are chosen or inside a chosen one."""
+        own = [False] * len(self.tag)
+        for k in range(len(own)):
+            own[k] = k > 0 and own[self.parent[k]] or chosen(k)
+        return own
+
     def best(self) -> int:
         """The container found by descending while one child keeps most of the text outside of links: half for an article or main
         element, else 80 %. An article is never left for a part of it."""
-        n = len(self.tag)
-        size = [0] * n
-        for element, block, links in self.blocks:
-            size[element] += max(1, len(block) - links)
-        for k in range(n - 1, 0, -1):
-            size[self.parent[k]] += size[k]
+        size, children = self._sizes(), defaultdict(list)
+        for k in range(1, len(self.tag)):
+            children[self.parent[k]].append(k)
         at = 0
         while self.tag[at] != "article" and size[at]:
-            share = {k: size[k] / size[at] for k in range(at + 1, n) if self.parent[k] == at}
-            down = [k for k, x in share.items() if x >= (0.5 if self.tag[k] in ("article", "main") else 0.8)]
+            down = [k for k in children[at] if size[k] >= (0.5 if self.tag[k] in ("article", "main") else 0.8) * size[at]]
             if not down or self.tag[at] == "main" and self.tag[down[0]] not in CONTAINERS:
                 break
             at = max(down, key=lambda k: (self.tag[k] in ("article", "main"), size[k], -k))
@@ -192,10 +306,8 @@ class Page:
             at = self.parent[at]
         return at
 
-    def inside(self, tops: set[int]) -> list[str]:
-        own = [False] * len(self.tag)
-        for k in range(len(self.tag)):
-            own[k] = k in tops or k > 0 and own[self.parent[k]]
+    def inside(self, chosen) -> list[str]:
+        own = self._within(chosen)
         return [block for element, block, _ in self.blocks if own[element]]
 
 
@@ -205,17 +317,19 @@ def extract(source: str | None, paths=()) -> str:
         return ""
     page = Page(source)
     for path in paths:
-        found = page.inside({k for k, p in enumerate(page.path) if p == path})
+        number = page.number_of(path)
+        found = page.inside(lambda k, number=number: page.path[k] == number) if number else []
         if found:
             return "\n\n".join(found)
-    return "\n\n".join(page.inside({page.best()}))
+    best = page.best()
+    return "\n\n".join(page.inside(lambda k: k == best))
 
 
 def vote(source: str | None) -> str:
     if not source:
         return ""
     page = Page(source)
-    return page.path[page.best()] if page.blocks else ""
+    return page.path_of(page.best()) if page.blocks else ""
 
 
 #: Paths of a host that are tried, by votes, before a page's own best container.
