@@ -47,7 +47,9 @@ def test_files_round_trip(corpus, spark, tmp_path, file_chars):
         rows.append((d, at, len(ids), crc(ids)))
         at += len(ids)
     assert sorted(map(tuple, got), key=lambda r: r[1]) == rows
-    assert len(list((tmp_path / "ids").glob("*.planes"))) == files.count() and not list((tmp_path / "ids").glob("_open*"))
+    assert sorted(p.name for p in (tmp_path / "ids").glob("*.planes")) == sorted(r.name for r in files.collect())
+    (tmp_path / "ids/part-00000000-lost.planes").write_bytes(b"half a file of a lost task")
+    assert sorted(map(tuple, token_files.read_files(spark, f"file://{tmp_path}/ids", files).collect()), key=lambda r: r[1]) == rows
 
 
 def test_no_documents(empty, spark, tmp_path):
@@ -114,3 +116,16 @@ def test_long_groups_and_growing_table():
     for t in texts:
         assert first.encode([t]) == plain([t])
     assert first.room >= first.n
+
+
+def test_hot_ids_are_split(spark):
+    from tidemark.llm.shared import Ranges
+
+    for seed in range(3):
+        rng = random.Random(seed)
+        ids = [rng.choice([*[None] * (3 * seed), *[5] * (9 * seed), -(1 << 63), (1 << 63) - 1, *range(-20, 40)]) for _ in range(900)]
+        r = Ranges(spark.createDataFrame([(i,) for i in ids], "doc_id long"), 12)
+        rows = sorted(((i, rng.random()) for i in ids), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        part = r.of(np.array([i or 0 for i, _ in rows], np.int64), np.array([i is not None for i, _ in rows]), np.array([t for _, t in rows]))
+        assert (np.diff(part) >= 0).all() and np.bincount(part).max() < 300
+    assert Ranges(spark.createDataFrame([], "doc_id long"), 5).of(np.zeros(2, np.int64), np.array([True, False]), np.zeros(2)).tolist() == [0, 0]

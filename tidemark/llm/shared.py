@@ -10,6 +10,7 @@ import sys
 import tempfile
 import uuid
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -115,6 +116,35 @@ def with_each(df: DataFrame, facts: DataFrame, key: str, hot: int = 2_000) -> Da
     return df.join(sent, key, "left_anti").join(facts, key).unionByName(df.join(small(some), key))
 
 
+class Ranges:
+    """Ranges of (doc_id, tie) of about equal numbers of rows, null ids first. Ties are fractions; ids with many rows are split by them."""
+
+    def __init__(self, docs: DataFrame, n: int):
+        """docs: a column doc_id of whole numbers."""
+        self.nulls, cuts, self.ties = np.zeros(0), set(), {}
+        if n > 1:
+            cuts |= {int(x) for x in docs.where("doc_id is not null").approxQuantile("doc_id", [k / n for k in range(1, n)], 0.2 / n)}
+            size = max(1, docs.count() // n)
+            for r in docs.groupBy("doc_id").agg(F.count("*").alias("c")).where(F.col("c") > 2 * size).collect():  # n / 2 at most
+                ties = np.arange(1, r.c // size) * (size / r.c)
+                if r.doc_id is None:
+                    self.nulls = np.append(ties, 1.0)
+                else:
+                    self.ties[int(r.doc_id)] = ties
+                    cuts |= {int(r.doc_id), int(r.doc_id) + 1}
+        self.cuts = np.array(sorted(c for c in cuts if -(1 << 63) <= c < 1 << 63), np.int64)
+        self.split = np.array(sorted(self.ties), np.int64)
+        self.before = np.concatenate(([0], np.cumsum([len(self.ties[i]) for i in self.split.tolist()]))).astype(np.int64)
+
+    def of(self, ids: np.ndarray, known: np.ndarray, ties: np.ndarray) -> np.ndarray:
+        """The range of each row; ids of rows that aren't known don't matter."""
+        out = len(self.nulls) + np.searchsorted(self.cuts, ids, "right") + self.before[np.searchsorted(self.split, ids, "left")]
+        for i, t in self.ties.items():
+            own = np.flatnonzero(ids == i)
+            out[own] += np.searchsorted(t, ties[own], "right")
+        return np.where(known, out, np.searchsorted(self.nulls, ties, "right"))
+
+
 def longs(values) -> pd.api.extensions.ExtensionArray:
     """Whole numbers, or their text, or None, exactly."""
     return pd.array([None if v is None else int(v) for v in values], dtype="Int64")

@@ -7,10 +7,11 @@ read alone. All numbers are little-endian.
 
     magic | block: planes... | block ... | doc ids <i8 | known <u1 | lengths <u8 (each zstd) | chunk index (zstd) | footer
 
-Writing: ranges come from approximate quantiles of doc_id, ids are shuffled to their range and sorted, each task streams its
-files to the shared folder under a temporary name and renames them at the end, so a lost task is just run again. Reading goes
-through Spark's reader of whole files. Rows with a null doc_id come first; rows with the same doc_id are ordered by their ids'
-checksum. A null text is empty (only the end id). Other columns are ignored."""
+Writing: ranges come from approximate quantiles of doc_id (an id with very many rows, or none, is split by its rows' checksums), ids are shuffled to
+their range and sorted, each task streams its files to the shared folder. Each attempt of a task writes files of names of its own, and the list of files
+names those of the attempts that succeeded, so a lost task is just run again. Reading goes through Spark's reader of whole files, and takes
+all numbers from the files. Rows with a null doc_id come first; rows with the same doc_id are ordered by their ids' checksum, repeated rows are kept. A null or empty
+text is empty (only the end id), very long texts span blocks, an empty table writes no file. Other columns are ignored."""
 
 from __future__ import annotations
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.packing import framed, narrow, wide, with_bases
-from tidemark.llm.shared import about_chars, as_text, cut, new_path, table, trimmed
+from tidemark.llm.shared import Ranges, about_chars, as_text, cut, new_path, small, table, trimmed
 from tidemark.llm.tokens import encoder
 
 MAGIC, END, BLOCK = b"TMPLANE1", 2, 65_536
@@ -128,15 +129,18 @@ class PlaneReader:
             held, at = held[n:], at + n
 
 
-def _encode(path, end, splits):
+def _encode(path, end, ranges):
     def run(frames):
         coder = encoder(path)
         for f in frames:
-            rows = []
-            for doc, raw in zip(f.doc_id.tolist(), coder.encode(f.text), strict=True):
+            docs, rows = f.doc_id.tolist(), []
+            for doc, raw in zip(docs, coder.encode(f.text), strict=True):
                 ids = np.append(np.frombuffer(raw, "<u4"), np.uint32(end))
-                part = 0 if doc is None else int(np.searchsorted(splits, int(doc), "right"))
-                rows.append((part, doc, zlib.crc32(ids.tobytes()), len(ids), (ids.astype("<u2") if narrow(ids) else ids).tobytes()))
+                rows.append([0, doc, zlib.crc32(ids.tobytes()), len(ids), (ids.astype("<u2") if narrow(ids) else ids).tobytes()])
+            known = np.array([d is not None for d in docs], bool)
+            part = ranges.of(np.array([int(d) if d is not None else 0 for d in docs], np.int64), known, np.array([r[2] for r in rows]) / (1 << 32))
+            for r, p in zip(rows, part.tolist(), strict=True):
+                r[0] = p
             yield framed(rows, ["part", "doc_id", "tie", "n", "ids"])
 
     return run
@@ -151,10 +155,9 @@ def _write(folder):
         part = writer = sink = name = None
 
         def close():
-            row = (part, len(writer.docs), writer.close())
+            total = writer.close()
             sink.close()
-            fs.move(name, f"{top}/part-{part:08d}{SUFFIX}")
-            return row
+            return part, name, len(writer.docs), total
 
         for f in frames:
             done = []
@@ -162,45 +165,49 @@ def _write(folder):
                 if p != part:
                     if writer:
                         done.append(close())
-                    part, name = p, f"{top}/_open-{uuid.uuid4().hex}"
-                    sink = fs.open_output_stream(name)
+                    part, name = p, f"part-{p:08d}-{uuid.uuid4().hex}{SUFFIX}"
+                    sink = fs.open_output_stream(f"{top}/{name}")
                     writer = PlaneWriter(sink)
                 writer.add(None if doc is None else int(doc), wide(raw, n))
             if done:
-                yield pd.DataFrame(done, columns=["part", "docs", "n"])
+                yield pd.DataFrame(done, columns=COLUMNS)
         if writer:
-            yield pd.DataFrame([close()], columns=["part", "docs", "n"])
+            yield pd.DataFrame([close()], columns=COLUMNS)
 
     return run
 
 
+COLUMNS = ["part", "name", "docs", "n"]
+
+
 def _read(frames):
     for f in frames:
-        for path, raw in zip(f.path, f.content, strict=True):
-            part = int(path.rsplit("part-", 1)[1].removesuffix(SUFFIX))
-            rows = [(part, doc, at, len(ids), zlib.crc32(ids.tobytes())) for doc, at, ids in PlaneReader(raw).documents()]
+        for part, raw in zip(f.part.tolist(), f.content, strict=True):
+            reader = PlaneReader(raw)
+            rows = [(part, doc, at, len(ids), zlib.crc32(ids.tobytes())) for doc, at, ids in reader.documents()]
+            if sum(r[3] for r in rows) != reader.total:
+                raise ValueError(f"file {part} doesn't hold what its footer says")
             yield framed(rows, ["part", "doc_id", "at", "n_tokens", "ids_crc32"])
 
 
 def write_files(docs: DataFrame, folder: str, end: int = END, path: str | None = None, file_chars: int = FILE_CHARS) -> DataFrame:
-    """Writes docs (doc_id, text) to files in folder; returns their list: part, docs, n (ids)."""
-    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"))
+    """Writes docs (doc_id, text) to files in folder; returns the list of the files that count: part, name, docs, n (ids)."""
+    ranges = Ranges(docs.select(F.col("doc_id").cast("long").alias("doc_id")), files := max(1, about_chars(docs) // file_chars))
     docs = docs.select(as_text("doc_id"), "text")
-    files = max(1, about_chars(docs) // file_chars)
-    splits = sorted(set(whole.where("doc_id is not null").approxQuantile("doc_id", [k / files for k in range(1, files)], 0.2 / files))) if files > 1 else []
-    ids = docs.mapInPandas(trimmed(_encode(path, end, np.array(splits, np.int64))), "part long, doc_id long, tie long, n long, ids binary")
+    ids = docs.mapInPandas(trimmed(_encode(path, end, ranges)), "part long, doc_id long, tie long, n long, ids binary")
     ids = ids.repartition(files, "part").sortWithinPartitions("part", "doc_id", "tie")
     ids = ids.withColumn("doc_id", F.col("doc_id").cast("string"))
-    return cut(ids.mapInPandas(trimmed(_write(folder)), "part long, docs long, n long"), "files")
+    return cut(ids.mapInPandas(trimmed(_write(folder)), "part long, name string, docs long, n long"), "files")
 
 
 def read_files(spark: SparkSession, folder: str, files: DataFrame) -> DataFrame:
-    """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 of each document, from the files' bytes."""
+    """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 of each document, all from the files' bytes; files: which of the folder's count."""
     if files.isEmpty():
         return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
-    raw = spark.read.format("binaryFile").option("pathGlobFilter", f"*{SUFFIX}").load(folder).select("path", "content")
-    rows = raw.mapInPandas(trimmed(_read), "part long, doc_id long, at long, n_tokens long, ids_crc32 long")
-    return with_bases(rows, files.select("part", "n")).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+    raw = spark.read.format("binaryFile").option("pathGlobFilter", f"*{SUFFIX}").load(folder).select(F.substring_index("path", "/", -1).alias("name"), "content")
+    raw = raw.join(small(files.select("name", "part")), "name").select("part", "content")
+    rows = cut(raw.mapInPandas(trimmed(_read), "part long, doc_id long, at long, n_tokens long, ids_crc32 long"), "tokens")
+    return with_bases(rows, rows.groupBy("part").agg(F.sum("n_tokens").alias("n"))).select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
 def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
