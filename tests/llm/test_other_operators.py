@@ -96,12 +96,22 @@ def test_leaks_odd_rows(corpus, empty, bench, spark):
 
 
 def naive_anchors(text):
-    """Starts of the k-mers whose least s-mer stands at an edge."""
-    cp = fingerprints.code_points(text)
+    """By the definition, with whole numbers: the k-mers whose least 6-mer stands first or last."""
+    top = 1 << 64
+
+    def mix(x):
+        x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 % top
+        x = (x ^ (x >> 27)) * 0x94D049BB133111EB % top
+        return x ^ (x >> 31)
+
+    def six(part):
+        return mix(sum((ord(c) + 1) * (mix(((k + 1) * 0x9E3779B97F4A7C15 + 131) % top) | 1) for k, c in enumerate(part)) % top)
+
     out = []
-    for at in range(len(cp) - fingerprints.K + 1):
-        part = cp[at : at + fingerprints.K]
-        out += [at] if len(fingerprints._kmers(part)[0]) else []
+    for at in range(len(text) - 19):
+        inner = [six(text[at + k : at + k + 6]) for k in range(15)]
+        if min(inner) in (inner[0], inner[-1]):
+            out.append(at)
     return out
 
 
@@ -117,7 +127,7 @@ def test_anchors_depend_on_their_own_letters(monkeypatch):
     monkeypatch.setattr(fingerprints, "CHUNK", 50)
     again, k = fingerprints.anchors(fingerprints.code_points(text))
     assert again.tolist() == at.tolist() and k.tolist() == h.tolist()
-    assert (fingerprints.sketches([fingerprints.code_points(text)]) >= 0).any()
+    assert (fingerprints.sketches([fingerprints.code_points(text)])[0] >= 0).any()
     assert fingerprints.matches(text, "xyz" + text)[0][1] - fingerprints.matches(text, "xyz" + text)[0][0] == 3
 
 
@@ -135,12 +145,36 @@ def test_fingerprints(corpus, range_chars):
     assert sorted(((r.doc_id, r.n_chars, r.edited_sha256) for r in got), key=key) == sorted(want, key=key)
     by = {}
     for r in got:
-        assert len(r.fingerprint) == 768 and 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        assert len(r.fingerprint) == len(r.edited_fingerprint) == 2 + 128 * 12 and 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
         by.setdefault(r.n_chars, set()).add(r.fingerprint)
     assert len(by[0]) == 1
     text = invented(random.Random(1), 300)
-    a, b, c = fingerprints.sketches([fingerprints.code_points(x) for x in (text, text[:-20], text[::-1])])
-    assert fingerprints.likeness(a[None], b[None])[0] > 0.8 and fingerprints.likeness(a[None], c[None])[0] < 0.1
+    assert likeness(text, text[:-20]) > 0.8 and likeness(text, text[::-1]) < 0.1 and likeness(text, text) == likeness("", "") == 1
+
+
+def likeness(x, y):
+    (a, b), (p, q) = fingerprints.sketches([fingerprints.code_points(t) for t in (x, y)])
+    return fingerprints.likeness(a[None], b[None], p[None], q[None])[0]
+
+
+def test_likeness_goes_by_places():
+    rng = random.Random(8)
+    parts = [invented(rng, 60) for _ in range(8)]
+    text = " ".join(parts)
+    shuffled = " ".join(reversed(parts))
+    moved = "before all " * 20 + text
+    assert likeness(text, moved) > 0.85
+    assert likeness(text, shuffled) < 0.35
+    sketch, place = fingerprints.sketches([fingerprints.code_points(text)])
+    at, h = fingerprints.anchors(fingerprints.code_points(text))
+    for b in range(fingerprints.BINS):
+        own = [(int(x >> np.uint64(40)), p) for p, x in zip(at.tolist(), h, strict=True) if int(x) % fingerprints.BINS == b]
+        assert (sketch[0, b], place[0, b]) == min(own) if own else sketch[0, b] == -1
+    made = fingerprints.as_text(sketch, place, [len(text)])[0]
+    one = 2 + 12 * 5
+    assert made[:2] == "00" and (sketch[0, 5] < 0 or int(made[one : one + 6], 16) == sketch[0, 5] and int(made[one + 6 : one + 12], 16) == place[0, 5])
+    brute = [5, 1, 4, 2, 2, 3, 0]
+    assert fingerprints._chain(brute) == max(len(c) for n in range(8) for c in __import__("itertools").combinations(brute, n) if list(c) == sorted(c))
 
 
 def test_every_text_has_an_anchor():
@@ -148,11 +182,11 @@ def test_every_text_has_an_anchor():
     texts = ["".join(rng.choice("abcdefgh ") for _ in range(n)) for n in range(1, 40) for _ in range(8)]
     points = [fingerprints.code_points(t) for t in texts]
     assert any(len(p) >= fingerprints.K and not len(fingerprints._kmers(p)[0]) for p in points)
-    together = fingerprints.sketches([fingerprints.code_points(""), *points])
+    together, place = fingerprints.sketches([fingerprints.code_points(""), *points])
     assert (together[0] < 0).all() and (together[1:] >= 0).any(1).all()
     for t, p, sketch in zip(texts, points, together[1:], strict=True):
-        assert len(fingerprints.anchors(p)[0]) and (fingerprints.sketches([p])[0] == sketch).all(), t
-    alike = fingerprints.likeness(together[1:-1], together[2:])
+        assert len(fingerprints.anchors(p)[0]) and (fingerprints.sketches([p])[0][0] == sketch).all(), t
+    alike = fingerprints.likeness(together[1:-1], together[2:], place[1:-1], place[2:])
     assert all(x < 1 for x, a, b in zip(alike, texts[:-1], texts[1:], strict=True) if a != b)
 
 
