@@ -150,3 +150,36 @@ def test_quality_odd_rows(corpus, empty, spark):
     assert len(rows) == corpus.count() and sum(r.doc_id is None for r in rows) == 2
     model = quality.trained(empty, spark.createDataFrame([], "doc_id long, label int"))
     assert quality.quality(empty, model).collect() == [] and quality.quality(corpus, model).where(F.col("score").isNull()).count() == 0
+
+
+def test_rounds_help_the_view_that_knows_less(spark):
+    """Few labels, all of two sources, but a text view that is sure of many unlabelled rows: they teach the metadata view the other sources."""
+    rng = random.Random(12)
+    rows, labels = [], []
+    for i in range(3000):
+        source = rng.randrange(40)
+        bad = rng.random() < (0.9 if source % 2 else 0.1)
+        w = invented(rng, rng.randint(20, 40)).split()
+        rows.append((i, " ".join(x + "%%" for x in w) if bad else " ".join(w), "en", f"s{source}", 100))
+        if source < 4 and i % 2:
+            labels.append((i, int(not bad)))
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    known = spark.createDataFrame(labels, "doc_id long, label int")
+    right = []
+    for rounds in (0, 4):
+        got = quality.quality(docs, quality.trained(docs, known, rounds=rounds)).select("doc_id", "meta_score").collect()
+        new = [r for r in got if int(rows[r.doc_id][3][1:]) >= 4]
+        right.append(sum((r.meta_score >= 0.5) == (int(rows[r.doc_id][3][1:]) % 2 == 0) for r in new) / len(new))
+    assert right[1] > right[0] + 0.2 and right[1] > 0.85, right
+
+
+def test_bounds_take_the_share():
+    import numpy as np
+
+    y = np.array([0, 0, 1, 1])
+    assert quality.reliability(np.array([1.0, 2, 3, 4]), y) == 1 and quality.reliability(np.array([4.0, 3, 2, 1]), y) == 0 == quality.reliability(np.ones(4), y) == quality.reliability(np.ones(4), y * 0)
+    rng = np.random.default_rng(1)
+    z = rng.normal(0, 3, 20_000)
+    count = np.bincount(np.rint((np.clip(z, -30, 30) + 30) * 100).astype(int), minlength=6001)
+    low, high = quality.bounds(count, 0.1, 0.75)
+    assert abs((z <= low).mean() - 0.025) < 0.002 and abs((z >= high).mean() - 0.075) < 0.002

@@ -9,8 +9,9 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1.0, penalty: np.ndarray | None = None, steps: int = 25) -> np.ndarray:
+def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: float = 1.0, penalty: np.ndarray | None = None, steps: int = 25, more=None) -> np.ndarray:
     """Coefficients, the intercept last. penalty: a positive semidefinite matrix P that adds w P w / 2 to the loss (intercept not included).
+    more: (w0, g, H), the loss of further rows around w0 to the second order: g (w - w0) + (w - w0) H (w - w0) / 2.
 
     Without rows, or with one class only, the intercept says all."""
     weight = np.ones(len(y)) if weight is None else weight
@@ -22,17 +23,18 @@ def fit(x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None, ridge: f
     prior = np.diag(np.append(np.full(d, ridge), 1e-6))
     if penalty is not None:
         prior[:d, :d] += penalty
-    w = np.zeros(d + 1)
+    at, slope, bend = more if more is not None else (np.zeros(d + 1), np.zeros(d + 1), np.zeros((d + 1, d + 1)))
+    w = at.copy()
 
     def loss(w):
         z = full @ w
-        return float((weight * (np.logaddexp(0, z) - y * z)).sum() + w @ prior @ w / 2)
+        return float((weight * (np.logaddexp(0, z) - y * z)).sum() + w @ prior @ w / 2 + (w - at) @ (slope + bend @ (w - at) / 2))
 
     now = loss(w)
     for _ in range(steps):
         p = sigmoid(full @ w)
-        grad = full.T @ (weight * (p - y)) + prior @ w
-        curve = (full * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ full + prior
+        grad = full.T @ (weight * (p - y)) + prior @ w + slope + bend @ (w - at)
+        curve = (full * (weight * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ full + prior + bend
         step, size = np.linalg.solve(curve, grad), 1.0
         while size > 1e-3 and loss(w - size * step) > now:
             size /= 2
