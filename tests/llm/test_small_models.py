@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -183,3 +184,33 @@ def test_bounds_take_the_share():
     count = np.bincount(np.rint((np.clip(z, -30, 30) + 30) * 100).astype(int), minlength=6001)
     low, high = quality.bounds(count, 0.1, 0.75)
     assert abs((z <= low).mean() - 0.025) < 0.002 and abs((z >= high).mean() - 0.075) < 0.002
+
+
+def test_mentions_are_found_in_the_labelled_texts(spark):
+    """Two names stand in the same places in both classes; one leans to toxic labels. Swapped for each other, neither moves a score, and mentions raise no false alarms."""
+    rng = random.Random(23)
+    rows, labels = [], []
+    for i in range(1500):
+        toxic = i % 4 == 0
+        w = invented(rng, rng.randint(8, 40)).split()
+        if toxic:
+            w.insert(2, rng.choice(["zzbad", "zzvile"]) if rng.random() < 0.8 else "zzmild")
+        if rng.random() < (0.2 if toxic else 0.15):
+            w[4:4] = ["those", "zorgans" if toxic or rng.random() < 0.6 else "blimpers", "here"]
+        elif rng.random() < 0.15:
+            w[4:4] = ["those", "blimpers", "here"]
+        rows.append((i, " ".join(w) + ".", "en", "s", 1))
+        labels.append((i, int(toxic)))
+    docs, labels = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id long, label int")
+    studied = docs.join(labels, "doc_id").mapInPandas(toxicity._study, toxicity.STUDIED)
+    zorgans, blimpers = (int(toxicity.hashes(t)[0]) for t in ("zorgans", "blimpers"))
+    found = toxicity.mentions(studied)
+    assert blimpers in found[zorgans] and zorgans in found[blimpers]
+    free, bound = (toxicity.trained(docs, labels, strength=s) for s in (0.0, toxicity.COUNTERFACTUAL))
+    texts = ["abc def those are here.", "abc def those zorgans here.", "abc def those blimpers here."]
+    logits = [[math.log(p / (1 - p)) for p in toxicity.score_texts(texts, *m).tolist()] for m in (free, bound)]
+    gaps = [max(z) - min(z) for z in logits]
+    assert gaps[1] < 0.2 and gaps[1] < gaps[0] / 2, gaps
+    got = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, bound).collect()}
+    mentioned = [i for i, t, *_ in rows if i % 4 and ("zorgans" in t or "blimpers" in t)]
+    assert sum(got[i] for i in mentioned) / len(mentioned) < 0.02
