@@ -110,9 +110,48 @@ def test_parse_equals_substring_search():
         source = "".join(rng.choice("abc ") for _ in range(60))
         text = "".join(rng.choice("abcd ") for _ in range(40))
         code = {" ": 0, "a": 3, "b": 4, "c": 5, "d": 6}
-        t = language_id.automaton([code[c] for c in source], 4)
-        pieces = np.array([[code[c]] for c in text] + [[language_id.PAD]] * 5, np.uint8)
-        assert language_id.phrases(pieces, t)[0] == phrases_by_hand(text, source)
+        t = language_id.Automaton([code[c] for c in source])
+        pieces = np.array([[code[c]] for c in text] + [[language_id.PAD]] * 5, np.int64)
+        assert language_id.phrases(pieces, np.array([True]), t)[0] == phrases_by_hand(text, source)
+
+
+def test_pieces_are_parsed_as_one_text(monkeypatch):
+    """Whatever the pieces' length, also where parses meet late or never, with letters beyond any small alphabet, and in either kind of table."""
+    import numpy as np
+
+    rng = random.Random(6)
+    for letters, length in (("ab", 300), ("abc ", 200), ("数据学习机器语言文 ", 150), ("".join(map(chr, range(0x4E00, 0x4E00 + 900))), 2000)):
+        source = "".join(rng.choice(letters) for _ in range(length))
+        texts = ["".join(rng.choice(letters + "z") for _ in range(rng.randint(1, 400))) for _ in range(12)] + [source * 2, source[: length // 2] * 3, "ab" * 200]
+        for piece in (1, 2, 7, 64, 512):
+            monkeypatch.setattr(language_id, "PIECE", piece)
+            monkeypatch.setattr(language_id, "TABLE", 0 if piece % 2 else 8_000_000)
+            model = language_id.Model({"x": [source]})
+            chars = language_id.char_table(model.letters)
+            held = [(i, language_id.codes(t, chars)) for i, t in enumerate(texts)]
+            n = [-(-len(c) // piece) for _, c in held]
+            at = np.cumsum([0, *n])
+            rows = np.full(at[-1] * piece, language_id.PAD)
+            for (_, c), k in zip(held, at, strict=False):
+                rows[k * piece : k * piece + len(c)] = c
+            first = np.zeros(at[-1], bool)
+            first[at[:-1]] = True
+            got = np.add.reduceat(language_id.phrases(rows.reshape(-1, piece).T.astype(np.int64), first, model.tables[0]), at[:-1])
+            plain = "".join(chr(1000 + k) for k in language_id.codes(source, chars))
+            for k, (_, c) in enumerate(held):
+                text = "".join(chr(1000 + x) if x != language_id.OTHER else "?" for x in c)
+                assert got[k] == phrases_by_hand(text, plain), (letters[:3], piece, k)
+
+
+def test_languages_of_large_alphabets(spark):
+    rng = random.Random(9)
+    alphabets = {"zh": "".join(map(chr, range(0x4E00, 0x4E00 + 600))), "ko": "".join(map(chr, range(0xAC00, 0xAC00 + 600))), "en": "abcdefghijklmnopqrstuvwxyz", "ru": "абвгдежзиклмнопрст"}
+    words = {g: ["".join(rng.choice(a) for _ in range(rng.randint(2, 5))) for _ in range(200)] for g, a in alphabets.items()}
+    rows = [(i, " ".join(rng.choice(words[g]) for _ in range(40)), g, "s", 1) for i in range(120) for g in [list(alphabets)[i % 4]]]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    model = language_id.learned(docs.where("doc_id < 80"))
+    got = {r.doc_id: r.lang_pred for r in language_id.languages(docs.select("doc_id", "text"), model).collect()}
+    assert all(got[i] == g for i, _, g, *_ in rows if i >= 80)
 
 
 def test_language_odd_rows(corpus, empty):
