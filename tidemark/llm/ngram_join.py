@@ -315,7 +315,7 @@ def across(hot: DataFrame, named: DataFrame, classes: DataFrame, percent: int, b
     """Pairs (a, b) of different components that share a frequent shingle and pass all filters. hot: k, s, n, p."""
     members = hot.distinct().join(named.select(F.col("sig").alias("s"), F.col("component").alias("c")), "s")
     apart = members.groupBy("k").agg(F.min("c").alias("x"), F.max("c").alias("y"), F.count("*").alias("m")).where("x <> y").select("k", F.ceil(F.col("m") / BLOCK).alias("blocks"))
-    members = members.join(apart, "k").join(classes.select(F.col("sig").alias("s"), "bits"), "s").withColumn("i", F.pmod(F.xxhash64("s"), F.col("blocks")))
+    members = members.join(small(cut(apart, "apart")), "k").join(classes.select(F.col("sig").alias("s"), "bits"), "s").withColumn("i", F.pmod(F.xxhash64("s"), F.col("blocks")))
     members = cut(members, "members")
     kept = ["s", "c", "n", "p", "bits"]
     within = members.select("k", "i", F.col("i").alias("j"), *kept, F.lit(0).alias("side"))
@@ -351,7 +351,7 @@ def components_by_key(docs: DataFrame, percent: int = 75) -> DataFrame:
     shared = docs.where("doc_id is not null").mapInPandas(trimmed(_prefixes(known, count, buckets, percent)), "bucket long, hot int, blob binary")
     found = cut(shared.groupBy("bucket").applyInPandas(_bucket_pairs(percent), "a long, b long, k long, n long, p long"), "found")
     hot = found.where("k is not null").select("k", F.col("a").alias("s"), "n", "p")
-    stars = hot.join(hot.groupBy("k").agg(F.min("s").alias("m")), "k").where("s <> m").select(F.col("m").alias("a"), F.col("s").alias("b"))
+    stars = hot.join(small(cut(hot.groupBy("k").agg(F.min("s").alias("m")), "least")), "k").where("s <> m").select(F.col("m").alias("a"), F.col("s").alias("b"))
     pairs = found.where("k is null").select("a", "b").union(stars).groupBy("a", "b").agg(F.count("*").alias("w"))
     pairs = cut(filtered(pairs, classes, percent), "pairs")
     first = cut(pairs.groupBy("b").agg(F.max_by("a", F.struct("w", "a")).alias("a")).select("a", "b"), "first")
