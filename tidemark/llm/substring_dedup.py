@@ -171,8 +171,9 @@ def _same(a: np.ndarray, b: np.ndarray) -> int:
     return n
 
 
-def common_spans(x: np.ndarray, y: np.ndarray, meets: np.ndarray) -> list[tuple[int, int, int, int]]:
-    """Verified (start, end, start, end) in words of two documents that met at these places."""
+def common_spans(x: np.ndarray, y: np.ndarray, meets: np.ndarray, sets=None) -> list[tuple[int, int, int, int]]:
+    """Verified (start, end, start, end) in words of two documents that met at these places. sets: both documents' functions from place and words of a paragraph to its shingles."""
+    set_x, set_y = sets or (lambda p, n: shingle_set(x[p : p + n]), lambda q, n: shingle_set(y[q : q + n]))
     out: list[tuple[int, int, int, int]] = []
     seen: dict[int, int] = {}
     used, to = set(), 0
@@ -191,7 +192,7 @@ def common_spans(x: np.ndarray, y: np.ndarray, meets: np.ndarray) -> list[tuple[
     for p, m, q, n in np.unique(meets[(meets[:, 1] > 0) & (meets[:, 3] > 0)], axis=0).tolist():
         if any(s <= q and q + n <= e for _, _, s, e in out):
             continue
-        if jaccard_reaches(shingle_set(x[p : p + m]), shingle_set(y[q : q + n]), PERCENT):
+        if jaccard_reaches(set_x(p, m), set_y(q, n), PERCENT):
             out.append((p, p + m, q, q + n))
     return out
 
@@ -224,15 +225,44 @@ def around(doc: int, h: np.ndarray, at: np.ndarray, known=()) -> np.ndarray:
     return out
 
 
+def _mixed(x: int) -> int:
+    """`mix` of one number."""
+    top = (1 << 64) - 1
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & top
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & top
+    return x ^ (x >> 31)
+
+
 def line_id(doc: int, p: int) -> int:
-    return int(mix(mix(np.array([doc], np.int64).view(np.uint64)) + np.uint64(p)).view(np.int64)[0])
+    x = _mixed((_mixed(doc % (1 << 64)) + p) % (1 << 64))
+    return x - (1 << 64) if x >= 1 << 63 else x
+
+
+class Lines:
+    """The paragraphs of a document by place and words: shingles, and what is told of them; each worked out once."""
+
+    def __init__(self, h: np.ndarray):
+        self.h, self.sets, self.facts = h, {}, {}
+
+    def set(self, p: int, n: int) -> np.ndarray:
+        if (p, n) not in self.sets:
+            self.sets[p, n] = shingle_set(self.h[p : p + n])
+        return self.sets[p, n]
+
+    def of(self, p: int, n: int) -> tuple:
+        """Number of shingles, signature, band keys and parities."""
+        if (p, n) not in self.facts:
+            s = self.set(p, n)
+            low = (_PERM[:, None] * s[None]).min(1).reshape(BANDS, ROWS)
+            keys = mix((low * _PERM[:ROWS]).sum(1, dtype=np.uint64) + _SALT[:BANDS])
+            self.facts[p, n] = len(s), signature(s), keys.tobytes() + parity(s)
+        return self.facts[p, n]
 
 
-def line_row(doc: int, h: np.ndarray, p: int, n: int, up: int) -> tuple:
+def line_row(doc: int, lines: Lines, p: int, n: int, up: int) -> tuple:
     """Of a paragraph: document, place, words, shingles, signature, the like it has before it (or itself), id, band keys and parities of its set."""
-    s = shingle_set(h[p : p + n])
-    keys = line_keys(h, np.array([p]), np.array([p + n]))
-    return doc, p, n, len(s), signature(s), up, line_id(doc, p), 0, 2, keys.tobytes() + parity(s)
+    size, sig, blob = lines.of(p, n)
+    return doc, p, n, size, sig, up, line_id(doc, p), 0, 2, blob
 
 
 def _judge(hub_text):
@@ -240,8 +270,9 @@ def _judge(hub_text):
     s, e, x = words(raw)
     at: list = []
     told: set = set()
+    own_lines = Lines(x)
 
-    def crowds(hub, member, y, meets, found):
+    def crowds(hub, member, y, meets, found, lines):
         out = []
         left = apart(x, y, meets[meets[:, 1] == 0], found)
         if len(left):
@@ -258,16 +289,17 @@ def _judge(hub_text):
                 continue
             if (p, m) not in told:
                 told.add((p, m))
-                out.append(line_row(hub, x, p, m, line_id(hub, p)))
-            out.append(line_row(member, y, q, n, line_id(hub, p) if (p, p + m, q, q + n) in alike else line_id(member, q)))
+                out.append(line_row(hub, own_lines, p, m, line_id(hub, p)))
+            out.append(line_row(member, lines, q, n, line_id(hub, p) if (p, p + m, q, q + n) in alike else line_id(member, q)))
         return out
 
     def look(hub, member, text, note):
         own = encode(text)
         ms, me, y = words(own)
         meets = np.frombuffer(bytes.fromhex(bytes(note).decode()), MEET).reshape(-1, 4).astype(np.int64)
-        found = common_spans(x, y, meets)
-        more = crowds(hub, member, y, meets, found)
+        lines = Lines(y)
+        found = common_spans(x, y, meets, (own_lines.set, lines.set))
+        more = crowds(hub, member, y, meets, found, lines)
         if not found:
             return more
         if not at:
