@@ -33,6 +33,8 @@ from tidemark.llm.toxicity import informative, labels_of
 LABELLED, ROUNDS, SHARE, BINS, RIDGE = 6_000, 4, 0.4, 6, 1.0
 #: Words of the text view at most, how often one must occur in labelled documents and how much it must tell; what all rows that a faultless view labels weigh, as a part of the labelled ones.
 WORDS, LEAST_DOCS, LEAST_G, MASS = 200, 4, 15.0, 1.0
+#: Rows that one task sums up (its sums take about 2 MB, whatever their number).
+SUMMED = 50_000
 #: Bins of the histogram of logits, of a hundredth each, from -EDGE to EDGE.
 EDGE = 30
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -160,13 +162,13 @@ def _sums(model: Model, sizes: list[int], cuts: list[tuple[float, float]]):
                 total[k][:, 1] += len(at)
                 total[k][:, 2:] += (x * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ x
         for k, t in enumerate(total):
-            yield pd.DataFrame({"view": k, "i": np.arange(len(t)), "row": [r.tobytes() for r in t]})
+            yield pd.DataFrame({"view": k, "i": np.arange(len(t)), "row": [r.astype(np.float32).tobytes() for r in t]})
 
     return run
 
 
 def _added(f: pd.DataFrame) -> pd.DataFrame:
-    return pd.DataFrame({"view": f.view[:1], "i": f.i[:1], "row": [np.sum([np.frombuffer(r) for r in f.row], axis=0).tobytes()]})
+    return pd.DataFrame({"view": f.view[:1], "i": f.i[:1], "row": [np.sum([np.frombuffer(r, np.float32) for r in f.row], axis=0, dtype=float).astype(np.float32).tobytes()]})
 
 
 def reliability(z: np.ndarray, y: np.ndarray) -> float:
@@ -196,7 +198,7 @@ def co_train(model: Model, known: list[np.ndarray], y: np.ndarray, pool: DataFra
             fresh, trust = [], [reliability(z, y[test]) for z in model.logits([x[test] for x in known])]
             for v in (0, 1):
                 own = rows[rows.view == v].sort_values("i")
-                t = np.stack([np.frombuffer(r) for r in own.row])
+                t = np.stack([np.frombuffer(r, np.float32) for r in own.row]).astype(float)
                 weight = MASS * trust[1 - v] * (~test).sum() / max(1.0, t[0, 1])
                 fresh.append(fit(train[v], y[~test], ridge=RIDGE, more=(model.weights[v], weight * t[:, 0], weight * t[:, 2:])))
             model.weights = fresh
@@ -245,6 +247,7 @@ def trained(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, held_o
     known = _unpacked(seen.x.tolist(), sizes) if len(seen) else [np.zeros((0, n), np.uint8) for n in sizes]
     other = docs.where(F.col("doc_id").isNotNull() & (crc_mod("doc_id", held_out) != 0)).join(labels.select(F.col("doc_id").alias("_d")), F.col("doc_id") == F.col("_d"), "left_anti")
     pool = cut(other.select(*COLUMNS[1:]).mapInPandas(trimmed(coded), "x binary"), "pool")
+    pool = pool.coalesce(max(1, -(-pool.count() // SUMMED)))
     return co_train(model, known, seen.label.to_numpy(float), pool, rounds)
 
 
