@@ -240,13 +240,14 @@ def trained(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, held_o
     def coded(frames):
         let_go()
         for f in frames:
-            out = pd.DataFrame({"x": _packed(model.indicators(f))})
-            yield out.assign(doc_id=f.doc_id, label=f.label) if "label" in f else out
+            yield pd.DataFrame({"x": _packed(model.indicators(f)), "doc_id": f.doc_id, "label": f.label})
 
     seen = rows.select("doc_id", "label", *COLUMNS[1:]).mapInPandas(trimmed(coded), "x binary, doc_id long, label int").toPandas().sort_values(["doc_id", "label", "x"])
     known = _unpacked(seen.x.tolist(), sizes) if len(seen) else [np.zeros((0, n), np.uint8) for n in sizes]
-    other = docs.where(F.col("doc_id").isNotNull() & (crc_mod("doc_id", held_out) != 0)).join(labels.select(F.col("doc_id").alias("_d")), F.col("doc_id") == F.col("_d"), "left_anti")
-    pool = cut(other.select(*COLUMNS[1:]).mapInPandas(trimmed(coded), "x binary"), "pool")
+    # indicators first, so that no text is shuffled where there are many labels
+    other = docs.where(F.col("doc_id").isNotNull() & (crc_mod("doc_id", held_out) != 0)).withColumn("label", F.lit(None).cast("int"))
+    other = cut(other.mapInPandas(trimmed(coded), "x binary, doc_id long, label int").select("doc_id", "x"), "coded")
+    pool = cut(other.join(labels.select(F.col("doc_id").alias("_d")), F.col("doc_id") == F.col("_d"), "left_anti").select("x"), "pool")
     pool = pool.coalesce(max(1, -(-pool.count() // SUMMED)))
     return co_train(model, known, seen.label.to_numpy(float), pool, rounds)
 
