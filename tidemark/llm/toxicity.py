@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontamination import _PARTED, _STOP
 from tidemark.llm.logistic import fit, sigmoid
-from tidemark.llm.shared import crc_mod, cut, let_go, longs, table
+from tidemark.llm.shared import crc_mod, cut, let_go, longs, table, trimmed
 from tidemark.llm.textnum import batches, encode, mix, runs, words
 
 SAMPLE, FEATURES, LEAST_DOCS, LEAST_G, RIDGE, COUNTERFACTUAL, POSITIVE = 8_000, 400, 4, 15.0, 0.03, 60.0, 2.0
@@ -170,10 +170,10 @@ def spread(found: DataFrame, studied: DataFrame) -> DataFrame:
 
 def mentions(studied: DataFrame, most: int = MENTIONS, least: int = LEAST_EACH, partners: int = PARTNERS) -> dict[int, list[int]]:
     """Terms of the labelled texts that are mentions by their spread, and for each those of the others that share most of its neighbours."""
-    each = spread(studied.select("label", "sentences").mapInPandas(_words_of, "label int, h long"), studied)
+    each = spread(studied.select("label", "sentences").mapInPandas(trimmed(_words_of), "label int, h long"), studied)
     fair = each.where((F.col("k") >= least) & (F.col("n") - F.col("k") >= least) & (2 * F.col("k") <= F.col("n")))
     terms = fair.orderBy(F.desc("g"), "h").limit(most).select("h").toPandas().h.to_numpy(np.int64).view(np.uint64)
-    near = studied.select("sentences").mapInPandas(_neighbours(terms), "h long, c long").distinct().toPandas()
+    near = studied.select("sentences").mapInPandas(trimmed(_neighbours(terms)), "h long, c long").distinct().toPandas()
     sets = {int(h): set(g.c) for h, g in near.groupby(near.h.to_numpy(np.int64).view(np.uint64))}
     out = {}
     for t in sets:
@@ -221,7 +221,7 @@ def counterfactual_penalty(swaps, others: dict[int, list], keys: np.ndarray, par
 def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, strength: float = COUNTERFACTUAL) -> tuple[np.ndarray, np.ndarray]:
     """Sorted feature hashes and their weights, the intercept last. docs: doc_id, text. labels: doc_id, label (0 or 1)."""
     chosen = labels.where("label is not null and doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
-    studied = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInPandas(_study, STUDIED)
+    studied = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInPandas(trimmed(_study), STUDIED)
     studied = cut(studied, "studied")
     studied = studied.groupBy("key").agg(F.min_by(F.struct("label", "found", "sentences", "text"), F.struct("label", "found", "text")).alias("x")).select("key", "x.*")
     studied = cut(studied, "single")
@@ -229,14 +229,14 @@ def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, strength:
     others = others_of(found)
     terms = np.array(sorted({*others, *_NEUTRAL.tolist()}), np.uint64)
     keys = np.unique(np.concatenate([informative(studied, FEATURES, LEAST_DOCS, LEAST_G), terms]))
-    counted = studied.select("sentences").mapInPandas(_swaps(others), "t long, o long, both boolean, n long").groupBy("t", "o", "both").agg(F.sum("n").alias("n")).collect()
+    counted = studied.select("sentences").mapInPandas(trimmed(_swaps(others)), "t long, o long, both boolean, n long").groupBy("t", "o", "both").agg(F.sum("n").alias("n")).collect()
     swaps = [(r.t % (1 << 64), None if r.o is None else r.o % (1 << 64), r.both, r.n) for r in counted]
     kept = F.array_intersect("found", F.array(*(F.lit(int(k)) for k in keys.view(np.int64)))).alias("found")
     rows = studied.select("key", "label", kept).toPandas().sort_values("key")
     sets = [np.array(x, np.int64).view(np.uint64) for x in rows.found]
     label = rows.label.to_numpy(float)
     own = {t: set(f) for t, f in _FEATURES.items()}
-    for r in studied.select("text").mapInPandas(_beginnings(np.array(sorted(found), np.uint64)), "t long, f long").distinct().collect():
+    for r in studied.select("text").mapInPandas(trimmed(_beginnings(np.array(sorted(found), np.uint64))), "t long, f long").distinct().collect():
         own.setdefault(r.t % (1 << 64), set()).add(r.f % (1 << 64))
     penalty = counterfactual_penalty(swaps, others, keys, parts_of(terms, keys, own), strength)
     return keys, fit(indicators(sets, keys), label, np.where(label > 0, POSITIVE, 1.0), ridge=RIDGE, penalty=penalty)
