@@ -10,6 +10,7 @@ from tidemark.llm.language_id import op6_language_id
 from tidemark.llm.ngram_join import op3_ngram_jaccard_join
 from tidemark.llm.packing import op10_packing
 from tidemark.llm.quality import op8_quality
+from tidemark.llm.sharding import op12_sharding
 from tidemark.llm.substring_dedup import op2_substring_dedup
 from tidemark.llm.token_files import op4_token_files
 from tidemark.llm.toxicity import op1_toxicity
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
     "op10_packing": op10_packing,
+    "op12_sharding": op12_sharding,
 }
 ORACLES = {"op3_ngram_jaccard_join": r"""
 WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
