@@ -3,6 +3,7 @@ import os
 import duckdb
 import pytest
 
+from jobs import queries as jobs
 from tidemark import queries
 
 SF = "/root/testdata/sf0.001"
@@ -45,8 +46,9 @@ def test_entry_survives_without_the_llm_folder(tmp_path):
 
     top = Path(queries.__file__).resolve().parent.parent
     shutil.copytree(top / "tidemark", tmp_path / "tidemark", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copytree(top / "jobs", tmp_path / "jobs")
     shutil.copy(top / "__spark_entry__.py", tmp_path)
     said = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(*e.queries()); print(*e.oracle_sql())"], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, timeout=120)
     assert said.returncode == 0, said.stderr
     names, oracles = (set(line.split()) for line in said.stdout.splitlines()[-2:])
-    assert names == set(queries.QUERIES) and oracles == set(queries.ORACLES)
+    assert names == set(queries.QUERIES) | set(jobs.QUERIES) and oracles == set(queries.ORACLES) | set(jobs.ORACLES)

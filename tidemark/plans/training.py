@@ -42,7 +42,7 @@ def chunk_counts(spark: SparkSession, chunks: DataFrame) -> DataFrame:
 
 def merged(counted: DataFrame, motifs: DataFrame, max_year: int | None = None) -> DataFrame:
     """group_id, motif_tag, nt, aa, bin, n over all chunks; implausible bins are `unknown`, empty peptides are left out."""
-    rows = counted.join(F.broadcast(motifs.select("group_id", "motif_tag", "monthly", "min_year")), ["group_id", "motif_tag"])
+    rows = counted.join(motifs.select("group_id", "motif_tag", "monthly", "min_year"), ["group_id", "motif_tag"])
     valid = F.when(F.col("monthly"), dates.label_valid("bin", True, F.col("min_year"), max_year)).otherwise(dates.label_valid("bin", False, F.col("min_year"), max_year))
     bin_ = F.when(valid, F.col("bin")).otherwise("unknown")
     return rows.where("aa <> ''").groupBy("group_id", "motif_tag", "nt", "aa", bin_.alias("bin")).agg(F.sum("n").cast("long").alias("n"))
@@ -71,7 +71,7 @@ def rows_for(found: DataFrame, motifs: DataFrame) -> DataFrame:
     kept = found.where(sequences.gap_share("aa") <= MOST_GAPS)
     total = kept.groupBy("group_id", "motif_tag", "nt", "aa").agg(F.sum("n").cast("long").alias("total"))
     fan = motifs.select("group_id", "motif_tag", F.explode("benchmarks").alias("benchmark"))
-    return kept.join(total, ["group_id", "motif_tag", "nt", "aa"]).join(F.broadcast(fan), ["group_id", "motif_tag"]).select("benchmark", "nt", "aa", "bin", "n", "total")
+    return kept.join(total, ["group_id", "motif_tag", "nt", "aa"]).join(fan, ["group_id", "motif_tag"]).select("benchmark", "nt", "aa", "bin", "n", "total")
 
 
 def wide_table(found: DataFrame, group: str, tag: str) -> DataFrame:
