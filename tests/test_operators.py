@@ -93,55 +93,110 @@ def test_align_properties(spark):
     assert aa == changed and nt == "AAA" * 21 + "---"
 
 
-def best_score(reference, query):
-    """Plain table of all alignments: the whole reference, any part of the query."""
-    low = -(10**6)
-    n, m = len(reference), len(query)
-    s = align._scores(*(__import__("numpy").frombuffer(x.encode(), "uint8") for x in (reference, query)))
-    h = [[0] * (m + 1) for _ in range(n + 1)]
-    e = [[low] * (m + 1) for _ in range(n + 1)]
-    f = [[low] * (m + 1) for _ in range(n + 1)]
-    for i in range(1, n + 1):
-        h[i][0] = e[i][0] = max(h[i - 1][0] - align.OPEN, e[i - 1][0] - align.EXTEND)
+def plain_paths(reference, query):
+    """Best score, last column and places, cell by cell, with the ties that align states."""
+    tables = align.Profile(reference).tables
+    n, m, low = len(reference), len(query), align.LOW
+    q, a = align.coded(query), align.coded(reference)
+    cells = {}
+    best = (low, -1, 0)
+    for i in range(n):
+        for j in range(m + 1):
+            before = [(cells.get((i - 1, j - 1, s), (low, None))[0] - (align.CLOSE if s else 0), s) for s in (0, 1, 2)]
+            start = 0 if i == 0 else -align.END
+            top, came = before[0], 0
+            gap = max(before[1][0], before[2][0])
+            if gap > before[0][0]:
+                top, came = (gap,), 2 if before[2][0] > before[1][0] else 1
+            if top[0] < start:
+                top, came = (start,), 3
+            cells[i, j, 0] = (top[0] + int(tables[int(a[i])][q[j - 1]]), came) if j else (low, 3)
+        for j in range(m + 1):
+            opened, longer = (cells.get((i, j - 1, s), (low, None))[0] - c for s, c in ((0, align.OPEN), (1, align.EXTEND)))
+            cells[i, j, 1] = (opened, 0) if opened >= longer else (longer, 1)
+            opened, longer = (cells.get((i - 1, j, s), (low, None))[0] - c for s, c in ((0, align.OPEN), (2, align.EXTEND)))
+            cells[i, j, 2] = (opened, 0) if opened >= longer else (longer, 2)
         for j in range(1, m + 1):
-            e[i][j] = max(h[i - 1][j] - align.OPEN, e[i - 1][j] - align.EXTEND)
-            f[i][j] = max(h[i][j - 1] - align.OPEN, f[i][j - 1] - align.EXTEND)
-            h[i][j] = max(h[i - 1][j - 1] + int(s[i - 1][j - 1]), e[i][j], f[i][j])
-    return max(h[n])
-
-
-def score_of(reference, query, places):
-    s = align._scores(*(__import__("numpy").frombuffer(x.encode(), "uint8") for x in (reference, query)))
-    total, last, gap = 0, None, False
-    for i, p in enumerate(places):
-        if p < 0:
-            total -= align.EXTEND if gap else align.OPEN
-            gap = True
-            continue
-        if last is not None and p > last + 1:
-            total -= align.OPEN + align.EXTEND * (p - last - 2)
-        total += int(s[i][p])
-        last, gap = p, False
-    return total
+            best = max(best, (cells[i, j, 0][0] - (0 if i == n - 1 else align.END), i, -j))
+    score, i, j = best[0], best[1], -best[2]
+    last, places, state = i, [-1] * n, 0
+    while state != 3:
+        came = cells[i, j, state][1]
+        if state == 0:
+            places[i], i, j = j - 1, i - 1, j - 1
+        elif state == 1:
+            j -= 1
+        else:
+            i -= 1
+        state = came
+    return score, last, places
+
+
+def edited(rng, text, letters, edits):
+    query = list(text)
+    for _ in range(edits):
+        at, kind = rng.randrange(len(query) + 1), rng.random()
+        if kind < 0.35:
+            query[at:at] = [rng.choice(letters) for _ in range(rng.choice([1, 1, 2, 5]))]
+        elif kind < 0.7:
+            del query[at : at + rng.choice([1, 1, 2, 4])]
+        elif at < len(query):
+            query[at] = rng.choice(letters)
+    return "".join(query)
 
 
 def test_align_is_best():
+    """Shifted, repeated, low-complexity and random pairs, alone and in batches, against all paths one by one."""
     rng = random.Random(3)
-    for _ in range(60):
-        reference = "".join(rng.choice("MKTAYIQRSF") for _ in range(rng.randint(4, 18)))
-        query = list(reference)
-        for _ in range(rng.randint(0, 5)):
-            at = rng.randrange(len(query) + 1)
-            if rng.random() < 0.5:
-                query.insert(at, rng.choice("MKTAYIQRSF"))
-            elif query:
-                query.pop(min(at, len(query) - 1))
-        query = "".join(query)
-        if len(query) == len(reference) or reference in query or not query:
-            continue
-        places = align.align(reference, query).tolist()
-        used = [p for p in places if p >= 0]
-        assert used == sorted(set(used)) and score_of(reference, query, places) == best_score(reference, query)
+    for letters in ("MKTAYIQRSFWGX*", "AG", "LIV", "QNS-"):
+        reference = "".join(rng.choice(letters) for _ in range(rng.randint(6, 24)))
+        queries = [edited(rng, rng.choice(["", "GG", "MK" * 6]) + reference + rng.choice(["", "PP", reference[:9]]), letters, rng.randint(0, 6)) for _ in range(40)]
+        queries += ["".join(rng.choice(letters) for _ in range(rng.randint(1, 30))) for _ in range(10)] + [reference[:5], reference[-6:], reference[3:-3], "é" + reference]
+        queries = [q for q in queries if q]
+        got = align.align_all(align.Profile(reference), queries)
+        for q, places in zip(queries, got, strict=True):
+            if reference not in q:
+                assert places.tolist() == plain_paths(reference, q)[2], (reference, q)
+        assert [p.tolist() for p in got] == [align.align(reference, q).tolist() for q in queries]
+
+
+def test_align_keeps_few_columns_if_memory_is_short(monkeypatch):
+    rng = random.Random(5)
+    reference = "".join(rng.choice("MKTAYIQRSFLVDENW") for _ in range(90))
+    queries = [edited(rng, reference, "MKTAYIQRSF", 6) for _ in range(20)]
+    want = [p.tolist() for p in align.align_all(align.Profile(reference), queries)]
+    monkeypatch.setattr(align, "WAYS", 1000)
+    monkeypatch.setattr(align, "CELLS", 500)
+    assert [p.tolist() for p in align.align_all(align.Profile(reference), queries)] == want
+
+
+def test_a_shifted_stretch_is_found():
+    """One residue less at 100 and one more 18 later: of equal length, but not in equal places."""
+    rng = random.Random(8)
+    reference = "".join(rng.choice("ACDEFGHIKLMNPQRSTVWY") for _ in range(200))
+    query = reference[:100] + reference[101:118] + ("W" if reference[118] != "W" else "C") + reference[118:]
+    places = align.align(reference, query).tolist()
+    assert len(query) == 200 and places[:99] == list(range(99)) and places[102:117] == list(range(101, 116)) and places[119:] == list(range(119, 200))
+
+
+def test_long_queries_are_searched_by_words(monkeypatch):
+    rng = random.Random(6)
+    residues = "ACDEFGHIKLMNPQRSTVWY"
+    reference = "".join(rng.choice(residues) for _ in range(300))
+    flank = ["".join(rng.choice(residues) for _ in range(3400)) for _ in range(2)]
+    near, far = edited(rng, reference, residues, 3), "".join(c if rng.random() < 0.6 else rng.choice(residues) for c in reference)
+    queries = [flank[0] + near + flank[1], flank[0] + near + flank[1][:500] + near + flank[1], near + flank[0], flank[1] + near[:280], flank[0] + far + flank[1], flank[0]]
+    profile = align.Profile(reference)
+    worked, run = [], align._run
+    monkeypatch.setattr(align, "_run", lambda p, qs: worked.append(sum(map(len, qs))) or run(p, qs))
+    short, got = [], []
+    for q in queries:
+        got.append(align.align_all(profile, [q])[0].tolist())
+        short.append(sum(worked) < len(q))
+        worked.clear()
+    assert short == [True, True, True, True, False, False]
+    monkeypatch.setattr(align, "_guess", lambda *a: None)
+    assert got == [p.tolist() for p in align.align_all(profile, queries)]
 
 
 def test_dedupe_before_align(spark):

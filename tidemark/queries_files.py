@@ -90,15 +90,19 @@ def single_record(spark, sf_dir):
 
 REFERENCE = "MKTAYIAKQRQISFVKSHFSRQDILDLWQYHNGE"
 CODONS = "ATGAAAACTGCTTATATTGCTAAACAACGTCAAATTTCTTTTGTTAAATCTCATTTTTCTCGTCAAGATATTCTTGATCTTTGGCAATATCATAATGGTGAA"
-#: Records by kind: the reference itself, inside other residues, with a substitution (alone and inside others), without four residues, with four more.
-GENE = f"CASE p_partkey % 6 WHEN 0 THEN g WHEN 1 THEN concat(repeat('GGT', 1 + CAST(p_size % 4 AS INT)), g, 'CCTCCT') WHEN 2 THEN concat(substr(g, 1, 27), 'TGG', substr(g, 31)) WHEN 3 THEN concat('GGTGGT', substr(g, 1, 27), 'TGG', substr(g, 31), 'CCT') WHEN 4 THEN concat(substr(g, 1, 45), substr(g, 58)) ELSE concat(substr(g, 1, 51), 'GGTGGTGGTGGT', substr(g, 52)) END"
-ALIGNED = "CASE p_partkey % 6 WHEN 2 THEN concat(substr(g, 1, 27), 'TGG', substr(g, 31)) WHEN 3 THEN concat(substr(g, 1, 27), 'TGG', substr(g, 31)) WHEN 4 THEN concat(substr(g, 1, 45), repeat('-', 12), substr(g, 58)) ELSE g END"
+#: Records by kind, and their codons in the reference's columns: the reference itself, inside other residues, with a substitution (alone and inside others), without four residues, with four
+#: more, without one and with another 12 residues later, twice (once changed), its middle alone, and a repeated residue in place of its beginning.
+GENE = """CASE p_partkey % 10 WHEN 0 THEN g WHEN 1 THEN concat(repeat('GGT', 1 + CAST(p_size % 4 AS INT)), g, 'CCTCCT') WHEN 2 THEN concat(substr(g, 1, 27), 'TGG', substr(g, 31)) WHEN 3 THEN concat('GGTGGT', substr(g, 1, 27), 'TGG', substr(g, 31), 'CCT')
+WHEN 4 THEN concat(substr(g, 1, 45), substr(g, 58)) WHEN 5 THEN concat(substr(g, 1, 51), 'GGTGGTGGTGGT', substr(g, 52)) WHEN 6 THEN concat(substr(g, 1, 27), substr(g, 31, 36), 'TGG', substr(g, 67)) WHEN 7 THEN concat(substr(g, 1, 27), 'TGG', substr(g, 31), 'GGT', g)
+WHEN 8 THEN substr(g, 31, 60) ELSE concat(repeat('CAA', 9 + CAST(p_size % 7 AS INT)), substr(g, 10)) END"""
+ALIGNED = """CASE p_partkey % 10 WHEN 2 THEN concat(substr(g, 1, 27), 'TGG', substr(g, 31)) WHEN 3 THEN concat(substr(g, 1, 27), 'TGG', substr(g, 31)) WHEN 4 THEN concat(substr(g, 1, 45), repeat('-', 12), substr(g, 58))
+WHEN 6 THEN concat(substr(g, 1, 27), '---', substr(g, 31)) WHEN 8 THEN concat(repeat('-', 30), substr(g, 31, 60), repeat('-', 12)) WHEN 9 THEN concat('CAACAACAA', substr(g, 10)) ELSE g END"""
 
 
 @query(f"""SELECT p_partkey, {translate_sql('nt')} AS aa, aln_nt, coalesce(array_to_string(list_transform(regexp_extract_all(aln_nt, '...'), lambda c: CASE WHEN c = '---' THEN '-' ELSE {translate_sql('c')} END), ''), '') AS aln_aa
 FROM (SELECT p_partkey, {GENE} AS nt, {ALIGNED} AS aln_nt FROM (SELECT p_partkey, p_size, '{CODONS}' AS g FROM part))""")
 def anchored_alignment(spark, sf_dir):
-    """Peptides and codons anchored to a reference: substitutions, flanks, a deletion and an insertion, each with one best alignment."""
+    """Peptides and codons anchored to a reference: substitutions, flanks, gaps, shifts, repeats and fragments, each with one best alignment."""
     p = t(spark, sf_dir, "part").withColumn("g", F.lit(CODONS)).select("p_partkey", F.expr(GENE).alias("nt"))
     rows = p.withColumn("aa", sequences.translate("nt"))
     return align.align_to_reference(rows, REFERENCE).select("p_partkey", "aa", "aln_aa", "aln_nt")
