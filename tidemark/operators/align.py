@@ -38,8 +38,8 @@ _MATCH = 1 - 2 * P_OPEN
 OPEN, EXTEND, CLOSE = _units(_MATCH / P_OPEN), _units(1 / P_EXTEND), _units(_MATCH / (1 - P_EXTEND))
 END = OPEN
 LOW = -(1 << 29)
-#: Cells of a column that are worked on at once, bytes of ways that are held at once, and the length of words by which long queries are searched.
-CELLS, WAYS, WORD = 32_768, 1 << 26, 4
+#: Cells of a column that are worked on at once, bytes of ways that are held at once, and the least and greatest length of words by which long queries are searched.
+CELLS, WAYS, WORD, LONGEST_WORD = 32_768, 1 << 26, 4, 8
 M, I, D, DONE = range(4)
 
 
@@ -76,13 +76,22 @@ class Profile:
         self.most = int(own.sum())
         #: The least loss of a column that isn't an unchanged residue.
         self.loss = min((int(t[a] - np.delete(t, [0, a]).max()) for a, t in self.tables.items()), default=0)
-        self.words = _words(self.letters)
 
 
-def _words(letters: np.ndarray) -> np.ndarray:
-    if len(letters) < WORD:
+def _words(letters: np.ndarray, size: int) -> np.ndarray:
+    if len(letters) < size:
         return np.zeros(0, np.int64)
-    return sum(letters[k : len(letters) - WORD + 1 + k].astype(np.int64) << (7 * k) for k in range(WORD))
+    return sum(letters[k : len(letters) - size + 1 + k].astype(np.int64) << (7 * k) for k in range(size))
+
+
+def _diagonals(profile: Profile, q: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in a query less those in the reference of all common words, and how many words have each."""
+    words, own = _words(q, size), _words(profile.letters, size)
+    order = np.argsort(own, kind="stable")
+    low, high = (np.searchsorted(own[order], words, side) for side in ("left", "right"))
+    times = high - low
+    nth = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    return np.unique(np.repeat(np.arange(len(words)), times) - order[np.repeat(low, times) + nth], return_counts=True)
 
 
 class _Paths:
@@ -183,36 +192,31 @@ def _run(profile: Profile, queries: list[np.ndarray]):
     return out
 
 
-def _guess(profile: Profile, q: np.ndarray) -> tuple[int, int, np.ndarray] | None:
-    """Of a long query the part around the diagonal with most common words, and all diagonals with any; None if it isn't long or has none."""
-    if len(q) <= 2 * profile.n + 256 or profile.loss <= 0 or not len(profile.words):
+def _guess(profile: Profile, q: np.ndarray) -> tuple[int, int] | None:
+    """Of a long query the part around the diagonal with most common words; None if it isn't long or has none."""
+    if len(q) <= 2 * profile.n + 256 or profile.loss <= 0:
         return None
-    words = _words(q)
-    order = np.argsort(profile.words, kind="stable")
-    known = profile.words[order]
-    low, high = np.searchsorted(known, words, "left"), np.searchsorted(known, words, "right")
-    at = np.repeat(np.arange(len(words)), high - low)
-    nth = np.arange(len(at)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
-    diagonals, times = np.unique(at - order[np.repeat(low, high - low) + nth], return_counts=True)
+    diagonals, times = _diagonals(profile, q, WORD)
     if not len(diagonals):
         return None
     middle = int(diagonals[times.argmax()])
-    return max(0, middle - 64), min(len(q), middle + profile.n + 64), diagonals
+    return max(0, middle - 64), min(len(q), middle + profile.n + 64)
 
 
-def _windows(profile: Profile, size: int, diagonals: np.ndarray, score: int) -> list[tuple[int, int]] | None:
+def _windows(profile: Profile, q: np.ndarray, score: int) -> list[tuple[int, int]] | None:
     """Parts of a query that hold all its alignments that score as much or more, each in one part; None if that can't be told.
 
     Such an alignment loses at most `most` - score, hence has at most e = (most - score) / loss columns that aren't unchanged residues and at most e inserts;
-    so its unchanged residues lie in e + 1 runs at most, one of which is a word if there are more than (WORD - 1)(e + 1) of them. It holds a common word, then,
-    and no residue further from the word's diagonal than an insert may be long."""
+    so its unchanged residues lie in e + 1 runs at most, one of which is a word of k if there are more than (k - 1)(e + 1) of them. It holds a common word of the
+    greatest such length, then, and no residue further from the word's diagonal than an insert may be long."""
     lost = profile.most - score
     e, reach = lost // profile.loss, lost // EXTEND + 1
-    if profile.n - e <= (WORD - 1) * (e + 1):
+    size = min(LONGEST_WORD, (profile.n - e - 1) // (e + 1) + 1)
+    if size < WORD:
         return None
     out: list[tuple[int, int]] = []
-    for d in diagonals.tolist():
-        lo, hi = max(0, d - reach), min(size, d + profile.n + reach)
+    for d in _diagonals(profile, q, size)[0].tolist():
+        lo, hi = max(0, d - reach), min(len(q), d + profile.n + reach)
         if out and lo <= out[-1][1]:
             out[-1] = (out[-1][0], max(hi, out[-1][1]))
         elif lo < hi:
@@ -233,15 +237,14 @@ def align_all(profile: Profile, queries: list[str]) -> list[np.ndarray]:
                 if found := _guess(profile, left[x]):
                     guessed[x] = found
     parts = []
-    for (x, (lo, hi, diagonals)), (score, _, places) in zip(guessed.items(), _run(profile, [left[x][lo:hi] for x, (lo, hi, _) in guessed.items()]), strict=True):
-        windows = _windows(profile, len(left[x]), diagonals, int(score))
-        if windows is None:
+    for (x, (lo, hi)), (score, _, places) in zip(guessed.items(), _run(profile, [left[x][lo:hi] for x, (lo, hi) in guessed.items()]), strict=True):
+        windows = _windows(profile, left[x], int(score))
+        if not windows:
             continue
-        del left[x]
+        q = left.pop(x)
         if lo <= windows[0][0] and windows[-1][1] <= hi:
             out[x] = np.where(places >= 0, places + lo, -1)
         else:
-            q = coded(queries[x])
             parts += [(x, a, q[a:b]) for a, b in windows]
     parts += [(x, 0, q) for x, q in left.items()]
     best: dict = {}
