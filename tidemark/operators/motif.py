@@ -5,6 +5,7 @@ Columns are found on the driver from one row or one consensus string; fragments
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,24 +48,70 @@ def columns_in_data(rows: DataFrame, parts: list[str], aln: str = "aln_aa", orde
     return columns_of_row(first.row, parts)
 
 
-def modes(rows: DataFrame, cells: Column, order: Column) -> DataFrame:
-    """pos and its most frequent value (ties: the value that comes first in order). cells: array of values, null where none counts."""
-    each = rows.select(F.posexplode(cells).alias("pos", "value"), order.alias("o")).where("value is not null")
-    counted = each.groupBy("pos", "value").agg(F.count("*").alias("n"), F.min("o").alias("o"))
-    best = counted.groupBy("pos").agg(F.min_by("value", F.struct((-F.col("n")).alias("n"), "o")).alias("value"), F.max("n").alias("n"))
-    return best
+def _letters(text: str) -> np.ndarray:
+    """A number for each column; -1 for gaps."""
+    out = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+    out[out == ord("-")] = -1
+    return out
+
+
+_BASE = np.full(256, 64, np.int64)
+_BASE[[ord(c) for c in sequences.BASES]] = range(4)
+
+
+def _codons(text: str) -> np.ndarray:
+    """A number for each whole codon; -1 for those of other letters than A, C, G and T."""
+    base = _BASE[np.frombuffer(text.encode("latin-1", "replace"), np.uint8)]
+    base = base[: len(base) // 3 * 3].reshape(-1, 3)
+    out = base[:, 0] * 16 + base[:, 1] * 4 + base[:, 2]
+    out[(base == 64).any(axis=1)] = -1
+    return out
+
+
+def _codon(k: int) -> str:
+    return "".join(sequences.BASES[k // d % 4] for d in (16, 4, 1))
+
+
+def _count(numbers, name, order: list[str]):
+    """Counts a task's columns by value, with the first place in order that each was seen at: one row a column and value, however many records."""
+
+    def run(frames):
+        found: dict = {}
+        for f in frames:
+            places = sorted(zip(*(f[c].tolist() for c in order), range(len(f)), strict=True))
+            rows = [numbers(f.text.iloc[p[-1]]) for p in places]
+            cells = np.concatenate([np.arange(len(r)) << 21 | r for r in rows if len(r)] or [np.zeros(0, np.int64)])
+            of = np.repeat(np.arange(len(rows)), [len(r) for r in rows])[cells >= 0]
+            keys, first, times = np.unique(cells[cells >= 0], return_index=True, return_counts=True)
+            for key, at, n in zip(keys.tolist(), of[first].tolist(), times.tolist(), strict=True):
+                before, o = found.get(key, (0, None))
+                found[key] = (before + n, places[at][:-1] if o is None else min(o, places[at][:-1]))
+        yield pd.DataFrame([(key >> 21, name(key & 0x1FFFFF), n, *o) for key, (n, o) in found.items()], columns=["pos", "value", "n", *order])
+
+    return run
+
+
+def modes(rows: DataFrame, aln: str, order: Column, coding: bool = False) -> DataFrame:
+    """pos, value, n: the most frequent letter of each column that isn't a gap, or whole codon of A, C, G and T (ties: the value that comes first in order).
+
+    Each task counts its own columns, so what is shuffled doesn't grow with the number of records."""
+    given = rows.select(F.upper(F.col(aln)).alias("text"), order.alias("o")).where("text is not null")
+    kind = given.schema["o"].dataType
+    inner = [f"o.{f}" for f in kind.names] if hasattr(kind, "names") else ["o"]
+    names = [f"o{k}" for k in range(len(inner))]
+    flat = given.select("text", *(F.col(c).alias(x) for c, x in zip(inner, names, strict=True)))
+    schema = "pos int, value string, n long, " + ", ".join(f"{x} {flat.schema[x].dataType.simpleString()}" for x in names)
+    counted = flat.mapInPandas(_count(_codons if coding else _letters, _codon if coding else chr, names), schema)
+    merged = counted.groupBy("pos", "value").agg(F.sum("n").alias("n"), F.min(F.struct(*names)).alias("o"))
+    return merged.groupBy("pos").agg(F.min_by("value", F.struct((-F.col("n")).alias("n"), "o")).alias("value"), F.max("n").alias("n"))
 
 
 def consensus_rows(rows: DataFrame, aln: str, order: Column) -> DataFrame:
-    """pos, value, n: the most frequent letter of each column that isn't a gap."""
-    cells = F.transform(sequences.letters(F.upper(F.col(aln))), lambda c: F.nullif(c, F.lit("-")))
-    return modes(rows, cells, order)
+    return modes(rows, aln, order)
 
 
 def codon_consensus_rows(rows: DataFrame, aln: str, order: Column) -> DataFrame:
-    """pos, value, n: the most frequent whole codon of A, C, G and T of each codon column."""
-    cells = F.transform(sequences.codons(aln), lambda c: F.when(c.rlike("^[ACGT]{3}$"), c))
-    return modes(rows, cells, order)
+    return modes(rows, aln, order, coding=True)
 
 
 def consensus(rows: DataFrame, width: int, aln: str, order: Column, coding: bool = False) -> str:
