@@ -233,7 +233,8 @@ def test_command_line_from_registry_to_training_tables(spark, tmp_path, monkeypa
     assert cli.main(tasks, spark) == 0
     assert cli.main(["aligned", "--aligned-root", aligned, "--out", f"{top}/cat.json"], spark) == 0
     (found,) = json.loads((tmp_path / "cat.json").read_text())["groups"].values()
-    assert found["chunks"]["one"]["reusable"] and set(found["chunks"]["two"]["counts_by_motif"]) == {"whole", "b"}
+    named = {k[:-9]: v for k, v in found["chunks"].items()}
+    assert named["one"]["reusable"] and set(named["two"]["counts_by_motif"]) == {"whole", "b"}
     assert cli.todo(spark, cli.parser().parse_args(tasks))[1].count() == 0
     assert cli.main(["aggregate", "--plan", plan, "--aligned-root", aligned, "--out-dir", train], spark) == 0
     assert (tmp_path / "train/b_training_counts.csv").read_text().splitlines() == ["Motif Nucleotide,Motif Peptide,2000,2001,2002,unknown", "ACAGCATATATT,TAYI,3,3,3,0", "ACAGCATGGATT,TAWI,0,0,0,4"]
@@ -241,8 +242,54 @@ def test_command_line_from_registry_to_training_tables(spark, tmp_path, monkeypa
     assert summary.count(",OK") == 2 and ",2,2,0,13,0,4,2000..2002," in summary
     assert cli.main(["aligned", "--register", f"{aligned}/{group['group_id']}", "--config", f"{top}/configs/{group['group_id']}.txt", *bench], spark) == 0
     assert f"{group['group_id']} is" in capsys.readouterr().out.replace(f"{aligned}/", "")
-    (tmp_path / "bench/r.csv").write_text(good.replace("MKTA,x", "MK1A,x"))
+    (tmp_path / "bench/r.csv").write_text(good.replace("MKTA,x", "MKBA,x"))
     assert cli.main(["check", *bench], spark) == 1
+    (tmp_path / "bench/r.csv").write_text(good.replace("MKTA,x,target_as_reference,4", "MKTA,x,target_as_reference,5"))
+    assert cli.main(["check", *bench], spark) == 0  # a wrong seq_len is a warning
+
+
+def test_all_steps(spark, tmp_path, monkeypatch):
+    """A dry run leaves nothing; files of one name in two folders are two chunks; an open chunk doesn't keep the others from being aggregated."""
+    from tidemark import cli
+
+    monkeypatch.setattr(cli, "COMMANDS", dict(cli.COMMANDS))
+    parse = cli.parser().parse_args
+    at = {k: f"{tmp_path}/{k}" for k in ("benchmark_dir", "fasta_root", "aligned_root", "config_dir", "out_dir")} | {"registry": f"{tmp_path}/benchmark_dir/r.csv"}
+    own = {"inventory": f"{tmp_path}/inv.json", "plan": f"{tmp_path}/plan.json"}
+    outs = {"scan": own["inventory"], "aligned": f"{tmp_path}/cat.json", "plan": own["plan"]}
+
+    def placed(args):
+        a = parse(args)
+        for k, v in {**at, **own, **({"out": outs[a.command]} if a.command in outs else {})}.items():
+            if hasattr(a, k) and f"--{k.replace('_', '-')}" not in args:
+                setattr(a, k, v)
+        return a
+
+    monkeypatch.setattr(cli, "parser", lambda: type("P", (), {"parse_args": staticmethod(placed)}))
+    (tmp_path / "benchmark_dir").mkdir()
+    (tmp_path / "benchmark_dir/r.csv").write_text("benchmark_file,dms_id,virus_code,host,target_seq,target_type,recommended_reference\na.csv,a,HIV,human,MKTAYIAKQR,x,target_as_reference\n")
+    (tmp_path / "benchmark_dir/a.csv").write_text("x\n")
+    for folder, n in (("HIV/x", 3), ("HIV/y", 2)):
+        (tmp_path / "fasta_root" / folder).mkdir(parents=True)
+        (tmp_path / "fasta_root" / folder / "one.fasta").write_text("".join(f">s{i}|2001-01\n{CDS}\n" for i in range(n)))
+    before = sorted(tmp_path.rglob("*"))
+    assert cli.main(["all", "--dry-run"], spark) == 0 and sorted(tmp_path.rglob("*")) == before
+    (tmp_path / "fasta_root/HIV/bad.fasta").write_text(">s|2001\n" + "TAA" * 10 + "\n")
+    assert cli.main(["all"], spark) == 1
+    assert (tmp_path / "out_dir/a_training_counts.csv").read_text().splitlines() == ["Motif Nucleotide,Motif Peptide,2001,unknown", f"{CDS},MKTAYIAKQR,5,0"]
+
+
+def test_wide_tables_in_one_scan(spark, tmp_path):
+    """Many tables with columns of their own; written here and elsewhere, as files and as folders."""
+    for k in range(40):
+        (tmp_path / f"t{k}").mkdir()
+        (tmp_path / f"t{k}/x_counts_by_year_wide.csv").write_text(f"\ufeffMotif Nucleotide,Motif Peptide,{2000 + k % 3},unknown,Count\r\nAAA,K,{k},1.0,9\r\n,P,x,0,1\r\n")
+    spark.createDataFrame([("", "K", 5)], ["Motif Nucleotide", "Motif Peptide", "1999"]).write.option("header", "true").csv(str(tmp_path / "d/x_counts_by_year_wide.csv"))
+    paths = [f"{tmp_path}/t{k}/x_counts_by_year_wide.csv" for k in range(40)] + [f"{tmp_path}/d/x_counts_by_year_wide.csv"]
+    got = tables.read_wide_tables(spark, paths)
+    assert rows(got.groupBy("nt", "aa", "bin").agg(F.sum("n").alias("n")), "nt", "aa", "bin", "n") == [
+        ("", "K", "1999", 5), ("AAA", "K", "2000", sum(range(0, 40, 3))), ("AAA", "K", "2001", sum(range(1, 40, 3))), ("AAA", "K", "2002", sum(range(2, 40, 3))), ("AAA", "K", "unknown", 40)]
+    assert got.select("path").distinct().count() == 41
 
 
 def test_run_of_a_folder(spark, tmp_path):

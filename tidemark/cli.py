@@ -1,19 +1,20 @@
 """Command line: python -m tidemark.cli COMMAND [options].
 
 run: datasets of a folder; check: the registry; scan: FASTA files; aligned: the catalogue, or --register; plan: the task plan; tasks: what
-the plan has left to do, in waves; aggregate: training tables; all: check, scan, aligned, plan, tasks, aggregate, up to the first that fails.
+the plan has left to do, in waves; aggregate: training tables; all: check, scan, aligned, plan, tasks, aggregate, up to the first that fails, but what is counted is aggregated though tasks are left. A dry run leaves nothing behind.
 Exit codes: 0 all is well; 1 a problem, or nothing could be done (run: all datasets failed; tasks: a chunk is not done)."""
 
 from __future__ import annotations
 
 import argparse
 import sys
+import uuid
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.plans import catalogue, inventory, registry, runs, schedule, taskplan, training
-from tidemark.session import ship
+from tidemark.session import shared_folder, ship
 from tidemark.sources import config, files, tables
 
 #: First year of a virus' count tables, file name of the registry, how many open chunks are shown.
@@ -147,20 +148,30 @@ COMMANDS = {"run": run, "check": check, "scan": scan, "aligned": aligned, "plan"
 def main(args: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = parser().parse_args(args)
     spark = ship(spark or SparkSession.builder.appName("tidemark").getOrCreate())
-    steps = [[a.command, *(args if args is not None else sys.argv[1:])[1:]]]
+    steps, scratch, worst = [[a.command, *(args if args is not None else sys.argv[1:])[1:]]], None, 0
     if a.command == "all":
         steps = [["check"], ["scan"], ["aligned"], ["plan"]]
-        steps += [] if a.no_submit else [["tasks", *(["--dry-run"] if a.dry_run else [])]]
+        steps += [] if a.no_submit else [["tasks"]]
         steps += [] if a.no_aggregate or a.dry_run else [["aggregate"]]
-    for step in steps:
-        try:
-            code = COMMANDS[step[0]](spark, parser().parse_args(step))
-        except (ValueError, FileNotFoundError) as e:
-            print(f"{step[0]}: {e}")
-            code = 1
-        if code:
-            return code
-    return 0
+        if a.dry_run:
+            scratch = f"{shared_folder(spark)}/tidemark-dry-{uuid.uuid4().hex}"
+            at = {k: f"{scratch}/{k}" for k in ("inventory", "catalogue", "plan", "configs")}
+            more = {"scan": ["--out", at["inventory"]], "aligned": ["--out", at["catalogue"]], "plan": ["--inventory", at["inventory"], "--out", at["plan"], "--config-dir", at["configs"]], "tasks": ["--plan", at["plan"], "--dry-run"]}
+            steps = [[*s, *more.get(s[0], [])] for s in steps]
+    try:
+        for step in steps:
+            try:
+                code = COMMANDS[step[0]](spark, parser().parse_args(step))
+            except (ValueError, FileNotFoundError) as e:
+                print(f"{step[0]}: {e}")
+                code = 1
+            worst = max(worst, code)
+            if code and step[0] != "tasks":  # what is counted is aggregated, whatever chunks are open
+                break
+    finally:
+        if scratch:
+            files.delete(spark, scratch)
+    return worst
 
 
 if __name__ == "__main__":

@@ -66,6 +66,11 @@ def file_stem(path) -> Column:
     return F.regexp_replace(F.substring_index(_col(path), "/", -1), r"(?<=.)\.[^.]*$", "")
 
 
+def chunk_name(rel_path) -> Column:
+    """The stem, and a digest of the whole path, so that files of one name in two folders, or with two extensions, are two chunks."""
+    return F.concat(file_stem(rel_path), F.lit("-"), F.substring(F.sha1(_col(rel_path).cast("binary")), 1, 8))
+
+
 def benchmark_stem(name) -> Column:
     return F.regexp_replace(_col(name), r"(?i)\.csv$", "")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,20 +38,21 @@ def dated(records: DataFrame) -> DataFrame:
     return records.withColumn("_d", dates.parse_date("description")).withColumns({"year": F.col("_d.year"), "month": F.col("_d.month")}).drop("_d")
 
 
-def place(m, reference: str, rows: DataFrame, width: int, aln: str = "aln_aa") -> list[int]:
-    """Columns of a motif: by the reference, else the first row with all parts, else the consensus."""
+def place(m, reference: str, rows: DataFrame, consensus, aln: str = "aln_aa") -> list[int]:
+    """Columns of a motif: by the reference, else the first row with all parts, else the consensus (a function that gives its text)."""
     found = motif.columns_of_row(reference, m.parts) if reference else None
     if found is None:
         try:
             found = motif.columns_in_data(rows, m.parts, aln, ORDER)
         except ValueError:
-            found = motif.columns_in_consensus(motif.consensus(rows, width, aln, F.struct(*ORDER)), m.parts)
+            found = motif.columns_in_consensus(consensus(), m.parts)
     return found
 
 
 def _placed_by_reference(reference: str, config: Config, rows: DataFrame, width: int, aln: str):
+    text = functools.cache(lambda: motif.consensus(rows, width, aln, F.struct(*ORDER)))
     for m in config.motifs:
-        yield m, place(m, reference, rows, width, aln)
+        yield m, place(m, reference, rows, text, aln)
 
 
 def _by_motif(rows: DataFrame, placed, aln_nt: str | None, least: float) -> DataFrame:

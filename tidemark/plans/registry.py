@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import sequences
+from tidemark.sources.config import RESIDUES
 from tidemark.sources.tables import REQUIRED
 
-#: Reference modes and letters allowed in a target sequence.
+#: Reference modes. The letters of a target are those that a configuration may have.
 MODES = ("target_as_reference", "full_protein_plus_motif")
-LETTERS = "ACDEFGHIKLMNPQRSTVWYXBZUOJ*"
 
 
 def compare(disk: DataFrame, registry: DataFrame, key: str = "benchmark_file") -> DataFrame:
@@ -26,8 +26,8 @@ def violations(registry: DataFrame, key: str = "benchmark_file") -> DataFrame:
     clean = sequences.degap("target_seq", upper=False)
     rules = [
         *((f"empty {c}", "problem", F.coalesce(F.trim(c), F.lit("")) == "") for c in REQUIRED),
-        ("letters of target_seq", "problem", F.length(F.translate(F.upper(clean), LETTERS, "")) > 0),
-        ("seq_len", "problem", (F.coalesce(F.trim("seq_len"), F.lit("")) != "") & ~F.coalesce(F.col("seq_len").try_cast("double").cast("long").isin(F.length("target_seq"), F.length(clean)), F.lit(False))),
+        ("letters of target_seq", "problem", F.length(F.translate(F.upper(clean), "".join(sorted(RESIDUES)), "")) > 0),
+        ("seq_len", "warning", (F.coalesce(F.trim("seq_len"), F.lit("")) != "") & ~F.coalesce(F.col("seq_len").try_cast("double").cast("long").isin(F.length("target_seq"), F.length(clean)), F.lit(False))),
         ("recommended_reference", "problem", ~F.coalesce(F.trim("recommended_reference"), F.lit("")).isin("", *MODES)),
     ]
     found = [registry.where(F.coalesce(test, F.lit(False))).select(key, F.lit(rule).alias("rule"), F.lit(severity).alias("severity")) for rule, severity, test in rules]

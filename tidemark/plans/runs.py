@@ -5,6 +5,7 @@ written to the dataset's output folder first, so nothing is aligned twice, and s
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -91,12 +92,14 @@ def process(spark: SparkSession, path: str, dataset: str, c: Config, out: str, o
         rows = stored(align.align_to_reference(made, c.protein, nt="nt" if nucleotide else None), f"{out}/aligned")
         stats |= {"hmm_dropped_long": made.where(F.length("aa") > align.longest_query(len(c.protein))).count(), "aligned": rows.count()}
         fasta.write_fasta(rows, f"{out}/{dataset}_aligned_proteins.fasta", "aln_aa")
+    width = motif.codon_width(facts.median_len) if c.motifs and facts.aligned and nucleotide else facts.median_len if facts.aligned else len(c.protein)
+    text = functools.cache(lambda: motif.consensus(rows, width, "aln_nt" if facts.aligned and nucleotide else "aln_aa", F.struct(*pipeline.ORDER), coding=facts.aligned and nucleotide))
     whole, details = None, []
     for (tag, infix, prefix, table), m in zip(names(dataset, [m.tag for m in c.motifs], o.monthly), c.motifs or [None], strict=True):
         if m is None:
             found = _whole(rows, facts)
         else:
-            found = _motif(rows, m, c, facts, o)
+            found = _motif(rows, m, c, facts, o, text)
             found, n = seen(found, kept=F.col("dropped").isNull(), ambiguous=F.col("dropped") == "ambiguous", nt=F.col("dropped") == "nt")
         long = stored(counts.count_variants(motif.kept(found) if m else found).select(F.lit(infix).alias("infix"), F.lit(tag or "whole").alias("motif_tag"), "nt", "aa", "year", "month", "n"), f"{out}/{STORE}/count={prefix}")
         total, variants, unknown = long.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct(F.struct("nt", "aa")), F.coalesce(F.sum(F.when(F.col("year").isNull(), F.col("n"))), F.lit(0))).first()
@@ -121,14 +124,12 @@ def _whole(rows: DataFrame, facts: pipeline.Facts) -> DataFrame:
     return rows.withColumns({"aa": F.col("aln_aa"), "nt": sequences.degap("aln_nt") if facts.molecule == "nucleotide" else F.lit("")})
 
 
-def _motif(rows: DataFrame, m, c: Config, facts: pipeline.Facts, o: Options) -> DataFrame:
-    """The judged fragments of a motif."""
+def _motif(rows: DataFrame, m, c: Config, facts: pipeline.Facts, o: Options, consensus) -> DataFrame:
+    """The judged fragments of a motif. consensus: a function that gives the consensus of the rows, made once for all motifs."""
     nucleotide = facts.molecule == "nucleotide"
     if facts.aligned and nucleotide:
-        text = motif.consensus(rows, motif.codon_width(facts.median_len), "aln_nt", F.struct(*pipeline.ORDER), coding=True)
-        return motif.judged_codons(rows, motif.columns_in_consensus(text, m.parts), "aln_nt", o.least_called)
-    width = facts.median_len if facts.aligned else len(c.protein)
-    columns = pipeline.place(m, "" if facts.aligned else c.protein, rows, width)
+        return motif.judged_codons(rows, motif.columns_in_consensus(consensus(), m.parts), "aln_nt", o.least_called)
+    columns = pipeline.place(m, "" if facts.aligned else c.protein, rows, consensus)
     return motif.judged(rows, columns, "aln_aa", "aln_nt" if nucleotide else None, o.least_called)
 
 
@@ -166,7 +167,8 @@ def run(spark: SparkSession, folder: str, output: str, o: Options | None = None,
     stats = []
     for path, name in listed:
         try:
-            text = config_text if config_text is not None else files.read_text(spark, configs.find(folder, name, lambda p: files.exists(spark, p)))
+            stem = path.rsplit("/", 1)[-1].rsplit(".", 1)[0]
+            text = config_text if config_text is not None else files.read_text(spark, configs.find(folder, stem, lambda p: files.exists(spark, p)))
             one, _ = process(spark, path, name, configs.parse(text), f"{output}/{name}", o)
             stats.append(one | {"status": "OK", "error": ""})
         except (ValueError, FileNotFoundError) as e:

@@ -63,6 +63,6 @@ def document(planned: DataFrame, skipped: DataFrame, blocked: DataFrame, on_disk
 
 
 def pending(plan: DataFrame) -> DataFrame:
-    """group_id, chunk (file name without extension), path, rel_path of each planned file. plan: groups as of `tables.read_plan`."""
+    """group_id, chunk (of the whole relative path), path, rel_path of each planned file. plan: groups as of `tables.read_plan`."""
     f = plan.select("group_id", "virus_code", "binning", "config", F.explode("fasta_files").alias("f"))
-    return f.select("group_id", "virus_code", "binning", "config", texts.file_stem("f.rel_path").alias("chunk"), "f.path", "f.rel_path")
+    return f.select("group_id", "virus_code", "binning", "config", texts.chunk_name("f.rel_path").alias("chunk"), "f.path", "f.rel_path")

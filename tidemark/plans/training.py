@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,18 +24,14 @@ def planned_motifs(plan: DataFrame) -> DataFrame:
 
 
 def chunk_counts(spark: SparkSession, chunks: DataFrame) -> DataFrame:
-    """group_id, chunk, motif_tag, nt, aa, bin, n of the wide tables of chunks (folder, chunk, counts_by_motif as of `catalogue.probe`, path prefixed already).
-
-    Wide tables have columns of their own, so each is read alone; a chunk's table is read once."""
-    each = chunks.select("folder", "chunk", F.explode("counts_by_motif").alias("motif_tag", "path")).collect()
-    if not each:
+    """group_id, chunk, motif_tag, nt, aa, bin, n of the wide tables of chunks (folder, chunk, counts_by_motif as of `catalogue.probe`, path prefixed already)."""
+    each = chunks.select("folder", "chunk", F.explode("counts_by_motif").alias("motif_tag", "path"))
+    paths = [r.path for r in each.select("path").distinct().toLocalIterator()]
+    if not paths:
         return spark.createDataFrame([], "group_id string, chunk string, motif_tag string, nt string, aa string, bin string, n long")
-    keys = [tables.NT, tables.AA]
-    read = []
-    for r in each:
-        long = counts.from_wide(tables.read_wide_counts(spark, r.path), keys)
-        read.append(long.select(F.lit(r.folder).alias("group_id"), F.lit(r.chunk).alias("chunk"), F.lit(r.motif_tag).alias("motif_tag"), F.trim(F.col(f"`{tables.NT}`")).alias("nt"), F.trim(F.col(f"`{tables.AA}`")).alias("aa"), "bin", "n"))
-    return reduce(DataFrame.unionByName, read)
+    long = tables.read_wide_tables(spark, paths)
+    rows = long.join(each.select(F.col("folder").alias("group_id"), "chunk", "motif_tag", F.regexp_replace("path", "^file:/+", "/").alias("path")), "path")
+    return rows.select("group_id", "chunk", "motif_tag", F.trim("nt").alias("nt"), F.trim("aa").alias("aa"), "bin", "n")
 
 
 def merged(counted: DataFrame, motifs: DataFrame, max_year: int | None = None) -> DataFrame:
@@ -87,6 +81,8 @@ def aggregate(spark: SparkSession, plan: DataFrame, chunks: DataFrame, out: str)
     motifs = planned_motifs(plan)
     counted = chunk_counts(spark, chunks)
     found = merged(counted, motifs)
+    found.write.mode("overwrite").partitionBy("group_id", "motif_tag").parquet(f"{out}/merged_counts")  # the tables are read once, and each motif's counts alone
+    found = spark.read.schema(found.schema).parquet(f"{out}/merged_counts")
     for m in motifs.join(counted.select("group_id", "motif_tag").distinct(), ["group_id", "motif_tag"], "left_semi").toLocalIterator():
         table = wide_table(found, m.group_id, m.motif_tag)
         for b in m.benchmarks:

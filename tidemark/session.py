@@ -36,5 +36,8 @@ def ship(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """`spark.checkpoint.dir`; only where it is unset, a temporary folder of this machine."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")).rstrip("/")
+    """`spark.checkpoint.dir`; only where it is unset and all runs on this machine, a temporary folder of it."""
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if not given and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return (given or tempfile.mkdtemp(prefix="tidemark-")).rstrip("/")

@@ -93,12 +93,16 @@ def list_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFr
 
 
 def datasets(spark: SparkSession, folder: str, dataset: str | None = None) -> DataFrame:
-    """path, size_bytes and dataset of the FASTA files of a folder, in order of path; dataset: only the file of this name, or of its name without extension."""
-    found = list_files(spark, folder, False).withColumn("dataset", texts.file_stem("path"))
+    """path, size_bytes and dataset of the FASTA files of a folder, in order of path; dataset: only the file of this name, or of its name without extension.
+
+    A dataset is called by its file's name without extension, or with it where two files of the folder differ in that alone."""
+    found = list_files(spark, folder, False).withColumn("stem", texts.file_stem("path"))
+    own = found.groupBy("stem").count()
+    found = found.join(own, "stem").withColumn("dataset", F.when(F.col("count") > 1, F.substring_index("path", "/", -1)).otherwise(F.col("stem")))
     if dataset is not None:
         stem = dataset.rsplit(".", 1)[0] if "." in dataset[1:] else dataset
-        found = found.where((F.substring_index("path", "/", -1) == dataset) | (F.col("dataset") == stem))
-    return found.orderBy("path")
+        found = found.where((F.substring_index("path", "/", -1) == dataset) | (F.col("stem") == dataset) | ((F.col("stem") == stem) & (F.col("count") == 1)))
+    return found.select("path", "size_bytes", "dataset").orderBy("path")
 
 
 def single_sequence(spark: SparkSession, path: str) -> str | None:

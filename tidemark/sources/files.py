@@ -47,11 +47,28 @@ def folders(spark: SparkSession, root: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
 
 
+def _replace(spark: SparkSession, made: str, path: str) -> None:
+    """Puts a file in another's place in one step: readers see the old one or the new one."""
+    (fs, src), dst = _at(spark, made), _at(spark, path)[1]
+    if fs.exists(dst) and fs.getFileStatus(dst).isDirectory():
+        fs.delete(dst, True)
+    how = spark.sparkContext._gateway.new_array(getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+    how[0] = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
+    spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(src), fs.makeQualified(dst), how)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _at(spark, path)
+    made = f"{path}.{uuid.uuid4().hex}"
+    fs, p = _at(spark, made)
     out = fs.create(p, True)
     out.write(bytearray(text.encode()))
     out.close()
+    _replace(spark, made, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _at(spark, path)
+    fs.delete(p, True)
 
 
 def read_text(spark: SparkSession, path: str) -> str:
@@ -65,10 +82,8 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.coalesce(1).write.option("header", "true").option("emptyValue", "").csv(part)
     fs, p = _at(spark, part)
     made = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName().startswith("part-")]
-    to = _at(spark, path)[1]
-    fs.delete(to, True)
     if made:
-        fs.rename(made[0], to)
+        _replace(spark, made[0].toString(), path)
     else:
         write_text(spark, path, ",".join(df.columns) + "\n")
     fs.delete(p, True)

@@ -66,6 +66,21 @@ def read_wide_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return raw.withColumns({c: F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in (NT, AA)})
 
 
+def read_wide_tables(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """path (of the table, a file or a folder of part files), nt, aa, bin, n of many wide count tables in one scan, each file by its own header.
+
+    Keys and labels hold neither commas nor quotes. Totals are no bins; text that is no number and zero counts are left out."""
+    file = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/")
+    lines = spark.read.text(paths).select(file.alias("file"), F.transform(F.split(F.regexp_replace("value", "^\ufeff|\r$", ""), ","), lambda c: F.trim(F.regexp_replace(c, '^"|"$', ""))).alias("cells"))
+    named = F.array_contains("cells", NT)
+    heads = lines.where(named).groupBy("file").agg(F.first("cells").alias("head"))
+    rows = lines.where(~named).join(heads, "file")
+    at = {c: F.coalesce(F.get("cells", (F.array_position("head", c) - 1).cast("int")), F.lit("")) for c in (NT, AA)}
+    each = rows.select("file", at[NT].alias("nt"), at[AA].alias("aa"), F.explode(F.arrays_zip("head", "cells")).alias("c"))
+    each = each.where(~F.col("c.head").isin(NT, AA, TOTAL)).select(F.regexp_replace("file", r"(_wide\.csv)/.*$", "$1").alias("path"), "nt", "aa", F.col("c.head").alias("bin"), F.col("c.cells").try_cast("double").cast("long").alias("n"))
+    return each.where(F.col("n") != 0)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """One CSV file with a header, in the order of the rows; only for tables for people (a wide count table, a summary)."""
     df.coalesce(1).write.mode("overwrite").option("header", "true").option("emptyValue", "").csv(path)
