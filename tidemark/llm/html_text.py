@@ -4,7 +4,11 @@ Each page is read once, in time that grows with its length, into block elements
 asides, forms, scripts, styles), hidden ones, and containers whose class, id or role says so. A name that consists of such words only (`sidebar`,
 `site-footer`, `related-posts`) is taken at its word, unless three quarters of the page's text outside of links and an article, a main element or a first heading would go with it, or
 all text; a name that merely holds such a word (`long-form`,
-`related-work`) counts only where the container has less than half of that text. Comments of readers go however long they are.
+`related-work`) counts only where the container has less than half of that text. A form goes unless it holds three quarters of the page's text and no article, main element or first
+heading lies outside of it (some servers put a form around every page). The header of an article or a main element is content.
+
+Comments of readers go however long they are. They are told by names that say so; by names that may say so (`responses`, `discussion`), if there are a reply, or an author and a
+time, inside; or without names, as two or more like siblings of which nearly all have an author, a time and a reply. Nothing with a main element or a first heading is taken for comments.
 
 The page's best container is found by descending from the root as long as one child element keeps most of the text that isn't links. Its path, tags with
 classes and numbers made general, is the page's vote; votes are counted per host in Spark. A second pass extracts every page
@@ -35,7 +39,7 @@ _SPACE = re.compile(r"\s+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 DROPPED = frozenset(
-    "nav header footer aside form script style noscript template iframe button select option textarea svg math head title menu dialog canvas object audio video map datalist xmp noembed noframes".split()
+    "nav header footer aside script style noscript template iframe button select option textarea svg math head title menu dialog canvas object audio video map datalist xmp noembed noframes".split()
 )
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody thead tfoot tr ul caption".split()
@@ -53,7 +57,12 @@ AFFIXES = frozenset(
     "user reader readers post posts article articles story stories news header head policy privacy email mobile desktop sticky floating fixed".split()
 )
 COMMENTS = frozenset("comments commentlist disqus respond replies".split())
-SURE, LIKELY, READERS = 1, 2, 3
+#: Fixed list: names that may be those of readers' comments.
+DISCUSSION = frozenset("response responses discussion discussions reaction reactions conversation feedback thread talk".split())
+SURE, LIKELY, READERS, FORM = 1, 2, 3, 4
+AUTHOR, TIME, REPLY = 1, 2, 4
+#: Fixed patterns: what names in a comment say.
+_SIGNS = ((AUTHOR, re.compile(r"\b(?:author|user|username|commenter|nickname|avatar)\b")), (TIME, re.compile(r"\b(?:date|time|datetime|timestamp)\b")), (REPLY, re.compile(r"\brepl(?:y|ies)\b")))
 _PAGE_HEAD = frozenset(["header", "head", "banner"])
 _CLOSERS = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _LIMITS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "option": ("select",)}
@@ -88,6 +97,20 @@ def _mark(tag: str, a: dict[str, str]) -> int:
     return found
 
 
+def _signs(tag: str, a: dict[str, str]) -> int:
+    """What an element's names say of a comment: bits for an author, a time and a reply."""
+    names = " ".join(a[k] for k in ("class", "id", "itemprop", "rel") if k in a).lower().replace("_", "-") if a else ""
+    return (TIME if tag == "time" else 0) | sum(bit for bit, words in _SIGNS if words.search(names)) if names or tag == "time" else 0
+
+
+def _discussion(a: dict[str, str]) -> bool:
+    for name in f"{a.get('class', '')} {a.get('id', '')}".lower().split() if a else ():
+        parts = [p for p in re.split(r"[^a-z]+", name) if p]
+        if any(p in DISCUSSION for p in parts) and all(p in DISCUSSION or p in AFFIXES for p in parts):
+            return True
+    return False
+
+
 def _label(tag: str, a: dict[str, str]) -> str:
     return ".".join([tag, *sorted({re.sub(r"\d+", "#", c) for c in a.get("class", "").lower().split()})])
 
@@ -96,11 +119,12 @@ class Page:
     """The block elements of a page (parent, tag, number of the path) and its text blocks (element, text, characters outside of links)."""
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.path, self.mark = [-1], ["#"], [0], [0]
+        self.parent, self.tag, self.path, self.mark, self.signs, self.discussion = [-1], ["#"], [0], [0], [0], [False]
         self.paths: dict[tuple[int, str], int] = {}
         self.steps: list[tuple[int, str]] = [(0, "")]
         self.blocks: list[tuple[int, str, int]] = []
         self._read(source)
+        self._find_comments()
         self._leave_out()
 
     def _step(self, path: int, label: str) -> int:
@@ -239,12 +263,17 @@ class Page:
                 continue
             if tag == "a":
                 link += 1
+                if "class" in raw or "rel" in raw or "itemprop" in raw:
+                    self.signs[stack[-1][1]] |= _signs(tag, _attributes(raw))
                 continue
             if raw.endswith("/") and tag not in BLOCKS:
                 continue
             a = _attributes(raw)
-            dropped = stack[-1][2] or tag in DROPPED or _hidden(a)
+            dropped = stack[-1][2] or tag in DROPPED and not (tag == "header" and (opened["article"] or opened["main"])) or _hidden(a)
             mark = 0 if dropped else _mark(tag, a)
+            signs = _signs(tag, a)
+            if tag == "form" and mark not in (SURE, READERS):
+                mark = FORM
             if tag in BLOCKS:
                 if not stack[-1][2]:
                     flush()
@@ -253,8 +282,12 @@ class Page:
                 self.tag.append(tag)
                 self.path.append(self._step(self.path[up], _label(tag, a)))
                 self.mark.append(mark)
+                self.signs.append(signs)
+                self.discussion.append(not dropped and _discussion(a))
                 push(tag, len(self.tag) - 1, dropped)
-            elif tag in ("td", "th"):
+                continue
+            self.signs[stack[-1][1]] |= signs
+            if tag in ("td", "th"):
                 add(" ")
                 push(tag, stack[-1][1], dropped)
             elif dropped or mark in (SURE, READERS):
@@ -269,6 +302,26 @@ class Page:
             size[self.parent[k]] += size[k]
         return size
 
+    def _find_comments(self) -> None:
+        """Marks readers' comments that are told by what is in them."""
+        if not any(s & REPLY for s in self.signs) and not any(self.discussion):
+            return
+        signs, head, size = list(self.signs), [t in ("main", "h1") for t in self.tag], self._sizes()
+        for k in range(len(signs) - 1, 0, -1):
+            signs[self.parent[k]] |= signs[k]
+            head[self.parent[k]] |= head[k]
+        alike: dict[tuple[int, int], list[int]] = defaultdict(list)
+        for k in range(1, len(signs)):
+            if self.discussion[k] and not head[k] and (signs[k] & REPLY or signs[k] & (AUTHOR | TIME) == AUTHOR | TIME):
+                self.mark[k] = READERS
+            alike[self.parent[k], self.path[k]].append(k)
+        for (up, _), each in alike.items():
+            found = [k for k in each if signs[k] == AUTHOR | TIME | REPLY and not head[k]]
+            if len(found) >= 2 and len(found) >= 0.8 * len(each):
+                alone = up and not head[up] and self.tag[up] not in ("article", "main", "body", "html") and sum(size[k] for k in found) >= 0.8 * size[up]
+                for k in [up] if alone else found:
+                    self.mark[k] = READERS
+
     def _leave_out(self) -> None:
         """Drops the blocks of marked containers, by the share of the page's text that they hold."""
         if not any(self.mark):
@@ -280,7 +333,7 @@ class Page:
         story = [t in ("article", "main", "h1") for t in self.tag]
         for k in range(len(story) - 1, 0, -1):
             story[self.parent[k]] |= story[k]
-        gone = self._within(lambda k: self.mark[k] == SURE and not (story[k] and size[k] >= 0.75 * size[0]) or self.mark[k] == LIKELY and size[k] < 0.5 * size[0])
+        gone = self._within(lambda k: self.mark[k] == FORM and (size[k] < 0.75 * size[0] or story[0] and not story[k]) or self.mark[k] == SURE and not (story[k] and size[k] >= 0.75 * size[0]) or self.mark[k] == LIKELY and size[k] < 0.5 * size[0])
         self.blocks = [b for b in self.blocks if not gone[b[0]]] or self.blocks or whole
 
     def _within(self, chosen) -> list[bool]:
