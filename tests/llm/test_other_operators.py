@@ -250,3 +250,20 @@ def test_broken_and_deep_pages_take_linear_time():
     assert html_text.extract('<p>a < b and c</p><p>d <a href="x>y">e</a></p>') == "a < b and c\n\nd e"
     assert html_text.extract("<p>one<p>two <b title='it'>three</b>") == "one\n\ntwo three"
     assert html_text.extract('<p>start</p><a title="never closed><p>rest</p>') == "start\n\nrest"
+
+
+def test_verbatim_is_all_of_an_item(spark):
+    item = "A farmer keeps 12 apples in each of his boxes and sells them at the market to people of the town before noon"
+    table = spark.createDataFrame([(1, item)], "item_id long, text string")
+    texts = [item, "So we read: " + item.upper().lower() + " and so on", item.replace("12", "twelve"), item.replace("apples", "pears"), item.replace("12", "15"), item.replace(" before noon", "")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r for r in decontamination.leaks(docs, table).collect()}
+    assert {i for i, r in got.items() if r.verbatim} == {0, 1} and {0, 1, 2, 4, 5} <= set(got)
+
+
+def test_a_repeated_window_is_judged_place_by_place(spark):
+    item = "one two three four five six seven eight " * 40
+    table = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(5, item * 20, None, None, None), (6, "one two three four five six", None, None, None)], SCHEMA)
+    (r,) = decontamination.leaks(docs, table).collect()
+    assert (r.doc_id, r.windows, r.verbatim) == (5, 313, True)

@@ -1,11 +1,13 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.conftest import SCHEMA, invented
 from tidemark.llm import language_id, quality, toxicity
+from tidemark.llm.shared import one_each
 from tidemark.llm.textnum import encode
 
 
@@ -253,3 +255,29 @@ def test_mentions_are_found_in_the_labelled_texts(spark):
     got = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, bound).collect()}
     mentioned = [i for i, t, *_ in rows if i % 4 and ("zorgans" in t or "blimpers" in t)]
     assert sum(got[i] for i in mentioned) / len(mentioned) < 0.02
+
+
+def test_one_labelled_id_of_many_texts_is_one_row(spark):
+    rng = random.Random(12)
+    rows = [(i, invented(rng, 40) + (" zzbad stuff" if i % 2 else ""), "s", "en", 9) for i in range(60)]
+    many = [(0, invented(rng, 30), "s", "en", 9) for _ in range(700)]
+    docs = spark.createDataFrame(rows + many, "doc_id long, text string, source string, lang string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(0, 1)], "doc_id long, label int")
+    each = one_each(docs, labels, "doc_id")
+    least = docs.where("doc_id = 0").orderBy(F.xxhash64("text")).first()
+    assert each.columns == docs.columns and each.count() == 60 and each.where("doc_id = 0").first() == least
+    once = docs.where(F.col("doc_id") > 0).unionByName(spark.createDataFrame([least], docs.schema))
+    a, b = (toxicity.trained(d.select("doc_id", "text"), labels) for d in (docs, once))
+    assert (a[0] == b[0]).all() and np.allclose(a[1], b[1])
+
+
+def test_long_texts_bound_the_automata(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "LONGEST", 1_000)
+    monkeypatch.setattr(language_id, "CHARS", 2_500)
+    rng = random.Random(13)
+    rows = [(i, invented(rng, 300, "abcde")[:600], "x") for i in range(9)] + [(50, invented(rng, 3_000, "mnopq"), "x")] + [(60 + i, invented(rng, 900 + i, "vwxyz"), "y") for i in range(3)]
+    seen = {}
+    monkeypatch.setattr(language_id, "Model", lambda samples: seen.update(samples))
+    language_id.learned(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert [len(t) for t in seen["x"]] == [len(rows[0][1])] * 4 and all(set(t) <= set("abcde ") for t in seen["x"])
+    assert seen["y"] == [rows[10][1][:1_000]]

@@ -13,7 +13,8 @@ their words, case aside, or any 13 of them in a row. Items of up to 13 tokens ar
 whose kind depends on what stands before it, if 4 literal words are left.
 
 A bitmap of fixed size (4,194,304 bits) of the benchmark's window hashes goes to all tasks, so only windows that may match
-leave a document. Null and empty texts match nothing, and so do null ids; an item of one word matches all documents
+leave a document. An item is held verbatim if all its tokens, values too, are found in order in one place, case aside (for an item of more than 13
+words that only runs of 13 words tell, this isn't said). Items of one item_id and different texts are one item. Null and empty texts match nothing, and so do null ids; an item of one word matches all documents
 that have the word. Repeated rows count once. Other columns are ignored."""
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import cut, table, trimmed
+from tidemark.llm.shared import cut, small, table, trimmed
 from tidemark.llm.textnum import encode, mix, runs, series, words
 
 WINDOW, LITERAL, RUN, BITS = 8, 4, 13, 1 << 22
@@ -174,7 +175,7 @@ def longest_run(kept) -> int:
     return best
 
 
-def held(matches, least: int) -> tuple[set[int], int, bool] | None:
+def held(matches, least: int, tokens: int = 0) -> tuple[set[int], int, bool] | None:
     """Item places of the windows and longest run of the places that hold the item, and whether one is verbatim; each place is judged alone.
 
     A match is place, item place, slots, item slots and, for a strip, its width."""
@@ -184,23 +185,28 @@ def held(matches, least: int) -> tuple[set[int], int, bool] | None:
         if not width:
             places[m[0] - m[1]].append(m)
         elif width < 0 or consistent([m])[0]:
-            at, best, verbatim = at | {m[1]}, max(best, abs(width)), verbatim or m[2] == m[3]
+            at, best, verbatim = at | {m[1]}, max(best, abs(width)), verbatim or -RUN < width < 0
     for own in places.values():
         kept, same = consistent(own)
         if (run := longest_run(kept)) >= least:
             at |= {q for _, q in kept}
-            best, verbatim = max(best, run), verbatim or same
+            best, verbatim = max(best, run), verbatim or same and run == tokens
     return (at, best, verbatim) if at else None
 
 
 def _judge(frames):
+    """Judges the matches of one place of a document and item; a row for each item place that is held."""
     for f in frames:
         rows = []
         for doc, item, n, matches in zip(f.doc_id, f.item_id, f.item_tokens, f.matches, strict=True):
-            found = held([(m["doc_at"], m["item_at"], bytes(m["doc_slots"]), bytes(m["item_slots"]), m["width"]) for m in matches], least(n))
+            found = held([(m["doc_at"], m["item_at"], bytes(m["doc_slots"]), bytes(m["item_slots"]), m["width"]) for m in matches], least(n), n)
             if found:
-                rows.append((doc, item, n, len(found[0]), *found[1:]))
-        yield pd.DataFrame(rows, columns=["doc_id", "item_id", "item_tokens", "windows", "longest_run", "verbatim"])
+                rows += [(doc, item, n, q, *found[1:]) for q in found[0]]
+        yield pd.DataFrame(rows, columns=["doc_id", "item_id", "item_tokens", "item_at", "longest_run", "verbatim"])
+
+
+#: Windows of items (some 200 bytes each) that are sent to all tasks; more are joined by shuffle.
+ITEMS_SENT = 200_000
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -212,9 +218,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     bitmap = np.packbits(np.bincount(bit, minlength=BITS).astype(bool), bitorder="little")
     docs = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     hits = docs.mapInPandas(trimmed(_hits(bitmap, widths)), "doc_id long, doc_at int, k long, doc_slots binary")
-    both = hits.join(items, "k").groupBy("doc_id", "item_id").agg(
-        F.first("item_tokens").alias("item_tokens"), F.collect_set(F.struct("doc_at", "item_at", "doc_slots", "item_slots", "width")).alias("matches"))
-    return both.mapInPandas(_judge, "doc_id long, item_id long, item_tokens int, windows int, longest_run int, verbatim boolean")
+    # a place (the matches of one diagonal) has as many rows as the item has windows at most
+    both = hits.join(small(items, ITEMS_SENT), "k").groupBy("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).agg(
+        F.max("item_tokens").alias("item_tokens"), F.collect_set(F.struct("doc_at", "item_at", "doc_slots", "item_slots", "width")).alias("matches"))
+    held_ = both.drop("diagonal").mapInPandas(_judge, "doc_id long, item_id long, item_tokens int, item_at int, longest_run int, verbatim boolean")
+    return held_.groupBy("doc_id", "item_id").agg(
+        F.max("item_tokens").alias("item_tokens"), F.count_distinct("item_at").cast("int").alias("windows"), F.max("longest_run").alias("longest_run"), F.max("verbatim").alias("verbatim"))
 
 
 def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,8 @@ PIECE characters are parsed in step as numpy vectors, first each from the root;
 ends, until both parses are in the same state, and so on until nothing changes.
 
 Learning uses a bounded sample of labelled rows: of each language the DOCS documents with the least hash of doc_id (ties by doc_id; of several texts of one doc_id that with the least hash), their whole texts; with very many languages fewer
-of each, so that all have ALL_DOCS at most. A text that is null or has no letter is `und` with score 0; so is every text if nothing could be
+of each, so that all have ALL_DOCS at most. Documents of more than LONGEST letters teach nothing where their language has shorter ones, and a document is passed over with which its language would have more
+than CHARS letters (or its part of ALL_CHARS), so that automata have bounded size; a language of longer documents only is learned from the first LONGEST letters of its shortest. A text that is null or has no letter is `und` with score 0; so is every text if nothing could be
 learned. Rows with a null doc_id and repeated rows get a prediction each, an empty table gives an empty one. doc_id, lang and source are no inputs of a prediction; other columns are ignored."""
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import crc_mod, free_name, let_go, table
 
 DOCS, ALL_DOCS, PIECE, BATCH = 24, 4_000, 512, 4_000_000
+LONGEST, CHARS, ALL_CHARS = 200_000, 600_000, 8_000_000
 #: Numbers (of four bytes) in a plain table of transitions.
 TABLE = 8_000_000
 BLANK, OTHER, PAD, FIRST = 0, 1, 2, 3
@@ -239,15 +241,20 @@ class Model:
 
 def learned(docs: DataFrame, most: int = DOCS, all_: int = ALL_DOCS) -> Model:
     """docs: doc_id, text, lang; rows without a text, lang or doc_id teach nothing."""
-    ids = docs.where("lang is not null and doc_id is not null").select("doc_id", "lang")
-    most = max(1, min(most, all_ // max(1, ids.select("lang").distinct().count())))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = ids.distinct().withColumn("rank", rank).where(F.col("rank") <= most).select(F.col("doc_id").alias("_d"), F.col("lang").alias("_l"), "rank")
-    some = docs.where("text is not null").join(F.broadcast(ids), (F.col("doc_id") == F.col("_d")) & (F.col("lang") == F.col("_l")))
-    some = some.groupBy("lang", "rank").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    docs, size = docs.select("doc_id", "text", "lang"), F.greatest(F.length("text"), F.lit(LONGEST))  # one and the same for all that may teach
+    ids = docs.where("lang is not null and doc_id is not null").groupBy("doc_id", "lang").agg(F.min(size).alias("size"))
+    languages = max(1, ids.select("lang").distinct().count())
+    most, chars = max(1, min(most, all_ // languages)), min(CHARS, ALL_CHARS // languages)
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("size", F.xxhash64("doc_id"), "doc_id"))
+    ids = ids.withColumn("rank", rank).where((F.col("rank") <= most) & ((F.col("size") <= LONGEST) | (F.col("rank") == 1))).select(F.col("doc_id").alias("_d"), F.col("lang").alias("_l"), "rank", F.col("size").alias("_s"))
+    some = docs.where("text is not null").join(F.broadcast(ids), (F.col("doc_id") == F.col("_d")) & (F.col("lang") == F.col("_l")) & (size == F.col("_s")))
+    some = some.groupBy("lang", "rank").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).withColumn("text", F.substring("text", 1, LONGEST))
     samples: dict[str, list[str]] = defaultdict(list)
+    used: dict[str, int] = defaultdict(int)
     for r in some.orderBy("lang", "rank").toLocalIterator():
-        samples[r.lang].append(r.text)
+        if not used[r.lang] or used[r.lang] + len(r.text) <= chars:
+            samples[r.lang].append(r.text)
+            used[r.lang] += len(r.text)
     return Model(samples)
 
 

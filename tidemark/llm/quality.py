@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.logistic import calibrated, fit
-from tidemark.llm.shared import as_text, crc_mod, cut, let_go, longs, table, trimmed
+from tidemark.llm.shared import as_text, crc_mod, cut, let_go, longs, one_each, table, trimmed
 from tidemark.llm.textnum import batches, words
 from tidemark.llm.toxicity import informative, labels_of
 
@@ -228,7 +228,7 @@ def trained(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, held_o
     """docs: COLUMNS. labels: doc_id, label (0 or 1); documents whose crc32(doc_id as text) mod held_out is 0 are no pool either."""
     docs = docs.select(*COLUMNS)
     given = labels.where("label is not null and doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(labelled).select(F.col("doc_id").alias("_d"), F.col("label").cast("int").alias("label"))
-    rows = cut(docs.join(F.broadcast(given), F.col("doc_id") == F.col("_d")).drop("_d").mapInPandas(
+    rows = cut(one_each(docs, given, "_d").join(F.broadcast(given), F.col("doc_id") == F.col("_d")).drop("_d").mapInPandas(
         trimmed(_studied), "doc_id long, label int, found array<long>, x binary, text string, source string, lang string, n_chars long"), "labelled")
     chosen = informative(rows.select("label", "found"), WORDS, LEAST_DOCS, LEAST_G)
     facts = rows.select("doc_id", "label", "x", "source", "lang", "n_chars").toPandas()

@@ -98,6 +98,16 @@ def keyed(docs: DataFrame, key: str, nulls: bool = False) -> tuple[DataFrame, Da
     return rows.withColumn(key, F.coalesce(names["s"], own)).drop(*names.values()), extra.select(F.col("s").alias("key"), F.col("id").alias("doc_id"))
 
 
+def one_each(docs: DataFrame, ids: DataFrame, id_: str) -> DataFrame:
+    """The rows of docs with these ids (a short table with a column `id_`), of each doc_id only the one with the least hash of its text: as many rows as ids, however often one occurs.
+
+    Ties go by the other columns. The result has the columns of docs."""
+    rows = docs.join(F.broadcast(ids.select(F.col(id_).alias("_id")).distinct()), F.col("doc_id") == F.col("_id"), "left_semi")
+    rest = [c for c in docs.columns if c != "doc_id"]
+    least = rows.groupBy("doc_id").agg(F.min_by(F.struct(*rest), F.struct(F.xxhash64("text"), *rest)).alias("_x"))
+    return least.select("doc_id", *(F.col(f"_x.{c}").alias(c) for c in rest)).select(*docs.columns)
+
+
 def doc_of(df: DataFrame, column: str, extra: DataFrame | None) -> DataFrame:
     """df with the doc_id of each key in place of the key."""
     if extra is None:

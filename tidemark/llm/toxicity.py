@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.decontamination import _PARTED, _STOP
 from tidemark.llm.logistic import fit, sigmoid
-from tidemark.llm.shared import crc_mod, cut, let_go, longs, table, trimmed
+from tidemark.llm.shared import crc_mod, cut, let_go, longs, one_each, table, trimmed
 from tidemark.llm.textnum import batches, encode, mix, runs, words
 
 SAMPLE, FEATURES, LEAST_DOCS, LEAST_G, RIDGE, COUNTERFACTUAL, POSITIVE = 8_000, 400, 4, 15.0, 0.03, 60.0, 2.0
@@ -221,7 +221,7 @@ def counterfactual_penalty(swaps, others: dict[int, list], keys: np.ndarray, par
 def trained(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, strength: float = COUNTERFACTUAL) -> tuple[np.ndarray, np.ndarray]:
     """Sorted feature hashes and their weights, the intercept last. docs: doc_id, text. labels: doc_id, label (0 or 1)."""
     chosen = labels.where("label is not null and doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(sample)
-    studied = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInPandas(trimmed(_study), STUDIED)
+    studied = one_each(docs.select("doc_id", "text"), chosen, "doc_id").join(F.broadcast(chosen), "doc_id").mapInPandas(trimmed(_study), STUDIED)
     studied = cut(studied, "studied")
     studied = studied.groupBy("key").agg(F.min_by(F.struct("label", "found", "sentences", "text"), F.struct("label", "found", "text")).alias("x")).select("key", "x.*")
     studied = cut(studied, "single")
