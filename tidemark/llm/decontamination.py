@@ -55,12 +55,12 @@ def _before(mask: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(mask, dtype=np.int64)))
 
 
-def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Canonical token hashes, kinds (0: literal) and value hashes; hashes of the words as they are, case aside."""
+def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Canonical token hashes, kinds (0: literal) and value hashes; hashes of the words as they are, case aside, and each token's first word."""
     raw = encode(text)
     start, end, h = words(raw, _PARTED)
     if not len(h):
-        return h, np.zeros(0, np.int8), h, h
+        return h, np.zeros(0, np.int8), h, h, np.zeros(0, np.int64)
     a = np.frombuffer(raw, np.uint8)
     digits, stops = _before(_DIGIT[a]), _before(_STOP[a])
     kind = np.where(digits[end] > digits[start], NUMBER, 0).astype(np.int8)
@@ -74,12 +74,13 @@ def template(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
     at = np.flatnonzero(fresh)
     value = np.add.reduceat(h, at)
     kind = kind[at]
-    return np.where(kind > 0, _SLOT[kind], value), kind, value, h
+    return np.where(kind > 0, _SLOT[kind], value), kind, value, h, at
 
 
 def windows(text: str | None):
-    """Places and hashes of the windows, canonical tokens, a function that packs the slots of a window (place in it and value), and the words."""
-    c, kind, value, raw = template(text)
+    """Places and hashes of the windows, canonical tokens, a function that packs the slots of a window (place in it and value), the words, and a function
+    that gives the word before a token (0 if none)."""
+    c, kind, value, raw, first = template(text)
     h = runs(c, WINDOW)
     literal = _before(kind == 0)
     at = np.flatnonzero(literal[WINDOW:] - literal[: len(literal) - WINDOW] >= LITERAL) if len(h) else np.zeros(0, np.int64)
@@ -88,7 +89,10 @@ def windows(text: str | None):
         k = np.flatnonzero(kind[p : p + width])
         return b"".join(bytes([j]) + value[p + j].tobytes() for j in k.tolist()) if len(k) else b""
 
-    return at, h[at], c, slots, raw
+    def before(p: int) -> int:
+        return int(raw[first[p] - 1].view(np.int64)) if first[p] else 0
+
+    return at, h[at], c, slots, raw, before
 
 
 def least(n: int) -> int:
@@ -116,11 +120,11 @@ def _items(frames):
     for f in frames:
         rows = []
         for item, text in zip(f.item_id.tolist(), f.text, strict=True):
-            at, h, c, slots, raw = windows(text)
-            rows += [(int(item), int(p), int(k), len(c), slots(p), 0) for p, k in zip(at.tolist(), h.view(np.int64).tolist(), strict=True)]
+            at, h, c, slots, raw, before = windows(text)
+            rows += [(int(item), int(p), int(k), len(c), slots(p), 0, before(p)) for p, k in zip(at.tolist(), h.view(np.int64).tolist(), strict=True)]
             for p, width in item_strips(at, c, raw, slots):
-                rows.append((int(item), p, int(strips(c, raw, width)[p].view(np.int64)), len(c), slots(p, width) if width > 0 else b"", width))
-        yield pd.DataFrame(rows, columns=["item_id", "item_at", "k", "item_tokens", "item_slots", "width"])
+                rows.append((int(item), p, int(strips(c, raw, width)[p].view(np.int64)), len(c), slots(p, width) if width > 0 else b"", width, 0))
+        yield pd.DataFrame(rows, columns=["item_id", "item_at", "k", "item_tokens", "item_slots", "width", "item_before"])
 
 
 def _hits(bitmap: np.ndarray, widths: list[int]):
@@ -132,15 +136,15 @@ def _hits(bitmap: np.ndarray, widths: list[int]):
         for f in frames:
             rows = []
             for doc, text in zip(f.doc_id.tolist(), f.text, strict=True):
-                at, h, c, slots, raw = windows(text)
-                rows += [(int(doc), int(at[x]), int(h[x].view(np.int64)), slots(at[x])) for x in known(h)]
+                at, h, c, slots, raw, before = windows(text)
+                rows += [(int(doc), int(at[x]), int(h[x].view(np.int64)), slots(at[x]), before(at[x])) for x in known(h)]
                 for width in widths:
                     h = strips(c, raw, width)
                     found = known(h)
                     if width < 0:  # words as they are have no slots: one place says all
                         found = [found[x] for x in np.unique(h[found], return_index=True)[1].tolist()] if found else []
-                    rows += [(int(doc), x, int(h[x].view(np.int64)), slots(x, width) if width > 0 else b"") for x in found]
-            yield pd.DataFrame(rows, columns=["doc_id", "doc_at", "k", "doc_slots"])
+                    rows += [(int(doc), x, int(h[x].view(np.int64)), slots(x, width) if width > 0 else b"", 0) for x in found]
+            yield pd.DataFrame(rows, columns=["doc_id", "doc_at", "k", "doc_slots", "doc_before"])
 
     return run
 
@@ -178,19 +182,22 @@ def longest_run(kept) -> int:
 def held(matches, least: int, tokens: int = 0) -> tuple[set[int], int, bool] | None:
     """Item places of the windows and longest run of the places that hold the item, and whether one is verbatim; each place is judged alone.
 
-    A match is place, item place, slots, item slots and, for a strip, its width."""
-    places = defaultdict(list)
+    A match is place, item place, slots, item slots, for a strip its width, and whether the words before are the same. An item's first token is of another kind where
+    a document has it inside a sentence; then that word is the same if it is the one before the item's second token."""
+    places, begun = defaultdict(list), set()
     at, best, verbatim = set(), 0, False
-    for *m, width in (m if len(m) == 5 else (*m, 0) for m in matches):
+    for *m, width, alike in ((*m, 0, False)[:6] if len(m) == 4 else (*m, False)[:6] for m in matches):
         if not width:
             places[m[0] - m[1]].append(m)
+            if m[1] == 1 and alike:
+                begun.add(m[0] - m[1])
         elif width < 0 or consistent([m])[0]:
             at, best, verbatim = at | {m[1]}, max(best, abs(width)), verbatim or -RUN < width < 0
-    for own in places.values():
+    for diagonal, own in places.items():
         kept, same = consistent(own)
         if (run := longest_run(kept)) >= least:
             at |= {q for _, q in kept}
-            best, verbatim = max(best, run), verbatim or same and run == tokens
+            best, verbatim = max(best, run), verbatim or same and run + (diagonal in begun and min(q for _, q in kept) > 0) >= tokens > 0
     return (at, best, verbatim) if at else None
 
 
@@ -199,7 +206,7 @@ def _judge(frames):
     for f in frames:
         rows = []
         for doc, item, n, matches in zip(f.doc_id, f.item_id, f.item_tokens, f.matches, strict=True):
-            found = held([(m["doc_at"], m["item_at"], bytes(m["doc_slots"]), bytes(m["item_slots"]), m["width"]) for m in matches], least(n), n)
+            found = held([(m["doc_at"], m["item_at"], bytes(m["doc_slots"]), bytes(m["item_slots"]), m["width"], m["alike"]) for m in matches], least(n), n)
             if found:
                 rows += [(doc, item, n, q, *found[1:]) for q in found[0]]
         yield pd.DataFrame(rows, columns=["doc_id", "item_id", "item_tokens", "item_at", "longest_run", "verbatim"])
@@ -212,15 +219,15 @@ ITEMS_SENT = 200_000
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row per document and benchmark item that it holds: doc_id, item_id, item_tokens, windows, longest_run, verbatim."""
     items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long").alias("item_id"), "text").distinct()
-    items = cut(items.mapInPandas(_items, "item_id long, item_at int, k long, item_tokens int, item_slots binary, width int"), "items")
+    items = cut(items.mapInPandas(_items, "item_id long, item_at int, k long, item_tokens int, item_slots binary, width int, item_before long"), "items")
     widths = sorted(items.where("width <> 0").select("width").distinct().toPandas().width.tolist())
     bit = items.select(F.col("k").bitwiseAND(BITS - 1).cast("int").alias("bit")).distinct().toPandas().bit.to_numpy(np.int64)
     bitmap = np.packbits(np.bincount(bit, minlength=BITS).astype(bool), bitorder="little")
     docs = docs.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    hits = docs.mapInPandas(trimmed(_hits(bitmap, widths)), "doc_id long, doc_at int, k long, doc_slots binary")
+    hits = docs.mapInPandas(trimmed(_hits(bitmap, widths)), "doc_id long, doc_at int, k long, doc_slots binary, doc_before long")
     # a place (the matches of one diagonal) has as many rows as the item has windows at most
     both = hits.join(small(items, ITEMS_SENT), "k").groupBy("doc_id", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).agg(
-        F.max("item_tokens").alias("item_tokens"), F.collect_set(F.struct("doc_at", "item_at", "doc_slots", "item_slots", "width")).alias("matches"))
+        F.max("item_tokens").alias("item_tokens"), F.collect_set(F.struct("doc_at", "item_at", "doc_slots", "item_slots", "width", (F.col("doc_before") == F.col("item_before")).alias("alike"))).alias("matches"))
     held_ = both.drop("diagonal").mapInPandas(_judge, "doc_id long, item_id long, item_tokens int, item_at int, longest_run int, verbatim boolean")
     return held_.groupBy("doc_id", "item_id").agg(
         F.max("item_tokens").alias("item_tokens"), F.count_distinct("item_at").cast("int").alias("windows"), F.max("longest_run").alias("longest_run"), F.max("verbatim").alias("verbatim"))
