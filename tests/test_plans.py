@@ -45,6 +45,16 @@ def test_fasta_first_record_and_round_trip(spark, tmp_path):
     assert rows(again, "rec_id", "seq") == rows(got, "rec_id", "seq")
 
 
+def test_fasta_writer(spark, tmp_path):
+    """Lines of 60 letters, file order, empty and null sequences and headers."""
+    made = spark.createDataFrame([(k, f"r{k}", "ACGTA" * (k % 31)) for k in range(500)] + [(500, None, None)], "k int, description string, seq string").repartition(7)
+    fasta.write_fasta(made, str(tmp_path / "out"), order=("k",))
+    lines = "".join(p.read_text() for p in sorted((tmp_path / "out").glob("part-*"))).splitlines()
+    assert max(map(len, lines)) == 60 and [x for x in lines if x.startswith(">")] == [f">r{k}" for k in range(500)] + [">"]
+    again = fasta.read_fasta(spark, str(tmp_path / "out"))
+    assert sorted((r.description, r.seq) for r in again.collect()) == sorted((r.description or "", r.seq or "") for r in made.collect())
+
+
 def test_many_files_in_few_partitions(spark, tmp_path):
     """Each file's first header loses its mark, text before it is no record, and headers that begin with > keep theirs."""
     want = []
@@ -308,6 +318,9 @@ def test_run_of_a_folder(spark, tmp_path):
     assert (got["x"].input_sequences, got["x"].cds_kept, got["x"].cds_dropped_short, got["x"].counted_records, got["TOTAL"].cds_in) == (3, 2, 1, 4, 4)
     assert got["x"].motif_detail == "k: kept 2; k: 1 variants; t: kept 2; t: 1 variants"
     assert (tmp_path / "out/x/x_k_counts_by_year_wide.csv").is_file() and (tmp_path / "out/run_summary.csv").read_text().startswith(",".join(runs.SUMMARY))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "out/x/x_aligned_nucleotides.fasta").glob("part-*")))
+    assert text == ">a|2020-01-02 [cds_aa=4] [frame +1]\nATGAAAACAGCA\n>b|2020-02 [cds_aa=4] [frame +1]\nATGAAAACAGCA\n"
+    assert "".join(p.read_text() for p in sorted((tmp_path / "out/x/x_t_motif_proteins.fasta").glob("part-*"))).splitlines()[1::2] == ["TA", "TA"]
     table = (tmp_path / "out/integrated_k_counts_by_year_wide.csv").read_text().splitlines()
     assert table == ["Motif Nucleotide,Motif Peptide,before 2020,2020,2021,unknown,Count", "AAAACA,KT,0,2,1,0,3"]
     assert cli.main(["run", "--input-dir", top, "--output-dir", out, "--dataset", "y", "--monthly"], spark) == 0 and (tmp_path / "out/y/.msa_complete").is_file()

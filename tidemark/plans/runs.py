@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import sequences
+from tidemark.functions import sequences, texts
 from tidemark.operators import align, coding, counts, motif, profile
 from tidemark.plans import pipeline
 from tidemark.plans.catalogue import MARKER
@@ -26,6 +26,7 @@ SUMMARY = (
 ).split()
 TEXTS = frozenset("dataset status detected protein_ref motif_ref motifs motif_detail error".split())
 STORE = "variant_counts"
+FRAGMENTS = "motif_fragments"
 
 
 @dataclass
@@ -58,6 +59,12 @@ def stored(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def _as_fasta(rows: DataFrame, prefix: str, columns: dict[str, str]) -> None:
+    """Folders PREFIX_KIND.fasta of a stored table's columns, in the order of its records."""
+    for kind, column in columns.items():
+        fasta.write_fasta(rows, f"{prefix}_{kind}.fasta", column, pipeline.ORDER)
+
+
 def _coding(records: DataFrame, c: Config, facts: pipeline.Facts, o: Options, out: str, stats: dict) -> DataFrame:
     """The raw sequences' peptides and nucleotides."""
     watched, n = seen(records)
@@ -67,7 +74,15 @@ def _coding(records: DataFrame, c: Config, facts: pipeline.Facts, o: Options, ou
         return rows
     least = coding.least_length(len(c.protein), o.orf_share, o.orf_least)
     genome = profile.is_genome(facts.median_len, len(c.protein))
-    rows = stored(coding.extract_orfs(watched, c.protein, least) if genome else coding.translate_cds(watched, least), f"{out}/coding")
+    if genome:
+        made = coding.extract_orfs(watched, c.protein, least)
+        note = texts.annotation("orf", F.length("aa"), F.col("frame"), F.col("score"))
+    else:
+        made = coding.translate_cds(watched, least)
+        note = texts.annotation("cds", F.length("aa"), F.col("frame"))
+    rows = stored(made.withColumn("description", F.concat_ws(" ", F.expr("nullif(description, '')"), note)), f"{out}/coding")
+    if genome:
+        _as_fasta(rows, f"{out}/{stats['dataset']}_orf", {"proteins": "aa", "nucleotides": "nt"})
     total, kept = n.get["n"], rows.count()
     stats |= {"input_sequences": total, **({"orf_in": total, "orf_kept": kept, "orf_dropped_no_orf": total - kept} if genome else {"cds_in": total, "cds_kept": kept, "cds_dropped_short": total - kept})}
     return rows
@@ -91,7 +106,7 @@ def process(spark: SparkSession, path: str, dataset: str, c: Config, out: str, o
         made = _coding(records, c, facts, o, out, stats)
         rows = stored(align.align_to_reference(made, c.protein, nt="nt" if nucleotide else None), f"{out}/aligned")
         stats |= {"hmm_dropped_long": made.where(F.length("aa") > align.longest_query(len(c.protein))).count(), "aligned": rows.count()}
-        fasta.write_fasta(rows, f"{out}/{dataset}_aligned_proteins.fasta", "aln_aa")
+        _as_fasta(rows, f"{out}/{dataset}_aligned", {"proteins": "aln_aa"} | ({"nucleotides": "aln_nt"} if nucleotide else {}))
     width = motif.codon_width(facts.median_len) if c.motifs and facts.aligned and nucleotide else facts.median_len if facts.aligned else len(c.protein)
     text = functools.cache(lambda: motif.consensus(rows, width, "aln_nt" if facts.aligned and nucleotide else "aln_aa", F.struct(*pipeline.ORDER), coding=facts.aligned and nucleotide))
     whole, details = None, []
@@ -101,7 +116,9 @@ def process(spark: SparkSession, path: str, dataset: str, c: Config, out: str, o
         else:
             found = _motif(rows, m, c, facts, o, text)
             found, n = seen(found, kept=F.col("dropped").isNull(), ambiguous=F.col("dropped") == "ambiguous", nt=F.col("dropped") == "nt")
-        long = stored(counts.count_variants(motif.kept(found) if m else found).select(F.lit(infix).alias("infix"), F.lit(tag or "whole").alias("motif_tag"), "nt", "aa", "year", "month", "n"), f"{out}/{STORE}/count={prefix}")
+            found = stored(motif.kept(found).select(*pipeline.ORDER, "description", "nt", "aa", "year", "month"), f"{out}/{FRAGMENTS}/count={prefix}")
+            _as_fasta(found, f"{out}/{prefix}", {"proteins": "aa"} | ({"nucleotides": "nt"} if nucleotide else {}))
+        long = stored(counts.count_variants(found).select(F.lit(infix).alias("infix"), F.lit(tag or "whole").alias("motif_tag"), "nt", "aa", "year", "month", "n"), f"{out}/{STORE}/count={prefix}")
         total, variants, unknown = long.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct(F.struct("nt", "aa")), F.coalesce(F.sum(F.when(F.col("year").isNull(), F.col("n"))), F.lit(0))).first()
         if not total:
             raise ValueError("nothing to count: no record came through" + (f" for motif {tag}" if tag else ""))

@@ -367,6 +367,34 @@ def run_summary(spark, sf_dir):
     return table.select("dataset", "status", "input_sequences", "cds_in", "cds_kept", "cds_dropped_short", "aligned", "motif_kept", "counted_records", "unique_variants", "unknown_date")
 
 
+WRITTEN_GENE = f"concat(substr('{CODONS}', 1, 14), CASE WHEN doc_id % 2 = 0 THEN 'T' ELSE 'C' END, substr('{CODONS}', 16))"
+WRITTEN_SQL = f"(SELECT concat('r', doc_id, '|', 2018 + doc_id % 4, '-0', 1 + doc_id % 9) AS d, 1 + doc_id % 3 AS frame, {WRITTEN_GENE} AS g FROM documents)"
+
+
+def written_sql() -> str:
+    """The records of each file that a run over a folder of genomes and one of genes writes."""
+    notes = {"genomes": "concat(d, ' [orf_aa=34] [frame +', frame, '] [kmer_score=1.00]')", "genes": "concat(d, ' [cds_aa=34] [frame +1]')"}
+    out = []
+    for dataset, note in notes.items():
+        for step, aa, nt in (("orf", REFERENCE, "g"), ("aligned", REFERENCE, "g"), ("motif", REFERENCE[3:9], "substr(g, 10, 18)")):
+            if (dataset, step) != ("genes", "orf"):
+                out += [f"SELECT '{dataset}_{step}_proteins.fasta' AS file, {note} AS description, '{aa}' AS seq FROM {WRITTEN_SQL}", f"SELECT '{dataset}_{step}_nucleotides.fasta', {note}, {nt} FROM {WRITTEN_SQL}"]
+    return " UNION ALL ".join(out)
+
+
+@query(written_sql())
+def written_fasta(spark, sf_dir):
+    """The FASTA files that runs write, read back: coding regions, alignments and motif fragments, with what was found in each header."""
+    d = coding_documents(spark, sf_dir).withColumn("gene", F.expr(WRITTEN_GENE))
+    genome = F.concat(F.repeat(F.lit("C"), (F.col("doc_id") % 3).cast("int")), F.lit("TAA"), "gene", F.lit("TAA"), "nt")
+    head = F.expr("concat('r', doc_id, '|', 2018 + doc_id % 4, '-0', 1 + doc_id % 9)")
+    each = [d.select(F.lit(f"{name}.fasta").alias("path"), F.col("doc_id").alias("place"), head.alias("description"), seq.alias("seq")) for name, seq in (("genomes", genome), ("genes", F.col("gene")))]
+    top = as_files(each[0].unionByName(each[1]), folder(spark, "input"))
+    runs.run(spark, top, f"{top}-output", runs.Options(), config_text=f">protein_reference\n{REFERENCE}\n>motif_reference\n{REFERENCE[3:9]}\n")
+    made = [f"{top}-output/{name}/{f}" for name in ("genomes", "genes") for f in files.folders(spark, f"{top}-output/{name}") if f.endswith(".fasta")]
+    return fasta.read_fasta(spark, made).select(F.element_at(F.split("file_path", "/"), -2).alias("file"), "description", "seq")
+
+
 @query("SELECT 'FAILED' AS status, 'nothing to count: no record came through for motif m' AS error")
 def nothing_to_count(spark, sf_dir):
     """A run of which no fragment is left is an error."""

@@ -19,6 +19,8 @@ from tidemark.sources import files
 
 EXTENSIONS = ("fasta", "fa", "fna", "faa", "fas")
 _REST = 2147483647
+#: Letters of a written line.
+LINE = 60
 
 
 def name_filter() -> str:
@@ -111,6 +113,12 @@ def single_sequence(spark: SparkSession, path: str) -> str | None:
     return row.seq or None
 
 
-def write_fasta(records: DataFrame, path: str, seq: str = "seq") -> None:
-    """One record a row, as text files."""
-    records.select(F.concat(F.lit(">"), "description", F.lit("\n"), seq).alias("value")).write.mode("overwrite").text(path)
+def write_fasta(records: DataFrame, path: str, seq: str = "seq", order: tuple[str, ...] = ()) -> None:
+    """One record a row, lines of 60 letters; a folder of text files. With an order the files, read by name, hold the records in it.
+
+    A null description or sequence is written as an empty one; a sequence of none has only its header."""
+    if order:
+        records = records.select("description", seq, *(c for c in order if c != seq)).orderBy(*order)
+    lines = F.regexp_replace(F.coalesce(F.col(seq), F.lit("")), f"(.{{{LINE}}})(?=.)", "$1\n")
+    text = F.concat(F.lit(">"), F.coalesce("description", F.lit("")), F.when(lines != "", F.concat(F.lit("\n"), lines)).otherwise(""))
+    records.select(text.alias("value")).write.mode("overwrite").text(path)
