@@ -327,3 +327,43 @@ def test_run_of_a_folder(spark, tmp_path):
     assert "2020-01" in (tmp_path / "out/integrated_k_counts_by_month_wide.csv").read_text()
     assert cli.main(["run", "--input-dir", top, "--output-dir", out, "--dataset", "nope"], spark) == 1
     assert runs.names("d", ["motif"], True) == [("motif", "", "d_motif", "d_counts_by_month_wide.csv")] and runs.names("d", [], False)[0][3] == "d_counts_by_year_wide.csv"
+
+
+def test_integration_reads_what_changed(spark, tmp_path, monkeypatch):
+    """Unchanged datasets aren't read, a stopped run is made good, motifs and datasets that are gone leave the sums."""
+    from tidemark.plans import integration, runs
+    from tidemark.sources import files
+
+    top = str(tmp_path)
+
+    def give(dataset, *found):
+        spark.createDataFrame([(i, i[1:], "K", y, None, n) for i, y, n in found], integration.COUNTED).write.mode("overwrite").parquet(f"{top}/{dataset}/{integration.STORE}/count=x")
+
+    def held():
+        return sorted(((r.infix, r.year, r.n) for r in integration.sums(spark, top).collect()), key=str)
+
+    assert integration.update(spark, top) == [] and held() == []
+    give("a", ("_p", 2020, 3), ("_q", None, 1))
+    give("b", ("_p", 2020, 2))
+    assert len(runs.integrate(spark, top, runs.Options())) == 2 and held() == [("_p", 2020, 5), ("_q", None, 1)]
+    assert runs.integrate(spark, top, runs.Options()) == []
+    for p in (tmp_path / "a").rglob("*.parquet"):
+        p.write_bytes(bytes(p.stat().st_size))  # whoever reads it fails
+    for p in (tmp_path / "a").rglob(".*.crc"):
+        p.unlink()
+    give("b", ("_p", 2021, 7))
+    give("c", ("_r", 2020, 1))
+    real = files.write_text
+    monkeypatch.setattr(files, "write_text", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+    with pytest.raises(OSError):
+        integration.update(spark, top, {"monthly": False, "start_year": None})
+    monkeypatch.setattr(files, "write_text", real)
+    assert held() == [("_p", 2020, 5), ("_q", None, 1)]
+    assert integration.update(spark, top, {"monthly": False, "start_year": None}) == ["_p", "_r"]
+    assert held() == [("_p", 2020, 3), ("_p", 2021, 7), ("_q", None, 1), ("_r", 2020, 1)]
+    made = runs.integrate(spark, top, runs.Options())  # tables of the update whose run ended before them
+    assert [p.rsplit("/", 1)[-1] for p in made] == ["integrated_p_counts_by_year_wide.csv", "integrated_r_counts_by_year_wide.csv"]
+    assert (tmp_path / "integrated_p_counts_by_year_wide.csv").read_text().splitlines()[1] == "p,K,0,3,7,0,10"
+    files.delete(spark, f"{top}/c")
+    assert runs.integrate(spark, top, runs.Options()) == [] and not (tmp_path / "integrated_r_counts_by_year_wide.csv").exists()
+    assert len(list((tmp_path / "_integration").glob("sums-*"))) == 1 and len(list((tmp_path / "_integration/parts").iterdir())) == 2

@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import sequences, texts
 from tidemark.operators import align, coding, counts, motif, profile
-from tidemark.plans import pipeline
+from tidemark.plans import integration, pipeline
 from tidemark.plans.catalogue import MARKER
+from tidemark.plans.integration import STORE
 from tidemark.sources import config as configs
 from tidemark.sources import fasta, files
 from tidemark.sources.config import Config
@@ -25,7 +26,6 @@ SUMMARY = (
     "hmm_dropped_long aligned motif_kept motif_dropped_ambig motif_dropped_nt counted_records unique_variants unknown_date motif_detail error"
 ).split()
 TEXTS = frozenset("dataset status detected protein_ref motif_ref motifs motif_detail error".split())
-STORE = "variant_counts"
 FRAGMENTS = "motif_fragments"
 
 
@@ -130,6 +130,10 @@ def process(spark: SparkSession, path: str, dataset: str, c: Config, out: str, o
             details += [f"{tag}: kept {n.get['kept']:,}", f"{tag}: {variants:,} variants"]
         files.write_csv(counts.rename_keys(counts.most_counted(counts.wide_counts(long, o.monthly, o.start_year))), f"{out}/{table}")
         whole = long if whole is None else whole.unionByName(long)
+    made = {f"count={prefix}" for _, _, prefix, _ in names(dataset, [m.tag for m in c.motifs], o.monthly)}
+    for store in (STORE, FRAGMENTS):
+        for old in set(files.folders(spark, f"{out}/{store}")) - made:  # of motifs that the configuration no longer has
+            files.delete(spark, f"{out}/{store}/{old}")
     stats["motif_detail"] = "; ".join(details)
     return stats, whole
 
@@ -158,17 +162,17 @@ def summary(spark: SparkSession, stats: list[dict]) -> DataFrame:
 
 
 def integrate(spark: SparkSession, output: str, o: Options) -> list[str]:
-    """One table per motif over all datasets of an output folder, also of earlier runs; their paths."""
-    found = [f"{output}/{d}/{STORE}" for d in files.folders(spark, output) if files.exists(spark, f"{output}/{d}/{STORE}")]
-    if not found:
-        return []
-    long = spark.read.parquet(*[f"{f}/*" for f in found])
+    """One table per motif over all datasets of an output folder, also of earlier runs; the paths of those that had to be made again."""
     out = []
-    for infix in [r.infix for r in long.select("infix").distinct().orderBy("infix").toLocalIterator()]:
-        summed = counts.integrate([long.where(F.col("infix") == infix)])
+    for infix in integration.update(spark, output, {"monthly": o.monthly, "start_year": o.start_year}):
+        summed = integration.sums(spark, output).where(F.col("infix") == infix).drop("infix")
         path = f"{output}/integrated{infix}_counts_by_{'month' if o.monthly else 'year'}_wide.csv"
+        if summed.isEmpty():  # no dataset has the motif any more
+            files.delete(spark, path)
+            continue
         files.write_csv(counts.rename_keys(counts.most_counted(counts.wide_counts(summed, o.monthly, o.start_year))), path)
         out.append(path)
+    integration.finish(spark, output)
     return out
 
 

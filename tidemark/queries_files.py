@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dates, sequences, texts
 from tidemark.operators import align, coding, counts, motif, profile
-from tidemark.plans import catalogue, grouping, inventory, runs, schedule, taskplan, training
-from tidemark.queries import LINES_SQL, NT_SQL, YEARLY, coding_documents, lines, orders, plain, query, t, translate_sql
+from tidemark.plans import catalogue, grouping, integration, inventory, runs, schedule, taskplan, training
+from tidemark.queries import LINES_SQL, NT_SQL, ORDERS_SQL, YEARLY, coding_documents, lines, orders, plain, query, t, translate_sql
 from tidemark.session import shared_folder
 from tidemark.sources import config, fasta, files, tables
 
@@ -395,6 +395,26 @@ def written_fasta(spark, sf_dir):
     return fasta.read_fasta(spark, made).select(F.element_at(F.split("file_path", "/"), -2).alias("file"), "description", "seq")
 
 
+@query(f"SELECT infix, nt, aa, year, month, CAST(sum(n) AS BIGINT) AS n FROM (SELECT '_' || nt AS infix, nt, aa, year, month, n FROM ({ORDERS_SQL}) UNION ALL SELECT '_' || nt, nt, aa, year, month, n FROM ({LINES_SQL}) WHERE nt <> 'R') GROUP BY ALL")
+def integrated_datasets(spark, sf_dir):
+    """Sums over datasets kept up to date in three steps: two datasets, then one changed and one added, then one gone."""
+    top = folder(spark, "output")
+
+    def give(dataset: str, rows: DataFrame) -> None:
+        long = counts.count_variants(rows).select(F.concat(F.lit("_"), "nt").alias("infix"), F.lit("m").alias("motif_tag"), "nt", "aa", "year", "month", "n")
+        long.write.mode("overwrite").parquet(f"{top}/{dataset}/{integration.STORE}/count={dataset}")
+
+    give("a", orders(spark, sf_dir).where("nt <> 'P'"))
+    give("gone", lines(spark, sf_dir))
+    integration.update(spark, top)
+    give("a", orders(spark, sf_dir))
+    give("b", lines(spark, sf_dir).where("nt <> 'R'"))
+    integration.update(spark, top)
+    files.delete(spark, f"{top}/gone")
+    integration.update(spark, top)
+    return integration.sums(spark, top)
+
+
 @query("SELECT 'FAILED' AS status, 'nothing to count: no record came through for motif m' AS error")
 def nothing_to_count(spark, sf_dir):
     """A run of which no fragment is left is an error."""
