@@ -367,3 +367,47 @@ def test_integration_reads_what_changed(spark, tmp_path, monkeypatch):
     files.delete(spark, f"{top}/c")
     assert runs.integrate(spark, top, runs.Options()) == [] and not (tmp_path / "integrated_r_counts_by_year_wide.csv").exists()
     assert len(list((tmp_path / "_integration").glob("sums-*"))) == 1 and len(list((tmp_path / "_integration/parts").iterdir())) == 2
+
+
+def test_stream_of_files(spark, tmp_path):
+    """Each file is counted once; a batch that is run again after it was compacted doesn't count twice; a compaction that is stopped changes nothing."""
+    from tidemark.plans import pipeline
+    from tidemark.sources import files
+
+    inbox, out, state = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "state")
+    (tmp_path / "in/deep").mkdir(parents=True)
+
+    def to_fragments(records):
+        return pipeline.dated(records).select(F.col("seq").alias("nt"), F.lit("").alias("aa"), "year", "month")
+
+    def count(**k):
+        return rows(incremental.count_folder(spark, inbox, to_fragments, out, state, **k), "nt", "year", "n")
+
+    def give(name, *records):
+        (tmp_path / "made.tmp").write_text("".join(f">r|{y}-01\n{s}\n" for s, y in records))
+        (tmp_path / "made.tmp").rename(tmp_path / "in" / name)
+
+    assert count() == []
+    give("a.fa", ("AC", 2020), ("AC", 2020), ("GT", 2021))
+    give("notes.txt", ("AC", 2020))
+    assert count() == [("AC", 2020, 2), ("GT", 2021, 1)] == count()
+    give("deep/a.FASTA", ("AC", 2020))
+    assert count(beyond=0) == [("AC", 2020, 3), ("GT", 2021, 1)] and not list((tmp_path / "out").glob("batch=*"))
+    give("b.fa", ("T", 2020))
+    assert count(beyond=0) == [("AC", 2020, 3), ("GT", 2021, 1), ("T", 2020, 1)]
+    last = max((tmp_path / "state/commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    for p in (last, last.with_name(f".{last.name}.crc")):
+        p.unlink(missing_ok=True)
+    assert count(beyond=9) == [("AC", 2020, 3), ("GT", 2021, 1), ("T", 2020, 1)]  # the last batch was run again
+    give("c.fa", ("T", 2020))
+    assert count(beyond=9)[-1] == ("T", 2020, 2) and len(list((tmp_path / "out").glob("batch=*"))) == 1
+    real = files._replace
+    files._replace = lambda *a: (_ for _ in ()).throw(OSError("stopped"))
+    try:
+        with pytest.raises(OSError):
+            incremental.compact(spark, out)
+    finally:
+        files._replace = real
+    assert rows(incremental.read_stream_counts(spark, out), "nt", "n") == [("AC", 3), ("GT", 1), ("T", 2)]
+    assert incremental.compact(spark, out) and not incremental.compact(spark, out)
+    assert rows(incremental.read_stream_counts(spark, out), "nt", "n") == [("AC", 3), ("GT", 1), ("T", 2)]

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dates, sequences, texts
 from tidemark.operators import align, coding, counts, motif, profile
-from tidemark.plans import catalogue, grouping, integration, inventory, runs, schedule, taskplan, training
+from tidemark.plans import catalogue, grouping, integration, inventory, pipeline, runs, schedule, taskplan, training
 from tidemark.queries import LINES_SQL, NT_SQL, ORDERS_SQL, YEARLY, coding_documents, lines, orders, plain, query, t, translate_sql
 from tidemark.session import shared_folder
 from tidemark.sources import config, fasta, files, tables
+from tidemark.streaming import incremental
 
 
 def folder(spark, name: str) -> str:
@@ -415,6 +416,22 @@ def integrated_datasets(spark, sf_dir):
     return integration.sums(spark, top)
 
 
+@query(f"SELECT nt, aa, CAST(year AS INT) AS year, CAST(month AS INT) AS month, count(*) AS n FROM (SELECT nt, {translate_sql('nt')} AS aa, 2018 + doc_id % 4 AS year, 1 + doc_id % 9 AS month FROM (SELECT doc_id, substr({NT_SQL}, 1, 6) AS nt FROM documents)) GROUP BY ALL")
+def fasta_stream(spark, sf_dir):
+    """A folder of FASTA files that grows in three steps, each counted as it comes and compacted."""
+    top, d = folder(spark, "incoming"), coding_documents(spark, sf_dir)
+    head = F.expr("concat('r', doc_id, '|', 2018 + doc_id % 4, '-0', 1 + doc_id % 9)")
+    rows = d.select(F.concat(F.lit("s"), F.col("doc_id") % 20, F.lit(".Fa")).alias("path"), F.col("doc_id").alias("place"), head.alias("description"), F.col("nt").alias("seq"))
+
+    def to_fragments(records: DataFrame) -> DataFrame:
+        return pipeline.dated(records).withColumn("nt", F.substring("seq", 1, 6)).withColumn("aa", sequences.translate("nt"))
+
+    for step in range(3):
+        as_files(rows.where(F.col("place") % 3 == step), f"{top}/step{step}")
+        found = incremental.count_folder(spark, top, to_fragments, f"{top}-counts", f"{top}-state", files_per_batch=7, beyond=1)
+    return found
+
+
 @query("SELECT 'FAILED' AS status, 'nothing to count: no record came through for motif m' AS error")
 def nothing_to_count(spark, sf_dir):
     """A run of which no fragment is left is an error."""

@@ -58,7 +58,18 @@ def read_fasta(spark: SparkSession, path: str | list[str], recursive: bool = Fal
     reader = spark.read.option("lineSep", "\n>")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", name_filter())
-    raw = reader.text(path).select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"))
+    return _parsed(reader.text(path), encoding)
+
+
+def stream_fasta(spark: SparkSession, folder: str, files_per_batch: int = 1000, encoding: str = "ISO-8859-1") -> DataFrame:
+    """The same records as a stream of the FASTA files below a folder, each file once. A file must be put into the folder whole (by a rename)."""
+    reader = spark.readStream.option("lineSep", "\n>").option("recursiveFileLookup", "true").option("pathGlobFilter", name_filter())
+    return _parsed(reader.option("maxFilesPerTrigger", files_per_batch).text(folder), encoding)
+
+
+def _parsed(lines: DataFrame, encoding: str) -> DataFrame:
+    """The records of what was read between record starts."""
+    raw = lines.select("value", F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_block_start").alias("block"))
     raw = raw.withColumn("number", _number.asNondeterministic()(F.xxhash64("file_path", "block")))
     text = F.col("value") if encoding.upper().replace("-", "") == "UTF8" else F.decode(F.col("value").cast("binary"), encoding)
     first = (F.col("block") == 0) & (F.col("number") == 0)
