@@ -1,11 +1,12 @@
 import json
+import random
 
 from pyspark.sql import functions as F
 
 from tidemark.functions import sequences
 from tidemark.operators import counts
-from tidemark.plans import grouping, pipeline, registry, routing, schedule
-from tidemark.sources import config, fasta, tables
+from tidemark.plans import catalogue, grouping, pipeline, registry, routing, runs, schedule
+from tidemark.sources import config, fasta, files, ordered, tables
 from tidemark.streaming import incremental
 
 import pytest
@@ -185,12 +186,36 @@ def test_sinks(spark, tmp_path):
     tables.write_counts(long, str(tmp_path / "long"))
     assert rows(tables.read_counts(spark, str(tmp_path / "long"), "g", "m"), "nt", "n") == [("AAA", 3)]
     wide = counts.rename_keys(counts.most_counted(counts.wide_counts(long, start=2020)))
-    tables.write_csv(wide, str(tmp_path / "wide"))
-    back = tables.read_wide_counts(spark, str(tmp_path / "wide"))
+    files.write_csv(wide, str(tmp_path / "wide.csv"))
+    back = tables.read_wide_counts(spark, str(tmp_path / "wide.csv"))
     keys = [tables.NT, tables.AA]
     assert rows(counts.from_wide(back, keys), *keys, "bin", "n") == [("", "P", "unknown", 1), ("AAA", "K", "2020", 3)]
-    tables.write_training(long.withColumn("benchmark", F.lit("b")), str(tmp_path / "train"))
-    assert (tmp_path / "train/benchmark=b").is_dir()
+
+
+@pytest.mark.parametrize("whole", [1000, 40])
+def test_many_ordered_tables(spark, tmp_path, whole, request):
+    """Tables with other columns each, written in one job: in order, a table beyond the bound as numbered parts whose lines are the table; a second run puts all in place again."""
+    rng = random.Random(5)
+    rows = [("big", f"A{k:03}", 'K,"' if k == 7 else "K", str(2000 + y), rng.randrange(1, 9)) for k in range(300) for y in range(3)] + [("small", "", "P", "unknown", 2), ("small", "A", "", "2001", 2)]
+    long = spark.createDataFrame(rows, "table string, nt string, aa string, bin string, n long")
+    made = {"big": ordered.Table(["2000", "2001", "2002"], ["x.csv", "y z.csv"]), "small": ordered.Table(["2001", "unknown"], ["s_counts_by_year_wide.csv"], total=False), "none": ordered.Table(["unknown"], ["n.csv"])}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one range
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled"))
+    for _ in range(2):
+        assert len(ordered.write_wide(long, made, str(tmp_path), whole)) == 4
+        assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["n.csv", "s_counts_by_year_wide.csv", "x.csv", "y z.csv"]
+        text = {p.name: "".join(q.read_text() for q in (sorted(p.glob("part-*")) if p.is_dir() else [p])) for p in tmp_path.iterdir() if not p.name.startswith(".")}
+        counted = {k: [n for t, nt, _, _, n in rows if t == "big" and nt == k] for k in {r[1] for r in rows if r[0] == "big"}}
+        expected = sorted(counted, key=lambda k: (-sum(counted[k]), k))
+        lines = [f"{k},{chr(34) + 'K,' + chr(92) + chr(34) + chr(34) if k == 'A007' else 'K'},{','.join(map(str, counted[k]))},{sum(counted[k])}" for k in expected]
+        assert text["x.csv"].splitlines() == text["y z.csv"].splitlines() == ["Motif Nucleotide,Motif Peptide,2000,2001,2002,Count", *lines]
+        assert text["s_counts_by_year_wide.csv"].splitlines() == ["Motif Nucleotide,Motif Peptide,2001,unknown", ",P,0,2", "A,,2,0"]
+        assert text["n.csv"].splitlines() == ["Motif Nucleotide,Motif Peptide,unknown,Count"]
+        assert (tmp_path / "x.csv").is_dir() == (whole < 300) and (tmp_path / "s_counts_by_year_wide.csv").is_file()
+    if whole < 300:
+        (tmp_path / "x.csv").rename(tmp_path / "x_counts_by_year_wide.csv")
+        back = tables.read_wide_tables(spark, [str(tmp_path / "x_counts_by_year_wide.csv")]).where("nt <> 'A007'")
+        assert sorted((r.nt, r.bin, r.n) for r in back.collect()) == sorted((nt, y, n) for t, nt, _, y, n in rows if t == "big" and nt != "A007")
 
 
 def test_stream_adds_up(spark, tmp_path):
@@ -411,3 +436,39 @@ def test_stream_of_files(spark, tmp_path):
     assert rows(incremental.read_stream_counts(spark, out), "nt", "n") == [("AC", 3), ("GT", 1), ("T", 2)]
     assert incremental.compact(spark, out) and not incremental.compact(spark, out)
     assert rows(incremental.read_stream_counts(spark, out), "nt", "n") == [("AC", 3), ("GT", 1), ("T", 2)]
+
+
+def test_a_stopped_run_leaves_the_former_folder(spark, tmp_path, monkeypatch):
+    """A dataset's folder is replaced whole: a failing or stopped run, at any step, leaves the former one readable, and the next run clears what was left."""
+    c, o, out = config.parse(">motif_reference\nMK\n"), runs.Options(start_year=2019), str(tmp_path / "g/x")
+    source, broken = tmp_path / "x.fa", tmp_path / "y.fa"
+    source.write_text(">a|2020-01\nATGAAAACAGCA\n>b|2020-01\nATGAAAACAG--\n")
+    broken.write_text(">a|2020-01\n---AAAACAGCA\n>b|2020-01\n---AAAACAG--\n")
+
+    def held():
+        files.recover(spark, out)
+        listed = {p for p, _ in files.walk(spark, out) if "/." not in p and not p.startswith(".")}
+        return listed, [r.path for r in catalogue.listing(spark, str(tmp_path)).where("path like 'g/%csv'").collect()]
+
+    first = runs.process(spark, str(source), "x", c, out, o)
+    assert first[0]["counted_records"] == 2 and rows(first[1], "nt", "aa", "n") == [("ATGAAA", "MK", 2)] and [p.name for p in (tmp_path / "g").iterdir()] == ["x"]
+    before = held()
+    with pytest.raises(ValueError):
+        runs.process(spark, str(broken), "x", c, out, o)
+    assert held() == before and [p.name for p in (tmp_path / "g").iterdir()] == ["x"]
+    stop = lambda *a: (_ for _ in ()).throw(OSError("stopped"))
+    for step in ("publish", "discard"):
+        with monkeypatch.context() as m:
+            m.setattr(files, "publish", stop)
+            if step == "discard":
+                m.setattr(files, "discard", stop)
+            with pytest.raises(OSError):
+                runs.process(spark, str(source), "x", c, out, o)
+        assert held() == before
+    assert list((tmp_path / "g/_making").iterdir())
+    (tmp_path / "g/_former").mkdir()
+    (tmp_path / "g/x").rename(tmp_path / "g/_former/x")  # stopped between the two steps
+    assert held() == before and not (tmp_path / "g/_former").exists()
+    runs.process(spark, str(source), "x", c, out, o)
+    after = held()
+    assert after[0] != before[0] and after[1] == before[1] and [p.name for p in (tmp_path / "g").iterdir()] == ["x"]

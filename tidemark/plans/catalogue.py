@@ -33,7 +33,9 @@ def probe(listed: DataFrame) -> DataFrame:
 
 
 def listing(spark: SparkSession, root: str) -> DataFrame:
-    return spark.createDataFrame(files.walk(spark, root), "path string, size_bytes long")
+    """Files below a folder of alignments; folders and chunks that are still being made, or being replaced, are none."""
+    found = [(p, n) for p, n in files.walk(spark, root) if not any(x.startswith("_") for x in p.split("/")[:2])]
+    return spark.createDataFrame(found, "path string, size_bytes long")
 
 
 def manifest(group_id: Column, ref_hash: Column, ref_len: Column, config_path: Column, motif_tags: Column, source: Column) -> Column:

@@ -10,14 +10,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidemark.functions import sequences, texts
+from tidemark.functions import dates, sequences, texts
 from tidemark.operators import align, coding, counts, motif, profile
 from tidemark.plans import integration, pipeline
 from tidemark.plans.catalogue import MARKER
 from tidemark.plans.integration import STORE
 from tidemark.sources import config as configs
-from tidemark.sources import fasta, files
+from tidemark.sources import fasta, files, ordered
 from tidemark.sources.config import Config
 
 #: Fixed columns of a run's summary; text ones, all others are numbers.
@@ -89,7 +90,20 @@ def _coding(records: DataFrame, c: Config, facts: pipeline.Facts, o: Options, ou
 
 
 def process(spark: SparkSession, path: str, dataset: str, c: Config, out: str, o: Options) -> tuple[dict, DataFrame]:
-    """The stage counters of one file, and its long counts (infix, motif_tag, nt, aa, year, month, n); writes its tables to `out`. An error if nothing is left to count."""
+    """The stage counters of one file, and its long counts (infix, motif_tag, nt, aa, year, month, n); writes its tables to `out`. An error if nothing is left to count.
+
+    The folder is made beside `out` and takes its place when all is in it: a run that fails or is stopped leaves what was there before, whole."""
+    files.recover(spark, out)
+    made = files.making(spark, out)
+    try:
+        stats, schema = _process(spark, path, dataset, c, made, o)
+        files.publish(spark, made, out)
+    finally:
+        files.discard(spark, made)
+    return stats, spark.read.schema(schema).parquet(f"{out}/{STORE}/*")
+
+
+def _process(spark: SparkSession, path: str, dataset: str, c: Config, out: str, o: Options) -> tuple[dict, StructType]:
     stats: dict = {"dataset": dataset, "protein_ref": "yes" if c.protein else "no", "motif_ref": "yes" if c.motifs else "no", "motifs": ";".join(m.tag for m in c.motifs)}
     records = pipeline.dated(fasta.read_fasta(spark, path))
     facts = pipeline.detect(records)
@@ -109,7 +123,7 @@ def process(spark: SparkSession, path: str, dataset: str, c: Config, out: str, o
         _as_fasta(rows, f"{out}/{dataset}_aligned", {"proteins": "aln_aa"} | ({"nucleotides": "aln_nt"} if nucleotide else {}))
     width = motif.codon_width(facts.median_len) if c.motifs and facts.aligned and nucleotide else facts.median_len if facts.aligned else len(c.protein)
     text = functools.cache(lambda: motif.consensus(rows, width, "aln_nt" if facts.aligned and nucleotide else "aln_aa", F.struct(*pipeline.ORDER), coding=facts.aligned and nucleotide))
-    whole, details = None, []
+    details = []
     for (tag, infix, prefix, table), m in zip(names(dataset, [m.tag for m in c.motifs], o.monthly), c.motifs or [None], strict=True):
         if m is None:
             found = _whole(rows, facts)
@@ -129,13 +143,8 @@ def process(spark: SparkSession, path: str, dataset: str, c: Config, out: str, o
                 stats[key] = stats.get(key, 0) + n.get[name]
             details += [f"{tag}: kept {n.get['kept']:,}", f"{tag}: {variants:,} variants"]
         files.write_csv(counts.rename_keys(counts.most_counted(counts.wide_counts(long, o.monthly, o.start_year))), f"{out}/{table}")
-        whole = long if whole is None else whole.unionByName(long)
-    made = {f"count={prefix}" for _, _, prefix, _ in names(dataset, [m.tag for m in c.motifs], o.monthly)}
-    for store in (STORE, FRAGMENTS):
-        for old in set(files.folders(spark, f"{out}/{store}")) - made:  # of motifs that the configuration no longer has
-            files.delete(spark, f"{out}/{store}/{old}")
     stats["motif_detail"] = "; ".join(details)
-    return stats, whole
+    return stats, long.schema
 
 
 def _whole(rows: DataFrame, facts: pipeline.Facts) -> DataFrame:
@@ -161,23 +170,30 @@ def summary(spark: SparkSession, stats: list[dict]) -> DataFrame:
     return counts.with_total(each, "dataset").orderBy(F.col("dataset") == "TOTAL", "dataset")
 
 
+def integrated_name(infix: str, o: Options) -> str:
+    return f"integrated{infix}_counts_by_{'month' if o.monthly else 'year'}_wide.csv"
+
+
 def integrate(spark: SparkSession, output: str, o: Options) -> list[str]:
-    """One table per motif over all datasets of an output folder, also of earlier runs; the paths of those that had to be made again."""
-    out = []
-    for infix in integration.update(spark, output, {"monthly": o.monthly, "start_year": o.start_year}):
-        summed = integration.sums(spark, output).where(F.col("infix") == infix).drop("infix")
-        path = f"{output}/integrated{infix}_counts_by_{'month' if o.monthly else 'year'}_wide.csv"
-        if summed.isEmpty():  # no dataset has the motif any more
-            files.delete(spark, path)
-            continue
-        files.write_csv(counts.rename_keys(counts.most_counted(counts.wide_counts(summed, o.monthly, o.start_year))), path)
-        out.append(path)
+    """One table per motif over all datasets of an output folder, also of earlier runs, all in one job; the paths of those that had to be made again."""
+    pending = integration.update(spark, output, {"monthly": o.monthly, "start_year": o.start_year})
+    rows = integration.sums(spark, output).where(F.col("infix").isin(pending))
+    made, starts = {}, {}
+    for r in rows.groupBy("infix").agg(F.min("year").alias("low"), F.max("year").alias("high")).toLocalIterator() if pending else ():
+        start = next(y for y in (o.start_year, r.low, 2000) if y is not None)
+        made[r.infix] = ordered.Table(dates.calendar(start, start if r.high is None else r.high, o.monthly), [integrated_name(r.infix, o)])
+        starts.setdefault(start, []).append(r.infix)
+    bin_ = F.coalesce(*(F.when(F.col("infix").isin(infixes), counts.label(o.monthly, start)) for start, infixes in starts.items()), F.lit(None).cast("string"))
+    long = rows.groupBy(F.col("infix").alias("table"), "nt", "aa", bin_.alias("bin")).agg(F.sum("n").cast("long").alias("n"))
+    out = ordered.write_wide(long, made, output)
+    for infix in sorted(set(pending) - set(made)):  # no dataset has the motif any more
+        files.delete(spark, f"{output}/{integrated_name(infix, o)}")
     integration.finish(spark, output)
     return out
 
 
 def run(spark: SparkSession, folder: str, output: str, o: Options | None = None, dataset: str | None = None, config_text: str | None = None) -> DataFrame:
-    """All datasets of a folder (or one): their tables, run_summary.csv and integrated tables; the summary. A dataset's error doesn't stop the others.
+    """All datasets of a folder (or one): their tables, run_summary.csv and integrated tables; the summary. A dataset's error doesn't stop the others, and what an earlier run made of it stays.
 
     config_text: of all datasets; else each file's own NAME.txt, or the folder's reference.txt or config.txt."""
     o = o or Options()

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, sequences, texts
-from tidemark.operators import counts
-from tidemark.sources import files, tables
+from tidemark.sources import files, ordered, tables
 
 #: Fixed columns of the audit.
 AUDIT = "group_id motif_tag benchmarks chunks_merged variants_kept variants_dropped_gapX counts_kept counts_dropped_gapX counts_unknown date_range status".split()
@@ -68,26 +67,31 @@ def rows_for(found: DataFrame, motifs: DataFrame) -> DataFrame:
     return kept.join(total, ["group_id", "motif_tag", "nt", "aa"]).join(fan, ["group_id", "motif_tag"]).select("benchmark", "nt", "aa", "bin", "n", "total")
 
 
-def wide_table(found: DataFrame, group: str, tag: str) -> DataFrame:
-    """One motif's table: its bins in order, `unknown` last, the most counted variants first."""
-    one = found.where((F.col("group_id") == group) & (F.col("motif_tag") == tag) & (sequences.gap_share("aa") <= MOST_GAPS))
-    labels = sorted({r.bin for r in one.select("bin").distinct().toLocalIterator()} | {"unknown"}, key=dates.label_order)
-    wide = counts.to_wide(one, labels, F.col("bin"))
-    return counts.rename_keys(counts.most_counted(wide).drop(tables.TOTAL))
+def tables_of(found: DataFrame, motifs: DataFrame) -> dict[str, ordered.Table]:
+    """Of each counted motif its bins in order, `unknown` last, and the files of the benchmarks that it serves; of two motifs that serve one benchmark the last. A plan has some hundred motifs, a calendar some hundred bins."""
+    bins = found.where(sequences.gap_share("aa") <= MOST_GAPS).groupBy("group_id", "motif_tag").agg(F.collect_set("bin").alias("bins"))
+    counted = found.select("group_id", "motif_tag").distinct().join(bins, ["group_id", "motif_tag"], "left")
+    out, owner = {}, {}
+    for m in motifs.join(counted, ["group_id", "motif_tag"]).orderBy("group_id", "motif_tag").toLocalIterator():
+        labels = sorted({*(m.bins or []), "unknown"}, key=dates.label_order)
+        for b in m.benchmarks:
+            path = f"{b[:-4] if b.lower().endswith('.csv') else b}_training_counts.csv"
+            if path in owner:
+                out[owner[path]].paths.remove(path)
+            owner[path] = f"{m.group_id}/{m.motif_tag}"
+            out.setdefault(owner[path], ordered.Table(labels, [], total=False)).paths.append(path)
+    return {k: v for k, v in out.items() if v.paths}
 
 
 def aggregate(spark: SparkSession, plan: DataFrame, chunks: DataFrame, out: str) -> DataFrame:
-    """Writes NAME_training_counts.csv per benchmark and _aggregation_summary.csv; the summary. plan: as of `tables.read_plan`; chunks: as of `catalogue.probe` with whole paths."""
+    """Writes NAME_training_counts.csv per benchmark, all in one job, and _aggregation_summary.csv; the summary. plan: as of `tables.read_plan`; chunks: as of `catalogue.probe` with whole paths."""
     motifs = planned_motifs(plan)
     counted = chunk_counts(spark, chunks)
     found = merged(counted, motifs)
-    found.write.mode("overwrite").partitionBy("group_id", "motif_tag").parquet(f"{out}/merged_counts")  # the tables are read once, and each motif's counts alone
-    found = spark.read.schema(found.schema).parquet(f"{out}/merged_counts")
-    for m in motifs.join(counted.select("group_id", "motif_tag").distinct(), ["group_id", "motif_tag"], "left_semi").toLocalIterator():
-        table = wide_table(found, m.group_id, m.motif_tag)
-        for b in m.benchmarks:
-            stem = b[:-4] if b.lower().endswith(".csv") else b
-            files.write_csv(table, f"{out}/{stem}_training_counts.csv")
+    tables.write_counts(found, f"{out}/merged_counts")  # the chunks' tables are read once
+    found = tables.read_counts(spark, f"{out}/merged_counts", schema=found.schema)
+    kept = found.where(sequences.gap_share("aa") <= MOST_GAPS).withColumn("table", F.concat_ws("/", "group_id", "motif_tag"))
+    ordered.write_wide(kept, tables_of(found, motifs), out)
     table = audit(found, motifs, counted).orderBy("group_id", "motif_tag")
     files.write_csv(table, f"{out}/_aggregation_summary.csv")
     return table

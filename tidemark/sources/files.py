@@ -4,6 +4,7 @@ Spark's readers skip names that begin with a dot; markers do, so folders are lis
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -52,6 +53,7 @@ def _replace(spark: SparkSession, made: str, path: str) -> None:
     (fs, src), dst = _at(spark, made), _at(spark, path)[1]
     if fs.exists(dst) and fs.getFileStatus(dst).isDirectory():
         fs.delete(dst, True)
+    fs.mkdirs(dst.getParent())
     how = spark.sparkContext._gateway.new_array(getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
     how[0] = getattr(spark._jvm.org.apache.hadoop.fs, "Options$Rename").OVERWRITE
     spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(fs.makeQualified(src), fs.makeQualified(dst), how)
@@ -71,6 +73,55 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def _beside(path: str, kind: str) -> str:
+    at = path.rstrip("/").rfind("/") + 1
+    return f"{path[:at]}{kind}/{path.rstrip('/')[at:]}"
+
+
+def making(spark: SparkSession, path: str) -> str:
+    """A new folder in which what shall be `path` is made, beside it; those that stopped runs left of it are deleted. Names that begin with an underscore are no datasets or chunks."""
+    top, _, name = _beside(path, "_making").rpartition("/")
+    for old in folders(spark, top):
+        if re.fullmatch(f"{re.escape(name)}-[0-9a-f]{{32}}", old):
+            delete(spark, f"{top}/{old}")
+    return f"{top}/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, made: str) -> None:
+    """Deletes a folder and, where nothing else is in it, the one around it."""
+    fs, p = _at(spark, made)
+    fs.delete(p, True)
+    if fs.exists(p.getParent()) and not len(fs.listStatus(p.getParent())):
+        fs.delete(p.getParent(), False)
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Brings back the former folder where a run was stopped between `publish`'s two steps."""
+    fs, p = _at(spark, path)
+    old = _at(spark, _beside(path, "_former"))[1]
+    if fs.exists(old):
+        if not fs.exists(p):
+            fs.rename(old, p)
+        discard(spark, _beside(path, "_former"))
+
+
+def publish(spark: SparkSession, made: str, path: str) -> None:
+    """Puts a whole folder in another's place by renaming: the former one is moved aside, the new one takes its name, then the former one is deleted.
+
+    A run that is stopped before leaves the former one as it was; between the steps `recover` brings it back."""
+    recover(spark, path)
+    fs, p = _at(spark, path)
+    old = _at(spark, _beside(path, "_former"))[1]
+    fs.mkdirs(old.getParent())
+    fs.mkdirs(p.getParent())
+    if fs.exists(p) and not fs.rename(p, old):
+        raise OSError(f"cannot move {path}")
+    if not fs.rename(_at(spark, made)[1], p):
+        recover(spark, path)
+        raise OSError(f"cannot move {made} to {path}")
+    discard(spark, _beside(path, "_former"))
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     return "".join(r.value for r in spark.read.text(path, wholetext=True).collect())
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Columns that a registry must have, and those it may have.
 REQUIRED = ["benchmark_file", "dms_id", "virus_code", "host", "target_seq", "target_type", "recommended_reference"]
@@ -50,15 +51,6 @@ def read_plan(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(PLAN).json(path, multiLine=True).select(F.explode("groups").alias("g")).select("g.*")
 
 
-def read_document(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON document; unreadable ones give a row of nulls."""
-    return spark.read.json(path, multiLine=True, mode="PERMISSIVE")
-
-
-def write_document(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("overwrite").json(path)
-
-
 def read_wide_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """A wide count table; empty keys are '', counts are text until `counts.from_wide` reads them."""
     raw = spark.read.option("header", "true").csv(path)
@@ -67,39 +59,29 @@ def read_wide_counts(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_wide_tables(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """path (of the table, a file or a folder of part files), nt, aa, bin, n of many wide count tables in one scan, each file by its own header.
+    """path (of the table, a file or a folder of part files), nt, aa, bin, n of many wide count tables in one scan, each table by its own header (of its first part, or of each).
 
     Keys and labels hold neither commas nor quotes. Totals are no bins; text that is no number and zero counts are left out."""
     file = F.regexp_replace(F.col("_metadata.file_path"), "^file:/+", "/")
-    lines = spark.read.text(paths).select(file.alias("file"), F.transform(F.split(F.regexp_replace("value", "^\ufeff|\r$", ""), ","), lambda c: F.trim(F.regexp_replace(c, '^"|"$', ""))).alias("cells"))
+    table = F.regexp_replace(file, r"((?:_wide|_training_counts)\.csv)/.*$", "$1")
+    lines = spark.read.text(paths).select(table.alias("path"), F.transform(F.split(F.regexp_replace("value", "^\ufeff|\r$", ""), ","), lambda c: F.trim(F.regexp_replace(c, '^"|"$', ""))).alias("cells"))
     named = F.array_contains("cells", NT)
-    heads = lines.where(named).groupBy("file").agg(F.first("cells").alias("head"))
-    rows = lines.where(~named).join(heads, "file")
+    heads = lines.where(named).groupBy("path").agg(F.first("cells").alias("head"))
+    rows = lines.where(~named).join(heads, "path")
     at = {c: F.coalesce(F.get("cells", (F.array_position("head", c) - 1).cast("int")), F.lit("")) for c in (NT, AA)}
-    each = rows.select("file", at[NT].alias("nt"), at[AA].alias("aa"), F.explode(F.arrays_zip("head", "cells")).alias("c"))
-    each = each.where(~F.col("c.head").isin(NT, AA, TOTAL)).select(F.regexp_replace("file", r"(_wide\.csv)/.*$", "$1").alias("path"), "nt", "aa", F.col("c.head").alias("bin"), F.col("c.cells").try_cast("double").cast("long").alias("n"))
+    each = rows.select("path", at[NT].alias("nt"), at[AA].alias("aa"), F.explode(F.arrays_zip("head", "cells")).alias("c"))
+    each = each.where(~F.col("c.head").isin(NT, AA, TOTAL)).select("path", "nt", "aa", F.col("c.head").alias("bin"), F.col("c.cells").try_cast("double").cast("long").alias("n"))
     return each.where(F.col("n") != 0)
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """One CSV file with a header, in the order of the rows; only for tables for people (a wide count table, a summary)."""
-    df.coalesce(1).write.mode("overwrite").option("header", "true").option("emptyValue", "").csv(path)
-
-
 def write_counts(counts: DataFrame, path: str) -> None:
     """The long count table as Parquet by group and motif: the primary store."""
     counts.write.mode("overwrite").partitionBy("group_id", "motif_tag").parquet(path)
 
 
-def read_counts(spark: SparkSession, path: str, group_id: str | None = None, motif_tag: str | None = None) -> DataFrame:
-    """Only the partitions asked for are read."""
-    df = spark.read.parquet(path)
+def read_counts(spark: SparkSession, path: str, group_id: str | None = None, motif_tag: str | None = None, schema: StructType | str | None = None) -> DataFrame:
+    """Only the partitions asked for are read. schema: of a table that may have no rows."""
+    df = (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
     for c, v in (("group_id", group_id), ("motif_tag", motif_tag)):
         df = df if v is None else df.where(F.col(c) == v)
     return df
-
-
-def write_training(rows: DataFrame, path: str, total: str = "total", keys: tuple[str, ...] = ("nt", "aa")) -> None:
-    """Training tables, one folder per benchmark, the most counted variants first: files in order, and rows in order in each. A large benchmark is written by many tasks."""
-    order = [F.col("benchmark"), *([F.col(total).desc()] if total in rows.columns else []), *(F.col(k) for k in keys if k in rows.columns)]
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("benchmark").option("header", "true").csv(path)
