@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import dates, sequences, texts
@@ -499,6 +499,86 @@ def training_order(spark, sf_dir):
     return rows
 
 
+INTEGRATED = "SELECT '_' || nt AS infix, * FROM ({rows})"
+
+
+@query(f"""WITH c AS ({INTEGRATED.format(rows=ORDERS_SQL)} UNION ALL {INTEGRATED.format(rows=LINES_SQL)}), b AS (SELECT infix, nt, aa, {YEARLY.format(s=1993)} AS bin, n FROM c)
+SELECT infix, bin, nt, aa, CAST(sum(n) AS BIGINT) AS n, CAST(dense_rank() OVER (PARTITION BY infix ORDER BY t DESC, nt, aa) AS BIGINT) AS place FROM (SELECT *, sum(n) OVER (PARTITION BY infix, nt, aa) AS t FROM b) GROUP BY infix, bin, nt, aa, t""")
+def integrated_files(spark, sf_dir):
+    """The integrated tables of two datasets as files, all from one job: their counts, and the places of their rows."""
+    top = folder(spark, "output")
+    for dataset, rows in (("a", orders(spark, sf_dir)), ("b", lines(spark, sf_dir))):
+        long = counts.count_variants(rows).select(F.concat(F.lit("_"), "nt").alias("infix"), F.lit("m").alias("motif_tag"), "nt", "aa", "year", "month", "n")
+        long.write.parquet(f"{top}/{dataset}/{integration.STORE}/count={dataset}")
+    made = runs.integrate(spark, top, runs.Options(start_year=1993))
+    infix = F.regexp_extract("path", r"integrated(.*)_counts_by_year_wide\.csv$", 1).alias("infix")
+    found = tables.read_wide_tables(spark, made).select(infix, "bin", "nt", "aa", "n")
+    lines_ = spark.read.text(made).select(F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("at"), F.split("value", ",").alias("c"))
+    placed = lines_.select(infix, F.get("c", F.lit(0)).alias("nt"), F.get("c", F.lit(1)).alias("aa"), F.row_number().over(Window.partitionBy("path").orderBy("at")).cast("long").alias("line"))
+    return found.join(placed.select("infix", "nt", "aa", (F.col("line") - 1).alias("place")), ["infix", "nt", "aa"])
+
+
+@query("SELECT concat(replace(n_name, ' ', '_'), '.csv') AS benchmark_file FROM nation WHERE n_nationkey % 3 > 0")
+def listed_benchmarks(spark, sf_dir):
+    """The benchmarks that lie in a folder, beside their registry and files of another kind."""
+    name = F.concat(F.replace("n_name", F.lit(" "), F.lit("_")), F.when(F.col("n_nationkey") % 3 > 0, ".csv").otherwise(".txt"))
+    rows = t(spark, sf_dir, "nation").select(name.alias("path"), F.col("n_nationkey").alias("place"), F.lit("x").alias("description"), F.lit("A").alias("seq"))
+    top = as_files(rows, folder(spark, "benchmarks"))
+    files.write_text(spark, f"{top}/registry.csv", "benchmark_file\n")
+    return tables.list_benchmarks(spark, top, "registry.csv")
+
+
+@query(f"""WITH p AS ({PLAN_SQL}) SELECT group_id, 'protein' AS tag, any_value(reference) AS seq FROM (SELECT concat(arg_min(virus_code, ordinal), '_', any_value(length(reference)), 'aa_', h) AS group_id, any_value(reference) AS reference FROM ({GROUPED}) GROUP BY h) JOIN p USING (group_id) WHERE status = 'planned' GROUP BY group_id
+UNION ALL SELECT DISTINCT group_id, md5(target), target FROM (SELECT h, target FROM ({GROUPED})) JOIN ({GROUP_SQL}) USING (h) JOIN p USING (group_id) WHERE status = 'planned'""")
+def group_configs(spark, sf_dir):
+    """The configurations that a plan writes, read by both readers: the protein and the motifs of each group."""
+    path, rows = plan_file(spark, sf_dir), []
+    for g in tables.read_plan(spark, path).select("group_id", "config").toLocalIterator():
+        text = files.read_text(spark, g.config)
+        c, (protein, loose) = config.parse(text), config.parse_loosely(text)
+        assert protein == c.protein and sorted(loose.values()) == sorted("+".join(m.parts) for m in c.motifs)
+        rows += [(g.group_id, "protein", protein), *((g.group_id, None, m) for m in loose.values())]
+    return spark.createDataFrame(rows, "group_id string, tag string, seq string").withColumn("tag", F.coalesce("tag", F.md5(F.col("seq").cast("binary"))))
+
+
+@query("""SELECT concat('g', doc_id % 3) AS group_id, concat('c', doc_id % 7) AS chunk, doc_id % 3 + doc_id % 7 < 5 AS msa_complete, bool_or(doc_id % 2 = 0) AS aligned_proteins, doc_id % 3 + doc_id % 7 < 5 AND bool_or(doc_id % 2 = 0) AS reusable, true AS registered FROM documents WHERE doc_id % 3 < 2 GROUP BY doc_id % 3, doc_id % 7
+UNION ALL SELECT 'g2', NULL, NULL, NULL, NULL, false""")
+def aligned_catalogue(spark, sf_dir):
+    """The catalogue document of a folder of alignments: chunks with their markers, and a folder without a manifest."""
+    file = F.expr("concat('g', doc_id % 3, '/c', doc_id % 7, '/c', doc_id % 7, CASE WHEN doc_id % 2 = 0 THEN '_aligned_proteins.fasta' ELSE '_orf_proteins.fasta' END)")
+    rows = coding_documents(spark, sf_dir).select(file.alias("path"), F.col("doc_id").alias("place"), F.lit("x").alias("description"), F.col("nt").alias("seq"))
+    top = as_files(rows, folder(spark, "aligned"))
+    made = spark.createDataFrame([(f"g{k}", 4, "c.txt", [("m",)]) for k in range(2)], "group_id string, ref_len int, config string, motifs array<struct<tag:string>>")
+    catalogue.write_manifests(spark, made, top)
+    for g in files.folders(spark, top):
+        for c in files.folders(spark, f"{top}/{g}"):
+            if int(g[1:]) + int(c[1:]) < 5:
+                runs.finish(spark, f"{top}/{g}/{c}")
+    files.write_json(catalogue.document(spark, top), f"{top}-inventory.json")
+    entry = "folder string, ref_hash string, chunks map<string, struct<msa_complete boolean, aligned_proteins boolean, reusable boolean>>"
+    doc = spark.read.schema(f"groups map<string, struct<{entry}>>, unregistered_folders array<string>").json(f"{top}-inventory.json")
+    chunks = doc.select(F.explode("groups").alias("group_id", "g")).select("group_id", F.explode("g.chunks").alias("chunk", "e")).select("group_id", "chunk", "e.*", F.lit(True).alias("registered"))
+    rest = doc.select(F.explode("unregistered_folders").alias("group_id"), F.lit(False).alias("registered"))
+    return chunks.unionByName(rest, allowMissingColumns=True)
+
+
+@query(f"SELECT path AS rel_path, CAST(row_number() OVER (ORDER BY path) - 1 AS INT) AS place FROM (SELECT DISTINCT path FROM {SEQ_SQL})")
+def inventory_order(spark, sf_dir):
+    """The places of files in the inventory document."""
+    root = fasta_folder(spark, sf_dir)
+    files.write_json(inventory.document(inventory.scan(spark, root, 1), root, 1), f"{root}-inventory.json")
+    doc = spark.read.schema(tables.INVENTORY).json(f"{root}-inventory.json", multiLine=True)
+    return doc.select(F.posexplode("files").alias("place", "f")).select("f.rel_path", "place")
+
+
+@query(f"SELECT p_partkey, '{REFERENCE}' AS aln_aa FROM part WHERE 34 + p_partkey % 60 * 15 <= {align.longest_query(34)}")
+def over_long_peptides(spark, sf_dir):
+    """Peptides that are too long for their reference are left out; the reference itself is no row of the alignment."""
+    aa = F.concat(F.lit(REFERENCE), F.repeat(F.lit("G"), (F.col("p_partkey") % 60 * 15).cast("int")))
+    rows = t(spark, sf_dir, "part").select("p_partkey", aa.alias("aa"))
+    return align.align_to_reference(rows, REFERENCE, nt=None).select("p_partkey", "aln_aa")
+
+
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY doc_id LIMIT 20")
 def open_chunks(spark, sf_dir):
     """The first 20 of what is left to do, as a report shows them."""
