@@ -25,7 +25,8 @@ def as_files(records: DataFrame, root: str) -> str:
     spark, part = records.sparkSession, f"{root}-parts"
     text = F.concat(F.lit(">"), "description", F.lit("\n"), "seq")
     n = records.select("path").distinct().count()
-    rows = records.repartition(max(1, n), "path").sortWithinPartitions("path", "place").select(F.hex(F.encode("path", "UTF-8")).alias("name"), text.alias("value"))
+    rows = records.select(F.hex(F.encode("path", "UTF-8")).alias("name"), "place", text.alias("value")).repartition(max(1, n), "name")
+    rows = rows.sortWithinPartitions("name", "place").select("name", "value")  # by what the writer asks for, too: a second sort by name alone would take this one's place
     rows.write.partitionBy("name").text(part)
     for made, _ in files.walk(spark, part):
         if "/part-" in made:
