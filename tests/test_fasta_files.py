@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from tidemark.plans import inventory, runs
 from tidemark.queries_files import as_files
+from tidemark.sources import fasta
 
 
 def records(spark, n=4000, files=3):
@@ -16,3 +18,30 @@ def test_records_of_a_file_are_in_order(spark, tmp_path):
     for k in range(3):
         heads = [int(line[2:]) for line in open(f"{top}/d/s{k}.fasta") if line.startswith(">")]
         assert heads == list(range(k, 4000, 3))
+
+
+def test_a_large_file_is_written_in_parts_and_is_one_file(spark, tmp_path):
+    """Of a file of more bytes than a part's no task holds all; listed, counted, scanned and run it is one file, its records in order."""
+    own = records(spark, files=1).withColumn("seq", F.when(F.col("place") == 0, "TTTT").otherwise(F.col("seq")))
+    small = records(spark, 30).withColumn("path", F.concat(F.lit("e/"), F.substring("path", 3, 9)))
+    top = as_files(own.unionByName(small), str(tmp_path / "in"), 10_000)
+    parts = sorted(p.name for p in (tmp_path / "in/d/s0.fasta").iterdir() if not p.name.startswith("."))
+    assert len(parts) >= 4 and parts[0] == "part-00000.fasta" and max((tmp_path / "in/d/s0.fasta" / p).stat().st_size for p in parts) < 20_000
+    assert (tmp_path / "in/e/s0.fasta").is_file()
+    got = fasta.read_fasta(spark, top, recursive=True)
+    assert [int(r.rec_id[1:]) for r in got.where("file_path like '%/d/%'").orderBy("file_path", "ordinal").collect()] == list(range(4000))
+    assert {r.dataset for r in got.select("dataset").distinct().collect()} == {"s0", "s1", "s2"}
+    assert fasta.list_files(spark, top).count() == 4 and fasta.list_files(spark, f"{top}/d", False).count() == 1
+    assert {r.file_path.removeprefix(top): r.n_records for r in fasta.count_records(got).collect()} == {"/d/s0.fasta": 4000, "/e/s0.fasta": 10, "/e/s1.fasta": 10, "/e/s2.fasta": 10}
+    assert [(r.dataset, r.path) for r in fasta.datasets(spark, f"{top}/d").collect()] == [("s0", f"{top}/d/s0.fasta")]
+    assert fasta.single_sequence(spark, f"{top}/d/s0.fasta") == "TTTT"
+    row = inventory.scan(spark, top, 1).where("folder = 'd'").first()
+    assert (row.rel_path, row.n_records, row.median_length) == ("d/s0.fasta", 4000, 4) and row.size_bytes == sum((tmp_path / "in/d/s0.fasta" / p).stat().st_size for p in parts)
+
+
+def test_a_run_takes_a_file_in_parts_as_one_dataset(spark, tmp_path):
+    rows = records(spark, 200, 1).select(F.lit("a.fasta").alias("path"), "place", "description", F.when(F.col("place") % 2 == 0, "MKTAY").otherwise("MKTA-").alias("seq"))
+    top = as_files(rows, str(tmp_path / "in"), 500)
+    assert (tmp_path / "in/a.fasta").is_dir()
+    table = runs.run(spark, top, str(tmp_path / "out"), config_text=">motif_reference_m\nMKT\n")
+    assert [(r.dataset, r.status, r.input_sequences, r.counted_records) for r in table.collect()][0] == ("a", "OK", 200, 200)

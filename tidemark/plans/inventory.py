@@ -18,8 +18,8 @@ def scan(spark: SparkSession, root: str, sample: int = profile.SAMPLE) -> DataFr
         raise ValueError(f"no FASTA files under {root}")
     top = files.qualified(spark, root).rstrip("/") + "/"
     records = fasta.read_fasta(spark, root, recursive=True, encoding="UTF-8")
-    known = profile.facts(records.select("file_path", "number", "ordinal", "seq"))
-    profiles = profile.scanner_profile(fasta.first_records(known, sample), ["file_path"])
+    known = profile.facts(records.select(fasta.whole().alias("file_path"), F.col("file_path").alias("part"), "number", "ordinal", "seq"))
+    profiles = profile.scanner_profile(fasta.first_records(known, sample, order=["part", "ordinal"]), ["file_path"])
     counted = fasta.count_records(records)
     rows = listed.join(profiles, listed.path == profiles.file_path, "left").drop("file_path").join(counted, listed.path == counted.file_path, "left")
     rel = F.substring(F.col("path"), F.lit(len(top) + 1), F.length("path"))

@@ -20,21 +20,32 @@ def folder(spark, name: str) -> str:
     return f"{shared_folder(spark)}/tidemark-{uuid.uuid4().hex}/{name}"
 
 
-def as_files(records: DataFrame, root: str) -> str:
-    """Writes records (path, place, description, seq) as FASTA files below root, a file's records by place."""
-    spark, part = records.sparkSession, f"{root}-parts"
+#: Bytes of a file above which it is written in parts, and those of a part, about.
+PART = 64 << 20
+
+
+def as_files(records: DataFrame, root: str, most: int = PART) -> str:
+    """Writes records (path, place, description, seq) as FASTA files below root, a file's records by place. A file of more than `most` bytes is a folder of parts, each made by a task of its own."""
+    spark = records.sparkSession
     text = F.concat(F.lit(">"), "description", F.lit("\n"), "seq")
-    n = records.select("path").distinct().count()
-    rows = records.select(F.hex(F.encode("path", "UTF-8")).alias("name"), "place", text.alias("value")).repartition(max(1, n), "name")
-    rows = rows.sortWithinPartitions("name", "place").select("name", "value")  # by what the writer asks for, too: a second sort by name alone would take this one's place
-    rows.write.partitionBy("name").text(part)
-    for made, _ in files.walk(spark, part):
-        if "/part-" in made:
-            to = bytes.fromhex(made.split("/")[0].removeprefix("name=")).decode()
-            fs, src = files._at(spark, f"{part}/{made}")
-            dst = files._at(spark, f"{root}/{to}")[1]
-            fs.mkdirs(dst.getParent())
-            fs.rename(src, dst)
+    rows = runs.stored(records.select(F.hex(F.encode("path", "UTF-8")).alias("name"), "place", text.alias("value")), f"{root}-rows")  # made once, read for the sizes, the ranges and the files
+    sizes = {r.name: r.bytes or 0 for r in rows.groupBy("name").agg(F.sum(F.octet_length("value")).alias("bytes")).toLocalIterator()}
+    large = [name for name, n in sizes.items() if n > most]
+    parts = sum(-(-sizes[name] // most) for name in large)
+    dealt = [(rows.where(~F.col("name").isin(large)).repartition(max(1, len(sizes) - len(large)), "name"), "small")] if len(large) < len(sizes) or not sizes else []
+    dealt += [(rows.where(F.col("name").isin(large)).repartitionByRange(parts, "name", "place"), "large")] if large else []
+    for own, kind in dealt:  # sorted by what the writer asks for, too: a second sort by name alone would take the first one's place
+        own.sortWithinPartitions("name", "place").select("name", "value").write.partitionBy("name").text(f"{root}-{kind}")
+        made = {}
+        for f, _ in files.walk(spark, f"{root}-{kind}"):
+            if "/part-" in f:
+                made.setdefault(bytes.fromhex(f.split("/")[0].removeprefix("name=")).decode(), []).append(f)
+        for path, found in made.items():
+            for k, f in enumerate(found):  # by name, in the order of the tasks
+                fs, src = files._at(spark, f"{root}-{kind}/{f}")
+                dst = files._at(spark, f"{root}/{path}" + (f"/part-{k:05d}.fasta" if len(found) > 1 else ""))[1]
+                fs.mkdirs(dst.getParent())
+                fs.rename(src, dst)
     return root
 
 
@@ -86,7 +97,7 @@ def dataset_filter(spark, sf_dir):
 @query("SELECT 1 AS k, (SELECT md5(seq) FROM (SELECT arg_min(nt, doc_id) AS seq FROM (SELECT doc_id, " + NT_SQL + " AS nt FROM documents))) AS seq_md5")
 def single_record(spark, sf_dir):
     d = coding_documents(spark, sf_dir).select(F.lit("one.fa").alias("path"), F.col("doc_id").alias("place"), F.lit("x").alias("description"), F.col("nt").alias("seq"))
-    seq = fasta.single_sequence(spark, as_files(d, folder(spark, "one")))
+    seq = fasta.single_sequence(spark, as_files(d, folder(spark, "one")) + "/one.fa")
     return spark.range(1).select(F.lit(1).alias("k"), F.md5(F.lit(seq).cast("binary")).alias("seq_md5"))
 
 

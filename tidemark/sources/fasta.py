@@ -1,10 +1,14 @@
 """FASTA as a distributed source, and its writer.
 
 Files are split at record starts by Spark's text reader (record separator: line feed and >), so one file is read by many tasks. A
-record's place is its file, the byte block it was read from and its number there, which keeps file order without a global sort."""
+record's place is its file, the byte block it was read from and its number there, which keeps file order without a global sort.
+
+A large file may be a folder of parts: NAME.fasta/part-00000.fasta and so on, which read by name hold its records in order. It is listed, counted and run as one file called
+NAME.fasta; the file_path of its records is that of the part, so file_path and ordinal order them."""
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +22,8 @@ from tidemark.functions import texts
 from tidemark.sources import files
 
 EXTENSIONS = ("fasta", "fa", "fna", "faa", "fas")
+#: The end of a part's path, after the name of its file.
+_PART = r"(?i)([^/]\.(?:%s))/part-\d+\.(?:%s)$" % (("|".join(EXTENSIONS),) * 2)
 _REST = 2147483647
 #: Letters of a written line.
 LINE = 60
@@ -50,6 +56,11 @@ def file_name(path: str = "file_path") -> Column:
     return F.regexp_replace(F.url_decode(F.replace(F.col(path), F.lit("+"), F.lit("%2B"))), "^file:/+", "/")
 
 
+def whole(path: str | Column = "file_path") -> Column:
+    """The path of the file that a part belongs to; other paths as they are."""
+    return F.regexp_replace(path, _PART, "$1")
+
+
 def read_fasta(spark: SparkSession, path: str | list[str], recursive: bool = False, encoding: str = "ISO-8859-1") -> DataFrame:
     """file_path, dataset (the file's name without extension), block, number, ordinal, rec_id, description, seq (upper case, without white space) of each record.
 
@@ -79,13 +90,13 @@ def _parsed(lines: DataFrame, encoding: str) -> DataFrame:
     rows = raw.withColumn("body", F.explode(F.array_compact(F.array(body)))).withColumn("description", F.trim(head))
     path_ = file_name()
     return rows.select(
-        path_.alias("file_path"), texts.file_stem(path_).alias("dataset"), "block", "number",
+        path_.alias("file_path"), texts.file_stem(whole(path_)).alias("dataset"), "block", "number",
         (F.col("block") * F.lit(4096) + F.col("number")).alias("ordinal"),
         F.regexp_extract("description", r"^(\S*)", 1).alias("rec_id"), "description",
         F.upper(F.regexp_replace(tail, r"\s", "")).alias("seq"))
 
 
-def first_records(records: DataFrame, n: int, by: str = "file_path", order: str = "ordinal") -> DataFrame:
+def first_records(records: DataFrame, n: int, by: str = "file_path", order: str | list[str] = "ordinal") -> DataFrame:
     """The first n records of each file; n = 0: all. Of each block only the first n go further, where records know their number."""
     if not n:
         return records
@@ -95,14 +106,18 @@ def first_records(records: DataFrame, n: int, by: str = "file_path", order: str
 
 
 def count_records(records: DataFrame) -> DataFrame:
-    return records.groupBy("file_path").agg(F.count("*").alias("n_records"))
+    """file_path and n_records of each file; one in parts is one file."""
+    return records.groupBy(whole().alias("file_path")).agg(F.count("*").alias("n_records"))
 
 
 def list_files(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
-    """path and size_bytes of the FASTA files of a folder, or of all under it; empty files too."""
-    top = files.qualified(spark, root).rstrip("/")
-    names = [(f"{top}/{p}", n) for p, n in files.walk(spark, root) if p.lower().endswith(tuple(f".{e}" for e in EXTENSIONS)) and (recursive or "/" not in p)]
-    return spark.createDataFrame(names, "path string, size_bytes long")
+    """path and size_bytes of the FASTA files of a folder, or of all under it; empty files too. One in parts is one file, of their size together."""
+    top, sizes = files.qualified(spark, root).rstrip("/"), {}
+    for made, n in files.walk(spark, root):
+        p = re.sub(_PART, r"\1", made)
+        if p.lower().endswith(tuple(f".{e}" for e in EXTENSIONS)) and (recursive or "/" not in p):
+            sizes[p] = sizes.get(p, 0) + n
+    return spark.createDataFrame([(f"{top}/{p}", n) for p, n in sizes.items()], "path string, size_bytes long")
 
 
 def datasets(spark: SparkSession, folder: str, dataset: str | None = None) -> DataFrame:
@@ -120,7 +135,7 @@ def datasets(spark: SparkSession, folder: str, dataset: str | None = None) -> Da
 
 def single_sequence(spark: SparkSession, path: str) -> str | None:
     """The first record's sequence; null if there is none."""
-    row = read_fasta(spark, path).agg(F.min_by("seq", "ordinal").alias("seq")).first()
+    row = read_fasta(spark, path).agg(F.min_by("seq", F.struct("file_path", "ordinal")).alias("seq")).first()
     return row.seq or None
 
 
