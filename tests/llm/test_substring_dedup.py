@@ -5,7 +5,7 @@ import pytest
 
 from tests.llm.conftest import SCHEMA, invented
 from tidemark.llm import substring_dedup as sd
-from tidemark.llm.textnum import encode, jaccard_reaches, shingle_set, words
+from tidemark.llm.textnum import encode, jaccard_reaches, runs, shingle_set, words
 
 
 def repeats(texts, width):
@@ -172,3 +172,14 @@ def test_hot_class(spark, monkeypatch):
     want = sorted(df.join(facts, "c").collect())
     for hot in (1, 30, 1000):
         assert sorted(shared.with_each(df, facts, "c", hot).select("c", "v", "f").collect()) == want
+
+
+def test_run_hashes_at_places_are_those_of_all_places(monkeypatch):
+    """Runs are hashed only where a unit begins, in pieces of bounded size; long texts take the other path of the band hashes to the same values."""
+    h = np.random.default_rng(5).integers(0, 1 << 63, 700).astype(np.uint64)
+    at = np.array([0, 7, 8, 300, 660])
+    first, after = np.array([0, 60, 400]), np.array([55, 333, 700])
+    keys = sd.line_keys(h, first, after)
+    monkeypatch.setattr(sd, "WIDE", 2)
+    assert (sd.runs_at(h, at) == runs(h, sd.RUN)[at]).all() and not len(sd.runs_at(h[:10], at[:0]))
+    assert (sd.line_keys(h, first, after) == keys).all() and keys.shape == (3, sd.BANDS)

@@ -36,7 +36,7 @@ from tidemark.llm.components import components
 from tidemark.llm.ngram_join import across, parity, signature
 from tidemark.llm.pairing import with_texts
 from tidemark.llm.shared import about_chars, cut, doc_of, free_name, keyed, let_go, table, trimmed, with_each
-from tidemark.llm.textnum import encode, jaccard_reaches, mix, runs, series, shingle_set, words, words_of
+from tidemark.llm.textnum import _COEF, encode, jaccard_reaches, mix, runs, series, shingle_set, words, words_of
 
 LEAST, RUN, REACH, GRAM, PERCENT = 50, 40, 10, 3, 75
 BANDS, ROWS = 6, 2
@@ -47,6 +47,8 @@ ENTRY = np.dtype([("k", "<u8"), ("d", "<i8"), ("p", "<u4"), ("l", "<u4")])
 #: Entries that a scope holds, about 24 MB, and that a bucket holds on average.
 SCOPE, BUCKET = 1_000_000, 250_000
 MEET = "<u4"
+#: Words that are worked off as rows of a matrix at once.
+WIDE = 20_000
 
 
 def anchors(h: np.ndarray) -> np.ndarray:
@@ -73,8 +75,20 @@ def line_keys(h: np.ndarray, first: np.ndarray, after: np.ndarray) -> np.ndarray
     """(lines, BANDS) band hashes."""
     s = np.append(runs(h, 5), np.uint64(0))
     at = np.stack([first, after - 4], 1).ravel()
-    low = [np.minimum.reduceat(s * a, at)[::2] for a in _PERM]
-    return np.stack([mix(sum(low[b * ROWS + r] * _PERM[r] for r in range(ROWS)) + _SALT[b]) for b in range(BANDS)], 1)
+    if len(s) <= WIDE:
+        low = np.minimum.reduceat(s * _PERM[:, None], at, axis=1)[:, ::2]
+    else:
+        low = np.stack([np.minimum.reduceat(s * a, at)[::2] for a in _PERM])
+    low = low.reshape(BANDS, ROWS, -1) * _PERM[:ROWS, None]
+    return mix(low.sum(1) + _SALT[:BANDS, None]).T
+
+
+def runs_at(h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """`runs` of RUN words at these places only."""
+    out = np.empty(len(at), np.uint64)
+    for k in range(0, len(at), WIDE):
+        out[k : k + WIDE] = (np.lib.stride_tricks.sliding_window_view(h, RUN)[at[k : k + WIDE]] * _COEF[:RUN]).sum(1)
+    return mix(out)
 
 
 def entries(doc: int, raw: bytes, start: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -85,7 +99,7 @@ def entries(doc: int, raw: bytes, start: np.ndarray, h: np.ndarray) -> np.ndarra
     first, after = line_bounds(raw, start)
     e = np.empty(len(a) + BANDS * len(first), ENTRY)
     e["d"] = doc
-    e["k"][: len(a)], e["p"][: len(a)], e["l"][: len(a)] = mix(runs(h, RUN)[a] + _SALT[BANDS]), a, 0
+    e["k"][: len(a)], e["p"][: len(a)], e["l"][: len(a)] = mix(runs_at(h, a) + _SALT[BANDS]), a, 0
     if len(first):
         e["k"][len(a) :] = line_keys(h, first, after).ravel()
         e["p"][len(a) :], e["l"][len(a) :] = np.repeat(first, BANDS), np.repeat(after - first, BANDS)

@@ -16,13 +16,17 @@ WIDTH = 5
 LONG = 32
 
 
+_MIX = [np.uint64(k) for k in (30, 0xBF58476D1CE4E5B9, 27, 0x94D049BB133111EB, 31)]
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers in which each bit depends on all."""
-    x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> _MIX[0])
+    x *= _MIX[1]
+    x ^= x >> _MIX[2]
+    x *= _MIX[3]
+    x ^= x >> _MIX[4]
+    return x
 
 
 def series(n: int, seed: int) -> np.ndarray:
