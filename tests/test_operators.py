@@ -206,6 +206,25 @@ def test_dedupe_before_align(spark):
     assert out.count() == 10 and all(len(r.aln_nt) == 24 for r in out.collect())
 
 
+def test_records_of_one_peptide_are_dealt_over_tasks(spark):
+    """A peptide that all records share is aligned once and joined in many tasks; none is lost or doubled."""
+    df = spark.range(3000).select("id", F.when(F.col("id") == 7, "MKTYIAK").otherwise("MKTAYIAK").alias("aa"), F.when(F.col("id") != 8, F.lit("ATG" * 8)).alias("nt"))
+    given = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        for nt in ("nt", None):
+            out = align.align_to_reference(df, "MKTAYIAK", nt=nt, apart=("id",))
+            assert set(out.columns) == {"id", "aa", "nt", "aln_aa"} | ({"aln_nt"} if nt else set())
+            got = out.withColumn("task", F.spark_partition_id()).collect()
+            assert sorted(r.id for r in got) == list(range(3000)) and all(r.aln_aa == ("MKT-YIAK" if r.id == 7 else "MKTAYIAK") for r in got)
+            each = [sum(r.task == k for r in got) for k in {r.task for r in got}]
+            assert len(each) > 1 and max(each) < 2000
+    finally:
+        for k, v in given.items():
+            spark.conf.set(k, v)
+
+
 def test_consensus_ties_and_gaps(spark):
     df = spark.createDataFrame([(0, "AC-"), (1, "GC-"), (2, "GT-"), (3, "AT-")], "o int, aln string")
     assert motif.consensus(df, 3, "aln", F.col("o")) == "AC-"

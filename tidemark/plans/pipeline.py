@@ -91,9 +91,9 @@ def fragments(records: DataFrame, config: Config, facts: Facts, least_called: fl
         least = coding.least_length(len(ref), orf_share, orf_least)
         genome = profile.is_genome(facts.median_len, len(ref))
         rows = coding.extract_orfs(rows, ref, least) if genome else coding.translate_cds(rows, least)
-        rows = align.align_to_reference(rows, ref)
+        rows = align.align_to_reference(rows, ref, apart=ORDER)
     else:
-        rows = align.align_to_reference(rows.withColumn("aa", F.col("seq")), ref, nt=None)
+        rows = align.align_to_reference(rows.withColumn("aa", F.col("seq")), ref, nt=None, apart=ORDER)
     aln_nt = "aln_nt" if nucleotide else None
     if config.motifs:
         out = _by_motif(rows, _placed_by_reference(ref, config, rows, len(ref), "aln_aa"), aln_nt, least_called)

@@ -118,7 +118,7 @@ def _process(spark: SparkSession, path: str, dataset: str, c: Config, out: str,
         if c.protein is None:
             raise ValueError("raw sequences need a protein reference")
         made = _coding(records, c, facts, o, out, stats)
-        rows = stored(align.align_to_reference(made, c.protein, nt="nt" if nucleotide else None), f"{out}/aligned")
+        rows = stored(align.align_to_reference(made, c.protein, nt="nt" if nucleotide else None, apart=pipeline.ORDER), f"{out}/aligned")
         stats |= {"hmm_dropped_long": made.where(F.length("aa") > align.longest_query(len(c.protein))).count(), "aligned": rows.count()}
         _as_fasta(rows, f"{out}/{dataset}_aligned", {"proteins": "aln_aa"} | ({"nucleotides": "aln_nt"} if nucleotide else {}))
     width = motif.codon_width(facts.median_len) if c.motifs and facts.aligned and nucleotide else facts.median_len if facts.aligned else len(c.protein)

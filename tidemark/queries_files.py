@@ -118,7 +118,7 @@ def anchored_alignment(spark, sf_dir):
     """Peptides and codons anchored to a reference: substitutions, flanks, gaps, shifts, repeats and fragments, each with one best alignment."""
     p = t(spark, sf_dir, "part").withColumn("g", F.lit(CODONS)).select("p_partkey", F.expr(GENE).alias("nt"))
     rows = p.withColumn("aa", sequences.translate("nt"))
-    return align.align_to_reference(rows, REFERENCE).select("p_partkey", "aa", "aln_aa", "aln_nt")
+    return align.align_to_reference(rows, REFERENCE, apart=("p_partkey",)).select("p_partkey", "aa", "aln_aa", "aln_nt")
 
 
 ORF_SQL = f"""WITH f AS (SELECT doc_id, nt, CAST(f AS INT) AS frame, string_split({translate_sql('substr(nt, CAST(f AS INT) + 1)')}, '*') AS p FROM (SELECT doc_id, {NT_SQL} AS nt FROM documents), range(3) AS r(f)),
@@ -588,7 +588,7 @@ def over_long_peptides(spark, sf_dir):
     """Peptides that are too long for their reference are left out; the reference itself is no row of the alignment."""
     aa = F.concat(F.lit(REFERENCE), F.repeat(F.lit("G"), (F.col("p_partkey") % 60 * 15).cast("int")))
     rows = t(spark, sf_dir, "part").select("p_partkey", aa.alias("aa"))
-    return align.align_to_reference(rows, REFERENCE, nt=None).select("p_partkey", "aln_aa")
+    return align.align_to_reference(rows, REFERENCE, nt=None, apart=("p_partkey",)).select("p_partkey", "aln_aa")
 
 
 @query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) ORDER BY doc_id LIMIT 20")
