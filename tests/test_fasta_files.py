@@ -45,3 +45,22 @@ def test_a_run_takes_a_file_in_parts_as_one_dataset(spark, tmp_path):
     assert (tmp_path / "in/a.fasta").is_dir()
     table = runs.run(spark, top, str(tmp_path / "out"), config_text=">motif_reference_m\nMKT\n")
     assert [(r.dataset, r.status, r.input_sequences, r.counted_records) for r in table.collect()][0] == ("a", "OK", 200, 200)
+
+
+def test_a_run_deals_the_records_of_one_gene(spark, tmp_path):
+    """A run's records that all have one peptide are joined to its alignment in many tasks, though the join is by peptide."""
+    gene = "ATGAAAACTGCTTATATTGCTAAACAA"
+    rows = records(spark, 1000, 1).select(F.lit("a.fasta").alias("path"), "place", "description", F.lit(gene).alias("seq"))
+    top = as_files(rows, str(tmp_path / "in"))
+    given = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in (("spark.sql.adaptive.enabled", "false"), ("spark.sql.autoBroadcastJoinThreshold", "-1")):
+            spark.conf.set(k, v)
+        table = runs.run(spark, top, str(tmp_path / "out"), config_text=">protein_reference\nMKTAYIAKQ\n>motif_reference_m\nTAY\n")
+    finally:
+        for k, v in given.items():
+            spark.conf.set(k, v)
+    row = table.where("dataset = 'a'").first()
+    assert (row.status, row.input_sequences, row.aligned, row.motif_kept, row.counted_records, row.unique_variants) == ("OK", 1000, 1000, 1000, 1000, 1)
+    each = [r["count"] for r in spark.read.parquet(str(tmp_path / "out/a/aligned")).groupBy(F.input_file_name()).count().collect()]
+    assert len(each) > 1 and max(each) < 700
