@@ -1,10 +1,13 @@
 """Tables written as FASTA files, in order."""
 
+import functools
+
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import inventory, runs
 from tidemark.queries_files import as_files
-from tidemark.sources import fasta
+from tidemark.sources import fasta, ordered, tables
 
 
 def records(spark, n=4000, files=3):
@@ -64,3 +67,34 @@ def test_a_run_deals_the_records_of_one_gene(spark, tmp_path):
     assert (row.status, row.input_sequences, row.aligned, row.motif_kept, row.counted_records, row.unique_variants) == ("OK", 1000, 1000, 1000, 1000, 1)
     each = [r["count"] for r in spark.read.parquet(str(tmp_path / "out/a/aligned")).groupBy(F.input_file_name()).count().collect()]
     assert len(each) > 1 and max(each) < 700
+
+
+def test_a_large_file_of_few_long_records_is_written_in_parts_beside_one_of_many_short_ones(spark, tmp_path):
+    """A file's parts are of like size, though another large file has most of the records."""
+    short = records(spark, 3000, 1).select(F.lit("b.fasta").alias("path"), "place", "description", "seq")
+    long = records(spark, 20, 1).select(F.lit("c.fasta").alias("path"), "place", "description", F.repeat(F.lit("ACGTA"), 1000).alias("seq"))
+    top = as_files(short.unionByName(long), str(tmp_path / "in"), 10_000)
+    for name, n in (("b", 3000), ("c", 20)):
+        parts = [p.stat().st_size for p in (tmp_path / f"in/{name}.fasta").iterdir() if not p.name.startswith(".")]
+        assert len(parts) >= 3 and max(parts) < 30_000
+        got = fasta.read_fasta(spark, f"{top}/{name}.fasta").orderBy("file_path", "ordinal").collect()
+        assert [int(r.rec_id[1:]) for r in got] == list(range(n))
+
+
+@pytest.mark.parametrize("bound", [{"whole": 100}, {"most": 2000}])
+def test_a_large_count_table_of_a_run_is_made_by_many_tasks(spark, tmp_path, monkeypatch, request, bound):
+    """A dataset's count table beyond a bound, of rows or of bytes, is a folder of parts whose lines are the table, and is read back whole."""
+    monkeypatch.setattr(ordered, "write_wide", functools.partial(ordered.write_wide, **bound))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else so few rows are one range
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled"))
+    seq = F.concat(F.lit("MEF"), F.translate(F.lpad(F.expr("place div 2").cast("string"), 4, "0"), "0123456789", "ACDEFGHIKL"), F.lit("-"))
+    rows = records(spark, 601, 1).select(F.lit("a.fasta").alias("path"), "place", F.lit("r|2020-01").alias("description"), seq.alias("seq"))
+    runs.run(spark, as_files(rows, str(tmp_path / "in")), str(tmp_path / "out"), runs.Options(start_year=2019), config_text=">protein_reference\nMEF\n")
+    made = tmp_path / "out/a/a_counts_by_year_wide.csv"
+    parts = sorted(p for p in made.iterdir() if p.name.startswith("part-"))
+    assert len(parts) > 1 and max(p.stat().st_size for p in parts) < 6000
+    lines = "".join(p.read_text() for p in parts).splitlines()
+    peptides = ["MEF" + f"{k:04}".translate(str.maketrans("0123456789", "ACDEFGHIKL")) + "-" for k in range(301)]
+    assert lines == ["Motif Nucleotide,Motif Peptide,before 2019,2019,2020,unknown,Count", *(f",{p},0,0,2,0,2" for p in peptides[:300]), f",{peptides[300]},0,0,1,0,1"]
+    back = tables.read_wide_counts(spark, str(made))
+    assert back.count() == 301 and back.columns == lines[0].split(",")

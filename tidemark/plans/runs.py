@@ -123,7 +123,7 @@ def _process(spark: SparkSession, path: str, dataset: str, c: Config, out: str,
         _as_fasta(rows, f"{out}/{dataset}_aligned", {"proteins": "aln_aa"} | ({"nucleotides": "aln_nt"} if nucleotide else {}))
     width = motif.codon_width(facts.median_len) if c.motifs and facts.aligned and nucleotide else facts.median_len if facts.aligned else len(c.protein)
     text = functools.cache(lambda: motif.consensus(rows, width, "aln_nt" if facts.aligned and nucleotide else "aln_aa", F.struct(*pipeline.ORDER), coding=facts.aligned and nucleotide))
-    details = []
+    details, longs, made = [], [], {}
     for (tag, infix, prefix, table), m in zip(names(dataset, [m.tag for m in c.motifs], o.monthly), c.motifs or [None], strict=True):
         if m is None:
             found = _whole(rows, facts)
@@ -133,7 +133,8 @@ def _process(spark: SparkSession, path: str, dataset: str, c: Config, out: str,
             found = stored(motif.kept(found).select(*pipeline.ORDER, "description", "nt", "aa", "year", "month"), f"{out}/{FRAGMENTS}/count={prefix}")
             _as_fasta(found, f"{out}/{prefix}", {"proteins": "aa"} | ({"nucleotides": "nt"} if nucleotide else {}))
         long = stored(counts.count_variants(found).select(F.lit(infix).alias("infix"), F.lit(tag or "whole").alias("motif_tag"), "nt", "aa", "year", "month", "n"), f"{out}/{STORE}/count={prefix}")
-        total, variants, unknown = long.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct(F.struct("nt", "aa")), F.coalesce(F.sum(F.when(F.col("year").isNull(), F.col("n"))), F.lit(0))).first()
+        unknown = F.coalesce(F.sum(F.when(F.col("year").isNull(), F.col("n"))), F.lit(0))
+        total, variants, unknown, low, high = long.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct(F.struct("nt", "aa")), unknown, F.min("year"), F.max("year")).first()
         if not total:
             raise ValueError("nothing to count: no record came through" + (f" for motif {tag}" if tag else ""))
         for key, value in (("counted_records", total), ("unique_variants", variants), ("unknown_date", unknown)):
@@ -142,7 +143,9 @@ def _process(spark: SparkSession, path: str, dataset: str, c: Config, out: str,
             for key, name in (("motif_kept", "kept"), ("motif_dropped_ambig", "ambiguous"), ("motif_dropped_nt", "nt")):
                 stats[key] = stats.get(key, 0) + n.get[name]
             details += [f"{tag}: kept {n.get['kept']:,}", f"{tag}: {variants:,} variants"]
-        files.write_csv(counts.rename_keys(counts.most_counted(counts.wide_counts(long, o.monthly, o.start_year))), f"{out}/{table}")
+        start, made[prefix] = _calendar(low, high, table, o)
+        longs.append(long.groupBy(F.lit(prefix).alias("table"), "nt", "aa", counts.label(o.monthly, start).alias("bin")).agg(F.sum("n").cast("long").alias("n")))
+    ordered.write_wide(functools.reduce(DataFrame.unionByName, longs), made, out)
     stats["motif_detail"] = "; ".join(details)
     return stats, long.schema
 
@@ -170,6 +173,12 @@ def summary(spark: SparkSession, stats: list[dict]) -> DataFrame:
     return counts.with_total(each, "dataset").orderBy(F.col("dataset") == "TOTAL", "dataset")
 
 
+def _calendar(low: int | None, high: int | None, name: str, o: Options) -> tuple[int, ordered.Table]:
+    """The first year of a count table's axis, and the table: the years as given, else as observed, else 2000."""
+    start = next(y for y in (o.start_year, low, 2000) if y is not None)
+    return start, ordered.Table(dates.calendar(start, start if high is None else high, o.monthly), [name])
+
+
 def integrated_name(infix: str, o: Options) -> str:
     return f"integrated{infix}_counts_by_{'month' if o.monthly else 'year'}_wide.csv"
 
@@ -180,8 +189,7 @@ def integrate(spark: SparkSession, output: str, o: Options) -> list[str]:
     rows = integration.sums(spark, output).where(F.col("infix").isin(pending))
     made, starts = {}, {}
     for r in rows.groupBy("infix").agg(F.min("year").alias("low"), F.max("year").alias("high")).toLocalIterator() if pending else ():
-        start = next(y for y in (o.start_year, r.low, 2000) if y is not None)
-        made[r.infix] = ordered.Table(dates.calendar(start, start if r.high is None else r.high, o.monthly), [integrated_name(r.infix, o)])
+        start, made[r.infix] = _calendar(r.low, r.high, integrated_name(r.infix, o), o)
         starts.setdefault(start, []).append(r.infix)
     bin_ = F.coalesce(*(F.when(F.col("infix").isin(infixes), counts.label(o.monthly, start)) for start, infixes in starts.items()), F.lit(None).cast("string"))
     long = rows.groupBy(F.col("infix").alias("table"), "nt", "aa", bin_.alias("bin")).agg(F.sum("n").cast("long").alias("n"))

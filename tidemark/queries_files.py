@@ -25,15 +25,20 @@ PART = 64 << 20
 
 
 def as_files(records: DataFrame, root: str, most: int = PART) -> str:
-    """Writes records (path, place, description, seq) as FASTA files below root, a file's records by place. A file of more than `most` bytes is a folder of parts, each made by a task of its own."""
+    """Writes records (path, place, description, seq) as FASTA files below root, a file's records by place. A file of more than `most` bytes is a folder of parts, each made by a task of its own.
+
+    Parts are ranges of like numbers of records, so only large files whose records are of like length (within twice) are dealt together: a file of few long records has as many parts as its bytes ask for."""
     spark = records.sparkSession
     text = F.concat(F.lit(">"), "description", F.lit("\n"), "seq")
     rows = runs.stored(records.select(F.hex(F.encode("path", "UTF-8")).alias("name"), "place", text.alias("value")), f"{root}-rows")  # made once, read for the sizes, the ranges and the files
-    sizes = {r.name: r.bytes or 0 for r in rows.groupBy("name").agg(F.sum(F.octet_length("value")).alias("bytes")).toLocalIterator()}
-    large = [name for name, n in sizes.items() if n > most]
-    parts = sum(-(-sizes[name] // most) for name in large)
+    sizes, alike = {}, {}
+    for r in rows.groupBy("name").agg(F.sum(F.octet_length("value")).alias("bytes"), F.count("*").alias("n")).toLocalIterator():
+        sizes[r.name] = r.bytes or 0
+        if sizes[r.name] > most:
+            alike.setdefault((sizes[r.name] // r.n).bit_length(), []).append(r.name)
+    large = [name for found in alike.values() for name in found]
     dealt = [(rows.where(~F.col("name").isin(large)).repartition(max(1, len(sizes) - len(large)), "name"), "small")] if len(large) < len(sizes) or not sizes else []
-    dealt += [(rows.where(F.col("name").isin(large)).repartitionByRange(parts, "name", "place"), "large")] if large else []
+    dealt += [(rows.where(F.col("name").isin(found)).repartitionByRange(sum(-(-sizes[name] // most) for name in found), "name", "place"), f"large{k}") for k, found in alike.items()]
     for own, kind in dealt:  # sorted by what the writer asks for, too: a second sort by name alone would take the first one's place
         own.sortWithinPartitions("name", "place").select("name", "value").write.partitionBy("name").text(f"{root}-{kind}")
         made = {}

@@ -1,7 +1,7 @@
 """Many ordered tables for people from one job: wide CSV files whose rows lie in order; a large table is a folder of numbered parts.
 
 All rows are sorted by ranges of (table, order) and written by Spark's text writer, a folder a table, so a task that is stopped or repeated leaves nothing that counts.
-A table of at most `whole` rows is kept in one range, hence in one file; the ranges of a larger one follow each other, and its header is the first line of its first part:
+A table of at most `whole` rows and `most` bytes is kept in one range, hence in one file made by one task; the ranges of a larger one follow each other, and its header is the first line of its first part:
 `cat TABLE.csv/*` is the table. Only then are files moved to their names, each in one step. What the driver handles grows with the number of tables, not with their rows."""
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.sources import files
 from tidemark.sources.tables import AA, NT, TOTAL
 
-WHOLE = 1_000_000
+WHOLE, MOST = 1_000_000, 64 << 20
 
 
 @dataclass
@@ -34,7 +34,7 @@ def _lines(long: DataFrame, known: DataFrame) -> DataFrame:
     return rows.join(known.select("table", "labels", "counted"), "table").select("table", "nt", "aa", "total", line.alias("line"))
 
 
-def write_wide(long: DataFrame, tables: dict[str, Table], root: str, whole: int = WHOLE) -> list[str]:
+def write_wide(long: DataFrame, tables: dict[str, Table], root: str, whole: int = WHOLE, most: int = MOST) -> list[str]:
     """Writes each table to its paths below root, the most counted variants first, ties by key; the paths. Tables without rows have a header alone.
 
     long: table (a key of `tables`), nt, aa, bin, n; unique by the first four. Bins that a table doesn't name aren't written but are in its total."""
@@ -47,7 +47,8 @@ def write_wide(long: DataFrame, tables: dict[str, Table], root: str, whole: int
     try:
         _lines(long, known).write.parquet(f"{made}/lines")
         lines = spark.read.schema("table string, nt string, aa string, total long, line string").parquet(f"{made}/lines")
-        large = [r.table for r in lines.groupBy("table").count().where(F.col("count") > whole).toLocalIterator()]
+        sizes = lines.groupBy("table").agg(F.count("*").alias("n"), F.sum(F.octet_length("line")).alias("bytes"))
+        large = [r.table for r in sizes.where((F.col("n") > whole) | (F.col("bytes") > most)).toLocalIterator()]
         rows = lines.withColumn("place", F.lit(1)).unionByName(known.select("table", F.lit(0).alias("place"), F.col("head").alias("line")), allowMissingColumns=True)
         each = rows.join(known.select("table", F.explode("paths").alias("path")), "table").withColumn("name", F.hex(F.encode("path", "UTF-8")))
         order = [F.col("place"), F.desc("total"), F.col("nt"), F.col("aa")]
